@@ -445,7 +445,7 @@ def _(spark, d):
 )
 def _(spark, d):
     t = fx.cast_columns(spark, d)
-    return t.select("o_orderkey", *[parsing.to_number(F.col(c)).alias(c) for c in ("whole", "part")])
+    return t.select("o_orderkey", *[parsing.to_number(c).alias(c) for c in ("whole", "part")])
 
 
 @query(
@@ -453,7 +453,7 @@ def _(spark, d):
     f"SELECT o_orderkey, lower({sql.strip('flag')}) AS token FROM ({fx.CAST_COLUMNS_SQL})",
 )
 def _(spark, d):
-    return fx.cast_columns(spark, d).select("o_orderkey", parsing.normalize_token(F.col("flag")).alias("token"))
+    return fx.cast_columns(spark, d).select("o_orderkey", parsing.normalize_token("flag").alias("token"))
 
 
 @query(
@@ -461,7 +461,7 @@ def _(spark, d):
     f"SELECT o_orderkey, regexp_replace(money, '[$€£¥₹,]', '', 'g') AS money FROM ({fx.CAST_COLUMNS_SQL})",
 )
 def _(spark, d):
-    return fx.cast_columns(spark, d).select("o_orderkey", parsing.strip_currency(F.col("money")).alias("money"))
+    return fx.cast_columns(spark, d).select("o_orderkey", parsing.strip_currency("money").alias("money"))
 
 
 @query(
@@ -469,13 +469,17 @@ def _(spark, d):
     f"SELECT o_orderkey, {_STEM} AS stem, string_split(file_path, '/')[-2] AS parent FROM ({fx.FILE_ROWS_SQL})",
 )
 def _(spark, d):
-    p = F.col("file_path")
+    p = "file_path"
     return fx.file_rows(spark, d).select(
         "o_orderkey", parsing.path_stem(p).alias("stem"), parsing.path_parent(p).alias("parent")
     )
 
 
-@query("iso_format", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts FROM events")
+@query(
+    "iso_format",
+    "SELECT event_id, CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')"
+    " ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts FROM events",
+)
 def _(spark, d):
     return table(spark, d, "events").select("event_id", parsing.iso_format(F.col("ts")).alias("ts"))
 
@@ -639,7 +643,7 @@ _LINE_NUMERIC = [
 _LINE_TYPES = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
     "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
-    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
 }
 
 
@@ -761,7 +765,7 @@ def _(spark, d):
 
 
 _ORDERS_TYPES = {
-    "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp",
+    "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz",
     "o_orderpriority": "string",
 }
 

@@ -12,9 +12,14 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 100_000
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
-    """Reference a column by its exact name, dots and backticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Reference a column by its exact name."""
+    return F.col(quoted(name))
 
 
 def type_of(df: DataFrame, name: str) -> T.DataType:

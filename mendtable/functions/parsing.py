@@ -1,8 +1,10 @@
-"""Text predicates and text-to-value parsers, all built-in JVM expressions."""
+"""Text predicates and text-to-value parsers, all built-in JVM expressions.
 
-from __future__ import annotations
+The functions take SQL text for the value, usually a quoted column name, and are written in SQL:
+one call assembles what would be dozens of column objects.
+"""
 
-import math
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,144 +34,175 @@ MINUS_INFINITY = ["-inf", "-infinity"]
 # All spellings of "nan" that differ only in case.
 NAN_WORDS = ["nan", "naN", "nAn", "nAN", "Nan", "NaN", "NAn", "NAN"]
 
-# Accepted date shapes, each with the formats tried in order.
-ISO_DATE_TIME = (
-    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?$"
+# Accepted date shapes, each rewritten to one layout before it is parsed. Where two
+# small numbers lead, the first is the month unless it exceeds 12.
+# Years are those a 64-bit count of nanoseconds holds in full.
+_YEAR = r"(?:167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
+_CLOCK = r"( \d{1,2}:\d{2}(?::\d{2})?)?"
+_HALF_DAY = r"( \d{1,2}:\d{2}(?::\d{2})? [AaPp][Mm])"
+_MONTH = (
+    r"((?i:jan(?=(?:uary)?\b)|feb(?=(?:ruary)?\b)|mar(?=(?:ch)?\b)|apr(?=(?:il)?\b)|may(?=\b)"
+    r"|jun(?=e?\b)|jul(?=y?\b)|aug(?=(?:ust)?\b)|sep(?=(?:t|tember)?\b)|oct(?=(?:ober)?\b)"
+    r"|nov(?=(?:ember)?\b)|dec(?=(?:ember)?\b)))[a-z]*"
 )
-DATE_SHAPES = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", ["yyyy-M-d"]),
-    (r"^\d{4}/\d{1,2}/\d{1,2}( \d{1,2}:\d{2}(:\d{2})?)?$", ["yyyy/M/d[ H:mm[:ss]]"]),
-    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", ["yyyy.M.d"]),
-    (
-        r"^\d{1,2}/\d{1,2}/\d{4}( \d{1,2}:\d{2}(:\d{2})?)?$",
-        ["M/d/yyyy[ H:mm[:ss]]", "d/M/yyyy[ H:mm[:ss]]"],
-    ),
-    (
-        r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})? [AaPp][Mm]$",
-        ["M/d/yyyy h:mm[:ss] a", "d/M/yyyy h:mm[:ss] a"],
-    ),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", ["M-d-yyyy", "d-M-yyyy"]),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", ["M.d.yyyy", "d.M.yyyy"]),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", ["MMM d[,] yyyy"]),
-    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", ["MMMM d[,] yyyy"]),
-    (r"^\d{1,2}[ -][A-Za-z]{3}[ -]\d{4}$", ["d MMM yyyy", "d-MMM-yyyy"]),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", ["d MMMM yyyy"]),
-    (r"^[A-Za-z]{3}[ -]\d{4}$", ["MMM yyyy", "MMM-yyyy"]),
-    (r"^[A-Za-z]{4,9} \d{4}$", ["MMMM yyyy"]),
-    (r"^\d{8}$", ["yyyyMMdd"]),
-    (r"^\d{1,2}[-/]\d{4}$", ["M-yyyy", "M/yyyy"]),
-    (r"^\d{4}-\d{1,2}$", ["yyyy-M"]),
-    (r"^\d{4}$", ["yyyy"]),
+ISO_SHAPES = [
+    (r"(" + _YEAR + r"-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?)", "$1"),
+    (r"(0?[1-9]|1[0-2])([-/.])(\d{1,2})\2(" + _YEAR + r")" + _CLOCK, "$4-$1-$3$5"),
+    (r"(\d{1,2})([-/.])(\d{1,2})\2(" + _YEAR + r")" + _CLOCK, "$4-$3-$1$5"),
+    (r"(" + _YEAR + r")[/.](\d{1,2})[/.](\d{1,2})" + _CLOCK, "$1-$2-$3$4"),
+    (r"(" + _YEAR + r")(\d{2})(\d{2})", "$1-$2-$3"),
+    (r"(\d{1,2})[-/](" + _YEAR + r")", "$2-$1"),
+    (r"(" + _YEAR + r"(?:-\d{1,2})?)", "$1"),
+]
+NAMED_SHAPES = [
+    (_MONTH + r" (\d{1,2}),? (" + _YEAR + r")", "$2 $1 $3"),
+    (r"(\d{1,2})[ -]" + _MONTH + r"[ -](" + _YEAR + r")", "$1 $2 $3"),
+    (_MONTH + r"[ -](" + _YEAR + r")", "1 $1 $2"),
+]
+NAMED_FORMAT = "d MMM yyyy"
+HALF_DAY_SHAPES = [
+    (r"(0?[1-9]|1[0-2])/(\d{1,2})/(" + _YEAR + r")" + _HALF_DAY, "$3-$1-$2$4"),
+    (r"(\d{1,2})/(\d{1,2})/(" + _YEAR + r")" + _HALF_DAY, "$3-$2-$1$4"),
 ]
-# The range a 64-bit nanosecond timestamp can hold.
-EARLIEST = "1677-09-21 00:12:43.145225"
-LATEST = "2262-04-11 23:47:16.854775"
-LONGEST_DATE = 40
+HALF_DAY_FORMAT = "yyyy-M-d h:mm[:ss] a"
+LONGEST_DATE = 48
+
+
+def _list(words: list[str]) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+def strip_sql(v: str) -> str:
+    return f"trim(BOTH '{WHITESPACE}' FROM {v})"
+
+
+def number_sql(v: str) -> str:
+    """SQL text of ``to_number``; only text that can overflow pays for the overflow test."""
+    parsed = f"try_cast({v} AS DOUBLE)"
+    bounded = f"nullif(nullif({parsed}, double('Infinity')), double('-Infinity'))"
+    return (
+        f"CASE WHEN {v} RLIKE r'{NUMBER}' THEN"
+        f" CASE WHEN octet_length({v}) < 300 AND NOT {v} RLIKE '[eE]' THEN {parsed} ELSE {bounded} END"
+        f" WHEN octet_length({v}) <= 9 AND lower({v}) IN {_list(PLUS_INFINITY)} THEN double('Infinity')"
+        f" WHEN octet_length({v}) <= 9 AND lower({v}) IN {_list(MINUS_INFINITY)} THEN double('-Infinity') END"
+    )
+
+
+def _rewrite_sql(v: str, shapes: list[tuple[str, str]]) -> str:
+    space = f"[{WHITESPACE}]*"
+    cases = " ".join(
+        f"WHEN {v} RLIKE r'^{space}{shape}{space}$'"
+        f" THEN regexp_replace({v}, r'^{space}{shape}{space}$', '{layout}')"
+        for shape, layout in shapes
+    )
+    return f"CASE {cases} END"
 
 
-def strip(c: Column) -> Column:
-    return F.trim(c, F.lit(WHITESPACE))
+def datetime_sql(v: str) -> str:
+    """SQL text of ``to_datetime``."""
+    return (
+        f"CASE WHEN octet_length({v}) <= {LONGEST_DATE} AND {v} RLIKE '[0-9]{{4}}' THEN"
+        f" CASE WHEN NOT {v} RLIKE '[A-SU-Ya-y]'"
+        f" THEN try_cast({_rewrite_sql(v, ISO_SHAPES)} AS TIMESTAMP)"
+        f" WHEN {v} RLIKE '/.*[Mm]'"
+        f" THEN try_to_timestamp({_rewrite_sql(v, HALF_DAY_SHAPES)}, '{HALF_DAY_FORMAT}')"
+        f" ELSE try_to_timestamp({_rewrite_sql(v, NAMED_SHAPES)}, '{NAMED_FORMAT}') END END"
+    )
 
 
-def normalize_token(c: Column) -> Column:
-    return strip(F.lower(c))
+def strip(v: str) -> Column:
+    return F.expr(strip_sql(v))
 
 
-def is_empty(c: Column) -> Column:
-    """The inference notion of missing: exactly the empty string."""
-    return c == F.lit("")
+def normalize_token(v: str) -> Column:
+    return F.expr(strip_sql(f"lower({v})"))
 
 
-def is_nil(c: Column, data_type: T.DataType) -> Column:
+def is_nil(v: str, data_type: T.DataType) -> Column:
     """The repair notion of missing: null, NaN, blank text, or the word ``nan`` in any case."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return c.isNull() | F.isnan(c)
+        return F.expr(f"({v} IS NULL OR isnan({v}))")
     if isinstance(data_type, T.StringType):
-        return c.isNull() | ~c.rlike(NOT_BLANK) | c.isin(NAN_WORDS)
-    return c.isNull()
+        return F.expr(f"({v} IS NULL OR NOT {v} RLIKE '{NOT_BLANK}' OR {v} IN {_list(NAN_WORDS)})")
+    return F.expr(f"({v} IS NULL)")
 
 
-def is_missing(c: Column, data_type: T.DataType) -> Column:
+def is_missing(v: str, data_type: T.DataType) -> Column:
     """Null or floating NaN; text is never missing here."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+        return F.expr(f"({v} IS NULL OR isnan({v}))")
+    return F.expr(f"({v} IS NULL)")
 
 
-def is_finite(x: Column) -> Column:
-    return F.abs(x) < F.lit(math.inf)
+def to_number(v: str) -> Column:
+    """Text to double; null for anything outside the number grammar, NaN and overflow."""
+    return F.expr(number_sql(v))
 
 
-def is_integral(x: Column) -> Column:
-    return x == F.rint(x)
+def finite_sql(x: str) -> str:
+    return f"(abs({x}) < double('Infinity'))"
 
 
-def to_number(c: Column) -> Column:
-    """Text to double; null for anything outside the number grammar, NaN and overflow."""
-    parsed = F.when(c.rlike(NUMBER), c.try_cast("double"))
-    word = F.lower(c)
-    return (
-        F.when(is_finite(parsed), parsed)
-        .when(word.isin(PLUS_INFINITY), F.lit(math.inf))
-        .when(word.isin(MINUS_INFINITY), F.lit(-math.inf))
-    )
+def fits_integer_sql(x: str) -> str:
+    """Whether a parsed number is finite, has no fraction and fits 64 bits."""
+    return f"({finite_sql(x)} AND {x} = rint({x}) AND {x} >= -{2**63}D AND {x} < {2**63}D)"
 
 
-def fits_integer(x: Column) -> Column:
-    """Whether a parsed number is finite, has no fraction and fits 64 bits."""
-    return is_finite(x) & is_integral(x) & (x >= F.lit(-(2.0**63))) & (x < F.lit(2.0**63))
+def all_integers_sql(v: str) -> str:
+    """SQL aggregate: whether every number of a text column fits an integer."""
+    return f"coalesce(bool_and({fits_integer_sql('(' + number_sql(v) + ')')}), true)"
 
 
-def to_integer(c: Column) -> Column:
+def to_integer(v: str) -> Column:
     """Text to bigint, exact beyond 2**53; text such as ``1e3`` goes through double."""
-    plain = F.when(c.rlike(NUMBER), c.try_cast("bigint"))
-    return F.coalesce(plain, to_number(c).try_cast("bigint"))
+    plain = f"CASE WHEN {v} RLIKE r'{NUMBER}' THEN try_cast({v} AS BIGINT) END"
+    return F.expr(f"coalesce({plain}, try_cast({number_sql(v)} AS BIGINT))")
+
+
+def to_boolean(v: str) -> Column:
+    word = strip_sql(f"lower({v})")
+    return F.expr(
+        f"CASE WHEN {word} IN {_list(TRUE_WORDS)} THEN true WHEN {word} IN {_list(FALSE_WORDS)} THEN false END"
+    )
 
 
-def to_boolean(c: Column) -> Column:
-    word = normalize_token(c)
-    return F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
+def strip_currency_sql(v: str) -> str:
+    return f"regexp_replace({v}, r'{CURRENCY_SYMBOLS}', '')"
 
 
-def strip_currency(c: Column) -> Column:
-    return F.regexp_replace(c, CURRENCY_SYMBOLS, "")
+def strip_currency(v: str) -> Column:
+    return F.expr(strip_currency_sql(v))
 
 
-def to_datetime(c: Column) -> Column:
+def to_datetime(v: str) -> Column:
     """Text in mixed date formats to timestamp; clock-dependent forms are null.
 
-    Each value is tried only against the formats of the shape it has, so a value that is
-    no date costs a few pattern tests and no parse exception.
+    A value is parsed only in the shape it has, so a value that is no date costs a few pattern
+    tests and no parse exception.
     """
-    v = strip(c)
-    parsed = F.when(v.rlike(ISO_DATE_TIME), v.try_cast("timestamp"))
-    for shape, formats in DATE_SHAPES:
-        tries = [F.try_to_timestamp(v, F.lit(f)) for f in formats]
-        parsed = parsed.when(v.rlike(shape), F.coalesce(*tries) if len(tries) > 1 else tries[0])
-    possible = (F.length(c) <= LONGEST_DATE) & c.rlike(r"\d{4}")
-    stamp = F.when(possible, parsed)
-    earliest, latest = (F.lit(x).cast("timestamp") for x in (EARLIEST, LATEST))
-    return F.when(stamp.between(earliest, latest), stamp)
+    return F.expr(datetime_sql(v))
 
 
 def iso_format(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    """Timestamp as ISO text, with microseconds only where there are any."""
+    fraction = F.date_format(c, ".SSSSSS")
+    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(fraction == ".000000", whole).otherwise(F.concat(whole, fraction))
 
 
-def title_label(c: Column) -> Column:
+def title_label(v: str) -> Column:
     """Axis label of a column name: underscores to spaces, each word capitalized."""
-    return F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
+    return F.expr(f"initcap(replace({v}, '_', ' '))")
 
 
-def path_stem(path: Column) -> Column:
+def path_stem(v: str) -> Column:
     """File name without its last extension."""
-    name = F.element_at(F.split(path, "/"), -1)
-    return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+    return F.expr(f"regexp_replace(element_at(split({v}, '/'), -1), '(?<=.)[.][^.]*$', '')")
 
 
-def path_parent(path: Column) -> Column:
+def path_parent(v: str) -> Column:
     """Name of the directory that holds the file; empty when there is none."""
-    return F.coalesce(F.try_element_at(F.split(path, "/"), F.lit(-2)), F.lit(""))
+    return F.expr(f"coalesce(try_element_at(split({v}, '/'), -2), '')")
 
 
 def percent(part: Column, whole: Column, decimals: int) -> Column:

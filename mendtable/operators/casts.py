@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import ref
+from ..functions.columns import quoted, ref
 from ..functions.parsing import (
-    fits_integer,
-    strip_currency,
+    all_integers_sql,
+    strip_currency_sql,
     to_boolean,
     to_datetime,
     to_integer,
@@ -26,29 +26,31 @@ CAST_TYPES = [
 ]
 
 
-def cast_integer(c: Column) -> Column:
-    return to_integer(c)
+def cast_integer(v: str) -> Column:
+    return to_integer(v)
 
 
-def cast_float(c: Column) -> Column:
-    return to_number(c)
+def cast_float(v: str) -> Column:
+    return to_number(v)
 
 
-def cast_boolean(c: Column) -> Column:
-    return to_boolean(c)
+def cast_boolean(v: str) -> Column:
+    return to_boolean(v)
 
 
-def cast_datetime(c: Column) -> Column:
-    return to_datetime(c)
+def cast_datetime(v: str) -> Column:
+    return to_datetime(v)
 
 
-def cast_currency(c: Column, decimal: bool = False) -> Column:
-    cleaned = strip_currency(c)
-    return cleaned.try_cast(T.DecimalType(18, 2)) if decimal else to_number(cleaned)
+def cast_currency(v: str, decimal: bool = False) -> Column:
+    """Money text to double, or to an exact decimal with two places."""
+    if decimal:
+        return F.expr(f"try_cast({strip_currency_sql(v)} AS DECIMAL(18, 2))")
+    return to_number(strip_currency_sql(v))
 
 
-def cast_text(c: Column) -> Column:
-    return c.cast("string")
+def cast_text(v: str) -> Column:
+    return F.expr(f"CAST({v} AS STRING)")
 
 
 _PARSERS = {
@@ -72,14 +74,16 @@ class CastStep:
     message: str
 
 
+def _text(df: DataFrame, c: str) -> str:
+    plain = isinstance(df.schema[c].dataType, T.StringType)
+    return quoted(c) if plain else f"CAST({quoted(c)} AS STRING)"
+
+
 def integral_columns(df: DataFrame, columns: Sequence[str]) -> set[str]:
     """Text columns whose every parsed number is a 64-bit integer; one scan, one row of flags."""
     if not columns:
         return set()
-    flags = []
-    for j, c in enumerate(columns):
-        x = to_number(ref(c).cast("string"))
-        flags.append(F.coalesce(F.bool_and(fits_integer(x)), F.lit(True)).alias(f"f{j}"))
+    flags = [F.expr(all_integers_sql(_text(df, c))).alias(f"f{j}") for j, c in enumerate(columns)]
     row = df.agg(*flags).first()
     return {c for j, c in enumerate(columns) if row[f"f{j}"]}
 
@@ -120,7 +124,7 @@ def run_casts(df: DataFrame, steps: Sequence[CastStep]) -> DataFrame:
         if target is None:
             out.append(ref(c))
             continue
-        parsed = _PARSERS[target][0](ref(c).cast("string"))
+        parsed = _PARSERS[target][0](_text(df, c))
         marked = target in ("categorical", "identifier")
         out.append(parsed.alias(c, metadata={"semantic_type": target}) if marked else parsed.alias(c))
     return df.select(*out)

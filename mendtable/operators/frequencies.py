@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,23 +30,28 @@ def comparable(c: Column, data_type: T.DataType) -> Column:
     return identity(c) if isinstance(data_type, T.StringType) else c
 
 
-def _identity_pair(c: Column, t: T.DataType) -> Column:
-    """Any scalar as struct(num, txt), equal exactly when the values are equal."""
-    num, txt = F.lit(None).cast("double"), F.lit(None).cast("string")
-    if isinstance(t, (T.DoubleType, T.FloatType)):
-        num = F.nullif(c.cast("double"), F.lit(float("nan")))
-    elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)):
-        num = c.cast("double")
-    elif isinstance(t, T.LongType):
-        num = c.cast("double")
-        txt = F.when(~c.between(-(2**53), 2**53), c.cast("string"))
-    elif isinstance(t, (T.TimestampType, T.BooleanType, T.DateType, T.DecimalType)):
-        txt = c.cast("string")
-    elif isinstance(t, T.StringType):
-        txt = identity(c)
-    else:
-        txt = F.sha2(F.to_json(F.struct(c)), 256)
-    return F.struct(num.alias("num"), txt.alias("txt"))
+# Integers up to this size are exact as doubles.
+EXACT = 2**53
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _as_long(c: Column, t: T.DataType) -> Column | None:
+    """The value as a bigint that tells values apart, where the type has one."""
+    if isinstance(t, (*_WHOLE, T.BooleanType)):
+        return c.cast("long")
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(t), c)
+    return None
+
+
+def _as_text(c: Column, t: T.DataType) -> Column:
+    if isinstance(t, T.StringType):
+        return identity(c)
+    if isinstance(t, T.DecimalType):
+        return c.cast("string")
+    return F.when(c.isNotNull(), F.sha2(F.to_json(F.struct(c)), 256))
 
 
 def value_frequencies(
@@ -53,33 +59,56 @@ def value_frequencies(
 ) -> DataFrame:
     """How often each value occurs: ``by``, ``column_name``, ``num``, ``txt``, ``cnt``.
 
-    One shuffle for all columns, after map-side counting, so a hot value leaves each task as one
-    row. Nulls (and floating NaN) form one row per column with ``num`` and ``txt`` both null.
+    ``num`` is the value of a number; ``txt`` tells apart what ``num`` cannot. Values are counted
+    map-side, so a hot value leaves each task as one row; integers, moments and floats travel as
+    8 bytes, long text as a digest. Nulls (and floating NaN) form one row per column with ``num``
+    and ``txt`` both null.
     """
-    names = [c for c in (columns or df.columns) if c not in by]
-    values = {c: _identity_pair(ref(c), df.schema[c].dataType) for c in names}
+    types = {c: df.schema[c].dataType for c in (columns or df.columns) if c not in by}
     keys = [ref(b) for b in by]
-    return (
-        unpivot_as(df, values, by)
-        .select(*keys, "column_name", F.col("value.num").alias("num"), F.col("value.txt").alias("txt"))
-        .groupBy(*keys, "column_name", "num", "txt")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+    longs = {c: _as_long(ref(c), t) for c, t in types.items() if _as_long(ref(c), t) is not None}
+    floats = {
+        c: F.nullif(ref(c).cast("double"), F.lit(float("nan")))
+        for c, t in types.items()
+        if isinstance(t, (T.DoubleType, T.FloatType))
+    }
+    texts = {c: _as_text(ref(c), t) for c, t in types.items() if c not in longs and c not in floats}
+    decimals = [c for c in texts if isinstance(types[c], T.DecimalType)]
+
+    def counted(values: dict[str, Column]) -> DataFrame:
+        tall = unpivot_as(df, values, by)
+        return tall.groupBy(*keys, "column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+    v, parts = F.col("value"), []
+    if longs:
+        large = F.when(~v.between(-EXACT, EXACT), v.cast("string"))
+        parts.append((counted(longs), v.cast("double"), large))
+    if floats:
+        parts.append((counted(floats), v, F.lit(None).cast("string")))
+    if texts:
+        number = F.when(F.col("column_name").isin(decimals), v.try_cast("double")) if decimals else F.lit(None)
+        parts.append((counted(texts), number.cast("double"), v))
+    return reduce(
+        lambda a, b: a.unionAll(b),
+        [t.select(*keys, "column_name", num.alias("num"), txt.alias("txt"), "cnt") for t, num, txt in parts],
     )
 
 
 def text_frequencies(
-    df: DataFrame, columns: Sequence[str], flags: dict[str, Column], by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], flags: dict[str, str], by: Sequence[str] = ()
 ) -> DataFrame:
     """Frequencies of text values: ``by``, ``column_name``, ``token``, the ``flags``, ``cnt``.
 
-    ``flags`` maps a name to an expression over the text ``value``. For long text, whose digest
+    ``flags`` maps a name to a SQL expression over the text ``value``. For long text, whose digest
     alone is shuffled, the flags are computed before the shuffle; for short text after it, once
     per distinct value. Null text counts as empty.
     """
     keys = [ref(b) for b in by]
     values = {c: F.coalesce(ref(c), F.lit("")) for c in columns}
-    long_ = F.octet_length("value") > WHOLE_TEXT_BYTES
-    early = [F.when(long_, flag).alias(name) for name, flag in flags.items()]
+    whole = f"octet_length(value) <= {WHOLE_TEXT_BYTES}"
+    early = [
+        F.expr(f"CASE WHEN NOT {whole} THEN {flag} END AS {name}") for name, flag in flags.items()
+    ]
     counted = (
         unpivot_as(df, values, by)
         .select(*keys, "column_name", identity(F.col("value")).alias("value"), *early)
@@ -87,7 +116,7 @@ def text_frequencies(
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
     late = [
-        F.when(F.octet_length("value") <= WHOLE_TEXT_BYTES, flag).otherwise(F.col(name)).alias(name)
+        F.expr(f"CASE WHEN {whole} THEN {flag} ELSE {name} END AS {name}")
         for name, flag in flags.items()
     ]
     return counted.select(*keys, "column_name", F.col("value").alias("token"), "cnt", *late)

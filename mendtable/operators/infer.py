@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ref, text_columns
+from ..functions.columns import quoted, ref, text_columns
 from ..functions.parsing import (
     BOOLEAN_PAIRS,
-    fits_integer,
-    is_finite,
-    is_integral,
-    normalize_token,
-    to_datetime,
-    to_number,
+    datetime_sql,
+    finite_sql,
+    fits_integer_sql,
+    number_sql,
+    strip_sql,
 )
 from .frequencies import first_values, text_frequencies
 
@@ -34,8 +32,8 @@ APPROVAL_CONFIDENCE, DISAGREEMENT_CONFIDENCE = 0.8, 0.5
 SAMPLES = 5
 
 
-def _percent_text(ratio: Column) -> Column:
-    return F.format_string("%.1f%%", ratio * 100)
+def _percent_sql(ratio: str) -> str:
+    return f"format_string('%.1f%%', {ratio} * 100)"
 
 
 def column_facts(
@@ -44,34 +42,29 @@ def column_facts(
     """Counts per text column that the inference rules read, from one frequency shuffle."""
     columns = list(columns or text_columns(df, skip=by))
     keys = [ref(b) for b in by]
-    all_words = [w for pair in BOOLEAN_PAIRS for w in pair]
-    word = normalize_token(F.col("value"))
+    words = ", ".join(f"'{w}'" for pair in BOOLEAN_PAIRS for w in pair)
+    word = strip_sql("lower(value)")
     freq = text_frequencies(
         df,
         columns,
-        {
-            "num": to_number(F.col("value")),
-            "word": F.when(word.isin(all_words), word).otherwise(F.lit("")),
-        },
+        {"num": number_sql("value"), "word": f"CASE WHEN {word} IN ({words}) THEN {word} ELSE '' END"},
         by,
     )
-    present = F.col("token") != ""
-    num = F.col("num")
-    pair_tests = [
-        F.coalesce(F.bool_and(F.when(present, F.col("word").isin(list(pair)))), F.lit(False))
-        for pair in BOOLEAN_PAIRS
-    ]
-    some = F.coalesce(F.sum(F.when(present, F.col("cnt"))), F.lit(0))
+    pairs = " OR ".join(
+        f"coalesce(bool_and(CASE WHEN token <> '' THEN word IN ('{a}', '{b}') END), false)"
+        for a, b in BOOLEAN_PAIRS
+    )
+    finite = finite_sql("num")
     facts = freq.groupBy(*keys, "column_name").agg(
-        F.sum("cnt").alias("total"),
-        some.alias("non_empty"),
-        F.count(F.lit(1)).alias("unique_count"),
-        F.coalesce(F.sum(F.when(num.isNotNull(), F.col("cnt"))), F.lit(0)).alias("numeric_count"),
-        F.count_if(is_finite(num)).alias("finite"),
-        F.count_if(is_finite(num) & ~is_integral(num)).alias("fractional"),
-        F.count_if(num.isNotNull() & ~fits_integer(num)).alias("not_integer"),
-        reduce(lambda a, b: a | b, pair_tests).alias("is_boolean"),
-        F.array_sort(F.collect_set(F.when(F.col("word") != "", F.col("word")))).alias("words"),
+        F.expr("sum(cnt) AS total"),
+        F.expr("coalesce(sum(CASE WHEN token <> '' THEN cnt END), 0) AS non_empty"),
+        F.expr("count(1) AS unique_count"),
+        F.expr("coalesce(sum(CASE WHEN num IS NOT NULL THEN cnt END), 0) AS numeric_count"),
+        F.expr(f"count_if({finite}) AS finite"),
+        F.expr(f"count_if({finite} AND num <> rint(num)) AS fractional"),
+        F.expr(f"count_if(num IS NOT NULL AND NOT {fits_integer_sql('num')}) AS not_integer"),
+        F.expr(f"({pairs}) AS is_boolean"),
+        F.expr("array_sort(collect_set(nullif(word, ''))) AS words"),
     )
     spark = df.sparkSession
     order = spark.createDataFrame(
@@ -103,106 +96,89 @@ def infer_types(
     facts = column_facts(df, columns, by)
     shown = max(samples, DATE_SAMPLE)
     firsts = first_values(df, columns, shown, order_by, by)
-    early = F.col("place") <= DATE_SAMPLE
     seen = firsts.groupBy(*keys, "column_name").agg(
-        F.count_if(early & to_datetime(F.col("value")).isNotNull()).alias("dates"),
-        F.count_if(early).alias("date_sample"),
-        F.sort_array(
-            F.collect_list(F.when(F.col("place") <= samples, F.struct("place", "value")))
-        ).alias("firsts"),
+        F.expr(f"count_if(place <= {DATE_SAMPLE} AND {datetime_sql('value')} IS NOT NULL) AS dates"),
+        F.expr(f"count_if(place <= {DATE_SAMPLE}) AS date_sample"),
+        F.expr(
+            f"sort_array(collect_list(CASE WHEN place <= {samples} THEN struct(place, value) END)) AS firsts"
+        ),
     )
-    p = facts.join(seen, [*by, "column_name"], "left")
-
-    unique_ratio = F.coalesce(F.try_divide(F.col("unique_count"), F.col("total")), F.lit(0.0))
-    numeric_ratio = F.coalesce(F.try_divide(F.col("numeric_count"), F.col("non_empty")), F.lit(0.0))
-    date_ratio = F.coalesce(F.try_divide(F.col("dates"), F.col("date_sample")), F.lit(0.0))
-    p = p.select(
+    ratios = facts.join(seen, [*by, "column_name"], "left").selectExpr(
         "*",
-        unique_ratio.alias("unique_ratio"),
-        numeric_ratio.alias("numeric_ratio"),
-        date_ratio.alias("date_ratio"),
+        "coalesce(try_divide(unique_count, total), 0D) AS unique_ratio",
+        "coalesce(try_divide(numeric_count, non_empty), 0D) AS numeric_ratio",
+        "coalesce(try_divide(dates, date_sample), 0D) AS date_ratio",
     )
-    whole = (F.col("finite") > 0) & (F.col("fractional") == 0)
+    whole = "(finite > 0 AND fractional = 0)"
+    # rules in order: condition, type, confidence, reasoning
     rules = [
         (
-            F.col("non_empty") == 0,
-            F.lit("text"),
-            F.lit(1.0),
-            F.format_string("All %d values are empty or missing. Defaulting to text.", F.col("total")),
+            "non_empty = 0",
+            "'text'",
+            "1D",
+            "format_string('All %d values are empty or missing. Defaulting to text.', total)",
         ),
         (
-            (F.col("unique_ratio") > IDENTIFIER_RATIO)
-            & F.lower(F.col("column_name")).rlike(IDENTIFIER_NAME),
-            F.lit("identifier"),
-            F.lit(IDENTIFIER_CONFIDENCE),
-            F.concat(
-                F.lit("Column name suggests ID, high uniqueness: "),
-                _percent_text(F.col("unique_ratio")),
-                F.lit("."),
-            ),
+            f"unique_ratio > {IDENTIFIER_RATIO}D AND lower(column_name) RLIKE '{IDENTIFIER_NAME}'",
+            "'identifier'",
+            f"{IDENTIFIER_CONFIDENCE}D",
+            f"concat('Column name suggests ID, high uniqueness: ', {_percent_sql('unique_ratio')}, '.')",
         ),
         (
-            F.col("is_boolean"),
-            F.lit("boolean"),
-            F.lit(BOOLEAN_CONFIDENCE),
-            F.concat(
-                F.lit("Contains only boolean-like values: "), F.array_join("words", ", "), F.lit(".")
-            ),
+            "is_boolean",
+            "'boolean'",
+            f"{BOOLEAN_CONFIDENCE}D",
+            "concat('Contains only boolean-like values: ', array_join(words, ', '), '.')",
         ),
         (
-            F.col("numeric_ratio") > NUMERIC_RATIO,
-            F.when(whole, F.lit("integer")).otherwise(F.lit("float")),
-            F.col("numeric_ratio"),
-            F.concat(
-                _percent_text(F.col("numeric_ratio")),
-                F.when(whole, F.lit(" are valid integers.")).otherwise(
-                    F.lit(" are valid numbers with decimals.")
-                ),
-            ),
+            f"numeric_ratio > {NUMERIC_RATIO}D",
+            f"CASE WHEN {whole} THEN 'integer' ELSE 'float' END",
+            "numeric_ratio",
+            f"concat({_percent_sql('numeric_ratio')}, CASE WHEN {whole} THEN ' are valid integers.'"
+            " ELSE ' are valid numbers with decimals.' END)",
         ),
         (
-            F.col("date_ratio") > DATE_RATIO,
-            F.lit("datetime"),
-            F.col("date_ratio"),
-            F.concat(_percent_text(F.col("date_ratio")), F.lit(" of sample values parse as dates.")),
+            f"date_ratio > {DATE_RATIO}D",
+            "'datetime'",
+            "date_ratio",
+            f"concat({_percent_sql('date_ratio')}, ' of sample values parse as dates.')",
         ),
         (
-            (F.col("unique_ratio") < CATEGORY_RATIO) & (F.col("unique_count") <= CATEGORY_LIMIT),
-            F.lit("categorical"),
-            F.lit(CATEGORY_CONFIDENCE),
-            F.concat(
-                F.format_string("Low cardinality: %d unique values (", F.col("unique_count")),
-                _percent_text(F.col("unique_ratio")),
-                F.lit(")."),
-            ),
+            f"unique_ratio < {CATEGORY_RATIO}D AND unique_count <= {CATEGORY_LIMIT}",
+            "'categorical'",
+            f"{CATEGORY_CONFIDENCE}D",
+            "concat(format_string('Low cardinality: %d unique values (', unique_count),"
+            f" {_percent_sql('unique_ratio')}, ').')",
+        ),
+        (
+            "true",
+            "'text'",
+            f"{TEXT_CONFIDENCE}D",
+            "format_string('High cardinality text: %d unique values.', unique_count)",
         ),
     ]
 
-    def choose(part: int, default: Column) -> Column:
-        out = None
-        for rule in rules:
-            out = F.when(rule[0], rule[part]) if out is None else out.when(rule[0], rule[part])
-        return out.otherwise(default)
+    def choose(part: int) -> str:
+        return "CASE " + " ".join(f"WHEN {rule[0]} THEN {rule[part]}" for rule in rules) + " END"
 
-    text_reason = F.format_string("High cardinality text: %d unique values.", F.col("unique_count"))
-    return p.select(
-        *keys,
+    return ratios.selectExpr(
+        *[quoted(b) for b in by],
         "column_index",
         "column_name",
-        choose(1, F.lit("text")).alias("inferred_type"),
-        choose(3, text_reason).alias("reasoning"),
-        F.coalesce(F.col("firsts.value"), F.array().cast("array<string>")).alias("sample_values"),
-        choose(2, F.lit(TEXT_CONFIDENCE)).alias("confidence"),
-        F.lit(None).cast("boolean").alias("user_approved"),
-        F.lit(None).cast("string").alias("user_correction"),
-        F.lit(False).alias("transformation_applied"),
+        f"{choose(1)} AS inferred_type",
+        f"{choose(3)} AS reasoning",
+        "coalesce(firsts.value, cast(array() AS array<string>)) AS sample_values",
+        f"{choose(2)} AS confidence",
+        "cast(NULL AS boolean) AS user_approved",
+        "cast(NULL AS string) AS user_correction",
+        "false AS transformation_applied",
         "total",
         "non_empty",
         "unique_count",
         "unique_ratio",
         "numeric_ratio",
         "date_ratio",
-        (F.col("not_integer") == 0).alias("all_integral"),
+        "not_integer = 0 AS all_integral",
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import broadcast_if_small, ref, unpivot_as, unused_name
+from ..functions.columns import broadcast_if_small, quoted, ref, unpivot_as, unused_name
 from ..functions.parsing import is_nil, percent
 from .quantiles import grouped_quantiles, table_quantiles
 
@@ -23,9 +23,37 @@ ALL_ACTIONS = [
 ]
 UNKNOWN = "Unknown"
 
+TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
+EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _epoch(t: T.DataType) -> Column:
+    text = "1970-01-01 00:00:00" + ("" if isinstance(t, T.TimestampNTZType) else "+00:00")
+    return F.lit(text).cast(t)
+
+
+def _micros(c: Column, t: T.DataType) -> Column:
+    """Microseconds since the epoch as a double, exact for every year up to 2255."""
+    return F.timestamp_diff("MICROSECOND", _epoch(t), c).cast("double")
+
+
+def _from_micros(n: Column, t: T.DataType) -> Column:
+    return F.timestamp_add("MICROSECOND", n.cast("long"), _epoch(t))
+
+
+def _moment(x: float, t: T.DataType) -> dt.datetime:
+    zone = None if isinstance(t, T.TimestampNTZType) else dt.timezone.utc
+    return EPOCH.replace(tzinfo=zone) + dt.timedelta(microseconds=int(x))
+
+
+def _literal(value: object, t: T.DataType) -> Column:
+    """A fill value as a literal; moments go through text, which carries their zone."""
+    plain = value.isoformat(" ") if isinstance(value, dt.datetime) else value
+    return F.lit(plain).cast(t)
+
 
 def nil(df: DataFrame, name: str) -> Column:
-    return is_nil(ref(name), df.schema[name].dataType)
+    return is_nil(quoted(name), df.schema[name].dataType)
 
 
 def allowed_actions(data_type: T.DataType) -> list[str]:
@@ -86,12 +114,10 @@ class NilFit:
 
 
 def _as_number(c: Column, t: T.DataType) -> Column | None:
-    """Values whose median exists as doubles; timestamps count microseconds."""
+    """Values whose median exists, as doubles; None for other types."""
     if isinstance(t, T.NumericType):
         return c.cast("double")
-    if isinstance(t, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    return None
+    return _micros(c, t) if isinstance(t, TIMESTAMPS) else None
 
 
 def _mode_pair(c: Column, t: T.DataType) -> Column:
@@ -99,8 +125,8 @@ def _mode_pair(c: Column, t: T.DataType) -> Column:
     num, txt = F.lit(None).cast("double"), F.lit(None).cast("string")
     if isinstance(t, T.StringType):
         txt = c
-    elif isinstance(t, T.TimestampType):
-        num = F.unix_micros(c).cast("double")
+    elif isinstance(t, TIMESTAMPS):
+        num = _micros(c, t)
     elif isinstance(t, T.DateType):
         num = F.unix_date(c).cast("double")
     elif isinstance(t, (T.LongType, T.DecimalType)):
@@ -114,8 +140,8 @@ def _from_mode_pair(pair: Column, t: T.DataType) -> Column:
     num, txt = pair["num"], pair["txt"]
     if isinstance(t, T.StringType):
         return txt
-    if isinstance(t, T.TimestampType):
-        return F.timestamp_micros(num.cast("long"))
+    if isinstance(t, TIMESTAMPS):
+        return _from_micros(num, t)
     if isinstance(t, T.DateType):
         return F.date_from_unix_date(num.cast("int"))
     if isinstance(t, (T.LongType, T.DecimalType)):
@@ -213,7 +239,7 @@ def fit_nils(df: DataFrame, actions: dict[str, str], by: Sequence[str] = ()) ->
         return _fit_groups(df, actions, names, types, counted, medians, modes, by)
 
     q, counts = table_quantiles(
-        df, medians, [0.5], {c: (counted[c], "count({})") for c in names}
+        df, medians, [0.5], extra={c: (counted[c], "count({})") for c in names}
     ) if names else ({}, {})
     values: dict[str, object] = {}
     for c, found in q.items():
@@ -242,8 +268,8 @@ def fit_nils(df: DataFrame, actions: dict[str, str], by: Sequence[str] = ()) ->
 
 
 def _median_value(x: float, t: T.DataType, out: T.DataType) -> object:
-    if isinstance(t, T.TimestampType):
-        return dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(microseconds=int(x))
+    if isinstance(t, TIMESTAMPS):
+        return _moment(x, t)
     if isinstance(out, T.DecimalType):
         return decimal.Decimal(repr(x))
     return int(x) if _is_whole(out) else x
@@ -252,8 +278,8 @@ def _median_value(x: float, t: T.DataType, out: T.DataType) -> object:
 def _mode_value(pair, t: T.DataType) -> object:
     if isinstance(t, T.StringType):
         return pair["txt"]
-    if isinstance(t, T.TimestampType):
-        return dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(microseconds=int(pair["num"]))
+    if isinstance(t, TIMESTAMPS):
+        return _moment(pair["num"], t)
     if isinstance(t, T.DateType):
         return dt.date(1970, 1, 1) + dt.timedelta(days=int(pair["num"]))
     if isinstance(t, T.BooleanType):
@@ -342,11 +368,11 @@ def repair_nils(df: DataFrame, fit: NilFit) -> DataFrame:
             columns.append(ref(c))
             continue
         if c in fit.values:
-            fill = F.lit(fit.values[c]).cast(s.out_type)
+            fill = _literal(fit.values[c], s.out_type)
         elif fit.table is not None and f"__fill_{c}" in fit.table.columns:
             fill = ref(f"__fill_{c}")
-            if isinstance(s.out_type, T.TimestampType) and s.action == "fill_median":
-                fill = F.timestamp_micros(fill.cast("long"))
+            if isinstance(s.out_type, TIMESTAMPS) and s.action == "fill_median":
+                fill = _from_micros(fill, s.out_type)
             if s.action == "fill_most_common" and isinstance(s.out_type, T.StringType):
                 fill = F.coalesce(fill, F.lit(UNKNOWN))
             fill = fill.cast(s.out_type)

@@ -86,16 +86,28 @@ def _number(x: float) -> str:
     return f"{x!r}D" if math.isfinite(x) else f"double('{x!r}')"
 
 
-def _sketch_quantiles(value: str, ranks: Sequence[float]) -> Column:
+def _sketch(value: str) -> str:
+    return f"kll_sketch_agg_double({value}, {SKETCH_SIZE})"
+
+
+def _sketch_size(value: str) -> str:
+    return f"kll_sketch_get_n_double({_sketch(value)})"
+
+
+def _sketch_quantiles(value: str, ranks: Sequence[float]) -> str:
     """Approximate quantiles of a group; null when the group has no value."""
     wanted = ", ".join(_number(float(r)) for r in ranks)
-    sketch = f"kll_sketch_agg_double({value}, {SKETCH_SIZE})"
-    return F.expr(
-        f"CASE WHEN count({value}) > 0"
-        f" THEN kll_sketch_get_quantile_double({sketch}, array({wanted})) END"
+    return (
+        f"CASE WHEN {_sketch_size(value)} > 0"
+        f" THEN kll_sketch_get_quantile_double({_sketch(value)}, array({wanted})) END"
     )
 
 
+def _together(parts: dict[str, str]) -> Column:
+    """Many SQL expressions as one struct column; one call instead of one per expression."""
+    return F.expr("named_struct(" + ", ".join(f"'{n}', {e}" for n, e in parts.items()) + ")").alias("r")
+
+
 def _edges(probs: Sequence[float]) -> list[float]:
     return [min(max(p + s * MARGIN, 0.0), 1.0) for p in probs for s in (-1, 1)]
 
@@ -117,32 +129,34 @@ class _Job:
     ):
         self.names = list(columns)
         self.by = list(by)
+        self.key_text = ["`" + b.replace("`", "``") + "`" for b in by]
         self.keys = [ref(b) for b in by]
         self.probs = list(probs)
         values = [c.alias(f"__v{j}") for j, c in enumerate(columns.values())]
-        clean = [F.expr(f"nullif(__v{j}, double('NaN'))").alias(f"__v{j}") for j in range(len(values))]
-        self.rows = df.select(*self.keys, *values, *keep).select(
-            *self.keys, *clean, *[F.col(f"__keep{j}") for j in range(len(keep))]
+        kept = [c.alias(f"__keep{j}") for j, c in enumerate(keep)]
+        clean = [f"nullif(__v{j}, double('NaN')) AS __v{j}" for j in range(len(values))]
+        self.rows = df.select(*self.keys, *values, *kept).selectExpr(
+            *self.key_text, *clean, *[f"__keep{j}" for j in range(len(kept))]
         )
         self.key_fields = [self.rows.schema[b] for b in by]
+        self.extra: dict[str, str] = {}
+        self.extra_row = None
 
     def key(self, row) -> tuple:
         return tuple(row[b] for b in self.by)
 
-    def first_pass(self, rows: DataFrame, extra: Sequence[Column] = ()):
+    def first_pass(self, rows: DataFrame):
         """Sizes and sketches of every (group, column), and the targets they lead to."""
-        first = []
+        first = {}
         for j in range(len(self.names)):
-            first += [
-                F.expr(f"count(__v{j})").alias(f"__n{j}"),
-                _sketch_quantiles(f"__v{j}", _edges(self.probs)).alias(f"__edges{j}"),
-            ]
-        fitted = rows.groupBy(*self.keys).agg(*first, *extra).collect()
+            first[f"n{j}"] = _sketch_size(f"__v{j}")
+            first[f"edges{j}"] = _sketch_quantiles(f"__v{j}", _edges(self.probs))
+        fitted = rows.groupBy(*self.keys).agg(_together(first)).collect()
         targets = [
-            _target(self.key(r), j, r[f"__n{j}"], r[f"__edges{j}"], self.probs)
-            for r in fitted
+            _target(self.key(row), j, row["r"][f"n{j}"], row["r"][f"edges{j}"], self.probs)
+            for row in fitted
             for j in range(len(self.names))
-            if r[f"__n{j}"]
+            if row["r"][f"n{j}"]
         ]
         return fitted, targets
 
@@ -156,8 +170,7 @@ class _Job:
     def same_group(self) -> Column:
         if not self.by:
             return F.lit(True)
-        names = ["`" + b.replace("`", "``") + "`" for b in self.by]
-        return F.expr(" AND ".join(f"{b} <=> __key{i}" for i, b in enumerate(names)))
+        return F.expr(" AND ".join(f"{b} <=> __key{i}" for i, b in enumerate(self.key_text)))
 
     def with_brackets(self, targets: list[_Target]):
         """The rows, and SQL text for the bracket ends of (column, rank)."""
@@ -193,46 +206,46 @@ class _Job:
         m = len(self.probs)
         columns = sorted({t.column for t in targets})
         rows, ends = self.with_brackets(targets)
-        below, inside = [], []
+        below, inside = dict(self.extra), {}
         for j in columns:
             spots = []
             for i in range(m):
                 low, high = ends(j, i)
-                below.append(F.expr(f"count_if(__v{j} < {low})").alias(f"__below{j}_{i}"))
-                spots.append(f"WHEN __v{j} BETWEEN {low} AND {high} THEN {low}")
-            inside.append(
-                F.expr(f"named_struct('low', CASE {' '.join(spots)} END, 'at', __v{j})").alias(f"__v{j}")
-            )
+                below[f"below{j}_{i}"] = f"count_if(__v{j} < {low})"
+                spots.append(f"__v{j} BETWEEN {low} AND {high}")
+            inside[f"__v{j}"] = F.expr(f"CASE WHEN {' OR '.join(spots)} THEN __v{j} END")
         index: dict[tuple, dict[int, _Target]] = {}
         for t in targets:
             index.setdefault(t.key, {})[t.column] = t
+        # plain counts and moments compile to one generated loop, unlike sketches
         spans = []
-        for row in rows.groupBy(*self.keys).agg(*below).collect():
+        for row in rows.groupBy(*self.keys).agg(_together(below)).collect():
+            if self.extra:
+                self.extra_row, self.extra = row["r"], {}
             for j, t in index[self.key(row)].items():
                 for i, k in enumerate(t.ranks):
-                    spans.append((*t.key, f"__v{j}", t.low[i], i, k - row[f"__below{j}_{i}"]))
-        points = unpivot_as(
-            rows.select(*self.keys, *inside), {f"__v{j}": F.col(f"__v{j}") for j in columns}, self.by, "v"
-        )
-        keys = [*self.keys, F.col("column_name"), F.col("low")]
+                    spans.append((*t.key, f"__v{j}", t.low[i], t.high[i], i, k - row["r"][f"below{j}_{i}"]))
         counts = (
-            points.select(*self.keys, "column_name", "v.low", "v.at")
-            .filter("low IS NOT NULL")
-            .groupBy(*keys, "at")
+            unpivot_as(rows, inside, self.by, "at")
+            .filter("at IS NOT NULL")
+            .groupBy(*self.keys, "column_name", "at")
             .agg(F.expr("count(1) AS cnt"))
         )
-        w = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-        run = counts.withColumn("end", F.sum("cnt").over(w))
         side = self.side(
             spans,
             [
                 T.StructField("__column", T.StringType()),
                 T.StructField("__low", T.DoubleType()),
+                T.StructField("__high", T.DoubleType()),
                 T.StructField("__i", T.IntegerType()),
                 T.StructField("__k", T.LongType()),
             ],
         )
-        run = run.join(side, self.same_group() & F.expr("column_name = __column AND low = __low"))
+        run = counts.join(
+            side, self.same_group() & F.expr("column_name = __column AND at BETWEEN __low AND __high")
+        )
+        w = Window.partitionBy(*self.keys, "column_name", "__i").orderBy("at")
+        run = run.withColumn("end", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
         picked = run.groupBy(*self.keys, "column_name", "__i").agg(
             F.expr("max(CASE WHEN end - cnt <= __k AND __k < end THEN at END)").alias("__a"),
             F.expr("max(CASE WHEN end - cnt <= __k + 1 AND __k + 1 < end THEN at END)").alias("__b"),
@@ -253,26 +266,26 @@ class _Job:
         """Exact counts around each bracket and a fresh sketch of what lies strictly inside."""
         rows, ends = self.with_brackets(targets)
         grid = [i / GRID for i in range(GRID + 1)]
-        aggs = []
+        aggs = {}
         for j in sorted({t.column for t in targets}):
             v = f"__v{j}"
             for i in range(len(self.probs)):
                 low, high = ends(j, i)
                 inner = f"CASE WHEN {v} > {low} AND {v} < {high} THEN {v} END"
-                aggs += [
-                    F.expr(f"count_if({v} < {low})").alias(f"__below{j}_{i}"),
-                    F.expr(f"count_if({v} <= {low})").alias(f"__at_low{j}_{i}"),
-                    F.expr(f"count_if({v} <= {high})").alias(f"__through{j}_{i}"),
-                    F.expr(f"count({inner})").alias(f"__inner{j}_{i}"),
-                    _sketch_quantiles(inner, grid).alias(f"__grid{j}_{i}"),
-                ]
+                aggs |= {
+                    f"below{j}_{i}": f"count_if({v} < {low})",
+                    f"at_low{j}_{i}": f"count_if({v} <= {low})",
+                    f"through{j}_{i}": f"count_if({v} <= {high})",
+                    f"inner{j}_{i}": f"count({inner})",
+                    f"grid{j}_{i}": _sketch_quantiles(inner, grid),
+                }
         index: dict[tuple, list[_Target]] = {}
         for t in targets:
             index.setdefault(t.key, []).append(t)
-        for row in rows.groupBy(*self.keys).agg(*aggs).collect():
+        for row in rows.groupBy(*self.keys).agg(_together(aggs)).collect():
             for t in index[self.key(row)]:
                 t.inner = sum(
-                    self._tighten(t, i, *[row[f"__{x}{t.column}_{i}"] for x in _COUNTS])
+                    self._tighten(t, i, *[row["r"][f"{x}{t.column}_{i}"] for x in _COUNTS])
                     for i in range(len(t.ranks))
                 )
 
@@ -314,26 +327,31 @@ def table_quantiles(
     df: DataFrame,
     columns: dict[str, Column],
     probs: Sequence[float],
+    moments: dict[str, str] | None = None,
     extra: dict[str, tuple[Column, str]] | None = None,
-) -> tuple[dict[str, list[float] | None], dict[str, object]]:
-    """Exact linear-interpolation quantiles of whole columns, and the ``extra`` aggregates.
+) -> tuple[dict[str, list[float] | None], dict]:
+    """Exact linear-interpolation quantiles of whole columns, and other aggregates on the way.
 
     ``columns`` maps a name to a double expression over ``df``; null and NaN are ignored and a
-    column without values maps to None. ``extra`` maps a name to a column of ``df`` and a SQL
-    aggregate over ``{}``; they ride on the first scan. Like ``DataFrame.approxQuantile`` this
-    runs jobs at call time; it collects a few numbers per column.
+    column without values maps to None. ``moments`` names SQL aggregates over ``{}`` for each of
+    these columns, returned under (name, column); ``extra`` maps a name to a column of ``df`` and
+    a SQL aggregate over it. Both ride on a scan that runs anyway. Like
+    ``DataFrame.approxQuantile`` this runs jobs at call time and collects a few numbers a column.
     """
     extra = extra or {}
-    keep = [c.alias(f"__keep{j}") for j, (c, _) in enumerate(extra.values())]
-    job = _Job(df, columns, (), probs, keep)
-    aggs = [
-        F.expr(text.format(f"__keep{j}")).alias(f"__extra{j}")
-        for j, (_, text) in enumerate(extra.values())
-    ]
-    (row,), targets = job.first_pass(job.rows, aggs)
-    job.solve(targets)
+    job = _Job(df, columns, (), probs, [c for c, _ in extra.values()])
+    wanted = {(m, c): text.format(f"__v{j}") for j, c in enumerate(columns) for m, text in (moments or {}).items()}
+    wanted |= {n: text.format(f"__keep{j}") for j, (n, (_, text)) in enumerate(extra.items())}
+    job.extra = {f"extra{i}": text for i, text in enumerate(wanted.values())}
+    targets: list[_Target] = []
+    if columns:
+        _, targets = job.first_pass(job.rows)
+        job.solve(targets)
+    if job.extra:
+        job.extra_row = job.rows.agg(_together(job.extra)).first()["r"]
     found = {job.names[t.column]: t.found for t in targets}
-    return {c: found.get(c) for c in columns}, {n: row[f"__extra{j}"] for j, n in enumerate(extra)}
+    extras = {n: job.extra_row[f"extra{i}"] for i, n in enumerate(wanted)}
+    return {c: found.get(c) for c in columns}, extras
 
 
 def grouped_quantiles(
@@ -376,7 +394,7 @@ def grouped_quantiles(
         solved = df.sparkSession.createDataFrame(data, schema)
     wanted = ", ".join(_number(float(p)) for p in probs)
     picked = small.groupBy(*job.keys).agg(
-        *[F.expr(f"percentile(__v{j}, array({wanted}))").alias(f"__v{j}") for j in range(len(job.names))]
+        _together({f"v{j}": f"percentile(__v{j}, array({wanted}))" for j in range(len(job.names))})
     )
-    rest = unpivot_as(picked, {c: F.col(f"__v{j}") for j, c in enumerate(job.names)}, by, "q")
+    rest = unpivot_as(picked, {c: F.col(f"r.v{j}") for j, c in enumerate(job.names)}, by, "q")
     return solved.unionByName(rest) if solved is not None else rest

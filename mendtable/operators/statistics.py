@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_if_small, numeric_columns, ref, unpivot_as
+from ..functions.columns import broadcast_if_small, numeric_columns, quoted, ref, unpivot_as
 from ..functions.parsing import is_missing
 from .frequencies import value_frequencies
 from .quantiles import grouped_quantiles, table_quantiles
@@ -28,7 +28,7 @@ def _doubles(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
 
 
 def _present(df: DataFrame, c: str) -> Column:
-    return F.when(~is_missing(ref(c), df.schema[c].dataType), ref(c).cast("double"))
+    return F.when(~is_missing(quoted(c), df.schema[c].dataType), ref(c).cast("double"))
 
 
 def _with_fences(facts: DataFrame) -> DataFrame:
@@ -46,10 +46,7 @@ def _numeric_facts(df: DataFrame, columns: Sequence[str], by: Sequence[str]) ->
     """Quartiles and moments per numeric column (and group)."""
     spark = df.sparkSession
     if not by:
-        extra = {
-            (name, c): (_present(df, c), text) for c in columns for name, text in _MOMENTS.items()
-        }
-        q, moments = table_quantiles(df, _doubles(df, columns), QUARTILES, extra)
+        q, moments = table_quantiles(df, _doubles(df, columns), QUARTILES, _MOMENTS)
         rows = [
             (c, *(q[c] or [None] * 3), *[moments[(name, c)] for name in _MOMENTS]) for c in columns
         ]
@@ -105,7 +102,7 @@ def iqr_outlier_rows(df: DataFrame, column: str, by: Sequence[str] = ()) -> Data
     Without ``by`` the fences are literals, so the filter reaches the scan.
     """
     v = ref(column)
-    present = ~is_missing(v, df.schema[column].dataType)
+    present = ~is_missing(quoted(column), df.schema[column].dataType)
     if not by:
         ends = fences(df, [column])[column]
         if ends is None:
@@ -220,7 +217,7 @@ def null_percent(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     names = list(columns or df.columns)
     row = df.agg(
         *[
-            F.bround(F.avg(is_missing(ref(c), df.schema[c].dataType).cast("int")) * 100, 1).alias(c)
+            F.bround(F.avg(is_missing(quoted(c), df.schema[c].dataType).cast("int")) * 100, 1).alias(c)
             for c in names
         ]
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import numeric_columns, ref, unpivot_as
+from ..functions.columns import numeric_columns, quoted, ref, unpivot_as
 from ..functions.parsing import is_missing
 from .frequencies import first_values
 from .quantiles import grouped_quantiles
@@ -21,7 +21,7 @@ PROFILE_ROWS = 3
 
 
 def _mean(df: DataFrame, c: str):
-    present = F.when(~is_missing(ref(c), df.schema[c].dataType), ref(c))
+    present = F.when(~is_missing(quoted(c), df.schema[c].dataType), ref(c))
     return F.bround(F.avg(present).cast("double"), 2)
 
 
@@ -50,7 +50,7 @@ def describe_by_source(df: DataFrame, source: str = SOURCE) -> DataFrame:
     names = numeric_columns(df, skip=[source])
     key = ref(source)
     doubles = {c: ref(c).cast("double") for c in names}
-    present = {c: F.when(~is_missing(ref(c), df.schema[c].dataType), d) for c, d in doubles.items()}
+    present = {c: F.when(~is_missing(quoted(c), df.schema[c].dataType), d) for c, d in doubles.items()}
     moments = df.groupBy(key).agg(
         *[
             F.struct(
@@ -72,7 +72,7 @@ def describe_by_source(df: DataFrame, source: str = SOURCE) -> DataFrame:
 
 def top_categories(df: DataFrame, group: str, n: int = TOP_CATEGORIES) -> DataFrame:
     """The ``n`` most frequent values of ``group`` with their ``count``; ties by value."""
-    present = ~is_missing(ref(group), df.schema[group].dataType)
+    present = ~is_missing(quoted(group), df.schema[group].dataType)
     return (
         df.filter(present)
         .groupBy(ref(group))
@@ -102,7 +102,7 @@ def crosstab_counts(
     The column list is explicit: ``levels``, or the at most ``top`` categories found first.
     """
     levels = list(levels) if levels is not None else category_levels(df, group, top)
-    present = ~is_missing(ref(group), df.schema[group].dataType)
+    present = ~is_missing(quoted(group), df.schema[group].dataType)
     pairs = df.filter(present).groupBy(ref(source), ref(group)).agg(F.count(F.lit(1)).alias("__n"))
     if not levels:
         return pairs.select(ref(source))

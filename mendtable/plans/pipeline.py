@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import broadcast_if_small, ref, text_columns, unused_name
-from ..functions.parsing import fits_integer, to_integer, to_number
+from ..functions.columns import broadcast_if_small, quoted, ref, text_columns, unused_name
+from ..functions.parsing import all_integers_sql, to_integer
 from ..operators.casts import CastStep, integral_columns, plan_casts, run_casts
 from ..operators.duplicates import drop_duplicates
 from ..operators.nils import NilFit, fit_nils, nil, repair_nils
@@ -47,7 +47,7 @@ def _mixed_casts(df: DataFrame, columns: Sequence[str], by: str) -> tuple[set[st
         return set(), set(), None
     flags = df.groupBy(ref(by)).agg(
         *[
-            F.coalesce(F.bool_and(fits_integer(to_number(ref(c)))), F.lit(True)).alias(f"__whole_{c}")
+            F.expr(all_integers_sql(quoted(c))).alias(f"__whole_{c}")
             for c in columns
         ]
     )
@@ -68,7 +68,7 @@ def _cast_some(df: DataFrame, columns: set[str], flags: DataFrame, by: str) -> D
     out = []
     for c in df.columns:
         if c in columns:
-            whole = to_integer(ref(c)).cast("string")
+            whole = to_integer(quoted(c)).cast("string")
             out.append(F.when(ref(f"__whole_{c}"), whole).otherwise(ref(c)).alias(c))
         else:
             out.append(ref(c))

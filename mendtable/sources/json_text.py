@@ -6,36 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import ref
-from ..functions.parsing import strip
+from ..functions.columns import quoted, ref
+from ..functions.parsing import iso_format, strip_sql
 
 FENCE = "```"
 LANGUAGE = "json"
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
-def fenced_json(text: Column) -> Column:
+def fenced_json(text: str) -> Column:
     """The JSON a text holds, as text: the first piece between fence marks that parses, else the
     whole text if that parses, else null. A leading language word is dropped."""
-
-    def clean(piece: Column) -> Column:
-        bare = strip(piece)
-        rest = strip(F.substr(bare, F.lit(len(LANGUAGE) + 1)))
-        return F.when(F.startswith(bare, F.lit(LANGUAGE)), rest).otherwise(bare)
-
-    def parses(piece: Column) -> Column:
-        return F.try_parse_json(piece).isNotNull()
-
-    pieces = F.filter(F.transform(F.split(text, FENCE), clean), parses)
-    whole = F.when(parses(text), text)
-    return F.when(F.contains(text, F.lit(FENCE)), F.coalesce(F.get(pieces, F.lit(0)), whole)).otherwise(whole)
+    bare = strip_sql("x")
+    rest = strip_sql(f"substr({bare}, {len(LANGUAGE) + 1})")
+    clean = f"transform(split({text}, '{FENCE}'), x -> CASE WHEN startswith({bare}, '{LANGUAGE}') THEN {rest} ELSE {bare} END)"
+    pieces = f"filter({clean}, x -> try_parse_json(x) IS NOT NULL)"
+    whole = f"CASE WHEN try_parse_json({text}) IS NOT NULL THEN {text} END"
+    return F.expr(
+        f"CASE WHEN contains({text}, '{FENCE}') THEN coalesce(get({pieces}, 0), {whole}) ELSE {whole} END"
+    )
 
 
 def extract_fenced_json(
     df: DataFrame, column: str, schema: str | T.DataType | None = None, out: str = "json"
 ) -> DataFrame:
     """Add the JSON found in a text column, as text, or as typed values when given a schema."""
-    found = fenced_json(ref(column))
+    found = fenced_json(quoted(column))
     return df.withColumn(out, found if schema is None else F.from_json(found, schema))
 
 
@@ -46,6 +42,8 @@ def rows_as_json(df: DataFrame, out: str = "row_json") -> DataFrame:
         c = ref(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.when(~F.isnan(c), c)
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = iso_format(c)
         columns.append(c.alias(f.name))
-    options = {"ignoreNullFields": "false", "timestampFormat": ISO}
+    options = {"ignoreNullFields": "false", "timestampFormat": ISO, "timestampNTZFormat": ISO}
     return df.select(F.to_json(F.struct(*columns), options).alias(out))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import broadcast_if_small, ref, unused_name
+from ..functions.columns import broadcast_if_small, quoted, ref, unused_name
 from ..functions.parsing import path_parent, path_stem
 from ..operators.selection import SOURCE
 
@@ -121,16 +121,16 @@ def label_sources(df: DataFrame, path_column: str, source: str = SOURCE) -> Data
     stem = unused_name(df, "__stem")
     paths = df.select(ref(path_column).alias("__path")).distinct()
     repeated = (
-        paths.groupBy(path_stem(F.col("__path")).alias("__repeated"))
+        paths.groupBy(path_stem("__path").alias("__repeated"))
         .agg(F.count(F.lit(1)).alias("__files"))
         .filter(F.col("__files") > 1)
         .select("__repeated")
     )
     side = broadcast_if_small(repeated)
-    labelled = df.withColumn(stem, path_stem(ref(path_column))).join(
+    labelled = df.withColumn(stem, path_stem(quoted(path_column))).join(
         side, F.col(stem) == F.col("__repeated"), "left"
     )
-    label = F.when(F.col("__repeated").isNull(), F.col(stem)).otherwise(path_parent(ref(path_column)))
+    label = F.when(F.col("__repeated").isNull(), F.col(stem)).otherwise(path_parent(quoted(path_column)))
     return labelled.withColumn(source, label).drop(stem, "__repeated")
 
 
