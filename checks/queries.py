@@ -787,6 +787,16 @@ def _(spark, d):
     )
 
 
+@query(
+    "profile_rows",
+    "SELECT CAST(json_object('o_orderkey', o_orderkey, 'o_orderstatus', o_orderstatus, 'o_orderdate',"
+    " strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')) AS VARCHAR) AS row_json FROM orders ORDER BY o_orderkey LIMIT 3",
+)
+def _(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    return summaries.profile_rows(orders, ["o_orderkey"])
+
+
 # --------------------------------------------------------------------------- per source
 
 _STACKED_NUMERIC = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A side table with at most this many rows may be broadcast.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 20_000
 
 
 def quoted(name: str) -> str:
@@ -51,16 +52,39 @@ def unused_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few driver rows as a table whose size the optimizer knows."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    types = [_arrow_type(f.dataType) for f in schema.fields]
+    if not rows or any(t is None for t in types):
+        return spark.createDataFrame(rows, schema)
+    columns = list(zip(*rows))
+    arrays = [pa.array(values, t) for values, t in zip(columns, types)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema.names))
+
+
+def _arrow_type(t: T.DataType) -> pa.DataType | None:
+    if isinstance(t, T.ArrayType):
+        inner = _arrow_type(t.elementType)
+        return None if inner is None else pa.list_(inner)
+    simple = {
+        T.StringType: pa.string(), T.DoubleType: pa.float64(), T.LongType: pa.int64(),
+        T.IntegerType: pa.int32(), T.BooleanType: pa.bool_(),
+    }
+    return simple.get(type(t))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` after checking that it holds at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows to the driver. A larger frame is returned
     without a hint, so the join shuffles both sides and adaptive execution splits hot keys.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(rows))
 
 
 def unpivot_as(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import quoted, ref, text_columns
+from ..functions.columns import local_table, quoted, ref, text_columns
 from ..functions.parsing import (
     BOOLEAN_PAIRS,
     datetime_sql,
@@ -67,9 +67,7 @@ def column_facts(
         F.expr("array_sort(collect_set(nullif(word, ''))) AS words"),
     )
     spark = df.sparkSession
-    order = spark.createDataFrame(
-        [(i, c) for i, c in enumerate(columns)], "column_index int, column_name string"
-    )
+    order = local_table(spark, list(enumerate(columns)), "column_index int, column_name string")
     if by:
         return facts.join(F.broadcast(order), "column_name")
     filled = F.broadcast(order).join(facts, "column_name", "left")

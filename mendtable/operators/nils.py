@@ -221,6 +221,8 @@ def fit_nils(df: DataFrame, actions: dict[str, str], by: Sequence[str] = ()) ->
     """
     by = tuple(by)
     names = [c for c in df.columns if c in actions and c not in by]
+    if not names:
+        return NilFit([], {}, by)
     types = {c: df.schema[c].dataType for c in names}
     alive, alive_at = F.lit(True), {}
     for c in names:
@@ -240,7 +242,7 @@ def fit_nils(df: DataFrame, actions: dict[str, str], by: Sequence[str] = ()) ->
 
     q, counts = table_quantiles(
         df, medians, [0.5], extra={c: (counted[c], "count({})") for c in names}
-    ) if names else ({}, {})
+    )
     values: dict[str, object] = {}
     for c, found in q.items():
         if found:

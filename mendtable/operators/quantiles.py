@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import ref, unpivot_as
+from ..functions.columns import local_table, ref, unpivot_as
 
 SKETCH_SIZE = 8000
 # The sketch's rank error is about 0.0003 (one sigma) at this size; the margin is far beyond it.
@@ -164,7 +164,7 @@ class _Job:
         """Broadcast side table keyed by group; at most TRACKED_GROUPS rows per column."""
         keys = [T.StructField(f"__key{i}", f.dataType) for i, f in enumerate(self.key_fields)]
         return F.broadcast(
-            self.rows.sparkSession.createDataFrame(data, T.StructType([*keys, *extra]))
+            local_table(self.rows.sparkSession, data, T.StructType([*keys, *extra]))
         )
 
     def same_group(self) -> Column:
@@ -391,7 +391,7 @@ def grouped_quantiles(
                 T.StructField("q", T.ArrayType(T.DoubleType())),
             ]
         )
-        solved = df.sparkSession.createDataFrame(data, schema)
+        solved = local_table(df.sparkSession, data, schema)
     wanted = ", ".join(_number(float(p)) for p in probs)
     picked = small.groupBy(*job.keys).agg(
         _together({f"v{j}": f"percentile(__v{j}, array({wanted}))" for j in range(len(job.names))})

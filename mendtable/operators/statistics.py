@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_if_small, numeric_columns, quoted, ref, unpivot_as
+from ..functions.columns import broadcast_if_small, local_table, numeric_columns, quoted, ref, unpivot_as
 from ..functions.parsing import is_missing
 from .frequencies import value_frequencies
 from .quantiles import grouped_quantiles, table_quantiles
@@ -50,7 +50,7 @@ def _numeric_facts(df: DataFrame, columns: Sequence[str], by: Sequence[str]) ->
         rows = [
             (c, *(q[c] or [None] * 3), *[moments[(name, c)] for name in _MOMENTS]) for c in columns
         ]
-        return spark.createDataFrame(rows, _FACTS)
+        return local_table(spark, rows, _FACTS)
     keys = [ref(b) for b in by]
     q = grouped_quantiles(df, _doubles(df, columns), QUARTILES, by).select(
         *keys,
@@ -79,7 +79,8 @@ def quartiles_iqr(
         )
     else:
         found, _ = table_quantiles(df, _doubles(df, columns), QUARTILES)
-        q = df.sparkSession.createDataFrame(
+        q = local_table(
+            df.sparkSession,
             [(c, *(found[c] or [None] * 3)) for c in columns],
             "column_name string, q1 double, median double, q3 double",
         )
@@ -153,7 +154,8 @@ def column_statistics(
     numeric = [c for c in numeric_columns(df) if c in names]
     keys = [ref(b) for b in by]
     spark = df.sparkSession
-    listing = spark.createDataFrame(
+    listing = local_table(
+        spark,
         [(i, c, df.schema[c].dataType.simpleString(), c in numeric) for i, c in enumerate(names)],
         "column_index int, column_name string, dtype string, is_numeric boolean",
     )

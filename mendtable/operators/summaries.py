@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import numeric_columns, quoted, ref, unpivot_as
+from ..functions.columns import local_table, numeric_columns, quoted, ref, unpivot_as
 from ..functions.parsing import is_missing
+from ..sources.json_text import rows_as_json
 from .frequencies import first_values
 from .quantiles import grouped_quantiles
-from .selection import SOURCE
+from .selection import SOURCE, head_n
 from .statistics import count_distinct, null_percent
 
 # Most categories a cross tabulation shows, sample values and rows of a profile.
@@ -124,7 +125,8 @@ def crosstab_long(
 def table_profile(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Per column: type, share of nulls, first five values, unique count."""
     names = [c for c in df.columns if c not in (order_by or ())]
-    listing = df.sparkSession.createDataFrame(
+    listing = local_table(
+        df.sparkSession,
         [(i, c, df.schema[c].dataType.simpleString()) for i, c in enumerate(names)],
         "column_index int, column_name string, dtype string",
     )
@@ -147,6 +149,11 @@ def table_profile(df: DataFrame, order_by: Sequence[str] | None = None) -> DataF
     )
 
 
+def profile_rows(df: DataFrame, order_by: Sequence[str], n: int = PROFILE_ROWS) -> DataFrame:
+    """The first rows of a table as JSON text."""
+    return rows_as_json(head_n(df, n, order_by))
+
+
 def transpose_stats(stats: DataFrame, sources: Sequence[str], source: str = SOURCE) -> DataFrame:
     """Metrics as rows and the given sources as columns."""
     metrics = numeric_columns(stats, skip=[source])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import local_table
+
 # Fixed value: entries a report shows.
 SHOWN_ENTRIES = 8
 LOG_SCHEMA = "seq int, file_number int, message string"
@@ -26,7 +28,7 @@ class ProcessingLog:
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [(i, n, f"[File {n}] {m}") for i, (n, m) in enumerate(self.entries)]
-        return spark.createDataFrame(rows, LOG_SCHEMA)
+        return local_table(spark, rows, LOG_SCHEMA)
 
 
 def append_log(log: DataFrame, path: str) -> None:

@@ -160,8 +160,15 @@ def write_typed_snapshot(df: DataFrame, folder: str, label: str) -> str:
 def write_cleaned_snapshot(
     df: DataFrame, folder: str, label: str, partition_by: Sequence[str] = ()
 ) -> str:
-    """Save the cleaned table, partitioned by source where it has several; returns the path."""
+    """Save the cleaned table, partitioned by source where it has several; returns the path.
+
+    Rows are rebalanced by source before the write: few files per source, and a hot source is
+    split over as many tasks as its size asks for.
+    """
     path = snapshot_path(folder, label, "cleaned")
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return path
+    spread = df.hint("rebalance", *[ref(p) for p in partition_by])
+    spread.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path

@@ -15,14 +15,14 @@ def shared_folder(spark: SparkSession) -> str | None:
 
     None on a cluster that names no folder: a machine-local path would be lost with its machine.
     """
-    named = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    named = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not context.master.startswith("local"):
         return None
-    made = tempfile.mkdtemp(prefix="mendtable-")
-    spark.conf.set(SETTING, made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="mendtable-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
