@@ -168,13 +168,35 @@ def _(spark, d):
     return _plan_rows(spark, _saved_plan(spark, d))
 
 
-@query("processing_log")
+_LOG_SQL = f"""WITH typed AS (SELECT DISTINCT * FROM ({sql.CLEAN_MESSY_SQL})),
+m AS (SELECT status FROM typed WHERE status <> '' GROUP BY status ORDER BY count(*) DESC, status LIMIT 1),
+parts AS (
+  SELECT 0 AS seq, 'Kept ''order_id'' as identifier (string)' AS message
+  UNION ALL SELECT 1, 'Converted ''status'' to categorical'
+  UNION ALL SELECT 2, 'Converted ''price'' to numeric (currency symbols removed)'
+  UNION ALL SELECT 3, 'Converted ''amount'' to float'
+  UNION ALL SELECT 4, 'Converted ''is_urgent'' to boolean'
+  UNION ALL SELECT 5, 'Converted ''order_date'' to datetime'
+  UNION ALL SELECT 6, CASE WHEN (SELECT count(*) FROM ({sql.CLEAN_MESSY_SQL})) = (SELECT count(*) FROM typed)
+    THEN 'No duplicate rows found' ELSE 'duplicates' END
+  UNION ALL SELECT 7, concat('Filled ', (SELECT count(*) FROM typed WHERE status = ''),
+    ' nil values in ''status'' with most common value (''', (SELECT status FROM m), ''')')
+  UNION ALL SELECT 8, concat('Filled ', (SELECT count(*) FROM typed WHERE amount IS NULL),
+    ' nil values in ''amount'' with median (', (SELECT quantile_cont(amount, 0.5) FROM typed), ')')
+  UNION ALL SELECT 9, 'No nil values in ''is_urgent'''
+  UNION ALL SELECT 10, concat('Dropped ', (SELECT count(*) FROM typed WHERE {sql.nil_text('priority')}),
+    ' rows with nil values in ''priority''')
+  UNION ALL SELECT 11, 'Dropped columns: [''is_urgent'']')
+SELECT seq, 1 AS file_number, concat('[File 1] ', message) AS message FROM parts"""
+
+
+@query("processing_log", _LOG_SQL)
 def _(spark, d):
     done = pipeline.clean_table(fx.messy_orders(spark, d), _messy_plan(spark, d), ["o_orderkey"])
     return done.log.to_df(spark)
 
 
-@query("log_head")
+@query("log_head", f"SELECT *, CAST(4 AS BIGINT) AS more FROM ({_LOG_SQL}) WHERE seq < 8")
 def _(spark, d):
     done = pipeline.clean_table(fx.messy_orders(spark, d), _messy_plan(spark, d), ["o_orderkey"])
     return logs.log_head(done.log.to_df(spark))
@@ -355,7 +377,7 @@ _rule_query("infer_text_default", ["remark", "twenty_one_values"])
 
 @query(
     "sample_values",
-    "SELECT column_name, place, value FROM (SELECT *, row_number() OVER (PARTITION BY column_name"
+    "SELECT column_name, CAST(place AS INTEGER) AS place, value FROM (SELECT *, row_number() OVER (PARTITION BY column_name"
     " ORDER BY o_orderkey) AS place FROM (UNPIVOT (" + fx.MESSY_ORDERS_SQL + ") ON order_id, status, price,"
     " amount, is_urgent, order_date, priority INTO NAME column_name VALUE value) WHERE value <> '')"
     " WHERE place <= 5",
@@ -899,7 +921,7 @@ def _(spark, d):
 
 @query(
     "head_per_source",
-    "SELECT doc_id, lang, n_chars, source, source_file, place, source_rows FROM (SELECT *, row_number() OVER"
+    "SELECT doc_id, lang, n_chars, source, source_file, CAST(place AS INTEGER) AS place, source_rows FROM (SELECT *, row_number() OVER"
     " (PARTITION BY source_file ORDER BY doc_id) AS place, count(*) OVER (PARTITION BY source_file) AS source_rows"
     f" FROM ({fx.STACKED_DOCUMENTS_SQL})) WHERE place <= 10",
 )
@@ -1114,7 +1136,7 @@ def _report(spark, d) -> dict[str, DataFrame]:
 
 @query(
     "analysis_report_sample",
-    "SELECT source_file, n_chars, source, place, source_rows FROM (SELECT *, row_number() OVER (PARTITION BY"
+    "SELECT source_file, n_chars, source, CAST(place AS INTEGER) AS place, source_rows FROM (SELECT *, row_number() OVER (PARTITION BY"
     " source_file ORDER BY doc_id) AS place, count(*) OVER (PARTITION BY source_file) AS source_rows"
     f" FROM ({fx.STACKED_DOCUMENTS_SQL})) WHERE place <= 10",
 )

@@ -148,11 +148,17 @@ def clean_table(
     rows = typed
     if plan.drop_duplicates:
         rows = drop_duplicates(rows)
-        log.add(file_number, "Dropped duplicate rows")
+        message = "Dropped duplicate rows"
         if not frozen and _needs_second_scan(plan, rows):
-            rows = materialize(rows, f"{label}-deduplicated")
+            rows, written = materialize(rows, f"{label}-deduplicated")
+            if written:  # counting needs no cast and no shuffle now
+                copies = typed.count() - rows.count()
+                message = f"Dropped {copies} duplicate rows" if copies else "No duplicate rows found"
+        log.add(file_number, message)
     else:
         log.add(file_number, "Kept duplicate rows")
+        if not frozen and not snapshots and _needs_second_scan(plan, rows):
+            rows, _ = materialize(rows, f"{label}-typed")
 
     if frozen:
         repaired, nils = _frozen_nils(rows, plan), NilFit([])

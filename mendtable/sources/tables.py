@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.columns import broadcast_if_small, quoted, ref, unused_name
 from ..functions.parsing import path_parent, path_stem
 from ..operators.selection import SOURCE
+from .workspace import materialize
 
 # File suffixes of each readable format.
 CSV_SUFFIXES = [".csv"]
@@ -44,12 +45,15 @@ def read_text_table(
     fmt: str | None = None,
     multi_line: bool = True,
     with_path: str | None = None,
+    stage: bool = False,
 ) -> DataFrame:
     """Read files with one schema, every column as text, blanks as ``''``.
 
     The format follows the suffix unless given. A CSV file whose fields may hold line breaks is
     read by one task per file; ``multi_line=False`` splits large files that have none.
-    ``with_path`` names a column for the file path.
+    ``with_path`` names a column for the file path. ``stage`` writes the parsed rows to the shared
+    folder once, in columns: profiling reads each column by itself, and would else parse the files
+    again for every one of them.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
@@ -74,7 +78,8 @@ def read_text_table(
     data = df.columns
     if with_path:
         df = df.select(*[ref(c) for c in data], F.col("_metadata.file_path").alias(with_path))
-    return blanks_for_nulls(df)
+    df = blanks_for_nulls(df)
+    return materialize(df, "text")[0] if stage else df
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -135,12 +140,15 @@ def label_sources(df: DataFrame, path_column: str, source: str = SOURCE) -> Data
 
 
 def read_sources(
-    spark: SparkSession, paths: Sequence[str], fmt: str | None = None, multi_line: bool = True
+    spark: SparkSession,
+    paths: Sequence[str],
+    fmt: str | None = None,
+    multi_line: bool = True,
+    stage: bool = False,
 ) -> DataFrame:
     """All files as one text table with ``file_path`` and the ``source_file`` label."""
-    return label_sources(
-        read_text_table(spark, paths, fmt, multi_line, with_path="file_path"), "file_path"
-    )
+    rows = read_text_table(spark, paths, fmt, multi_line, with_path="file_path", stage=stage)
+    return label_sources(rows, "file_path")
 
 
 def snapshot_path(folder: str, label: str, kind: str) -> str:

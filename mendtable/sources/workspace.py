@@ -33,16 +33,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
     """Write a table to the shared folder and read it back, so later passes do not redo its work.
 
     Unlike a cached table it survives the loss of an executor without recomputation. Where no
-    shared folder is named the table is returned as it is.
+    shared folder is named the table is returned as it is, and False with it.
     """
     spark = df.sparkSession
     if shared_folder(spark) is None:
-        return df
+        return df, False
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    return back
+    return spark.read.schema(df.schema).parquet(path), True

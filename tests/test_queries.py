@@ -32,7 +32,7 @@ def test_log_queries_tell_what_happened(spark, sf_dir):
     messages = [r.message for r in rows]
     assert all(m.startswith("[File 1] ") for m in messages)
     assert any("Converted 'price' to numeric" in m for m in messages)
-    assert any(m.endswith("Dropped duplicate rows") for m in messages)
+    assert any(m.endswith("No duplicate rows found") for m in messages)
     assert any("rows with nil values in 'priority'" in m for m in messages)
     assert messages[-1] == "[File 1] Dropped columns: ['is_urgent']"
     head = contract.queries()["log_head"](spark, sf_dir).collect()
