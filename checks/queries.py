@@ -545,6 +545,11 @@ def _(spark, d):
     return duplicates.drop_duplicates(fx.dup_orders(spark, d))
 
 
+@query("drop_duplicates_long_text", "SELECT DISTINCT text, lang FROM documents")
+def _(spark, d):
+    return duplicates.drop_duplicates(table(spark, d, "documents").select("text", "lang"), long_text=True)
+
+
 # --------------------------------------------------------------------------- missing values
 
 

@@ -75,18 +75,24 @@ def _arrow_type(t: T.DataType) -> pa.DataType | None:
     return simple.get(type(t))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` after checking that it holds at most ``max_rows`` rows.
+def small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` as a broadcast local table if it holds at most ``max_rows`` rows, else None.
 
-    The check reads at most ``max_rows + 1`` rows to the driver. A larger frame is returned
-    without a hint, so the join shuffles both sides and adaptive execution splits hot keys.
+    The check runs ``df`` once and reads at most ``max_rows + 1`` rows to the driver.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
-        return df
+        return None
     return F.broadcast(df.sparkSession.createDataFrame(rows))
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` after checking its size; a larger frame is returned without a hint, so the
+    join shuffles both sides and adaptive execution splits hot keys."""
+    small = small_table(df, max_rows)
+    return df if small is None else small
+
+
 def unpivot_as(
     df: DataFrame, values: dict[str, Column], by: Sequence[str] = (), value_name: str = "value"
 ) -> DataFrame:

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from mendtable.functions.columns import small_table
 from mendtable.operators import duplicates
 from mendtable.operators.casts import apply_casts, plan_casts
 from mendtable.operators.nils import (
@@ -66,6 +67,19 @@ def test_many_copies_come_out_in_chunks(spark, monkeypatch):
     assert [r.v for r in out.collect()] == ["x"] * 49
 
 
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_duplicates_by_digest(spark, monkeypatch, few):
+    """With the repeated rows broadcast, and with too many of them for that."""
+    monkeypatch.setattr(duplicates, "small_table", lambda df: small_table(df, few))
+    nan = float("nan")
+    rows = [("w" * 200, nan, None), ("w" * 200, nan, None), ("w" * 201, nan, None), (None, 0.0, 1), (None, -0.0, 1)]
+    df = spark.createDataFrame(rows, "t string, v double, n int")
+    assert duplicates.drop_duplicates(df, long_text=True).count() == 3
+    assert sorted(r.t or "" for r in duplicates.duplicate_rows(df).collect()) == ["", "w" * 200]
+    none = df.filter("false")
+    assert duplicates.drop_duplicates(none, long_text=True).count() == duplicates.duplicate_rows(none).count() == 0
+
+
 def test_no_rows_no_duplicates(spark):
     r = duplicates.duplicate_count(spark.createDataFrame([], "a int")).first()
     assert r is None or (r.duplicate_count, r.duplicate_percent) == (0, 0.0)
