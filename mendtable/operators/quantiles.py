@@ -27,8 +27,8 @@ GRID = 256
 BRACKET_ROWS = 2_000_000
 # Groups up to this size may use the built-in exact aggregate.
 SMALL_GROUP_ROWS = 200_000
-# At most this many large groups are tracked on the driver.
-TRACKED_GROUPS = 20_000
+# At most this many (group, column) pairs are tracked on the driver and broadcast.
+TRACKED_PAIRS = 20_000
 
 
 @dataclass
@@ -161,7 +161,7 @@ class _Job:
         return fitted, targets
 
     def side(self, data: list[tuple], extra: Sequence[T.StructField]) -> DataFrame:
-        """Broadcast side table keyed by group; at most TRACKED_GROUPS rows per column."""
+        """Broadcast side table keyed by group; its size follows from TRACKED_PAIRS alone."""
         keys = [T.StructField(f"__key{i}", f.dataType) for i, f in enumerate(self.key_fields)]
         return F.broadcast(
             local_table(self.rows.sparkSession, data, T.StructType([*keys, *extra]))
@@ -360,15 +360,16 @@ def grouped_quantiles(
     """Exact quantiles per group: columns ``by``, ``column_name``, ``q`` (array, null if no value).
 
     Groups above SMALL_GROUP_ROWS rows are solved as in ``table_quantiles``, all in the same
-    passes, so one hot group costs no task more than its share. The others, at most
-    max(SMALL_GROUP_ROWS, rows / TRACKED_GROUPS) rows each, use the built-in aggregate.
+    passes, so one hot group costs no task more than its share. As many of the largest are taken
+    as make TRACKED_PAIRS (group, column) pairs. Every other group is below SMALL_GROUP_ROWS or
+    smaller than all of those, and uses the built-in aggregate.
     """
     job = _Job(df, columns, by, probs)
     sizes = job.rows.groupBy(*job.keys).agg(F.expr("count(1) AS __n"))
     large = (
         sizes.filter(F.col("__n") > SMALL_GROUP_ROWS)
         .orderBy(F.desc("__n"), *job.keys)
-        .limit(TRACKED_GROUPS)
+        .limit(max(1, TRACKED_PAIRS // len(columns)))
         .collect()
     )
     small, solved = job.rows, None

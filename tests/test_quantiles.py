@@ -60,7 +60,7 @@ def test_infinities(spark):
 def test_grouped_quantiles(spark, monkeypatch, small, tracked, bracket):
     """A hot group, small groups, a null group and a group without values, on every path."""
     monkeypatch.setattr(Q, "SMALL_GROUP_ROWS", small)
-    monkeypatch.setattr(Q, "TRACKED_GROUPS", tracked)
+    monkeypatch.setattr(Q, "TRACKED_PAIRS", tracked)
     monkeypatch.setattr(Q, "BRACKET_ROWS", bracket)
     groups = {
         "hot": SHAPES["normal"], None: SHAPES["ties"][:300], "tiny": np.array([1.0, 5.0]), "big": SHAPES["hot_value"][:900],
