@@ -16,7 +16,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-NOT_BLANK = "[^" + WHITESPACE + "]"
+# The same characters as a pattern class.
+_SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE, NOT_BLANK = f"[{_SPACES}]", f"[^{_SPACES}]"
 
 # The word pairs that make a column boolean, and what each word means.
 BOOLEAN_PAIRS = [("t", "f"), ("true", "false"), ("yes", "no"), ("y", "n"), ("0", "1")]
@@ -89,7 +91,7 @@ def number_sql(v: str) -> str:
 
 
 def _rewrite_sql(v: str, shapes: list[tuple[str, str]]) -> str:
-    space = f"[{WHITESPACE}]*"
+    space = f"{SPACE}*"
     cases = " ".join(
         f"WHEN {v} RLIKE r'^{space}{shape}{space}$'"
         f" THEN regexp_replace({v}, r'^{space}{shape}{space}$', '{layout}')"
@@ -123,7 +125,7 @@ def is_nil(v: str, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return F.expr(f"({v} IS NULL OR isnan({v}))")
     if isinstance(data_type, T.StringType):
-        return F.expr(f"({v} IS NULL OR NOT {v} RLIKE '{NOT_BLANK}' OR {v} IN {_list(NAN_WORDS)})")
+        return F.expr(f"({v} IS NULL OR NOT {v} RLIKE r'{NOT_BLANK}' OR {v} IN {_list(NAN_WORDS)})")
     return F.expr(f"({v} IS NULL)")
 
 

@@ -53,6 +53,7 @@ def cast_text(v: str) -> Column:
     return F.expr(f"CAST({v} AS STRING)")
 
 
+# The message each cast logs.
 _PARSERS = {
     "integer": (cast_integer, "Converted '{}' to integer"),
     "float": (cast_float, "Converted '{}' to float"),

@@ -70,7 +70,8 @@ def column_facts(
     order = local_table(spark, list(enumerate(columns)), "column_index int, column_name string")
     if by:
         return facts.join(F.broadcast(order), "column_name")
-    filled = F.broadcast(order).join(facts, "column_name", "left")
+    # one row per column on either side
+    filled = order.join(F.broadcast(facts), "column_name", "left")
     counts = ["total", "non_empty", "unique_count", "numeric_count", "finite", "fractional", "not_integer"]
     return filled.fillna(0, counts).fillna(False, ["is_boolean"])
 

@@ -179,7 +179,8 @@ def column_statistics(
     if by:
         out = counted.join(F.broadcast(listing), "column_name")
     else:
-        out = F.broadcast(listing).join(counted, "column_name", "left").fillna(
+        # one row per column on either side
+        out = listing.join(F.broadcast(counted), "column_name", "left").fillna(
             0, ["non_null_count", "null_count", "unique_count", "__outliers"]
         )
     shown = ["min", "max", "median", "mean", "std"]

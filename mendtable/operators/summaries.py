@@ -140,10 +140,10 @@ def table_profile(df: DataFrame, order_by: Sequence[str] | None = None) -> DataF
     )
     shown = F.coalesce(F.col("__firsts.value"), F.array().cast("array<string>"))
     return (
-        F.broadcast(listing)
-        .join(null_percent(df, names), "column_name")
-        .join(count_distinct(df, names), "column_name", "left")
-        .join(samples, "column_name", "left")
+        # every side has one row per column
+        listing.join(F.broadcast(null_percent(df, names)), "column_name")
+        .join(F.broadcast(count_distinct(df, names)), "column_name", "left")
+        .join(F.broadcast(samples), "column_name", "left")
         .fillna(0, ["unique_count"])
         .select("column_index", "column_name", "dtype", "nulls_pct", shown.alias("sample_values"), "unique_count")
     )
