@@ -926,8 +926,8 @@ def _(spark, d):
 
 @query(
     "head_per_source",
-    "SELECT doc_id, lang, n_chars, source, source_file, CAST(place AS INTEGER) AS place, source_rows FROM (SELECT *, row_number() OVER"
-    " (PARTITION BY source_file ORDER BY doc_id) AS place, count(*) OVER (PARTITION BY source_file) AS source_rows"
+    "SELECT doc_id, lang, n_chars, source, source_file, CAST(place AS INTEGER) AS place, source_rows"
+    " FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY doc_id) AS place, count(*) OVER (PARTITION BY source_file) AS source_rows"
     f" FROM ({fx.STACKED_DOCUMENTS_SQL})) WHERE place <= 10",
 )
 def _(spark, d):
@@ -1141,7 +1141,8 @@ def _report(spark, d) -> dict[str, DataFrame]:
 
 @query(
     "analysis_report_sample",
-    "SELECT source_file, n_chars, source, CAST(place AS INTEGER) AS place, source_rows FROM (SELECT *, row_number() OVER (PARTITION BY"
+    "SELECT source_file, n_chars, source, CAST(place AS INTEGER) AS place, source_rows"
+    " FROM (SELECT *, row_number() OVER (PARTITION BY"
     " source_file ORDER BY doc_id) AS place, count(*) OVER (PARTITION BY source_file) AS source_rows"
     f" FROM ({fx.STACKED_DOCUMENTS_SQL})) WHERE place <= 10",
 )
