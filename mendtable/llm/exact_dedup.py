@@ -54,7 +54,8 @@ def _compared(rows: DataFrame) -> DataFrame:
     groups = counted.groupBy(F.col("text_sha256").alias("digest")).agg(
         F.min("doc_id").alias("keep_id"), F.sum("n").alias("group_size")
     )
-    joined = counted.join(groups, F.col("text_sha256") == F.col("digest"))
+    # read back, both sides of the join are plain shuffles, of which Spark may split a hot key
+    joined = counted.join(stored(groups, "groups"), F.col("text_sha256") == F.col("digest"))
     each = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
     return each.select(
         "doc_id", "keep_id", "group_size",
