@@ -21,26 +21,24 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
 from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
-from .common import slim
+from .common import batch_bytes, slim
+from .segments import SegmentTable
 
 # fixed values: the pattern of byte-level pre-tokenization
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: After so many new segments a worker forgets those it has not met since the last time.
-REMEMBERED = 300_000
-
 _NEVER = np.int64(1) << 40
 _NEVER_RANK = 1 << 40
 
@@ -65,42 +63,6 @@ def byte_letters() -> dict[str, int]:
     return out | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Segmented:
-    """Encodes texts segment by segment and remembers segments.
-
-    A text may be cut before every space that a non-space follows without changing its words.
-    """
-
-    _apart = regex.compile(r"(?= \P{White_Space})")
-    _spaces = regex.compile(r"\p{White_Space}\p{White_Space}")
-
-    def __init__(self, encode_new: Callable[[list[str]], list[tuple[int, ...]]]):
-        self.encode_new = encode_new
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-
-    def cut(self, text: str) -> list[str]:
-        if self._spaces.search(text):
-            return [s for s in self._apart.split(text) if s]
-        first, *rest = text.split(" ")
-        out = [" " + s for s in rest]
-        return [first, *out] if first else out
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        cuts = [self.cut(t) for t in texts]
-        new = list(set(chain.from_iterable(cuts)).difference(known))
-        if older:
-            met = [s for s in new if s in older]
-            known.update((s, older[s]) for s in met)
-            new = [s for s in new if s not in known]
-        if new:
-            known.update(zip(new, self.encode_new(new)))
-        return [list(chain.from_iterable(map(known.__getitem__, c))) for c in cuts]
-
-
 class Codec:
     """Encoder and decoder of one byte-level BPE vocabulary, given the text of its JSON file."""
 
@@ -127,8 +89,8 @@ class Codec:
         self._prepare_trie()
         # the library's own engine, as engines differ in which letters they know
         self._words = Split(Regex(WORDS), "isolated").pre_tokenize_str
-        self._specials = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.segments = Segmented(self._encode_segments)
+        self._specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.table = SegmentTable(self._encode_segments)
 
     # ------------------------------------------------------------------ tables
 
@@ -295,27 +257,38 @@ class Codec:
                 found[i] = get((ids[i], ids[i + 1]), none)
         return tuple(ids)
 
-    def _encode_segments(self, segments: list[str]) -> list[tuple[int, ...]]:
-        cuts = [[w for w, _ in self._words(s)] for s in segments]
-        words = list(set(chain.from_iterable(cuts)))
+    def _cut(self, segment: str) -> list[str]:
+        """The words of a segment; special tokens stand alone."""
+        if self._specials is None or not self._specials.search(segment):
+            return [w for w, _ in self._words(segment)]
+        out: list[str] = []
+        for part in filter(None, self._specials.split(segment)):
+            out += [part] if part in self.special else [w for w, _ in self._words(part)]
+        return out
+
+    def _encode_segments(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        cuts = [self._cut(s.decode()) for s in segments]
+        words = [w for w in set(chain.from_iterable(cuts)) if w not in self.special]
         known = dict(zip(words, self.encode_words([w.encode() for w in words]))) if words else {}
-        return [
-            known[c[0]] if len(c) == 1 else tuple(chain.from_iterable(known[w] for w in c)) for c in cuts
-        ]
+        known |= {w: (i,) for w, i in self.special.items()}
+        parts = [known[w] for w in chain.from_iterable(cuts)]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        ids = np.fromiter(chain.from_iterable(parts), np.int32, int(sizes.sum()))
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        words_of = np.cumsum(np.fromiter(map(len, cuts), np.int64, len(cuts)))
+        return ids, np.diff(total[np.concatenate([[0], words_of])])
+
+    def encode_bytes(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts raw[ends[i]:ends[i + 1]], and the text borders among them. Special tokens
+        written in a text become their ids."""
+        return self.table.encode(raw, ends)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of each text; special tokens written in a text become their ids."""
-        if self._specials is None or not any(map(self._specials.search, texts)):
-            return self.segments.encode(texts)
-        out = []
-        for text in texts:
-            ids: list[int] = []
-            at = 0
-            for found in self._specials.finditer(text):
-                ids += self.segments.encode([text[at : found.start()]])[0] + [self.special[found[0]]]
-                at = found.end()
-            out.append(ids + self.segments.encode([text[at:]])[0])
-        return out
+        data = [t.encode() for t in texts]
+        ends = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
+        ids, cuts = self.encode_bytes(np.frombuffer(b"".join(data), np.uint8), ends)
+        flat = ids.tolist()
+        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the tokens, special ones included."""
@@ -337,32 +310,30 @@ def codec_of(vocabulary: Broadcast) -> Codec:
     return _codecs[key]
 
 
-def _groups(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[tuple[list, list[str]]]:
-    """Rows of a batch in groups of about ``most`` characters."""
-    ids, texts, size = [], [], 0
-    for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        ids.append(i)
-        texts.append(t)
-        size += len(t)
-        if size >= most:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+def text_groups(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Rows of a batch (id, text) in groups of about ``most`` bytes: ids, bytes, text borders."""
+    raw, ends = batch_bytes(batch.column(1))
+    n, at = batch.num_rows, 0
+    while at < n:
+        stop = min(n, max(at + 1, int(np.searchsorted(ends, ends[at] + most))))
+        yield batch.column(0)[at:stop], raw[ends[at] : ends[stop]], ends[at : stop + 1] - ends[at]
+        at = stop
+
+
+def _id_lists(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))
 
 
 def encode(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path: str | None = None) -> DataFrame:
     """One row per document: doc_id, ids (array of token ids)."""
     vocabulary = broadcast_vocabulary(docs.sparkSession, path)
-    kinds = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
         codec = codec_of(vocabulary)
         for batch in batches:
-            for keys, texts in _groups(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(codec.encode(texts), pa.list_(pa.int32()))], schema=kinds
-                )
+            for keys, raw, ends in text_groups(batch):
+                found = _id_lists(*codec.encode_bytes(raw, ends))
+                yield pa.RecordBatch.from_arrays([keys, found], names=["doc_id", "ids"])
 
     return slim(docs, text, id_column).mapInArrow(run, "doc_id bigint, ids array<int>")
 
@@ -387,26 +358,27 @@ def round_trip(
 ) -> DataFrame:
     """Encode, then decode the ids: doc_id, n_tokens, ids_sha256 and decoded_sha256, and ids if asked."""
     vocabulary = broadcast_vocabulary(docs.sparkSession, path)
-    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    kinds = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches):
         codec = codec_of(vocabulary)
         for batch in batches:
-            for keys, texts in _groups(batch):
-                found = codec.encode(texts)
+            for keys, raw, ends in text_groups(batch):
+                ids, cuts = codec.encode_bytes(raw, ends)
+                flat = ids.tolist()
+                lists = [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
                 columns = [
                     keys,
-                    [len(i) for i in found],
-                    [hashlib.sha256(b",".join(map(codec.decimal.__getitem__, i))).hexdigest() for i in found],
-                    [hashlib.sha256(_valid(codec.decode(i))).hexdigest() for i in found],
-                    *[found] * with_ids,
+                    pa.array(np.diff(cuts), pa.int64()),
+                    pa.array([_digest(b",".join(map(codec.decimal.__getitem__, i))) for i in lists], pa.string()),
+                    pa.array([_digest(codec.decoded_text(i).encode()) for i in lists], pa.string()),
+                    *[_id_lists(ids, cuts)] * with_ids,
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     out = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return slim(docs, text, id_column).mapInArrow(run, out)
 
 
-def _valid(data: bytes) -> bytes:
-    return data.decode("utf-8", "replace").encode()
+def _digest(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import bpe, dac, exact_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,13 @@ def query(name: str, oracle: str | None = None):
 )
 def op10_exact_dedup(spark, d):
     return exact_dedup.exact_duplicates(table(spark, d, "documents"))
+
+
+@query("op6_bpe_encode_decode")
+def op6_bpe_encode_decode(spark, d):
+    return bpe.round_trip(table(spark, d, "documents"))
+
+
+@query("op5_token_ids")
+def op5_token_ids(spark, d):
+    return dac.written_and_read(table(spark, d, "documents"))
