@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, exact_dedup
+from . import bpe, dac, exact_dedup, fm_index, simhash, suffix_array
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,18 @@ def op6_bpe_encode_decode(spark, d):
 @query("op5_token_ids")
 def op5_token_ids(spark, d):
     return dac.written_and_read(table(spark, d, "documents"))
+
+
+@query("op2_suffix_array_dedup")
+def op2_suffix_array_dedup(spark, d):
+    return suffix_array.remove_repeated_bytes(table(spark, d, "documents")).drop("kept")
+
+
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark, d):
+    return fm_index.remove_repeated_words(table(spark, d, "documents")).drop("kept")
+
+
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark, d):
+    return simhash.near_duplicates(table(spark, d, "documents")).drop("doc_key")
