@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, exact_dedup, fm_index, simhash, suffix_array
+from . import bpe, dac, decontaminate, exact_dedup, fm_index, simhash, suffix_array
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op9_substring_dedup(spark, d):
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents")).drop("doc_key")
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark, d):
+    return decontaminate.overlap_digests(table(spark, d, "documents"), table(spark, d, "benchmark"))
