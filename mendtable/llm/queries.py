@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, decontaminate, exact_dedup, fm_index, simhash, suffix_array
+from . import bpe, dac, decontaminate, exact_dedup, fm_index, language, simhash, suffix_array, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,13 @@ def op8_simhash_near_dedup(spark, d):
 @query("op7_decontamination")
 def op7_decontamination(spark, d):
     return decontaminate.overlap_digests(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, d):
+    return toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark, d):
+    return language.languages(table(spark, d, "documents"))
