@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, decontaminate, exact_dedup, fm_index, language, simhash, suffix_array, toxicity
+from . import bpe, dac, decontaminate, exact_dedup, fm_index, language, pii, simhash, suffix_array, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,8 @@ def op3_toxicity(spark, d):
 @query("op4_language_id")
 def op4_language_id(spark, d):
     return language.languages(table(spark, d, "documents"))
+
+
+@query("op1_personal_data")
+def op1_personal_data(spark, d):
+    return pii.personal_data(table(spark, d, "documents"))
