@@ -223,57 +223,80 @@ def _stretches(docs: DataFrame, kind: Bytes | Words) -> DataFrame:
     return docs.select("doc_id", "text", "doc_key").mapInArrow(second_pass, schema)
 
 
+#: An open window on its way to the merge: its digest, and the stretch and place to tell. A window
+#: known to occur several times in its shard asks for nothing and has place -1.
+_OPEN = np.dtype([("a", ">u8"), ("b", ">u8"), ("key", "V16"), ("place", "<i4")])
+
+
 def _solved(pieces: DataFrame, solve: Solver, cut: Callable[[bytes, int], bytes]) -> DataFrame:
     """Runs of repeated windows of each piece: key, start, n."""
-    shards = (pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // SHARD_BYTES + 1
+    split = F.col("kinds") > SPLIT
+    size = pieces.agg(
+        F.sum(F.octet_length("piece")).alias("bytes"), F.sum(F.when(split, F.col("n"))).alias("open")
+    ).first()
+    shards = (size.bytes or 0) // SHARD_BYTES + 1
+    buckets = (size.open or 0) // 100_000 + 1
     salt = F.pmod(F.xxhash64("key"), F.ceil(F.col("kinds") / SPLIT))
-    shard = F.pmod(F.xxhash64("h", F.when(F.col("kinds") > SPLIT, salt).otherwise(0)), F.lit(shards))
-    dealt = pieces.select(
-        "key", "n", "piece", (F.col("kinds") > SPLIT).alias("split"), shard.cast("int").alias("shard")
-    )
+    shard = F.pmod(F.xxhash64("h", F.when(split, salt).otherwise(0)), F.lit(shards))
+    dealt = pieces.select("key", "n", "piece", split.alias("split"), shard.cast("int").alias("shard"))
 
     def one_shard(t: pa.Table) -> pa.Table:
         keys, counts, texts = (t.column(c).to_pylist() for c in ("key", "n", "piece"))
-        split = t.column("split").to_numpy(zero_copy_only=False)
+        divided = t.column("split").to_numpy(zero_copy_only=False)
         flags, heads = solve(texts, counts)
         stops = np.cumsum(counts)
         starts = stops - counts
         edge = np.diff(flags.astype(np.int8), prepend=0)
         edge[starts[flags[starts]]] = 1
         begin = np.flatnonzero(edge == 1)
-        end = np.searchsorted(np.flatnonzero(~flags), begin)
-        after = np.append(np.flatnonzero(~flags), len(flags))[end]
+        clear = np.flatnonzero(~flags)
+        after = np.append(clear, len(flags))[np.searchsorted(clear, begin)]
         owner = np.searchsorted(stops, begin, "right")
         after = np.minimum(after, stops[owner])
-        out = [(keys[o], b, e, None) for o, b, e in zip(owner.tolist(), (begin - starts[owner]).tolist(), (after - begin).tolist())]
-        if split.any():
-            window_owner = np.repeat(np.arange(len(keys)), counts)
-            single = np.flatnonzero(~flags & split[window_owner])
-            for i, known in [(x, False) for x in single.tolist()] + [(x, True) for x in heads.tolist() if split[window_owner[x]]]:
-                o = int(window_owner[i])
-                p = i - int(starts[o])
-                out.append((None if known else keys[o], p, 1, hashlib.md5(cut(texts[o], p)).digest()))
-        kinds = [pa.binary(), pa.int32(), pa.int32(), pa.binary()]
-        return pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["key", "start", "n", "digest"])
-
-    schema = "key binary, start int, n int, digest binary"
+        n = len(begin)
+        found = pa.table([
+            pa.array([keys[o] for o in owner.tolist()], pa.binary()), pa.array(begin - starts[owner], pa.int32()),
+            pa.array(after - begin, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+        ], names=["key", "start", "n", "bucket", "open"])
+        return pa.concat_tables([found, opened(keys, texts, np.repeat(np.arange(len(keys)), counts), starts, flags, heads, divided)])
+
+    def opened(keys, texts, owner, starts, flags, heads, divided) -> pa.Table:
+        """What a shard hands out of anchors it shares with others, one row for each bucket."""
+        asks = np.concatenate([np.flatnonzero(~flags & divided[owner]), heads[divided[owner[heads]]]])
+        records = np.zeros(len(asks), _OPEN)
+        if len(asks):
+            of, place = owner[asks], asks - starts[owner[asks]]
+            digests = b"".join(hashlib.md5(cut(texts[o], p)).digest() for o, p in zip(of.tolist(), place.tolist()))
+            pair = np.frombuffer(digests, ">u8").reshape(-1, 2)
+            records["a"], records["b"] = pair[:, 0], pair[:, 1]
+            records["key"] = np.array(keys, "V16")[of]
+            records["place"] = np.where(flags[asks], -1, place)
+        bucket = (records["a"] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        used, first = np.unique(bucket[order], return_index=True)
+        packed = [r.tobytes() for r in np.split(records[order], first[1:])] if len(used) else []
+        n = len(used)
+        return pa.table([
+            pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.array(used, pa.int32()),
+            pa.array(packed, pa.binary()),
+        ], names=["key", "start", "n", "bucket", "open"])
+
+    schema = "key binary, start int, n int, bucket int, open binary"
     found = stored(dealt.groupBy("shard").applyInArrow(one_shard, schema), "shards")
-    inside = found.filter("digest IS NULL").select("key", "start", "n")
-    open_rows = found.filter("digest IS NOT NULL")
-    parts = open_rows.count() // 100_000 + 1
-    bucket = F.pmod(F.xxhash64("digest"), F.lit(parts)).cast("int")
+    inside = found.filter("bucket IS NULL").select("key", "start", "n")
 
     def merge(t: pa.Table) -> pa.Table:
-        words = np.frombuffer(b"".join(t.column("digest").to_pylist()), np.dtype([("a", ">u8"), ("b", ">u8")]))
-        order = np.argsort(words, order=("a", "b"))
-        ranked = words[order]
-        kind = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        # every shard lists a digest at most once as single or once as several
+        records = np.frombuffer(b"".join(t.column("open").to_pylist()), _OPEN)
+        ranked = records[np.argsort(records, order=("a", "b"))]
+        new = (ranked["a"][1:] != ranked["a"][:-1]) | (ranked["b"][1:] != ranked["b"][:-1])
+        kind = np.concatenate([[0], np.cumsum(new)])
+        # every shard lists a digest once at most, as single or as several
         many = np.searchsorted(kind, kind, "right") - np.searchsorted(kind, kind, "left") > 1
-        hit = t.take(pa.array(np.sort(order[many]))).select(["key", "start", "n"])
-        return hit.filter(hit.column("key").is_valid())
+        hit = ranked[many & (ranked["place"] >= 0)]
+        columns = [pa.array([k.tobytes() for k in hit["key"]], pa.binary()), pa.array(hit["place"].astype(np.int32)), pa.array(np.ones(len(hit), np.int32))]
+        return pa.table(columns, names=["key", "start", "n"])
 
-    merged = open_rows.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(merge, "key binary, start int, n int")
+    merged = found.filter("bucket IS NOT NULL").select("bucket", "open").groupBy("bucket").applyInArrow(merge, "key binary, start int, n int")
     return inside.unionByName(merged)
 
 
