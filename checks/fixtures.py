@@ -251,3 +251,146 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         " when 3 then concat('first ```not json``` then ```', chr(10), '[', props, ', 1]', chr(10), '```')"
         " else concat('```', event_type, '```') end as reply",
     )
+
+
+KEYED_LINES_SQL = """
+SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_returnflag,
+  CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN CAST('NaN' AS DOUBLE)
+       ELSE CAST(l_linenumber AS DOUBLE) END AS grp
+FROM (""" + SPARSE_LINEITEM_SQL + ")"
+
+# a key as text: rows with NaN in them cannot be compared
+KEY_TEXT = "CASE WHEN grp IS NULL THEN 'none' WHEN isnan(grp) THEN 'odd' ELSE concat('k', CAST(grp AS INT)) END"
+
+
+def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with missing values, grouped by a key that is null in some rows and NaN in others."""
+    return sparse_lineitem(spark, sf_dir).selectExpr(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_returnflag",
+        "case when l_linenumber = 1 then null when l_linenumber = 2 then double('NaN')"
+        " else cast(l_linenumber as double) end as grp",
+    )
+
+
+# How a day of an order is written, by the order's number: the text in Spark, in DuckDB, and the clock
+# the text holds.
+DATE_FORMS = [
+    ("date_format(d, 'MM/dd/yy')", "strftime(d, '%m/%d/%y')", ""),
+    ("date_format(d, 'd-MMM-yy')", "strftime(d, '%-d-%b-%y')", ""),
+    ("date_format(d, \"MMM d yyyy '10:30'\")", "strftime(d, '%b %-d %Y 10:30')", "10:30:00"),
+    ("date_format(d, \"MMM d, yyyy '10:30 PM'\")", "strftime(d, '%b %-d, %Y 10:30 PM')", "22:30:00"),
+    ("date_format(d, \"yyyy-MM-dd '10:30 PM'\")", "strftime(d, '%Y-%m-%d 10:30 PM')", "22:30:00"),
+    ("date_format(d, \"d MMM yyyy '08:00'\")", "strftime(d, '%-d %b %Y 08:00')", "08:00:00"),
+    ("date_format(d, 'EEEE, MMMM d, yyyy')", "strftime(d, '%A, %B %-d, %Y')", ""),
+    ("date_format(d, \"EEE, dd MMM yyyy '00:00:00 GMT'\")", "strftime(d, '%a, %d %b %Y 00:00:00 GMT')", ""),
+    ("date_format(d, \"yyyy-MM-dd'T10:30:00+0000'\")", "strftime(d, '%Y-%m-%dT10:30:00+0000')", "10:30:00"),
+    ("date_format(d, \"yyyy-MM-dd'T10:30:00+05'\")", "strftime(d, '%Y-%m-%dT10:30:00+05')", "05:30:00"),
+    ("date_format(d, \"yyyy-MM-dd '10:30:00 UTC'\")", "strftime(d, '%Y-%m-%d 10:30:00 UTC')", "10:30:00"),
+    ("date_format(d, \"yyyy-MM-dd'T10'\")", "strftime(d, '%Y-%m-%dT10')", "10:00:00"),
+    ("date_format(d, \"yyyy-MM-dd '10:30:00.123456789'\")", "strftime(d, '%Y-%m-%d 10:30:00.123456789')", "10:30:00.123456"),
+    ("date_format(d, \"yyyyMMdd'T103000'\")", "strftime(d, '%Y%m%dT103000')", "10:30:00"),
+    ("date_format(d, \"yyyyMMdd'103000'\")", "strftime(d, '%Y%m%d103000')", "10:30:00"),
+    ("date_format(d, 'yyyy MMM d')", "strftime(d, '%Y %b %-d')", ""),
+    ("date_format(d, \"d'th' MMMM yyyy\")", "strftime(d, '%-dth %B %Y')", ""),
+    ("concat(date_format(d, 'yyyy-MM-dd'), repeat(' ', 60))", "concat(strftime(d, '%Y-%m-%d'), repeat(' ', 60))", ""),
+    ("concat(year(d), 'Q', quarter(d))", "concat(year(d), 'Q', quarter(d))", "quarter"),
+    ("'2024-02-30'", "'2024-02-30'", None),
+    ("'13/13/2024'", "'13/13/2024'", None),
+    ("'half past ten'", "'half past ten'", None),
+]
+
+
+def _by_form(parts: list[str]) -> str:
+    cases = " ".join(f"WHEN {i} THEN {p}" for i, p in enumerate(parts))
+    return f"CASE o_orderkey % {len(parts)} {cases} END"
+
+
+def _moment(clock: str | None) -> str:
+    if clock is None:
+        return "CAST(NULL AS TIMESTAMP)"
+    if clock == "quarter":
+        return "CAST(date_trunc('quarter', d) AS TIMESTAMP)"
+    return f"CAST(strftime(d, '%Y-%m-%d {clock or '00:00:00'}') AS TIMESTAMP)"
+
+
+_DAYS_SQL = "(SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)"
+DATE_FORMS_SQL = f"SELECT o_orderkey, {_by_form([f[1] for f in DATE_FORMS])} AS stamp FROM {_DAYS_SQL}"
+DATE_MOMENTS_SQL = f"SELECT o_orderkey, {_by_form([_moment(f[2]) for f in DATE_FORMS])} AS stamp FROM {_DAYS_SQL}"
+
+
+def date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order days as text in many forms, some of them no dates."""
+    days = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "cast(o_orderdate as timestamp) as d")
+    return days.selectExpr("o_orderkey", f"{_by_form([f[0] for f in DATE_FORMS])} as stamp")
+
+
+# Three files of orders: the second in another order of columns and with one more, the third with one less.
+FILE_LAYOUTS = {
+    "F": ["o_orderkey", "o_totalprice", "o_orderstatus"],
+    "O": ["o_totalprice", "o_orderpriority", "o_orderstatus", "o_orderkey"],
+    "P": ["o_orderstatus", "o_orderkey"],
+}
+FILE_LAYOUTS_SQL = " UNION ALL ".join(
+    "SELECT " + ", ".join(
+        f"CAST({c if c in columns else 'NULL'} AS VARCHAR) AS {c}"
+        for c in ("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    ) + f" FROM orders WHERE o_orderstatus = '{s}'"
+    for s, columns in FILE_LAYOUTS.items()
+)
+
+
+def layout_files(spark: SparkSession, sf_dir: str, folder: str, fmt: str) -> list[str]:
+    orders = table(spark, sf_dir, "orders")
+    paths = []
+    for status, columns in FILE_LAYOUTS.items():
+        path = f"{folder}/orders_{status}.{fmt}"
+        rows = orders.filter(F.col("o_orderstatus") == status).select(columns)
+        if fmt == "csv":
+            rows.write.options(header=True, quoteAll=True, escape='"').csv(path)
+        else:
+            rows.write.parquet(path)
+        paths.append(path)
+    return paths
+
+
+# Two tables for one plan. The second has fractions among the integers, and nils where the first has none.
+FIRST_LINES_SQL = """
+SELECT CASE WHEN l_orderkey % 10 = 0 THEN '' ELSE CAST(l_partkey AS VARCHAR) END AS n,
+  CAST(l_linenumber AS VARCHAR) AS m,
+  CASE WHEN l_orderkey % 10 = 0 THEN '' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS d, l_returnflag AS f
+FROM lineitem WHERE l_orderkey % 2 = 0"""
+SECOND_LINES_SQL = """
+SELECT l_orderkey, l_linenumber, l_suppkey,
+  CASE WHEN l_orderkey % 7 = 0 THEN '12.7' WHEN l_orderkey % 9 = 0 THEN '' ELSE CAST(l_partkey AS VARCHAR) END AS n,
+  CASE WHEN l_orderkey % 9 = 0 THEN '' ELSE CAST(l_linenumber AS VARCHAR) END AS m,
+  CASE WHEN l_orderkey % 5 = 0 THEN '' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS d,
+  CASE WHEN l_orderkey % 9 = 0 THEN '' ELSE l_returnflag END AS f
+FROM lineitem WHERE l_orderkey % 2 = 1"""
+
+
+def _spark_sql(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
+    body = text.replace(f"FROM {name}", "FROM {t}").replace("VARCHAR", "STRING")
+    return spark.sql(body, t=table(spark, sf_dir, name))
+
+
+def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, "lineitem", FIRST_LINES_SQL)
+
+
+def second_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark_sql(spark, sf_dir, "lineitem", SECOND_LINES_SQL)
+
+
+# Files whose column ``u`` a plan does not know: integers in one, words in the next, fractions in the last.
+UNPLANNED_SQL = [
+    "SELECT CAST(o_orderkey AS VARCHAR) AS k, concat(' ', CAST(o_orderkey % 50 AS VARCHAR), '.0') AS u FROM orders"
+    " WHERE o_orderkey % 3 = 0",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS k, concat('abc', CAST(o_orderkey % 50 AS VARCHAR)) AS u FROM orders"
+    " WHERE o_orderkey % 3 = 1",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS k, concat(CAST(o_orderkey % 50 AS VARCHAR), '.5') AS u FROM orders"
+    " WHERE o_orderkey % 3 = 2",
+]
+
+
+def unplanned_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {f"part_{i}": _spark_sql(spark, sf_dir, "orders", text) for i, text in enumerate(UNPLANNED_SQL)}

@@ -12,7 +12,7 @@ from mendtable.functions.columns import ref
 from mendtable.operators import casts, charts, duplicates, infer, nils, selection, statistics, summaries
 from mendtable.operators.frequencies import first_values
 from mendtable.plans import pipeline, report
-from mendtable.plans.plan import CleaningPlan, fit_plan, load_plan, save_plan
+from mendtable.plans.plan import CleaningPlan, ColumnDecision, fit_plan, load_plan, save_plan
 from mendtable.sources import json_text, logs, tables
 from mendtable.sources.workspace import scratch_path
 
@@ -1188,6 +1188,170 @@ def _(spark, d):
     return report.run_summary(fx.stacked_documents(spark, d), log)["records"]
 
 
+# --------------------------------------------------------------------------- null and NaN groups
+
+_KEY = fx.KEY_TEXT
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumn("grp", F.expr(_KEY))
+
+
+@query(
+    "repair_nils_null_groups",
+    f"""WITH t AS (SELECT * REPLACE ({_KEY} AS grp) FROM ({fx.KEYED_LINES_SQL})),
+m AS (SELECT grp, quantile_cont(l_quantity, 0.5) AS med FROM t GROUP BY grp),
+f AS (SELECT grp, l_returnflag AS flag, row_number() OVER (PARTITION BY grp ORDER BY count(*) DESC, l_returnflag) AS rn
+  FROM t WHERE l_returnflag IS NOT NULL GROUP BY grp, l_returnflag)
+SELECT l_orderkey, l_linenumber, grp, coalesce(l_quantity, med) AS l_quantity,
+  coalesce(l_returnflag, flag) AS l_returnflag FROM t JOIN m USING (grp) JOIN f USING (grp) WHERE rn = 1""",
+)
+def _(spark, d):
+    t = fx.keyed_lines(spark, d)
+    fit = nils.fit_nils(t, {"l_quantity": "fill_median", "l_returnflag": "fill_most_common"}, ["grp"])
+    return _named(nils.repair_nils(t, fit)).select("l_orderkey", "l_linenumber", "grp", "l_quantity", "l_returnflag")
+
+
+@query(
+    "column_statistics_null_groups",
+    f"WITH t AS (SELECT * REPLACE ({_KEY} AS grp) FROM ({fx.KEYED_LINES_SQL})) "
+    + _statistics_sql("t", {"l_quantity": "double", "l_returnflag": "string"}, ["l_quantity"], "grp"),
+)
+def _(spark, d):
+    t = fx.keyed_lines(spark, d).select("grp", "l_quantity", "l_returnflag")
+    out = _named(statistics.column_statistics(t, by=["grp"]).drop("column_index"))
+    return rounded(out, ["median", "mean", "std"])
+
+
+@query(
+    "infer_types_null_groups",
+    f"SELECT {_KEY} AS grp, CASE WHEN grp IS NULL THEN 'datetime' WHEN isnan(grp) THEN 'integer' ELSE 'text' END"
+    f" AS inferred_type, count(DISTINCT v) AS unique_count FROM (SELECT grp, CASE WHEN grp IS NULL THEN"
+    f" concat('2024-01-', lpad(CAST(l_orderkey % 28 + 1 AS VARCHAR), 2, '0')) WHEN isnan(grp) THEN"
+    f" CAST(l_orderkey AS VARCHAR) ELSE concat('word ', CAST(l_orderkey AS VARCHAR)) END AS v"
+    f" FROM ({fx.KEYED_LINES_SQL})) GROUP BY grp",
+)
+def _(spark, d):
+    t = fx.keyed_lines(spark, d).selectExpr(
+        "grp",
+        "case when grp is null then concat('2024-01-', lpad(cast(l_orderkey % 28 + 1 as string), 2, '0'))"
+        " when isnan(grp) then cast(l_orderkey as string) else concat('word ', l_orderkey) end as v",
+    )
+    return _named(infer.infer_types(t, by=["grp"])).select("grp", "inferred_type", "unique_count")
+
+
+@query(
+    "describe_by_source_null",
+    f"WITH t AS (SELECT {_KEY} AS source_file, l_quantity, l_extendedprice FROM ({fx.KEYED_LINES_SQL})) "
+    + _DESCRIBE_SQL.format(sql.quartiles("t", ["l_quantity", "l_extendedprice"], "source_file")),
+)
+def _(spark, d):
+    t = fx.keyed_lines(spark, d).select("grp", "l_quantity", "l_extendedprice")
+    return _named(summaries.describe_by_source(t, "grp")).withColumnRenamed("grp", "source_file")
+
+
+@query(
+    "head_per_source_null",
+    f"SELECT l_orderkey, l_linenumber, grp, CAST(place AS INTEGER) AS place, source_rows FROM (SELECT *, row_number()"
+    " OVER (PARTITION BY grp ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS place, count(*) OVER (PARTITION BY grp)"
+    f" AS source_rows FROM (SELECT * REPLACE ({_KEY} AS grp) FROM ({fx.KEYED_LINES_SQL}))) WHERE place <= 10",
+)
+def _(spark, d):
+    order = ["l_orderkey", "l_linenumber", "l_extendedprice"]
+    out = selection.head_per_source(fx.keyed_lines(spark, d), order, source="grp")
+    return _named(out).select("l_orderkey", "l_linenumber", "grp", "place", "source_rows")
+
+
+# --------------------------------------------------------------------------- dates, layouts, second tables
+
+
+@query("cast_datetime_forms", fx.DATE_MOMENTS_SQL)
+def _(spark, d):
+    return casts.apply_casts(fx.date_forms(spark, d), {"stamp": "datetime"})
+
+
+@query(
+    "infer_datetime_forms",
+    f"SELECT 'stamp' AS column_name, 'datetime' AS inferred_type, round_even(count(t.stamp) / count(*), 6) AS confidence"
+    f" FROM (SELECT * FROM ({fx.DATE_MOMENTS_SQL}) ORDER BY o_orderkey LIMIT 50) t",
+)
+def _(spark, d):
+    found = infer.infer_types(fx.date_forms(spark, d), order_by=["o_orderkey"])
+    return found.select("column_name", "inferred_type", F.bround("confidence", 6).alias("confidence"))
+
+
+@query("read_csv_layouts", fx.FILE_LAYOUTS_SQL)
+def _(spark, d):
+    paths = fx.layout_files(spark, d, scratch_path(spark, "layouts"), "csv")
+    rows = tables.read_sources(spark, paths, fmt="csv")
+    return rows.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+
+
+@query("read_snapshot_layouts", fx.FILE_LAYOUTS_SQL)
+def _(spark, d):
+    paths = fx.layout_files(spark, d, scratch_path(spark, "layouts"), "parquet")
+    rows = tables.read_snapshot_as_text(spark, paths)
+    return rows.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+
+
+@query(
+    "apply_plan_frozen_second_table",
+    f"""WITH a AS ({fx.FIRST_LINES_SQL}), b AS ({fx.SECOND_LINES_SQL})
+SELECT l_orderkey, l_linenumber, l_suppkey,
+  coalesce(CAST(CASE WHEN n <> '12.7' THEN TRY_CAST(n AS BIGINT) END AS DOUBLE),
+    (SELECT quantile_cont(CAST(n AS BIGINT), 0.5) FROM a WHERE n <> '')) AS n,
+  coalesce(CAST(TRY_CAST(m AS BIGINT) AS DOUBLE), (SELECT quantile_cont(CAST(m AS BIGINT), 0.5) FROM a)) AS m,
+  CASE WHEN d = '' THEN '0' ELSE concat(d, ' 00:00:00') END AS d,
+  CASE WHEN f = '' THEN (SELECT f FROM a GROUP BY f ORDER BY count(*) DESC, f LIMIT 1) ELSE f END AS f
+FROM b""",
+)
+def _(spark, d):
+    plan = CleaningPlan(
+        {c: ColumnDecision(t) for c, t in (("n", "integer"), ("m", "integer"), ("d", "datetime"), ("f", "categorical"))},
+        False,
+        {"n": "fill_median", "m": "fill_median", "d": "fill_zero", "f": "fill_most_common"},
+    )
+    frozen = pipeline.freeze(plan, pipeline.clean_table(fx.first_lines(spark, d), plan))
+    out = pipeline.apply_plan(fx.second_lines(spark, d), frozen, frozen=True)
+    return out.withColumns({c: F.col(c).cast("double") for c in ("n", "m")})
+
+
+_UNPLANNED_OUT = " UNION ALL ".join(
+    f"SELECT CAST(k AS BIGINT) AS k, {u} AS u, 'part_{i}' AS source_file FROM ({text})"
+    for i, (u, text) in enumerate(
+        zip(("CAST(CAST(CAST(trim(u) AS DOUBLE) AS BIGINT) AS VARCHAR)", "u", "u"), fx.UNPLANNED_SQL)
+    )
+)
+_KEY_PLAN = CleaningPlan({"k": ColumnDecision("integer")}, True)
+
+
+@query("clean_many_unplanned", _UNPLANNED_OUT)
+def _(spark, d):
+    done, _, _ = pipeline.clean_many(fx.unplanned_files(spark, d), _KEY_PLAN)
+    return done
+
+
+@query("clean_many_unplanned_layouts", _UNPLANNED_OUT)
+def _(spark, d):
+    files = fx.unplanned_files(spark, d)
+    files["part_1"] = files["part_1"].withColumn("more", F.lit("x"))
+    done, _, _ = pipeline.clean_many(files, _KEY_PLAN)
+    return done.drop("more")
+
+
+@query(
+    "crosstab_stored_levels",
+    "SELECT concat('urgent', is_urgent) AS source_file, "
+    + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in "FOP")
+    + f" FROM ({fx.MESSY_ORDERS_SQL}) WHERE o_orderkey % 2 = 1 GROUP BY 1",
+)
+def _(spark, d):
+    messy = fx.messy_orders(spark, d)
+    levels = _messy_plan(spark, d).levels["status"]
+    later = messy.filter("o_orderkey % 2 = 1").selectExpr("concat('urgent', is_urgent) as source_file", "status")
+    return summaries.crosstab_counts(later, "status", levels=levels)
+
+
 # --------------------------------------------------------------------------- flagship
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side table with at most this many rows may be broadcast.
+# A side table with at most this many rows and bytes may be broadcast.
 BROADCAST_ROWS = 20_000
+BROADCAST_BYTES = 16 << 20
 
 
 def quoted(name: str) -> str:
@@ -75,12 +76,33 @@ def _arrow_type(t: T.DataType) -> pa.DataType | None:
     return simple.get(type(t))
 
 
-def small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` as a broadcast local table if it holds at most ``max_rows`` rows, else None.
+def _variable_bytes(df: DataFrame) -> Column | None:
+    """Bytes of a row's texts, binaries and nested values; None if it has none."""
+    out = None
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            n = F.octet_length(ref(f.name))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            n = F.octet_length(F.to_json(F.struct(ref(f.name))))
+        else:
+            continue
+        n = F.coalesce(n, F.lit(0)).cast("long")
+        out = n if out is None else out + n
+    return out
 
-    The check runs ``df`` once and reads at most ``max_rows + 1`` rows to the driver.
+
+def small_table(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """``df`` as a broadcast local table if it holds at most ``max_rows`` rows and ``max_bytes`` bytes
+    of values of variable size, else None.
+
+    Bytes are summed by Spark first, so what is too large never reaches the driver; at most
+    ``max_rows + 1`` rows do.
     """
-    rows = df.limit(max_rows + 1).toArrow()
+    head = df.limit(max_rows + 1)
+    size = _variable_bytes(df)
+    if size is not None and (head.agg(F.sum(size)).first()[0] or 0) > max_bytes:
+        return None
+    rows = head.toArrow()
     if rows.num_rows > max_rows:
         return None
     return F.broadcast(df.sparkSession.createDataFrame(rows))
@@ -93,6 +115,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return df if small is None else small
 
 
+def group_join(
+    left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner", on: Sequence[str] = ()
+) -> DataFrame:
+    """Join on group keys ``by`` (and ``on``) that come out once; a null or NaN key equals itself."""
+    names = {n: unused_name(left, f"__right{i}") for i, n in enumerate([*by, *on])}
+    side, same = right, F.lit(True)
+    for n, other in names.items():
+        side = side.withColumnRenamed(n, other)
+        same = same & ref(n).eqNullSafe(ref(other))
+    joined = left.join(side, same, how)
+    if how == "full":
+        joined = joined.withColumns({n: F.coalesce(ref(n), ref(other)) for n, other in names.items()})
+    return joined.drop(*names.values())
+
+
 def unpivot_as(
     df: DataFrame, values: dict[str, Column], by: Sequence[str] = (), value_name: str = "value"
 ) -> DataFrame:

@@ -6,19 +6,17 @@ one call assembles what would be dozens of column objects.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Every character Python's str.strip() removes.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
-)
-# The same characters as a pattern class.
+# Every character that counts as white space, as a pattern class.
 _SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE, NOT_BLANK = f"[{_SPACES}]", f"[^{_SPACES}]"
+# The same characters one by one.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if re.match(SPACE, c))
 
 # The word pairs that make a column boolean, and what each word means.
 BOOLEAN_PAIRS = [("t", "f"), ("true", "false"), ("yes", "no"), ("y", "n"), ("0", "1")]
@@ -30,12 +28,10 @@ CURRENCY_SYMBOLS = "[$€£¥₹,]"
 
 # The number grammar, and the spellings of infinity.
 NUMBER = r"^[ \t\n\x0b\f\r]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[ \t\n\x0b\f\r]*$"
+WHOLE = r"^[ \t\n\x0b\f\r]*[+-]?\d+(\.0*)?[ \t\n\x0b\f\r]*$"
 PLUS_INFINITY = ["inf", "+inf", "infinity", "+infinity"]
 MINUS_INFINITY = ["-inf", "-infinity"]
 
-# All spellings of "nan" that differ only in case.
-NAN_WORDS = ["nan", "naN", "nAn", "nAN", "Nan", "NaN", "NAn", "NAN"]
-
 # Accepted date shapes, each rewritten to one layout before it is parsed. Where two
 # small numbers lead, the first is the month unless it exceeds 12.
 # Years are those a 64-bit count of nanoseconds holds in full.
@@ -67,7 +63,45 @@ HALF_DAY_SHAPES = [
     (r"(\d{1,2})/(\d{1,2})/(" + _YEAR + r")" + _HALF_DAY, "$3-$2-$1$4"),
 ]
 HALF_DAY_FORMAT = "yyyy-M-d h:mm[:ss] a"
-LONGEST_DATE = 48
+
+# Further shapes, for dates apart from their clock: two-digit years (up to 68 in this century, as C
+# libraries have it), quarters, ordinal days, the year first. Rewritten to year-month-day, or to a
+# layout with the month's name.
+_OLD, _NEW = r"(69|[7-9]\d)", r"([0-5]\d|6[0-8])"
+_ORDINAL = r"(?:st|nd|rd|th)?"
+DATE_SHAPES = [
+    (r"(" + _YEAR + r")-(\d{1,2})-(\d{1,2})", "$1-$2-$3"),
+    (r"(" + _YEAR + r")[/.](\d{1,2})[/.](\d{1,2})", "$1-$2-$3"),
+    (r"(" + _YEAR + r")(\d{2})(\d{2})", "$1-$2-$3"),
+    (r"(0?[1-9]|1[0-2])([-/.])(\d{1,2})\2(" + _YEAR + r")", "$4-$1-$3"),
+    (r"(\d{1,2})([-/.])(\d{1,2})\2(" + _YEAR + r")", "$4-$3-$1"),
+    *[
+        (shape.replace("@", year), layout.replace("@", century))
+        for year, century in ((_NEW, "20"), (_OLD, "19"))
+        for shape, layout in (
+            (r"(0?[1-9]|1[0-2])([-/.])(\d{1,2})\2@", "@$4-$1-$3"),
+            (r"(1[3-9]|2\d|3[01])([-/.])(\d{1,2})\2@", "@$4-$3-$1"),
+        )
+    ],
+    (r"(3[2-9]|[45]\d|6[0-8])([-/.])(\d{1,2})\2(\d{1,2})", "20$1-$3-$4"),
+    (_OLD + r"([-/.])(\d{1,2})\2(\d{1,2})", "19$1-$3-$4"),
+    *[(r"(" + _YEAR + r")-?[Qq]" + str(q), f"$1-{3 * q - 2}-1") for q in (1, 2, 3, 4)],
+]
+DAY_NAMED_SHAPES = [
+    (_MONTH + r"\.?[ -](\d{1,2})" + _ORDINAL + r",? (" + _YEAR + r")", "$2 $1 $3"),
+    (r"(\d{1,2})" + _ORDINAL + r"[ -/]" + _MONTH + r"[.,]?[ -/](" + _YEAR + r")", "$1 $2 $3"),
+    (r"(" + _YEAR + r")[ -]" + _MONTH + r"[ -](\d{1,2})" + _ORDINAL, "$3 $2 $1"),
+    (r"(\d{1,2})[ -/]" + _MONTH + r"[ -/]" + _NEW, "$1 $2 20$3"),
+    (r"(\d{1,2})[ -/]" + _MONTH + r"[ -/]" + _OLD, "$1 $2 19$3"),
+]
+_WEEKDAY = r"^(?i:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?i:day)?[,.]? "
+# The clock at the end of a text: hour, minute, second, fraction, half of the day, zone.
+_CLOCK_END = (
+    r"(?=T\d| \d{1,2}:| \d{1,2} ?[AaPp][Mm])[T ](\d{1,2})(?::(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?)?"
+    r"(?: ?([AaPp][Mm]))?(?: ?(Z|z|UTC|GMT|[+-]\d{2}(?::?\d{2})?))?$"
+)
+# No text in these shapes is longer, white space around it aside.
+LONGEST_DATE = 80
 
 
 def _list(words: list[str]) -> str:
@@ -100,16 +134,54 @@ def _rewrite_sql(v: str, shapes: list[tuple[str, str]]) -> str:
     return f"CASE {cases} END"
 
 
+def _clock_sql(x: str) -> str:
+    """SQL text of the clock at the end of ``x``, as the end of a timestamp literal; null if it is
+    none that exists."""
+    hour, minute, second, fraction, half, zone = (f"regexp_extract({x}, r'{_CLOCK_END}', {i})" for i in range(1, 7))
+    number = f"cast({hour} AS INT)"
+    hours = (
+        f"CASE WHEN {half} = '' THEN {number} WHEN {number} BETWEEN 1 AND 12"
+        f" THEN {number} % 12 + IF(lower({half}) = 'pm', 12, 0) END"
+    )
+    zones = (
+        f"CASE WHEN {zone} IN ('', '+', '-') THEN '' WHEN {zone} IN ('Z', 'z', 'UTC', 'GMT') THEN 'Z'"
+        f" WHEN length({zone}) = 3 THEN concat({zone}, ':00')"
+        f" WHEN length({zone}) = 5 THEN concat(left({zone}, 3), ':', right({zone}, 2)) ELSE {zone} END"
+    )
+    return (
+        f"CASE WHEN NOT {x} RLIKE r'{_CLOCK_END}' THEN '' ELSE"
+        f" concat(' ', lpad({hours}, 2, '0'), ':', coalesce(nullif({minute}, ''), '00'), ':',"
+        f" coalesce(nullif({second}, ''), '00'), IF({fraction} = '', '', concat('.', left({fraction}, 6))), {zones}) END"
+    )
+
+
+def _further_datetime_sql(v: str) -> str:
+    """SQL text for dates in the further shapes; each part is computed once, by a lambda."""
+    compact = r"^(\d{8})T?(\d{2})(\d{2})(\d{2})$"
+    plain = f"regexp_replace(regexp_replace({strip_sql(v)}, r'{SPACE}+', ' '), r'{_WEEKDAY}', '')"
+    text = f"regexp_replace({plain}, r'{compact}', '$1 $2:$3:$4')"
+    day = f"regexp_replace(x, r'{_CLOCK_END}', '')"
+    named = f"date_format(try_to_timestamp({_rewrite_sql('p.d', DAY_NAMED_SHAPES)}, '{NAMED_FORMAT}'), 'yyyy-MM-dd')"
+    date = f"CASE WHEN p.d RLIKE '[A-PR-Za-pr-z]' THEN {named} ELSE {_rewrite_sql('p.d', DATE_SHAPES)} END"
+    parts = f"transform(array({text}), x -> named_struct('d', {day}, 'c', {_clock_sql('x')}))"
+    return f"transform({parts}, p -> try_cast(concat({date}, p.c) AS TIMESTAMP))[0]"
+
+
 def datetime_sql(v: str) -> str:
     """SQL text of ``to_datetime``."""
-    return (
-        f"CASE WHEN octet_length({v}) <= {LONGEST_DATE} AND {v} RLIKE '[0-9]{{4}}' THEN"
+    common = (
+        f"CASE WHEN {v} RLIKE '[0-9]{{4}}' THEN"
         f" CASE WHEN NOT {v} RLIKE '[A-SU-Ya-y]'"
         f" THEN try_cast({_rewrite_sql(v, ISO_SHAPES)} AS TIMESTAMP)"
         f" WHEN {v} RLIKE '/.*[Mm]'"
         f" THEN try_to_timestamp({_rewrite_sql(v, HALF_DAY_SHAPES)}, '{HALF_DAY_FORMAT}')"
         f" ELSE try_to_timestamp({_rewrite_sql(v, NAMED_SHAPES)}, '{NAMED_FORMAT}') END END"
     )
+    # every further shape holds a day or quarter next to a year, in letters of dates only
+    likely = f"{v} RLIKE r'^{SPACE}*[A-Za-z0-9][A-Za-z0-9 ,.:/+{_SPACES}-]*$' AND {v} RLIKE '[0-9].*[0-9]'"
+    further = f"CASE WHEN {likely} THEN {_further_datetime_sql(v)} END"
+    short = f"(octet_length({v}) <= {LONGEST_DATE} OR octet_length({strip_sql(v)}) <= {LONGEST_DATE})"
+    return f"CASE WHEN {short} THEN coalesce({common}, {further}) END"
 
 
 def strip(v: str) -> Column:
@@ -125,7 +197,7 @@ def is_nil(v: str, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return F.expr(f"({v} IS NULL OR isnan({v}))")
     if isinstance(data_type, T.StringType):
-        return F.expr(f"({v} IS NULL OR NOT {v} RLIKE r'{NOT_BLANK}' OR {v} IN {_list(NAN_WORDS)})")
+        return F.expr(f"({v} IS NULL OR NOT {v} RLIKE r'{NOT_BLANK}' OR lower({v}) = 'nan')")
     return F.expr(f"({v} IS NULL)")
 
 
@@ -156,9 +228,11 @@ def all_integers_sql(v: str) -> str:
 
 
 def to_integer(v: str) -> Column:
-    """Text to bigint, exact beyond 2**53; text such as ``1e3`` goes through double."""
-    plain = f"CASE WHEN {v} RLIKE r'{NUMBER}' THEN try_cast({v} AS BIGINT) END"
-    return F.expr(f"coalesce({plain}, try_cast({number_sql(v)} AS BIGINT))")
+    """Text to bigint, exact beyond 2**53; text such as ``1e3`` goes through double. A number that is
+    no integer is null, never cut."""
+    plain = f"CASE WHEN {v} RLIKE r'{WHOLE}' THEN try_cast({v} AS BIGINT) END"
+    number = f"({number_sql(v)})"
+    return F.expr(f"coalesce({plain}, CASE WHEN {fits_integer_sql(number)} THEN try_cast({number} AS BIGINT) END)")
 
 
 def to_boolean(v: str) -> Column:

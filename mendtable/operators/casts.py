@@ -116,6 +116,11 @@ def plan_casts(
     return steps
 
 
+def parsed_column(df: DataFrame, column: str, target: str) -> Column:
+    """A column read as its semantic type."""
+    return _PARSERS[target][0](_text(df, column))
+
+
 def run_casts(df: DataFrame, steps: Sequence[CastStep]) -> DataFrame:
     """Apply all decided casts in one projection."""
     targets = {s.column: s.target for s in steps if s.target}

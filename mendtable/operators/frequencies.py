@@ -26,8 +26,14 @@ def identity(c: Column) -> Column:
 
 
 def comparable(c: Column, data_type: T.DataType) -> Column:
-    """A column to group by when only equality matters."""
-    return identity(c) if isinstance(data_type, T.StringType) else c
+    """A column to group by when only equality matters; values of any size become small."""
+    if isinstance(data_type, T.StringType):
+        return identity(c)
+    if isinstance(data_type, T.BinaryType):
+        return F.when(F.octet_length(c) <= WHOLE_TEXT_BYTES, c).otherwise(F.unhex(F.sha2(c, 512)))
+    if isinstance(data_type, (T.ArrayType, T.StructType)):
+        return F.when(c.isNotNull(), F.sha2(F.to_json(F.struct(c)), 256))
+    return c
 
 
 # Integers up to this size are exact as doubles.
@@ -133,32 +139,20 @@ def first_values(
     """The first ``n`` present text values of each column: ``by``, ``column_name``, ``place``, ``value``.
 
     Rows are ordered by ``order_by``, by default by a digest of the value, since a distributed
-    table has no row order. Without ``by`` every column is a top-n scan that keeps ``n`` rows per
-    task; with ``by`` each task keeps ``n`` rows per group and column before the shuffle.
+    table has no row order. All columns are read in one scan, and each task keeps ``n`` rows per
+    group and column before the shuffle.
     """
     keys = [ref(b) for b in by]
     present = F.col("value").isNotNull() if keep_empty else F.col("value") != ""
     order = [F.col(f"__order{i}") for i in range(len(order_by or ()))]
     carried = [ref(o).alias(f"__order{i}") for i, o in enumerate(order_by or ())]
     ranking = [*order, F.md5("value"), F.col("value")] if not order else [*order, F.col("value")]
-    if by:
-        wide = df.select(*keys, *carried, *[ref(c).alias(f"__v{j}") for j, c in enumerate(columns)])
-        tall = unpivot_as(
-            wide,
-            {c: F.col(f"__v{j}") for j, c in enumerate(columns)},
-            [*by, *[f"__order{i}" for i in range(len(order))]],
-        ).filter(present)
-    else:
-        parts = [
-            df.select(F.lit(c).alias("column_name"), ref(c).alias("value"), *carried)
-            .filter(present)
-            .orderBy(*ranking)
-            .limit(n)
-            for c in columns
-        ]
-        tall = parts[0]
-        for p in parts[1:]:
-            tall = tall.unionAll(p)
+    wide = df.select(*keys, *carried, *[ref(c).alias(f"__v{j}") for j, c in enumerate(columns)])
+    tall = unpivot_as(
+        wide,
+        {c: F.col(f"__v{j}") for j, c in enumerate(columns)},
+        [*by, *[f"__order{i}" for i in range(len(order))]],
+    ).filter(present)
     w = Window.partitionBy(*keys, "column_name").orderBy(*ranking)
     placed = tall.withColumn("place", F.row_number().over(w))
     return placed.filter(F.col("place") <= n).select(*keys, "column_name", "place", "value")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import local_table, quoted, ref, text_columns
+from ..functions.columns import group_join, local_table, quoted, ref, text_columns
 from ..functions.parsing import (
     BOOLEAN_PAIRS,
     datetime_sql,
@@ -102,7 +102,7 @@ def infer_types(
             f"sort_array(collect_list(CASE WHEN place <= {samples} THEN struct(place, value) END)) AS firsts"
         ),
     )
-    ratios = facts.join(seen, [*by, "column_name"], "left").selectExpr(
+    ratios = group_join(facts, seen, by, "left", ["column_name"]).selectExpr(
         "*",
         "coalesce(try_divide(unique_count, total), 0D) AS unique_ratio",
         "coalesce(try_divide(numeric_count, non_empty), 0D) AS numeric_ratio",

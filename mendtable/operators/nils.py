@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import broadcast_if_small, quoted, ref, unpivot_as, unused_name
+from ..functions.columns import broadcast_if_small, group_join, quoted, ref, unpivot_as, unused_name
 from ..functions.parsing import is_nil, percent
 from .quantiles import grouped_quantiles, table_quantiles
 
@@ -111,6 +111,7 @@ class NilFit:
     values: dict[str, object] = field(default_factory=dict)
     by: tuple[str, ...] = ()
     table: DataFrame | None = None
+    group_steps: dict[object, list[NilStep]] = field(default_factory=dict)
 
 
 def _as_number(c: Column, t: T.DataType) -> Column | None:
@@ -212,9 +213,33 @@ def _constant(action: str, t: T.DataType) -> object:
     return False if isinstance(t, T.BooleanType) else "0"
 
 
-def fit_nils(df: DataFrame, actions: dict[str, str], by: Sequence[str] = ()) -> NilFit:
+def stored_fit(df: DataFrame, actions: dict[str, str], fills: dict[str, str]) -> NilFit:
+    """The fit that fill values of another table give, without a job: columns change their types as
+    if they had nils, so that every table comes out alike."""
+    steps, values = [], {}
+    for c in df.columns:
+        if c not in actions:
+            continue
+        t, action, value = df.schema[c].dataType, actions[c], fills.get(c)
+        if action in ("fill_unknown", "fill_zero"):
+            value = _constant(action, t)
+        fractional = action == "fill_median" and value is not None and _is_whole(t) and float(value) % 1 != 0
+        step = _plan_step(c, t, action, 1, value, fractional)
+        if step.fills and value is not None:
+            whole = action == "fill_median" and _is_whole(step.out_type)
+            values[c] = int(float(value)) if whole and "." in str(value) else value
+        steps.append(replace(step, message=f"Applied stored choice '{action}' to nil values in '{c}'"))
+    return NilFit(steps, values)
+
+
+def fit_nils(
+    df: DataFrame, actions: dict[str, str], by: Sequence[str] = (), always: bool = False, group_steps: bool = False
+) -> NilFit:
     """Fit all fill values at once.
 
+    ``always`` fits values for columns without nils too. ``group_steps`` tells the steps of every
+    group apart, one row per group on the driver; for groups that are as few as input files.
+
     Columns are repaired in schema order and each ``drop_rows`` hides its rows from later columns.
     Since a fill changes only its own column, column k's statistic equals the statistic over rows
     that no earlier dropped column is nil in, so nothing has to be repaired step by step.
@@ -238,7 +263,7 @@ def fit_nils(df: DataFrame, actions: dict[str, str], by: Sequence[str] = ()) ->
     }
     modes = {c: present[c] for c in names if actions[c] == "fill_most_common"}
     if by:
-        return _fit_groups(df, actions, names, types, counted, medians, modes, by)
+        return _fit_groups(df, actions, names, types, counted, medians, modes, by, group_steps)
 
     q, counts = table_quantiles(
         df, medians, [0.5], extra={c: (counted[c], "count({})") for c in names}
@@ -247,7 +272,7 @@ def fit_nils(df: DataFrame, actions: dict[str, str], by: Sequence[str] = ()) ->
     for c, found in q.items():
         if found:
             values[c] = found[0]
-    needed = {c: v for c, v in modes.items() if counts[c]}
+    needed = {c: v for c, v in modes.items() if counts[c] or always}
     if needed:
         typed = most_common(df, needed, types).collect()
         for row in typed:
@@ -260,7 +285,7 @@ def fit_nils(df: DataFrame, actions: dict[str, str], by: Sequence[str] = ()) ->
         fractional = action == "fill_median" and c in values and values[c] != int(values[c])
         if action in ("fill_unknown", "fill_zero"):
             values[c] = _constant(action, types[c])
-        step = _plan_step(c, types[c], action, counts[c], values.get(c), fractional)
+        step = _plan_step(c, types[c], action, counts[c] or int(always), values.get(c), fractional)
         if not step.fills or c not in values:
             values.pop(c, None)
         elif action == "fill_median":
@@ -293,11 +318,24 @@ def _mode_value(pair, t: T.DataType) -> object:
     return int(pair["num"]) if _is_whole(t) else pair["num"]
 
 
-def _fit_groups(df, actions, names, types, counted, medians, modes, by) -> NilFit:
+def _fit_groups(df, actions, names, types, counted, medians, modes, by, group_steps) -> NilFit:
     """Fill values per group, as a table with one row per group and one column per fill."""
     keys = [ref(b) for b in by]
-    totals = df.agg(*[F.count(counted[c]).alias(f"n{j}") for j, c in enumerate(names)]).first()
-    counts = {c: totals[f"n{j}"] for j, c in enumerate(names)}
+    # a group with nils and without values has no most common value
+    by_group = df.groupBy(*keys).agg(
+        *[F.count(counted[c]).alias(f"n{j}") for j, c in enumerate(names)],
+        *[F.count(modes[c]).alias(f"v{j}") for j, c in enumerate(names) if c in modes],
+    )
+    totals = by_group.agg(
+        *[F.sum(f"n{j}").alias(f"n{j}") for j in range(len(names))],
+        *[
+            F.bool_or((F.col(f"n{j}") > 0) & (F.col(f"v{j}") == 0)).alias(f"u{j}")
+            for j, c in enumerate(names)
+            if c in modes
+        ],
+    ).first()
+    counts = {c: totals[f"n{j}"] or 0 for j, c in enumerate(names)}
+    unknown = {c for j, c in enumerate(names) if c in modes and totals[f"u{j}"]}
     tables = []
     medians = {c: v for c, v in medians.items() if counts[c]}
     modes = {c: v for c, v in modes.items() if counts[c]}
@@ -324,7 +362,7 @@ def _fit_groups(df, actions, names, types, counted, medians, modes, by) -> NilFi
         )
     table, fractional = None, {}
     if tables:
-        table = tables[0] if len(tables) == 1 else tables[0].join(tables[1], list(by), "full")
+        table = tables[0] if len(tables) == 1 else group_join(tables[0], tables[1], by, "full")
         table = broadcast_if_small(table)
         if medians:
             flags = table.agg(
@@ -337,11 +375,31 @@ def _fit_groups(df, actions, names, types, counted, medians, modes, by) -> NilFi
             fractional = {c: flags[f"f{j}"] for j, c in enumerate(medians)}
     steps, values = [], {}
     for c in names:
-        step = _plan_step(c, types[c], actions[c], counts[c], None, fractional.get(c, False))
+        value = UNKNOWN if c in unknown else None
+        step = _plan_step(c, types[c], actions[c], counts[c], value, fractional.get(c, False))
         if step.fills and actions[c] in ("fill_unknown", "fill_zero"):
             values[c] = _constant(actions[c], types[c])
         steps.append(step)
-    return NilFit(steps, values, by, table)
+    told = {}
+    if group_steps:
+        found = {}
+        if table is not None:
+            found = {r[by[0]]: r for r in table.collect()}
+        for r in by_group.collect():
+            told[r[by[0]]] = [
+                _group_step(s, types[s.column], r[f"n{j}"], found.get(r[by[0]])) for j, s in enumerate(steps)
+            ]
+    return NilFit(steps, values, by, table, told)
+
+
+def _group_step(s: NilStep, t: T.DataType, n: int, row) -> NilStep:
+    """The step of a column in one group, with the group's own count and fill value."""
+    name = f"__fill_{s.column}"
+    value = row[name] if row is not None and name in row else None
+    fractional = s.action == "fill_median" and value is not None and value != int(value)
+    if s.action == "fill_most_common" and value is None:
+        value = UNKNOWN
+    return _plan_step(s.column, t, s.action, n, value, fractional)
 
 
 def repair_nils(df: DataFrame, fit: NilFit) -> DataFrame:
@@ -375,9 +433,9 @@ def repair_nils(df: DataFrame, fit: NilFit) -> DataFrame:
             fill = ref(f"__fill_{c}")
             if isinstance(s.out_type, TIMESTAMPS) and s.action == "fill_median":
                 fill = _from_micros(fill, s.out_type)
+            fill = fill.cast(s.out_type)
             if s.action == "fill_most_common" and isinstance(s.out_type, T.StringType):
                 fill = F.coalesce(fill, F.lit(UNKNOWN))
-            fill = fill.cast(s.out_type)
         else:
             columns.append(ref(c))
             continue

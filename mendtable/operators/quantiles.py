@@ -12,12 +12,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import local_table, ref, unpivot_as
+from ..functions.columns import broadcast_if_small, group_join, local_table, ref, unpivot_as
+from ..sources.workspace import materialize
 
 SKETCH_SIZE = 8000
 # The sketch's rank error is about 0.0003 (one sigma) at this size; the margin is far beyond it.
@@ -27,8 +29,14 @@ GRID = 256
 BRACKET_ROWS = 2_000_000
 # Groups up to this size may use the built-in exact aggregate.
 SMALL_GROUP_ROWS = 200_000
-# At most this many (group, column) pairs are tracked on the driver and broadcast.
+# At most this many (group, column) pairs are tracked on the driver and broadcast; the values of
+# further groups above SMALL_GROUP_ROWS are sorted.
 TRACKED_PAIRS = 20_000
+# Every pass narrows each bracket, so this many are never needed on a table that stays the same.
+MOST_PASSES = 64
+
+# The one NaN that stands for all of them where keys index a dict: it is found by identity.
+_NAN = float("nan")
 
 
 @dataclass
@@ -94,7 +102,7 @@ def _sketch_size(value: str) -> str:
     return f"kll_sketch_get_n_double({_sketch(value)})"
 
 
-def _sketch_quantiles(value: str, ranks: Sequence[float]) -> str:
+def sketch_quantiles(value: str, ranks: Sequence[float]) -> str:
     """Approximate quantiles of a group; null when the group has no value."""
     wanted = ", ".join(_number(float(r)) for r in ranks)
     return (
@@ -143,14 +151,14 @@ class _Job:
         self.extra_row = None
 
     def key(self, row) -> tuple:
-        return tuple(row[b] for b in self.by)
+        return tuple(_NAN if isinstance(row[b], float) and row[b] != row[b] else row[b] for b in self.by)
 
     def first_pass(self, rows: DataFrame):
         """Sizes and sketches of every (group, column), and the targets they lead to."""
         first = {}
         for j in range(len(self.names)):
             first[f"n{j}"] = _sketch_size(f"__v{j}")
-            first[f"edges{j}"] = _sketch_quantiles(f"__v{j}", _edges(self.probs))
+            first[f"edges{j}"] = sketch_quantiles(f"__v{j}", _edges(self.probs))
         fitted = rows.groupBy(*self.keys).agg(_together(first)).collect()
         targets = [
             _target(self.key(row), j, row["r"][f"n{j}"], row["r"][f"edges{j}"], self.probs)
@@ -277,7 +285,7 @@ class _Job:
                     f"at_low{j}_{i}": f"count_if({v} <= {low})",
                     f"through{j}_{i}": f"count_if({v} <= {high})",
                     f"inner{j}_{i}": f"count({inner})",
-                    f"grid{j}_{i}": _sketch_quantiles(inner, grid),
+                    f"grid{j}_{i}": sketch_quantiles(inner, grid),
                 }
         index: dict[tuple, list[_Target]] = {}
         for t in targets:
@@ -310,7 +318,9 @@ class _Job:
 
     def solve(self, targets: list[_Target]) -> None:
         pending = targets
-        while pending:
+        for _ in range(MOST_PASSES):
+            if not pending:
+                return
             wide = [t for t in pending if t.inner > BRACKET_ROWS]
             tight = [t for t in pending if t.inner <= BRACKET_ROWS]
             if wide:
@@ -318,6 +328,8 @@ class _Job:
             if tight:
                 self.resolve(tight)
             pending = [t for t in pending if not t.found]
+        if pending:
+            raise RuntimeError("quantiles do not settle: the table gives other rows on every pass; write it first")
 
 
 _COUNTS = ("below", "at_low", "through", "inner", "grid")
@@ -361,22 +373,23 @@ def grouped_quantiles(
 
     Groups above SMALL_GROUP_ROWS rows are solved as in ``table_quantiles``, all in the same
     passes, so one hot group costs no task more than its share. As many of the largest are taken
-    as make TRACKED_PAIRS (group, column) pairs. Every other group is below SMALL_GROUP_ROWS or
-    smaller than all of those, and uses the built-in aggregate.
+    as make TRACKED_PAIRS (group, column) pairs. Where there are more large groups, the values of
+    the others are sorted across tasks. Groups up to SMALL_GROUP_ROWS use the built-in aggregate.
     """
     job = _Job(df, columns, by, probs)
     sizes = job.rows.groupBy(*job.keys).agg(F.expr("count(1) AS __n"))
-    large = (
-        sizes.filter(F.col("__n") > SMALL_GROUP_ROWS)
-        .orderBy(F.desc("__n"), *job.keys)
-        .limit(max(1, TRACKED_PAIRS // len(columns)))
-        .collect()
-    )
-    small, solved = job.rows, None
+    most = max(1, TRACKED_PAIRS // len(columns))
+    many = sizes.filter(F.col("__n") > SMALL_GROUP_ROWS)
+    large = many.orderBy(F.desc("__n"), *job.keys).limit(most).collect()
+    small, solved, rest = job.rows, None, []
     if large:
         side = job.side([job.key(r) for r in large], [])
         small = job.rows.join(side, job.same_group(), "left_anti")
         job.rows = job.rows.join(side, job.same_group(), "left_semi")
+        if len(large) == most:
+            others = broadcast_if_small(many.join(side, job.same_group(), "left_anti").drop("__n"))
+            rest.append(_sorted_quantiles(group_join(small, others, by, "left_semi"), job, probs))
+            small = group_join(small, others, by, "left_anti")
         fitted, targets = job.first_pass(job.rows)
         job.solve(targets)
         found = {(t.key, t.column): t.found for t in targets}
@@ -397,5 +410,52 @@ def grouped_quantiles(
     picked = small.groupBy(*job.keys).agg(
         _together({f"v{j}": f"percentile(__v{j}, array({wanted}))" for j in range(len(job.names))})
     )
-    rest = unpivot_as(picked, {c: F.col(f"r.v{j}") for j, c in enumerate(job.names)}, by, "q")
-    return solved.unionByName(rest) if solved is not None else rest
+    rest.append(unpivot_as(picked, {c: F.col(f"r.v{j}") for j, c in enumerate(job.names)}, by, "q"))
+    if solved is not None:
+        rest.append(solved)
+    return reduce(DataFrame.unionByName, rest)
+
+
+def _sorted_quantiles(rows: DataFrame, job: _Job, probs: Sequence[float]) -> DataFrame:
+    """Quantiles of any number of groups of any size: distinct values with their counts are sorted
+    across tasks, and a group's ranks run on from one task's share of it to the next."""
+    values = {c: F.col(f"__v{j}") for j, c in enumerate(job.names)}
+    group = [*job.by, "column_name"]
+    keys = [ref(g) for g in group]
+    counted = (
+        unpivot_as(rows, values, job.by, "at").filter("at IS NOT NULL").groupBy(*keys, "at").agg(F.expr("count(1) AS cnt"))
+    )
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares, _ = materialize(
+        counted.repartitionByRange(tasks, *keys, "at").withColumn("__task", F.spark_partition_id()), "sorted-values"
+    )
+    sums = shares.groupBy(*keys, "__task").agg(F.sum("cnt").alias("__share"))
+    of_group = Window.partitionBy(*keys)
+    before = of_group.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.withColumns(
+        {"__before": F.coalesce(F.sum("__share").over(before), F.lit(0)), "__n": F.sum("__share").over(of_group)}
+    ).drop("__share")
+    w = Window.partitionBy(*keys, "__task").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    run = group_join(shares, placed, job.by, on=["column_name", "__task"]).withColumn(
+        "__end", F.col("__before") + F.sum("cnt").over(w)
+    )
+    picks = {}
+    for i, p in enumerate(probs):
+        k = f"floor({_number(float(p))} * (__n - 1))"
+        for name, rank in (("a", k), ("b", f"least({k} + 1, __n - 1)")):
+            picks[f"{name}{i}"] = f"max(CASE WHEN __end - cnt <= {rank} AND {rank} < __end THEN at END)"
+    found = run.groupBy(*keys).agg(F.max("__n").alias("__n"), _together(picks))
+    quantiles = []
+    for i, p in enumerate(probs):
+        position = f"({_number(float(p))} * (__n - 1))"
+        t, a, b = f"({position} - floor({position}))", f"r.a{i}", f"r.b{i}"
+        quantiles.append(
+            f"CASE WHEN {a} = {b} OR {t} = 0 THEN {a}"
+            f" WHEN {t} >= 0.5D THEN {b} - ({b} - {a}) * (1 - {t}) ELSE {a} + ({b} - {a}) * {t} END"
+        )
+    listed = found.select(*keys, F.expr(f"array({', '.join(quantiles)})").alias("q"))
+    # a group without values in a column has a row without quantiles
+    every = unpivot_as(
+        rows.groupBy(*job.keys).agg(F.count(F.lit(1)).alias("__rows")), {c: F.lit(None).cast("int") for c in job.names}, job.by
+    )
+    return group_join(every, listed, job.by, "left", ["column_name"]).select(*keys, "q")

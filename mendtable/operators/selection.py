@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import numeric_columns, ref
+from ..functions.columns import group_join, numeric_columns, ref
 
 SOURCE = "source_file"
 
@@ -31,15 +32,14 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def required_columns(
     names: Sequence[str], wanted: Sequence[str], group: str | None = None, source: str = SOURCE
 ) -> list[str]:
-    """Source label, the wanted columns that exist and the group column, in order, once each.
+    """The columns a report reads, the source label in front.
 
-    When none of them exists: the source label and the first eight other columns.
+    These are the wanted ones that the table has, and the group; a name comes once, at its first
+    place. A table that has none of them is shown by its first ``FALLBACK_COLUMNS`` columns.
     """
-    extra = [group] if group and group in names else []
-    kept = list(dict.fromkeys([source, *[c for c in wanted if c in names], *extra]))
-    if len(kept) > 1:
-        return kept
-    return [source, *[c for c in names if c != source][:FALLBACK_COLUMNS]]
+    have = [n for n in names if n != source]
+    known = [n for n in dict.fromkeys((*wanted, group)) if n in have]
+    return [source, *(known or have[:FALLBACK_COLUMNS])]
 
 
 def project_required(
@@ -66,20 +66,33 @@ def all_column_names(tables: Sequence[DataFrame]) -> list[str]:
 
 
 def union_sources(tables: Mapping[str, DataFrame], source: str = SOURCE) -> DataFrame:
-    """Stack labelled tables by column name; absent columns are null, clashing types become text."""
-    labelled = [with_source_column(t, label, source) for label, t in tables.items()]
-    types: dict[str, set[str]] = {}
-    for t in labelled:
+    """Stack labelled tables by column name; absent columns are null. Clashing types become text,
+    integers and floats together become floats."""
+    return stack_by_name([with_source_column(t, label, source) for label, t in tables.items()])
+
+
+def stack_by_name(tables: Sequence[DataFrame]) -> DataFrame:
+    """Union by column name, with types brought together as in ``union_sources``."""
+    types: dict[str, dict[str, T.DataType]] = {}
+    for t in tables:
         for f in t.schema.fields:
-            types.setdefault(f.name, set()).add(f.dataType.simpleString())
-    clash = {c for c, seen in types.items() if len(seen) > 1}
+            types.setdefault(f.name, {})[f.dataType.simpleString()] = f.dataType
+    common = {c: common_type(list(seen.values())) for c, seen in types.items() if len(seen) > 1}
     aligned = [
-        t.select(*[ref(c).cast("string").alias(c) if c in clash else ref(c) for c in t.columns])
-        for t in labelled
+        t.select(*[ref(c).cast(common[c]).alias(c) if c in common else ref(c) for c in t.columns]) for t in tables
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
 
 
+def common_type(types: Sequence[T.DataType]) -> str:
+    """The type that values of several types are brought to when they are stacked."""
+    if len({t.simpleString() for t in types}) == 1:
+        return types[0].simpleString()
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return "bigint"
+    return "double" if all(isinstance(t, T.NumericType) for t in types) else "string"
+
+
 def head_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``n`` rows; every task keeps ``n`` rows at most."""
     return df.orderBy(*[ref(o) for o in order_by]).limit(n)
@@ -96,7 +109,7 @@ def head_per_source(
     w = Window.partitionBy(ref(source)).orderBy(*[ref(o) for o in order_by])
     heads = df.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= n)
     counts = df.groupBy(ref(source)).agg(F.count(F.lit(1)).alias("source_rows"))
-    return heads.join(counts, source)
+    return group_join(heads, counts, [source])
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

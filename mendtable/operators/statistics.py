@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_if_small, local_table, numeric_columns, quoted, ref, unpivot_as
+from ..functions.columns import broadcast_if_small, group_join, local_table, numeric_columns, quoted, ref, unpivot_as
 from ..functions.parsing import is_missing
 from .frequencies import value_frequencies
-from .quantiles import grouped_quantiles, table_quantiles
+from .quantiles import grouped_quantiles, sketch_quantiles, table_quantiles
 
 # The quartiles, and the fence distance in interquartile ranges.
 QUARTILES = [0.25, 0.5, 0.75]
@@ -62,15 +62,27 @@ def _numeric_facts(df: DataFrame, columns: Sequence[str], by: Sequence[str]) ->
         .groupBy(*keys, "column_name")
         .agg(*[F.expr(text.format("value")).alias(name) for name, text in _MOMENTS.items()])
     )
-    return q.join(moments, [*by, "column_name"])
+    return group_join(q, moments, by, on=["column_name"])
 
 
 def quartiles_iqr(
-    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (), approx: bool = False
 ) -> DataFrame:
-    """``q1``, ``q3``, ``iqr`` and both fences per numeric column (and group)."""
+    """``q1``, ``q3``, ``iqr`` and both fences per numeric column (and group).
+
+    Exact by default. With ``approx`` quartiles are values of nearly the wanted rank (off by less
+    than 0.1 % of the rows), from one pass that shuffles sketches only.
+    """
     columns = list(columns or numeric_columns(df, skip=by))
     keys = [ref(b) for b in by]
+    names = ["q1", "median", "q3"]
+    if approx:
+        doubles = df.select(*keys, *[_present(df, c).alias(f"__p{j}") for j, c in enumerate(columns)])
+        made = doubles.groupBy(*keys).agg(
+            *[F.expr(sketch_quantiles(f"__p{j}", QUARTILES)).alias(f"__q{j}") for j in range(len(columns))]
+        )
+        tall = unpivot_as(made, {c: F.col(f"__q{j}") for j, c in enumerate(columns)}, by, "q")
+        return _with_fences(tall.select(*keys, "column_name", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(names)]))
     if by:
         q = grouped_quantiles(df, _doubles(df, columns), QUARTILES, by).select(
             *keys,
@@ -167,7 +179,7 @@ def column_statistics(
         # without groups the table has one row per numeric column, so broadcasting it is safe
         facts = broadcast_if_small(facts) if by else F.broadcast(facts)
         limits = facts.select(*keys, "column_name", "lower", "upper")
-        freq = freq.join(limits, [*by, "column_name"], "left")
+        freq = group_join(freq, limits, by, "left", ["column_name"])
         outside = (F.col("num") < F.col("lower")) | (F.col("num") > F.col("upper"))
     cnt = F.col("cnt")
     counted = freq.groupBy(*keys, "column_name").agg(
@@ -185,7 +197,7 @@ def column_statistics(
         )
     shown = ["min", "max", "median", "mean", "std"]
     if facts is not None:
-        out = out.join(facts.select(*keys, "column_name", *shown), [*by, "column_name"], "left")
+        out = group_join(out, facts.select(*keys, "column_name", *shown), by, "left", ["column_name"])
     else:
         out = out.withColumns({s: F.lit(None).cast("double") for s in shown})
     empty = F.col("is_numeric") & (F.col("non_null_count") == 0)
@@ -204,9 +216,23 @@ def column_statistics(
     )
 
 
-def count_distinct(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``column_name``, ``unique_count`` of non-null values; the empty string is a value."""
+def count_distinct(
+    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False
+) -> DataFrame:
+    """``column_name``, ``unique_count`` of non-null values; the empty string is a value.
+
+    Exact counts shuffle each distinct value once per task. With ``approx`` a sketch of fixed size
+    leaves each task instead (HyperLogLog++, 1 % relative standard deviation).
+    """
     names = list(columns or df.columns)
+    if approx:
+        counts = df.agg(
+            *[
+                F.approx_count_distinct(F.when(~is_missing(quoted(c), df.schema[c].dataType), ref(c)), 0.01).alias(f"__n{j}")
+                for j, c in enumerate(names)
+            ]
+        )
+        return unpivot_as(counts, {c: F.col(f"__n{j}") for j, c in enumerate(names)}, (), "unique_count")
     present = F.col("num").isNotNull() | F.col("txt").isNotNull()
     return (
         value_frequencies(df, names)

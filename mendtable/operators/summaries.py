@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import local_table, numeric_columns, quoted, ref, unpivot_as
+from ..functions.columns import group_join, local_table, numeric_columns, quoted, ref, unpivot_as
 from ..functions.parsing import is_missing
 from ..sources.json_text import rows_as_json
 from .frequencies import first_values
@@ -66,7 +66,7 @@ def describe_by_source(df: DataFrame, source: str = SOURCE) -> DataFrame:
     medians = grouped_quantiles(df, doubles, [0.5], [source]).select(
         key, "column_name", F.bround(F.get("q", F.lit(0)), 2).alias("median")
     )
-    return moments.join(medians, [source, "column_name"]).select(
+    return group_join(moments, medians, [source], on=["column_name"]).select(
         key, "column_name", "m.mean", "median", "m.min", "m.max"
     )
 
@@ -112,10 +112,14 @@ def crosstab_counts(
 
 
 def crosstab_long(
-    df: DataFrame, group: str, source: str = SOURCE, top: int = TOP_CATEGORIES
+    df: DataFrame,
+    group: str,
+    source: str = SOURCE,
+    top: int = TOP_CATEGORIES,
+    levels: Sequence | None = None,
 ) -> DataFrame:
     """The cross tabulation as ``source``, ``category``, ``count`` rows, absent pairs included."""
-    wide = crosstab_counts(df, group, source, top)
+    wide = crosstab_counts(df, group, source, top, levels)
     names = [c for c in wide.columns if c != source]
     return unpivot_as(wide, {c: ref(c) for c in names}, [source], "count").withColumnRenamed(
         "column_name", "category"
@@ -140,10 +144,10 @@ def table_profile(df: DataFrame, order_by: Sequence[str] | None = None) -> DataF
     )
     shown = F.coalesce(F.col("__firsts.value"), F.array().cast("array<string>"))
     return (
-        # every side has one row per column
+        # every side has one row per column; samples are whole texts and not broadcast
         listing.join(F.broadcast(null_percent(df, names)), "column_name")
         .join(F.broadcast(count_distinct(df, names)), "column_name", "left")
-        .join(F.broadcast(samples), "column_name", "left")
+        .join(samples, "column_name", "left")
         .fillna(0, ["unique_count"])
         .select("column_index", "column_name", "dtype", "nulls_pct", shown.alias("sample_values"), "unique_count")
     )

@@ -3,102 +3,135 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import broadcast_if_small, quoted, ref, text_columns, unused_name
-from ..functions.parsing import all_integers_sql, to_integer
-from ..operators.casts import CastStep, integral_columns, plan_casts, run_casts
+from ..functions.columns import local_table, quoted, ref, text_columns, unused_name
+from ..functions.parsing import all_integers_sql
+from ..operators.casts import CastStep, integral_columns, parsed_column, plan_casts, run_casts
 from ..operators.duplicates import drop_duplicates
-from ..operators.nils import NilFit, fit_nils, nil, repair_nils
-from ..operators.selection import SOURCE, drop_columns, union_sources
+from ..operators.nils import NilFit, fit_nils, repair_nils, stored_fit
+from ..operators.selection import SOURCE, common_type, drop_columns, stack_by_name, union_sources, with_source_column
 from ..operators.statistics import column_statistics
 from ..sources.logs import ProcessingLog
 from ..sources.tables import write_cleaned_snapshot, write_typed_snapshot
-from ..sources.workspace import materialize
-from .plan import CleaningPlan, decide_columns, fit_plan
+from ..sources.workspace import discard, materialize
+from .plan import CleaningPlan, decide_by_source, decide_columns, fit_plan
 
 
 @dataclass
 class Cleaned:
-    """Result of cleaning: the typed and the cleaned table, the log, and the fits behind them."""
+    """Result of cleaning: the typed and the cleaned table, the log, and the fits behind them.
+
+    ``table`` reads intermediate tables in the shared folder; ``close`` deletes them once the result
+    has been written elsewhere. With snapshots that happens by itself.
+    """
 
     typed: DataFrame
     table: DataFrame
+    before_repair: DataFrame
     before_drop: DataFrame
     log: ProcessingLog
     casts: list[CastStep]
     nils: NilFit
+    scratch: list[str] = field(default_factory=list)
 
     def statistics(self) -> DataFrame:
         """Column statistics as they are before columns are dropped."""
         return column_statistics(self.before_drop)
 
+    def close(self) -> None:
+        while self.scratch:
+            discard(self.table.sparkSession, self.scratch.pop())
 
-def _mixed_casts(df: DataFrame, columns: Sequence[str], by: str) -> tuple[set[str], set[str], DataFrame | None]:
-    """Integer targets of a stacked table: whole everywhere, nowhere, or by source only.
 
-    Returns the columns whole in every source, those whole in some, and flags per source.
-    """
-    if not columns:
-        return set(), set(), None
-    flags = df.groupBy(ref(by)).agg(
-        *[
-            F.expr(all_integers_sql(quoted(c))).alias(f"__whole_{c}")
-            for c in columns
-        ]
-    )
-    flags = broadcast_if_small(flags)
-    row = flags.agg(
-        *[F.bool_and(ref(f"__whole_{c}")).alias(f"a{j}") for j, c in enumerate(columns)],
-        *[F.bool_or(ref(f"__whole_{c}")).alias(f"s{j}") for j, c in enumerate(columns)],
-    ).first()
-    everywhere = {c for j, c in enumerate(columns) if row[f"a{j}"]}
-    somewhere = {c for j, c in enumerate(columns) if row[f"s{j}"]} - everywhere
-    return everywhere, somewhere, flags
-
-
-def _cast_some(df: DataFrame, columns: set[str], flags: DataFrame, by: str) -> DataFrame:
-    """Whole numbers as text where the source holds only integers, the raw text elsewhere."""
-    key = unused_name(df, "__by")
-    rows = df.join(flags.withColumnRenamed(by, key), ref(by).eqNullSafe(ref(key)), "left")
-    out = []
-    for c in df.columns:
-        if c in columns:
-            whole = to_integer(quoted(c)).cast("string")
-            out.append(F.when(ref(f"__whole_{c}"), whole).otherwise(ref(c)).alias(c))
-        else:
-            out.append(ref(c))
-    return rows.select(*out)
+@dataclass
+class _Casts:
+    """The casts of a table, or of every source of a stacked one."""
 
+    typed: DataFrame
+    steps: list[CastStep]
+    by_source: dict[object, list[CastStep]]
 
-def _needs_second_scan(plan: CleaningPlan, df: DataFrame) -> bool:
-    return any(
-        c in df.columns and a in ("fill_median", "fill_most_common") for c, a in plan.nil_actions.items()
-    )
 
+def _whole_by_source(df: DataFrame, columns: Sequence[str], by: str) -> dict[object, set[str]]:
+    """For every source the columns whose numbers are all integers; one row per source."""
+    flags = [F.expr(all_integers_sql(quoted(c))).alias(f"f{j}") for j, c in enumerate(columns)]
+    rows = df.groupBy(ref(by).alias("__source")).agg(F.lit(True).alias("any"), *flags).collect()
+    return {r["__source"]: {c for j, c in enumerate(columns) if r[f"f{j}"]} for r in rows}
 
-def _frozen_nils(df: DataFrame, plan: CleaningPlan) -> DataFrame:
-    """Repair with stored fill values only: one projection and one filter, no job."""
-    keep, out = F.lit(True), []
+
+def _decide_sources(
+    df: DataFrame, plan: CleaningPlan, order_by: Sequence[str] | None, by: str
+) -> dict[object, list[CastStep]]:
+    """The casts of every source of a stacked table, as if it stood alone."""
+    carried = [c for c in order_by or () if c not in plan.columns]
+    unknown = [c for c in text_columns(df) if c not in plan.columns and c not in carried and c != by]
+    inferred = decide_by_source(df, unknown, by, order_by) if unknown else {}
+    targets = plan.targets(df)
+    ints = [c for c, t in targets.items() if t == "integer"]
+    whole = _whole_by_source(df, ints, by)
+    own: dict[object, dict[str, str]] = {}
+    for s in whole:
+        own[s] = dict(targets)
+        for c, found in inferred.items():
+            target, integral = found.get(s, (None, False))
+            if target:
+                own[s][c] = target
+                if target == "integer" and integral:
+                    whole[s].add(c)
+    return {s: plan_casts(df, own[s], whole[s]) for s in own}
+
+
+def _cast_sources(df: DataFrame, steps: dict[object, list[CastStep]], by: str) -> _Casts:
+    """Cast a stacked table, every source in its own way.
+
+    A column that comes out alike everywhere is cast plainly. Where sources differ, because only
+    some hold integers or because the plan does not know the column, the results are brought to the
+    type that stacking gives.
+    """
+    outcome: dict[str, dict[object, str | None]] = {}
+    for s, of_source in steps.items():
+        for step in of_source:
+            outcome.setdefault(step.column, {})[s] = step.target
+    for of_column in outcome.values():
+        for s in steps:
+            of_column.setdefault(s, None)
+    mixed = {c for c, found in outcome.items() if c in df.columns and len(set(found.values())) > 1}
+    if not steps:
+        return _Casts(df, [], {})
+    if not mixed:
+        shared = next(iter(steps.values()))
+        return _Casts(run_casts(df, shared), shared, steps)
+    columns = sorted(mixed)
+    key = unused_name(df, "__source")
+    kind = df.schema[by].dataType
+    fields = [T.StructField(key, kind), *(T.StructField(f"__to{j}", T.StringType()) for j in range(len(columns)))]
+    rows = [(s, *(outcome[c][s] for c in columns)) for s in steps]
+    # one row per source, each of which the caller named
+    side = F.broadcast(local_table(df.sparkSession, rows, T.StructType(fields)))
+    joined = df.join(side, ref(by).eqNullSafe(ref(key)), "left")
+    out = []
     for c in df.columns:
-        t, action = df.schema[c].dataType, plan.nil_actions.get(c)
-        if action == "drop_rows":
-            keep = keep & ~nil(df, c)
-        fill = None
-        if action == "fill_zero":
-            fill = F.lit("0").cast(t) if not isinstance(t, T.BooleanType) else F.lit(False)
-        elif action in ("fill_median", "fill_most_common") and (plan.fills or {}).get(c) is not None:
-            fill = F.lit(plan.fills[c]).cast(t)
-        elif action == "fill_unknown":
-            fill = F.lit("Unknown")
-            out.append(F.when(nil(df, c), fill).otherwise(ref(c).cast("string")).alias(c))
+        if c not in mixed:
+            out.append(ref(c))
             continue
-        out.append(ref(c) if fill is None else F.when(nil(df, c), fill).otherwise(ref(c)).alias(c))
-    return df.filter(keep).select(*out)
+        to = F.col(f"__to{columns.index(c)}")
+        used = sorted({t for t in outcome[c].values() if t})
+        parsed = {t: parsed_column(df, c, t) for t in used}
+        kinds = [df.select(p.alias("x")).schema["x"].dataType for p in parsed.values()]
+        if None in outcome[c].values():
+            kinds.append(df.schema[c].dataType)
+        target = common_type(kinds)
+        value = ref(c).cast(target)
+        for t, p in parsed.items():
+            value = F.when(to == t, p.cast(target)).otherwise(value)
+        out.append(value.alias(c))
+    shared = [s for s in next(iter(steps.values())) if s.column not in mixed]
+    return _Casts(run_casts(joined.select(*out), shared), shared, steps)
 
 
 def clean_table(
@@ -110,75 +143,105 @@ def clean_table(
     snapshots: str | None = None,
     label: str = "table",
     file_number: int = 1,
+    files: Mapping[object, int] | None = None,
+    decided: dict[object, list[CastStep]] | None = None,
 ) -> Cleaned:
     """Replay a plan on a text table.
 
     Columns the plan does not know are inferred and cast if confident. With ``by`` the table is a
-    stack of sources, and fits are made per source, all sources in the same jobs. ``frozen`` uses
-    the plan's fitted values and runs no job. ``snapshots`` is a folder for the typed and the
-    cleaned table. Rows that ``order_by`` carries for ordering only are dropped after inference.
+    stack of sources, and every decision and fit is made per source, all sources in the same jobs;
+    ``files`` gives each source's number in the log, ``decided`` its casts where they are known.
+    ``frozen`` uses the plan's fitted values and
+    runs no job: integers that are none become null, and columns change their types as they did in
+    the first table. ``snapshots`` is a folder for the typed and the cleaned table. Rows that
+    ``order_by`` carries for ordering only are dropped after inference.
     """
-    log = ProcessingLog()
+    plan.check()
+    log, scratch = ProcessingLog(), []
     carried = [c for c in order_by or () if c not in plan.columns]
     targets = plan.targets(df)
-    integral: set[str] | None = set(plan.integral or ()) if frozen else None
     unknown = [c for c in text_columns(df) if c not in plan.columns and c not in carried and c != by]
-    if unknown and not frozen:
-        decisions, whole = decide_columns(df, unknown, order_by)
-        targets |= {c: d.target for c, d in decisions.items() if d.target}
     data = drop_columns(df, carried)
-
-    some, flags = set(), None
-    if integral is None:
-        ints = [c for c, t in targets.items() if t == "integer"]
-        if by:
-            integral, some, flags = _mixed_casts(data, ints, by)
-        else:
-            integral = integral_columns(data, ints)
-    if some:
-        data = _cast_some(data, some, flags, by)
-    casts = plan_casts(data, targets, integral)
-    typed = run_casts(data, casts)
-    for step in casts:
-        log.add(file_number, step.message)
+    if by and not frozen:
+        done = _cast_sources(data, decided or _decide_sources(df, plan, order_by, by), by)
+    else:
+        integral = set(plan.integral or ())
+        if not frozen:
+            whole: set[str] = set()
+            planned = [c for c, t in targets.items() if t == "integer"]
+            if unknown:
+                decisions, whole = decide_columns(df, unknown, order_by)
+                targets |= {c: d.target for c, d in decisions.items() if d.target}
+            integral = integral_columns(data, planned) | whole
+        steps = plan_casts(data, targets, integral)
+        done = _Casts(run_casts(data, steps), steps, {})
+    typed, casts = done.typed, done.steps
     if snapshots:
         path = write_typed_snapshot(typed, snapshots, label)
         typed = typed.sparkSession.read.schema(typed.schema).parquet(path)
 
-    rows = typed
-    if plan.drop_duplicates:
-        rows = drop_duplicates(rows)
-        message = "Dropped duplicate rows"
-        if not frozen and _needs_second_scan(plan, rows):
-            rows, written = materialize(rows, f"{label}-deduplicated")
-            if written:  # counting needs no cast and no shuffle now
-                copies = typed.count() - rows.count()
-                message = f"Dropped {copies} duplicate rows" if copies else "No duplicate rows found"
-        log.add(file_number, message)
-    else:
-        log.add(file_number, "Kept duplicate rows")
-        if not frozen and not snapshots and _needs_second_scan(plan, rows):
-            rows, _ = materialize(rows, f"{label}-typed")
+    rows, copies = typed, {}
+    if frozen:
+        if plan.drop_duplicates:
+            rows = drop_duplicates(rows)
+    elif plan.drop_duplicates:
+        seen = Observation()
+        rows, path = materialize(
+            drop_duplicates(typed.observe(seen, F.count(F.lit(1)).alias("n"))), f"{label}-deduplicated"
+        )
+        scratch.append(path)
+        if by:
+            copies = {s: n - _counts(rows, by).get(s, 0) for s, n in _counts(typed, by).items()}
+        else:
+            copies = {None: seen.get["n"] - rows.count()}
+    elif not snapshots:
+        rows, path = materialize(rows, f"{label}-typed")
+        scratch.append(path)
 
     if frozen:
-        repaired, nils = _frozen_nils(rows, plan), NilFit([])
+        nils = stored_fit(rows, plan.nil_actions, plan.fills or {})
     else:
-        nils = fit_nils(rows, plan.nil_actions, [by] if by else ())
-        repaired = repair_nils(rows, nils)
-        for step in nils.steps:
-            log.add(file_number, step.message)
+        nils = fit_nils(rows, plan.nil_actions, [by] if by else (), group_steps=files is not None)
+    repaired = repair_nils(rows, nils)
     gone = [c for c in plan.columns_to_drop if c in repaired.columns]
     table = drop_columns(repaired, gone)
-    log.add(file_number, f"Dropped columns: {gone}" if gone else "No columns dropped")
     if snapshots:
         path = write_cleaned_snapshot(table, snapshots, label, [by] if by else ())
-        log.add(file_number, f"Saved to {path}")
-    return Cleaned(typed, table, repaired, log, casts, nils)
+
+    for s, number in (files or {None: file_number}).items():
+        for step in done.by_source.get(s, casts):
+            log.add(number, step.message)
+        if not plan.drop_duplicates:
+            log.add(number, "Kept duplicate rows")
+        elif frozen:
+            log.add(number, "Dropped duplicate rows")
+        else:
+            n = copies.get(s, 0) if files or not by else sum(copies.values())
+            log.add(number, f"Dropped {n} duplicate rows" if n else "No duplicate rows found")
+        for step in nils.group_steps.get(s, nils.steps):
+            log.add(number, step.message)
+        log.add(number, f"Dropped columns: {gone}" if gone else "No columns dropped")
+        if snapshots:
+            log.add(number, f"Saved to {path}")
+    cleaned = Cleaned(typed, table, rows, repaired, log, casts, nils, scratch)
+    if snapshots:
+        cleaned.table = table.sparkSession.read.schema(table.schema).parquet(path).select(*[ref(c) for c in table.columns])
+    return cleaned
+
+
+def _counts(df: DataFrame, by: str) -> dict[object, int]:
+    """Rows of every source."""
+    return {r["__source"]: r["n"] for r in df.groupBy(ref(by).alias("__source")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def freeze(plan: CleaningPlan, cleaned: Cleaned) -> CleaningPlan:
-    """The plan with the fill values and integer columns a cleaning run has fitted."""
-    fills = {c: str(v) for c, v in cleaned.nils.values.items()}
+    """The plan with the fill values and integer columns a cleaning run has fitted. Medians and most
+    common values of columns that had no nils are fitted now, for tables that will."""
+    nils = cleaned.nils
+    fitted = ("fill_median", "fill_most_common")
+    if any(a in fitted and c in cleaned.before_repair.columns and c not in nils.values for c, a in plan.nil_actions.items()):
+        nils = fit_nils(cleaned.before_repair, plan.nil_actions, always=True)
+    fills = {c: str(v) for c, v in nils.values.items()}
     whole = sorted(s.column for s in cleaned.casts if s.target == "integer")
     return replace(plan, fills=fills, integral=whole)
 
@@ -197,24 +260,36 @@ def clean_many(
 ) -> tuple[DataFrame, CleaningPlan, ProcessingLog]:
     """Clean several text tables by one plan, fitted on the first table unless given.
 
-    Tables with one schema are stacked first and cleaned together, fits grouped by source, so the
-    number of jobs does not grow with the number of files. Otherwise each is cleaned on its own
-    and the results are stacked.
+    Every table is cleaned as if it stood alone, and the results are stacked by name. Tables of the
+    same columns are decided in the same jobs, grouped by source, and those that come out with the
+    same types are cleaned in the same jobs; so the number of jobs grows with the number of
+    different layouts, not with the number of files.
     """
-    first = next(iter(tables.values()))
     if plan is None:
-        plan = fit_plan(first, order_by, **fit_options)
-    log = ProcessingLog()
-    schemas = {tuple((f.name, f.dataType.simpleString()) for f in t.schema) for t in tables.values()}
-    if len(schemas) == 1:
-        stacked = union_sources(tables, source)
-        done = clean_table(stacked, plan, order_by, by=source, label="sources")
-        log.extend(done.log)
-        return done.table, plan, log
-    cleaned = {}
-    for i, (label, t) in enumerate(tables.items(), 1):
-        done = clean_table(t, plan, order_by, label=label, file_number=i)
-        cleaned[label] = done.table
-        log.extend(done.log)
-    return union_sources(cleaned, source), plan, log
-
+        plan = fit_plan(next(iter(tables.values())), order_by, **fit_options)
+    numbers = {label: i for i, label in enumerate(tables, 1)}
+    layouts: dict[tuple, dict[str, DataFrame]] = {}
+    for label, t in tables.items():
+        layout = tuple((f.name, f.dataType.simpleString()) for f in t.schema)
+        layouts.setdefault(layout, {})[label] = t
+    results, entries = [], []
+    for group in layouts.values():
+        if len(group) == 1:
+            ((label, t),) = group.items()
+            done = clean_table(t, plan, order_by, label=label, file_number=numbers[label])
+            results.append(with_source_column(done.table, label, source))
+            entries += done.log.entries
+            continue
+        casts = _decide_sources(union_sources(group, source), plan, order_by, source)
+        alike: dict[tuple, dict[object, list[CastStep]]] = {}
+        for label in group:
+            # a table without rows has no decision of its own
+            steps = casts.get(label, next(iter(casts.values()), []))
+            alike.setdefault(tuple(s.target for s in steps), {})[label] = steps
+        for decided in alike.values():
+            stacked = union_sources({label: group[label] for label in decided}, source)
+            files = {label: numbers[label] for label in decided}
+            done = clean_table(stacked, plan, order_by, by=source, label="sources", files=files, decided=decided)
+            results.append(done.table)
+            entries += done.log.entries
+    return stack_by_name(results), plan, ProcessingLog(sorted(entries, key=lambda e: e[0]))

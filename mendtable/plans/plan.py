@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import ref, unpivot_as
 from ..operators.infer import APPROVAL_CONFIDENCE, infer_types, reconcile_types
+from ..operators.nils import ALL_ACTIONS, NUMERIC_ACTIONS, OTHER_ACTIONS
 from ..sources.tables import path_exists
 
 COLUMN_DECISION = T.StructType(
@@ -28,9 +30,13 @@ PLAN_SCHEMA = T.StructType(
         T.StructField("stored_columns_to_drop", T.ArrayType(T.StringType())),
         T.StructField("fitted_integral_columns", T.ArrayType(T.StringType())),
         T.StructField("fitted_fill_values", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("fitted_category_levels", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
     ]
 )
 SKIP = "skip"
+NUMERIC_TARGETS = ("integer", "float", "currency")
+# A plan lists the levels of a categorical column that has at most this many.
+MOST_LEVELS = 1000
 
 
 @dataclass(frozen=True)
@@ -55,7 +61,8 @@ class CleaningPlan:
     """All decisions about a table. A stored choice is used for its own column only.
 
     ``integral`` and ``fills`` are fitted on the table the plan was made from and used by a frozen
-    replay alone; a normal replay fits every table anew.
+    replay alone; a normal replay fits every table anew. ``levels`` holds the values of categorical
+    columns, in order, so that cross tabulations of later tables have the same columns.
     """
 
     columns: dict[str, ColumnDecision] = field(default_factory=dict)
@@ -64,8 +71,27 @@ class CleaningPlan:
     columns_to_drop: list[str] = field(default_factory=list)
     integral: list[str] | None = None
     fills: dict[str, str] | None = None
+    levels: dict[str, list[str]] = field(default_factory=dict)
     preloaded: bool = False
 
+    def check(self, new: bool = False) -> None:
+        """Raise when a nil action does not suit the type the plan gives its column.
+
+        A new plan may only use the actions offered for a column of that kind. A plan that exists is
+        refused only where an action cannot be carried out: there is no median of text.
+        """
+        for c, action in self.nil_actions.items():
+            target = self.columns[c].target if c in self.columns else None
+            if target is None:
+                allowed = ALL_ACTIONS
+            elif target in NUMERIC_TARGETS:
+                allowed = NUMERIC_ACTIONS if new else ALL_ACTIONS
+            else:
+                dates = ["fill_zero", *["fill_median"] * (target == "datetime")]
+                allowed = OTHER_ACTIONS + dates * (not new)
+            if action not in allowed:
+                raise ValueError(f"{action!r} does not apply to column {c!r} of type {target!r}")
+
     def targets(self, df: DataFrame) -> dict[str, str]:
         """Target type of every planned column that ``df`` has, in schema order."""
         wanted = {c: self.columns[c].target for c in df.columns if c in self.columns}
@@ -75,7 +101,7 @@ class CleaningPlan:
         decisions = {c: (d.type, d.approved, d.correction) for c, d in self.columns.items()}
         row = (
             decisions, self.drop_duplicates, self.nil_actions, self.columns_to_drop,
-            self.integral, self.fills,
+            self.integral, self.fills, self.levels,
         )
         return spark.createDataFrame([row], PLAN_SCHEMA)
 
@@ -92,6 +118,7 @@ class CleaningPlan:
             list(row["stored_columns_to_drop"] or []),
             row["fitted_integral_columns"],
             row["fitted_fill_values"],
+            {c: list(v) for c, v in (row["fitted_category_levels"] or {}).items()},
             preloaded,
         )
 
@@ -149,6 +176,21 @@ def decide_columns(
     return decisions, {r["column_name"] for r in rows if r["all_integral"]}
 
 
+def decide_by_source(
+    df: DataFrame, columns: Sequence[str], source: str, order_by: Sequence[str] | None = None
+) -> dict[str, dict[object, tuple[str | None, bool]]]:
+    """Types of the text columns of stacked tables, each source by itself: column to source to target
+    (None if the confidence is low) and whether all its numbers are integers."""
+    profile = infer_types(df, columns, order_by, by=[source])
+    # one row per source and column
+    rows = profile.select(ref(source).alias("__source"), "column_name", "inferred_type", "confidence", "all_integral").collect()
+    out: dict[str, dict[object, tuple[str | None, bool]]] = {c: {} for c in columns}
+    for r in rows:
+        target = r["inferred_type"] if r["confidence"] >= APPROVAL_CONFIDENCE else None
+        out[r["column_name"]][r["__source"]] = (target, bool(r["all_integral"]))
+    return out
+
+
 def fit_plan(
     df: DataFrame,
     order_by: Sequence[str] | None = None,
@@ -164,11 +206,25 @@ def fit_plan(
     decisions, integral = decide_columns(
         df, columns, order_by, suggestions, corrections, approve_all
     )
-    return CleaningPlan(
+    plan = CleaningPlan(
         decisions,
         drop_duplicates,
         dict(nil_actions or {}),
         [c for c in columns_to_drop if c in df.columns],
         sorted(integral),
     )
+    plan.check(new=True)
+    plan.levels = category_values(df, [c for c, d in decisions.items() if d.target == "categorical"])
+    return plan
+
+
+def category_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """The non-empty values of categorical text columns that have at most ``MOST_LEVELS``, in order."""
+    if not columns:
+        return {}
+    values = unpivot_as(df, {c: ref(c).cast("string") for c in columns}).filter("value <> ''").distinct()
+    few = values.groupBy("column_name").count().filter(F.col("count") <= MOST_LEVELS).select("column_name")
+    # one row per column on the side, and at most MOST_LEVELS values for each
+    listed = values.join(F.broadcast(few), "column_name").groupBy("column_name").agg(F.array_sort(F.collect_set("value")).alias("v"))
+    return {r["column_name"]: list(r["v"]) for r in listed.collect()}
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import broadcast_if_small, quoted, ref, unused_name
+from ..functions.columns import broadcast_if_small, local_table, quoted, ref, unused_name
 from ..functions.parsing import path_parent, path_stem
-from ..operators.selection import SOURCE
+from ..operators.selection import SOURCE, stack_by_name
 from .workspace import materialize
 
 # File suffixes of each readable format.
@@ -43,15 +45,17 @@ def read_text_table(
     spark: SparkSession,
     paths: str | Sequence[str],
     fmt: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     with_path: str | None = None,
     stage: bool = False,
 ) -> DataFrame:
-    """Read files with one schema, every column as text, blanks as ``''``.
+    """Read files, every column as text, blanks as ``''``.
 
-    The format follows the suffix unless given. A CSV file whose fields may hold line breaks is
-    read by one task per file; ``multi_line=False`` splits large files that have none.
-    ``with_path`` names a column for the file path. ``stage`` writes the parsed rows to the shared
+    Each file is read by its own header and the files are stacked by column name; a column that a
+    file lacks is null in its rows. The format follows the suffix unless given. A CSV file whose
+    fields hold line breaks must be read by one task, since only a parser can tell where its rows
+    end; ``multi_line`` says whether there are any, and by default a scan of the lines for an odd
+    number of quotes finds out, so that all other files are split. ``with_path`` names a column for the file path. ``stage`` writes the parsed rows to the shared
     folder once, in columns: profiling reads each column by itself, and would else parse the files
     again for every one of them.
     """
@@ -67,21 +71,46 @@ def read_text_table(
         raise ValueError(f"Unsupported file format: {sorted({_suffix(p) for p in paths})}")
     if kinds == {"parquet"}:
         return read_snapshot_as_text(spark, paths, with_path)
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
-    df = reader.csv(paths)
-    data = df.columns
-    if with_path:
-        df = df.select(*[ref(c) for c in data], F.col("_metadata.file_path").alias(with_path))
-    df = blanks_for_nulls(df)
+    if multi_line is None:
+        multi_line = _has_quoted_breaks(spark, paths)
+    options = {
+        "header": True, "multiLine": multi_line, "escape": '"',
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+    headers = _each(paths, lambda p: tuple(spark.read.options(**options).csv(p).columns))
+    parts = [
+        blanks_for_nulls(_with_path(spark.read.options(**options).csv(same), with_path))
+        for same in _alike(paths, headers)
+    ]
+    df = stack_by_name(parts)
     return materialize(df, "text")[0] if stage else df
 
 
+def _each(paths: Sequence[str], look: Callable[[str], object]) -> list:
+    """What a look at the head of each file finds; several files at a time."""
+    with ThreadPool(min(8, len(paths))) as pool:
+        return pool.map(look, paths)
+
+
+def _alike(paths: Sequence[str], kinds: Sequence) -> list[list[str]]:
+    groups: dict[object, list[str]] = {}
+    for p, kind in zip(paths, kinds):
+        groups.setdefault(kind, []).append(p)
+    return list(groups.values())
+
+
+def _has_quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> bool:
+    """Whether some line has an odd number of quotes, as it must where a field goes on to the next."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    return not spark.read.text(list(paths)).filter(quotes % 2 == 1).isEmpty()
+
+
+def _with_path(df: DataFrame, with_path: str | None) -> DataFrame:
+    if not with_path:
+        return df
+    return df.select(*[ref(c) for c in df.columns], F.col("_metadata.file_path").alias(with_path))
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Every column as text; missing values become ``''`` and stay missing."""
     out = []
@@ -96,35 +125,42 @@ def as_text(df: DataFrame) -> DataFrame:
 def read_snapshot_as_text(
     spark: SparkSession, paths: str | Sequence[str], with_path: str | None = None
 ) -> DataFrame:
-    """Read saved tables and turn every column into text."""
+    """Read saved tables and turn every column into text; tables of different columns are stacked by
+    name, and a column that a table lacks is null in its rows."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.parquet(*paths)
-    if with_path:
-        df = df.select(*[ref(c) for c in df.columns], F.col("_metadata.file_path").alias(with_path))
-    return as_text(df)
+    reader = spark.read.option("mergeSchema", True)
+    schemas = _each(paths, lambda p: reader.parquet(p).schema.json())
+    return stack_by_name(
+        [as_text(_with_path(reader.parquet(*same), with_path)) for same in _alike(paths, schemas)]
+    )
 
 
-def unique_label(path: str, paths: Sequence[str] | None = None) -> str:
-    """Label of one file among others: its stem, or its directory if the stem repeats."""
-    def stem(p: str) -> str:
-        name = p.rsplit("/", 1)[-1]
-        dot = name.rfind(".")
-        return name[:dot] if dot > 0 else name
+def labels_of(paths: Sequence[str]) -> dict[str, str]:
+    """The label of every file: its stem, or the name of its folder where files share the stem."""
+    files = {p: PurePosixPath(p) for p in paths}
+    times = Counter(f.stem for f in files.values())
+    return {p: f.stem if times[f.stem] == 1 else f.parent.name for p, f in files.items()}
 
-    if paths is not None and Counter(stem(p) for p in paths)[stem(path)] > 1:
-        parts = path.rsplit("/", 2)
-        return parts[-2] if len(parts) > 1 else ""
-    return stem(path)
+
+def unique_label(path: str, paths: Sequence[str] | None = None) -> str:
+    """The label of one file among others."""
+    return labels_of(paths or [path])[path]
 
 
-def label_sources(df: DataFrame, path_column: str, source: str = SOURCE) -> DataFrame:
+def label_sources(
+    df: DataFrame, path_column: str, source: str = SOURCE, files: Sequence[str] | None = None
+) -> DataFrame:
     """Add the label of each row's file: its stem, or its directory if two files share the stem.
 
-    The path list is combined map-side before it is compared; the repeated stems are broadcast
-    if they are few, else joined by shuffle.
+    ``files`` lists the files where the caller knows them; otherwise a scan of the path column
+    does, combined map-side. The repeated stems are broadcast if they are few, else joined by
+    shuffle.
     """
     stem = unused_name(df, "__stem")
-    paths = df.select(ref(path_column).alias("__path")).distinct()
+    if files is not None:
+        paths = local_table(df.sparkSession, [(f,) for f in sorted(set(files))], "__path string")
+    else:
+        paths = df.select(ref(path_column).alias("__path")).distinct()
     repeated = (
         paths.groupBy(path_stem("__path").alias("__repeated"))
         .agg(F.count(F.lit(1)).alias("__files"))
@@ -143,12 +179,15 @@ def read_sources(
     spark: SparkSession,
     paths: Sequence[str],
     fmt: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     stage: bool = False,
 ) -> DataFrame:
     """All files as one text table with ``file_path`` and the ``source_file`` label."""
-    rows = read_text_table(spark, paths, fmt, multi_line, with_path="file_path", stage=stage)
-    return label_sources(rows, "file_path")
+    rows = read_text_table(spark, paths, fmt, multi_line, with_path="file_path")
+    files = rows.inputFiles()
+    if stage:
+        rows, _ = materialize(rows, "text")
+    return label_sources(rows, "file_path", files=files)
 
 
 def snapshot_path(folder: str, label: str, kind: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -10,38 +12,44 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The session's shared folder; on a local master without one, a new temporary folder.
+_local: list[str] = []
 
-    None on a cluster that names no folder: a machine-local path would be lost with its machine.
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's shared folder.
+
+    Only a local master may do without: it gets a temporary folder, removed when Python ends. On a
+    cluster a machine-local path would be lost with its machine, so a missing setting is an error.
     """
-    context = spark.sparkContext
-    named = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
-        return None
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="mendtable-"))
-    return context.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {SETTING} to a folder all machines can reach")
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="mendtable-"))
+        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+    return _local[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError(f"set {SETTING} to a folder all machines can reach")
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write a table to the shared folder and read it back, so later passes do not redo its work.
 
-    Unlike a cached table it survives the loss of an executor without recomputation. Where no
-    shared folder is named the table is returned as it is, and False with it.
+    Unlike a cached table it survives the loss of an executor without recomputation. The path comes
+    with it, for ``discard``.
     """
     spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df, False
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), True
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

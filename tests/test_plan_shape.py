@@ -15,6 +15,8 @@ from mendtable.operators.infer import infer_types
 from mendtable.operators.selection import head_per_source
 from mendtable.operators.statistics import iqr_outlier_rows
 from mendtable.operators.summaries import source_summary
+from mendtable.plans.report import analysis_report
+from mendtable.sources.tables import read_text_table
 
 HEAVY = ["infer_types", "column_statistics", "clean_many", "repair_nils_by_group", "chart_box", "describe_by_source"]
 
@@ -62,9 +64,37 @@ def test_heads_are_cut_before_the_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_inference_samples_with_bounded_heaps(spark, sf_dir):
+def test_inference_samples_are_cut_before_the_shuffle(spark, sf_dir):
     messy = fx.messy_orders(spark, sf_dir).select("o_orderkey", "status", "priority")
-    assert "TakeOrderedAndProject" in physical_plan(infer_types(messy, order_by=["o_orderkey"]))
+    plan = physical_plan(infer_types(messy, order_by=["o_orderkey"]))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_inference_reads_a_file_twice_at_most(spark, tmp_path):
+    path = str(tmp_path / "seven.csv")
+    spark.range(50).selectExpr(*[f"cast(id + {j} as string) as c{j}" for j in range(7)]).write.csv(path, header=True)
+    plan = physical_plan(infer_types(read_text_table(spark, path)))
+    assert plan.split("\n\n")[0].count("Scan csv") <= 2
+
+
+def jobs_of(spark, call):
+    """How many jobs a call starts."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "")
+    before = len(tracker.getJobIdsForGroup("counted"))
+    try:
+        out = call()
+        return out, len(tracker.getJobIdsForGroup("counted")) - before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_report_runs_nothing_until_a_part_is_asked_for(spark, sf_dir):
+    docs = fx.stacked_documents(spark, sf_dir)
+    report, n = jobs_of(spark, lambda: analysis_report(docs, ["n_chars"], "source", order_by=["doc_id"]))
+    assert n == 0 and set(report) == {"describe", "entity_stats", "total_records", "sample", "breakdown", "breakdown_long"}
+    total, n = jobs_of(spark, lambda: report["total_records"])
+    assert n == 0 and report["total_records"] is total
 
 
 def test_a_hot_source_does_not_change_the_answer(spark):

@@ -1,6 +1,7 @@
 """Plans: decide, save, replay; many tables; reports and charts."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -291,7 +292,10 @@ class FakeSession:
 def test_shared_folder_follows_the_session():
     assert shared_folder(FakeSession("/shared/folder/", None, "yarn")) == "/shared/folder"
     assert shared_folder(FakeSession(None, "/set/in/code", "yarn")) == "/set/in/code"
-    assert shared_folder(FakeSession(None, None, "yarn")) is None
+    with pytest.raises(ValueError):
+        shared_folder(FakeSession(None, None, "yarn"))
+    local = shared_folder(FakeSession(None, None, "local[2]"))
+    assert os.path.isdir(local) and shared_folder(FakeSession(None, None, "local")) == local
     assert scratch_path(FakeSession("/shared", None, "yarn"), "x").startswith("/shared/x-")
     with pytest.raises(ValueError):
         scratch_path(FakeSession(None, None, "yarn"), "x")
