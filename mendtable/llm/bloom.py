@@ -144,10 +144,8 @@ def repeated_among(df: DataFrame, column: str, rows: int) -> Broadcast:
 def passes(column: Column, found: Broadcast) -> Column:
     """Whether a hash column passes the filter; only the hashes go through Python."""
 
-    @F.pandas_udf(T.BooleanType())
-    def test(h):
-        import pandas as pd
-
-        return pd.Series(may_repeat(h.to_numpy().view(np.uint64), found.value))
+    @F.arrow_udf(T.BooleanType())
+    def test(h: pa.Array) -> pa.Array:
+        return pa.array(may_repeat(h.to_numpy().view(np.uint64), found.value))
 
     return test(column)

@@ -310,7 +310,7 @@ def codec_of(vocabulary: Broadcast) -> Codec:
     return _codecs[key]
 
 
-def text_groups(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def text_groups(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Rows of a batch (id, text) in groups of about ``most`` bytes: ids, bytes, text borders."""
     raw, ends = batch_bytes(batch.column(1))
     n, at = batch.num_rows, 0

@@ -58,62 +58,60 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(training: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages of rows (lang, text), and the logarithm of each bucket's share in each."""
+    """The languages of rows (lang, text), and for each the logarithms of the buckets' shares."""
     counted = training.mapInArrow(_count, _COUNTS).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # one row for each language, as long as the table of buckets
     rows = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")).toArrow()
     order = np.argsort(np.array(rows.column("lang").to_pylist(), object)) if len(rows) else []
     langs = [rows.column("lang")[int(i)].as_py() for i in order]
-    shares = np.zeros((BUCKETS, len(langs)))
+    shares = np.zeros((len(langs), BUCKETS))
     for j, i in enumerate(order):
         cells = rows.column("cells")[int(i)].values
         counts = np.full(BUCKETS, 0.5)
         counts[cells.field("bucket").to_numpy()] += cells.field("n").to_numpy()
-        shares[:, j] = np.log(counts / counts.sum())
+        shares[j] = np.log(counts / counts.sum())
     return langs, shares
 
 
 def _estimate(likely: np.ndarray, times: np.ndarray, begins: np.ndarray, doc: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expectation-maximisation for many documents: proportions, and the log-likelihood they reach
-    (less that of each word's best language)."""
+    """Expectation-maximisation for many documents, one row for each language: proportions, and the
+    log-likelihood they reach (less that of each word's best language)."""
     total = np.add.reduceat(times, begins)
     for _ in range(rounds):
-        joint = share[doc] * likely
-        joint *= (times / joint.sum(1))[:, None]
-        share = np.add.reduceat(joint, begins) / total[:, None]
-    reached = np.log((share[doc] * likely).sum(1))
+        joint = np.take(share, doc, 1) * likely
+        joint *= times / joint.sum(0)
+        share = np.add.reduceat(joint, begins, axis=1) / total
+    reached = np.log((np.take(share, doc, 1) * likely).sum(0))
     return share, np.add.reduceat(times * reached, begins)
 
 
 def mixtures(logs: np.ndarray, doc: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Proportions of the languages for documents 0, 1, ... whose words, in order of documents, have
-    log-likelihoods ``logs`` by language."""
+    """Proportions, a row for each language, in documents 0, 1, ... whose words, in order of documents,
+    have log-likelihoods ``logs``, a row for each language too."""
     begins = np.flatnonzero(np.diff(doc, prepend=-1))
-    n, size = len(begins), logs.shape[1]
+    n, size = len(begins), len(logs)
     # no word is impossible, so that a document may lose any language
-    likely = np.exp(np.maximum(logs - logs.max(1, keepdims=True), -200))
+    likely = np.ascontiguousarray(np.exp(np.maximum(logs - logs.max(0), -200)))
     words = np.add.reduceat(times, begins).astype(float)
-    share, reached = _estimate(likely, times, begins, doc, np.full((n, size), 1 / size), ROUNDS)
-    active = np.ones((n, size), bool)
-    open_docs = np.arange(n)
+    share, reached = _estimate(likely, times, begins, doc, np.full((size, n), 1 / size), ROUNDS)
+    active = np.ones((size, n), bool)
+    tried_docs = np.arange(n)
     for _ in range(size - 1):
-        smallest = np.where(active[open_docs], share[open_docs], 2.0).argmin(1)
-        tried = share[open_docs]
-        tried[np.arange(len(open_docs)), smallest] = 0
-        mask = active[open_docs]
-        mask[np.arange(len(open_docs)), smallest] = False
-        tried = np.where(mask, np.maximum(tried, 1e-6), 0)
-        tried /= tried.sum(1, keepdims=True)
-        rows = np.flatnonzero(np.isin(doc, open_docs)) if len(open_docs) < n else np.arange(len(doc))
-        local = np.searchsorted(open_docs, doc[rows])
+        smallest = np.where(active[:, tried_docs], share[:, tried_docs], 2.0).argmin(0)
+        mask = active[:, tried_docs]
+        mask[smallest, np.arange(len(tried_docs))] = False
+        tried = np.where(mask, np.maximum(share[:, tried_docs], 1e-6), 0)
+        tried /= tried.sum(0)
+        rows = np.flatnonzero(np.isin(doc, tried_docs)) if len(tried_docs) < n else np.arange(len(doc))
+        local = np.searchsorted(tried_docs, doc[rows])
         first = np.flatnonzero(np.diff(local, prepend=-1))
-        tried, gained = _estimate(likely[rows], times[rows], first, local, tried, ROUNDS // 2)
-        better = gained + 0.5 * np.log(words[open_docs] + 1) >= reached[open_docs]
-        done = open_docs[better]
-        share[done], reached[done] = tried[better], gained[better]
-        active[done, smallest[better]] = False
-        open_docs = done
-        if not len(open_docs):
+        tried, gained = _estimate(np.take(likely, rows, 1), times[rows], first, local, tried, ROUNDS // 2)
+        better = gained + 0.5 * np.log(words[tried_docs] + 1) >= reached[tried_docs]
+        done = tried_docs[better]
+        share[:, done], reached[done] = tried[:, better], gained[better]
+        active[smallest[better], done] = False
+        tried_docs = done
+        if not len(tried_docs):
             break
     return share
 
@@ -125,12 +123,12 @@ def predict(raw: np.ndarray, ends: np.ndarray, langs: list[str], shares: np.ndar
     best, score = np.full(n, -1), np.zeros(n)
     if len(text) and langs:
         found, owner = ngrams(folded, starts, sizes, LENGTHS, BUCKETS)
-        logs = np.stack([np.bincount(owner, shares[found, j], minlength=len(starts)) for j in range(len(langs))], 1)
+        logs = np.stack([np.bincount(owner, of_lang[found], minlength=len(starts)) for of_lang in shares])
         logs /= len(LENGTHS)
         some, doc = np.unique(text, return_inverse=True)
-        share = mixtures(logs[word], doc, times)
-        best[some] = share.argmax(1)
-        score[some] = np.minimum(share.max(1), 1.0)
+        share = mixtures(np.take(logs, word, 1), doc, times)
+        best[some] = share.argmax(0)
+        score[some] = np.minimum(share.max(0), 1.0)
     return [langs[b] if b >= 0 else None for b in best.tolist()], score
 
 
@@ -145,18 +143,16 @@ def with_language(
     names = docs.columns
     told = unused_name(docs, "told")
 
-    @F.pandas_udf("lang string, score double")
-    def tell(texts):
-        import pandas as pd
-
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def tell(texts: pa.Array) -> pa.Array:
         langs, shares = model.value
         kinds, found = [], [np.zeros(0)]
-        batch = pa.RecordBatch.from_arrays([pa.nulls(len(texts)), pa.array(texts, pa.string())], names=["a", "b"])
+        batch = pa.RecordBatch.from_arrays([pa.nulls(len(texts)), texts], names=["none", "text"])
         for _, raw, ends in text_groups(batch):
             some, score = predict(raw, ends, langs, shares)
             kinds += some
             found.append(score)
-        return pd.DataFrame({"lang": pd.Series(kinds, dtype=object), "score": np.concatenate(found)})
+        return pa.StructArray.from_arrays([pa.array(kinds, pa.string()), pa.array(np.concatenate(found))], ["lang", "score"])
 
     letters = F.coalesce(ref(text).rlike("\\p{L}"), F.lit(False))
     told_docs = docs.withColumn(told, tell(F.coalesce(ref(text), F.lit(""))))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 from .common import mixed, ranges
-from .stretches import powers, prefix_sums
+from .hashing import PIECE, powers, prefix_sums, span_hashes
 
 # what stands for a byte within words: itself, lower-cased; 0 for bytes that part words
 _FOLDED = np.zeros(256, np.uint8)
@@ -32,24 +32,34 @@ def words_in(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def distinct_words(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The folded text, start and size of each distinct word of all texts, and for each text and
-    distinct word in it: the text, the word's number and how often it occurs."""
+    """The distinct words of all texts, one after the other with a 0 around each, and where each
+    starts and its size; and for each text and distinct word in it: the text, the word's number and
+    how often it occurs."""
     folded, starts, sizes, text = words_in(raw, ends)
-    total, down = prefix_sums(folded.astype(np.uint64)), powers(len(folded))[1]
-    key = mixed((total[starts + sizes] - total[starts]) * down[starts] + sizes.astype(np.uint64))
+    key = span_hashes(folded, starts, starts + sizes)
     _, first, number = np.unique(key, return_index=True, return_inverse=True)
-    pair, times = np.unique(text * np.int64(max(1, len(first))) + number, return_counts=True)
-    return folded, starts[first], sizes[first], pair // max(1, len(first)), pair % max(1, len(first)), times
+    n = max(1, len(first))
+    pair, times = np.unique(text * np.int64(n) + number, return_counts=True)
+    kept = sizes[first]
+    at = np.cumsum(kept + 1) - kept
+    letters = np.zeros(int((kept + 1).sum()) + 1, np.uint8)
+    letters[ranges(at, kept)] = folded[ranges(starts[first], kept)]
+    return letters, at, kept, pair // n, pair % n, times
 
 
-def ngrams(folded: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lengths: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lengths: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of all n-grams of words with their borders, and the word of each."""
-    total, down = prefix_sums(folded.astype(np.uint64) + np.uint64(1)), powers(len(folded))[1]
     found, owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for n in lengths:
-        count = np.maximum(sizes + 3 - n, 0)
-        at = ranges(starts - 1, count)
-        h = mixed((total[at + n] - total[at]) * down[at] + np.uint64(n))
-        found.append((h % np.uint64(buckets)).astype(np.int64))
-        owner.append(np.repeat(np.arange(len(starts)), count))
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + PIECE)))
+        lo, hi = int(starts[i]) - 1, int(starts[j - 1] + sizes[j - 1]) + 1
+        total, down = prefix_sums(letters[lo:hi].astype(np.uint64) + np.uint64(1)), powers(hi - lo)[1]
+        for n in lengths:
+            count = np.maximum(sizes[i:j] + 3 - n, 0)
+            at = ranges(starts[i:j] - 1 - lo, count)
+            h = mixed((total[at + n] - total[at]) * down[at] + np.uint64(n))
+            found.append((h % np.uint64(buckets)).astype(np.int64))
+            owner.append(np.repeat(np.arange(i, j), count))
+        i = j
     return np.concatenate(found), np.concatenate(owner)

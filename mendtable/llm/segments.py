@@ -13,7 +13,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-from .common import mixed, ranges
+from .common import ranges
+from .hashing import span_hashes
 
 #: After so many segments a worker starts a new table (about 40 bytes each).
 REMEMBERED = 2_000_000
@@ -27,24 +28,9 @@ _NO_BORDER = np.zeros(256, bool)
 _NO_BORDER[: 0x21] = True
 _NO_BORDER[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
-_BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
-
-
-def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse, modulo 2**64, for i < n."""
-    inverse = np.uint64(pow(int(base), -1, 1 << 64))
-    out = []
-    for b in (base, inverse):
-        p = np.full(n, b, np.uint64)
-        p[:1] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
-
-
 class SegmentTable:
     def __init__(self, encode: Encoder):
         self.encode_new = encode
-        self.powers = [_powers(b, 1 << 16) for b in _BASES]
         self._clear()
 
     def _clear(self) -> None:
@@ -55,16 +41,6 @@ class SegmentTable:
         self.ids = np.zeros(1 << 20, np.int32)
         self.used = 0
 
-    def _hashes(self, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
-        if len(raw) > len(self.powers[0][0]):
-            self.powers = [_powers(b, 2 * len(raw)) for b in _BASES]
-        out = []
-        for up, down in self.powers:
-            total = np.zeros(len(raw) + 1, np.uint64)
-            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=total[1:])
-            out.append(mixed((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(np.uint64)))
-        return out
-
     def encode(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Encode the texts raw[ends[i]:ends[i + 1]]: all ids, and the text borders among them."""
         if len(raw) == 0:
@@ -74,7 +50,7 @@ class SegmentTable:
         border[ends[:-1][ends[:-1] < ends[1:]]] = True
         starts = np.flatnonzero(border)
         stops = np.append(starts[1:], len(raw))
-        keys, checks = self._hashes(raw, starts, stops)
+        keys, checks = (span_hashes(raw, starts, stops, which) for which in (0, 1))
         seen, first, back = np.unique(keys, return_index=True, return_inverse=True)
         if (checks[first][back] != checks).any():
             raise ValueError("two segments share a 64-bit hash")

@@ -35,25 +35,15 @@ from pyspark.sql import functions as F
 from . import bloom
 from .bpe import text_groups
 from .common import mixed, same, slim, stored, text_key
-from .segments import _powers
+from .hashing import powers, prefix_sums, span_hashes
 
 SPLIT = 1024
 SHARD_BYTES = 1_500_000
 #: Units looked at together; longer texts are cut, with an overlap of one window.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _PLACE_BITS = np.uint64(26)
 _PLACES = np.uint64((1 << 26) - 1)
-_BASE = np.uint64(0xA0761D6478BD642F)
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << 16, 1 << int(n).bit_length())
-    if size not in _tables:
-        _tables.clear()
-        _tables[size] = _powers(_BASE, size)
-    return _tables[size]
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -69,12 +59,6 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(len(values))[0][: len(values)], out=total[1:])
-    return total
-
-
 def find_stretches(units: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
     """The stretches of the texts units[ends[i]:ends[i + 1]]: first window, windows, anchor hash."""
     none = np.zeros(0, np.int64)
@@ -129,8 +113,7 @@ class Words:
         joined = b" ".join(words)
         starts = np.cumsum(sizes + 1) - sizes - 1
         stops = starts + sizes
-        total = prefix_sums(np.frombuffer(joined, np.uint8).astype(np.uint64) + np.uint64(1))
-        units = mixed((total[stops] - total[starts]) * powers(len(joined))[1][starts] + sizes.astype(np.uint64))
+        units = span_hashes(np.frombuffer(joined, np.uint8), starts, stops)
         for group, offset, lo, hi, inner in _chunks(borders, self.window):
             yield group, offset, units[lo:hi], inner, lambda p, n: joined[starts[lo + p] : stops[lo + p + n + self.window - 2]]
 

@@ -53,10 +53,10 @@ def test_language_without_training_rows(docs_of, odd_texts):
 def test_mixture_finds_the_languages_of_a_mixed_text():
     # two languages that share no words, a third that fits nothing well
     logs = np.log(np.array([[0.9, 0.05, 0.05]] * 60 + [[0.05, 0.9, 0.05]] * 40))
-    share = language.mixtures(logs, np.zeros(100, int), np.ones(100))
-    assert share[0, 2] == 0 and abs(share[0, 0] - 0.6) < 0.05
-    share = language.mixtures(logs[:60], np.zeros(60, int), np.ones(60))
-    assert share[0].tolist() == [1, 0, 0]
+    share = language.mixtures(logs.T, np.zeros(100, int), np.ones(100))
+    assert share[2, 0] == 0 and abs(share[0, 0] - 0.6) < 0.05
+    share = language.mixtures(logs[:60].T, np.zeros(60, int), np.ones(60))
+    assert share[:, 0].tolist() == [1, 0, 0]
 
 
 def test_unknown_documents_are_rejected(docs_of, odd_texts):
