@@ -155,11 +155,13 @@ class _Job:
 
     def first_pass(self, rows: DataFrame):
         """Sizes and sketches of every (group, column), and the targets they lead to."""
-        first = {}
+        first = dict(self.extra)
         for j in range(len(self.names)):
             first[f"n{j}"] = _sketch_size(f"__v{j}")
             first[f"edges{j}"] = sketch_quantiles(f"__v{j}", _edges(self.probs))
         fitted = rows.groupBy(*self.keys).agg(_together(first)).collect()
+        if self.extra:
+            self.extra_row = fitted[0]["r"]
         targets = [
             _target(self.key(row), j, row["r"][f"n{j}"], row["r"][f"edges{j}"], self.probs)
             for row in fitted
@@ -207,66 +209,55 @@ class _Job:
         return rows, lambda j, i: (f"__low{j}_{i}", f"__high{j}_{i}")
 
     def resolve(self, targets: list[_Target]) -> None:
-        """Rank the bracket values: count what lies below each bracket, then run through it."""
+        """Rank the bracket values, in one pass: values between brackets are counted by the gap they
+        fall in, values inside one by one, and the ranks run through both in order."""
         for t in targets:
             t.merge_brackets()
             t.inner = math.inf
         m = len(self.probs)
+        ascending = sorted(range(m), key=lambda i: self.probs[i])
         columns = sorted({t.column for t in targets})
         rows, ends = self.with_brackets(targets)
-        below, inside = dict(self.extra), {}
+        spots = {}
         for j in columns:
-            spots = []
-            for i in range(m):
+            v = f"__v{j}"
+            cases, inside = [], []
+            for place, i in enumerate(ascending):
                 low, high = ends(j, i)
-                below[f"below{j}_{i}"] = f"count_if(__v{j} < {low})"
-                spots.append(f"__v{j} BETWEEN {low} AND {high}")
-            inside[f"__v{j}"] = F.expr(f"CASE WHEN {' OR '.join(spots)} THEN __v{j} END")
-        index: dict[tuple, dict[int, _Target]] = {}
-        for t in targets:
-            index.setdefault(t.key, {})[t.column] = t
-        # plain counts and moments compile to one generated loop, unlike sketches
-        spans = []
-        for row in rows.groupBy(*self.keys).agg(_together(below)).collect():
-            if self.extra:
-                self.extra_row, self.extra = row["r"], {}
-            for j, t in index[self.key(row)].items():
-                for i, k in enumerate(t.ranks):
-                    spans.append((*t.key, f"__v{j}", t.low[i], t.high[i], i, k - row["r"][f"below{j}_{i}"]))
+                cases.append(f"WHEN {v} < {low} THEN {2 * place} WHEN {v} <= {high} THEN {2 * place + 1}")
+                inside.append(f"{v} BETWEEN {low} AND {high}")
+            spots[v] = F.expr(
+                f"CASE WHEN {v} IS NOT NULL THEN named_struct('spot', CASE {' '.join(cases)} ELSE {2 * m} END,"
+                f" 'at', CASE WHEN {' OR '.join(inside)} THEN {v} END) END"
+            )
         counts = (
-            unpivot_as(rows, inside, self.by, "at")
-            .filter("at IS NOT NULL")
-            .groupBy(*self.keys, "column_name", "at")
+            unpivot_as(rows, spots, self.by, "value")
+            .filter("value IS NOT NULL")
+            .selectExpr(*self.key_text, "column_name", "value.spot", "value.at")
+            .groupBy(*self.keys, "column_name", "spot", "at")
             .agg(F.expr("count(1) AS cnt"))
         )
         side = self.side(
-            spans,
-            [
-                T.StructField("__column", T.StringType()),
-                T.StructField("__low", T.DoubleType()),
-                T.StructField("__high", T.DoubleType()),
-                T.StructField("__i", T.IntegerType()),
-                T.StructField("__k", T.LongType()),
-            ],
+            [(*t.key, f"__v{t.column}", *t.ranks) for t in targets],
+            [T.StructField("__column", T.StringType()), *[T.StructField(f"__k{i}", T.LongType()) for i in range(m)]],
         )
-        run = counts.join(
-            side, self.same_group() & F.expr("column_name = __column AND at BETWEEN __low AND __high")
-        )
-        w = Window.partitionBy(*self.keys, "column_name", "__i").orderBy("at")
+        run = counts.join(side, self.same_group() & F.expr("column_name = __column"))
+        w = Window.partitionBy(*self.keys, "column_name").orderBy("spot", "at")
         run = run.withColumn("end", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        picked = run.groupBy(*self.keys, "column_name", "__i").agg(
-            F.expr("max(CASE WHEN end - cnt <= __k AND __k < end THEN at END)").alias("__a"),
-            F.expr("max(CASE WHEN end - cnt <= __k + 1 AND __k + 1 < end THEN at END)").alias("__b"),
-        )
-        hits = {(self.key(r), int(r["column_name"][3:]), r["__i"]): r for r in picked.collect()}
+        picks = {}
+        for i in range(m):
+            for name, k in ((f"a{i}", f"__k{i}"), (f"b{i}", f"__k{i} + 1")):
+                picks[name] = f"max(CASE WHEN end - cnt <= {k} AND {k} < end THEN at END)"
+        picked = run.groupBy(*self.keys, "column_name").agg(_together(picks)).collect()
+        hits = {(self.key(r), int(r["column_name"][3:])): r["r"] for r in picked}
         for t in targets:
-            found = []
+            found, r = [], hits.get((t.key, t.column))
             for i, fraction in enumerate(t.fractions):
-                r = hits.get((t.key, t.column, i))
-                if r is None or r["__a"] is None or (r["__b"] is None and fraction > 0):
+                a, b = (r[f"a{i}"], r[f"b{i}"]) if r is not None else (None, None)
+                if a is None or (b is None and fraction > 0):
                     t.widen(i)
                 else:
-                    found.append(_lerp(r["__a"], r["__b"], fraction))
+                    found.append(_lerp(a, b, fraction))
             if len(found) == len(t.ranks):
                 t.found = found
 
@@ -347,8 +338,8 @@ def table_quantiles(
     ``columns`` maps a name to a double expression over ``df``; null and NaN are ignored and a
     column without values maps to None. ``moments`` names SQL aggregates over ``{}`` for each of
     these columns, returned under (name, column); ``extra`` maps a name to a column of ``df`` and
-    a SQL aggregate over it. Both ride on a scan that runs anyway. Like
-    ``DataFrame.approxQuantile`` this runs jobs at call time and collects a few numbers a column.
+    a SQL aggregate over it. Both ride on the first scan. Like ``DataFrame.approxQuantile`` this
+    runs jobs at call time and collects a few numbers a column.
     """
     extra = extra or {}
     job = _Job(df, columns, (), probs, [c for c, _ in extra.values()])
@@ -359,7 +350,7 @@ def table_quantiles(
     if columns:
         _, targets = job.first_pass(job.rows)
         job.solve(targets)
-    if job.extra:
+    elif job.extra:
         job.extra_row = job.rows.agg(_together(job.extra)).first()["r"]
     found = {job.names[t.column]: t.found for t in targets}
     extras = {n: job.extra_row[f"extra{i}"] for i, n in enumerate(wanted)}

@@ -17,10 +17,6 @@ QUARTILES = [0.25, 0.5, 0.75]
 FENCE = 1.5
 
 _MOMENTS = {"min": "min({})", "max": "max({})", "mean": "avg({})", "std": "stddev_samp({})"}
-_FACTS = (
-    "column_name string, q1 double, median double, q3 double,"
-    " min double, max double, mean double, std double"
-)
 
 
 def _doubles(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
@@ -46,11 +42,22 @@ def _numeric_facts(df: DataFrame, columns: Sequence[str], by: Sequence[str]) ->
     """Quartiles and moments per numeric column (and group)."""
     spark = df.sparkSession
     if not by:
-        q, moments = table_quantiles(df, _doubles(df, columns), QUARTILES, _MOMENTS)
-        rows = [
-            (c, *(q[c] or [None] * 3), *[moments[(name, c)] for name in _MOMENTS]) for c in columns
-        ]
-        return local_table(spark, rows, _FACTS)
+        found, _ = table_quantiles(df, _doubles(df, columns), QUARTILES)
+        rows = [(c, *(found[c] or [None] * 3)) for c in columns]
+        q = local_table(spark, rows, "column_name string, q1 double, median double, q3 double")
+        moments = unpivot_as(
+            df.select(*[_present(df, c).alias(f"__p{j}") for j, c in enumerate(columns)]).agg(
+                *[
+                    F.struct(*[F.expr(text.format(f"__p{j}")).alias(name) for name, text in _MOMENTS.items()]).alias(f"__m{j}")
+                    for j in range(len(columns))
+                ]
+            ),
+            {c: F.col(f"__m{j}") for j, c in enumerate(columns)},
+            (),
+            "m",
+        )
+        # one row per column on either side
+        return q.join(F.broadcast(moments), "column_name").select("column_name", "q1", "median", "q3", "m.*")
     keys = [ref(b) for b in by]
     q = grouped_quantiles(df, _doubles(df, columns), QUARTILES, by).select(
         *keys,

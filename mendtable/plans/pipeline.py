@@ -185,15 +185,14 @@ def clean_table(
         if plan.drop_duplicates:
             rows = drop_duplicates(rows)
     elif plan.drop_duplicates:
-        seen = Observation()
-        rows, path = materialize(
-            drop_duplicates(typed.observe(seen, F.count(F.lit(1)).alias("n"))), f"{label}-deduplicated"
-        )
+        seen, kept = Observation(), Observation()
+        n = F.count(F.lit(1)).alias("n")
+        rows, path = materialize(drop_duplicates(typed.observe(seen, n)).observe(kept, n), f"{label}-deduplicated")
         scratch.append(path)
         if by:
             copies = {s: n - _counts(rows, by).get(s, 0) for s, n in _counts(typed, by).items()}
         else:
-            copies = {None: seen.get["n"] - rows.count()}
+            copies = {None: seen.get["n"] - kept.get["n"]}
     elif not snapshots:
         rows, path = materialize(rows, f"{label}-typed")
         scratch.append(path)

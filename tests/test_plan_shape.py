@@ -13,8 +13,10 @@ from mendtable.operators.duplicates import duplicate_count
 from mendtable.operators.frequencies import value_frequencies
 from mendtable.operators.infer import infer_types
 from mendtable.operators.selection import head_per_source
-from mendtable.operators.statistics import iqr_outlier_rows
+from mendtable.operators.statistics import column_statistics, iqr_outlier_rows
 from mendtable.operators.summaries import source_summary
+from mendtable.plans.pipeline import clean_table
+from mendtable.plans.plan import CleaningPlan, ColumnDecision
 from mendtable.plans.report import analysis_report
 from mendtable.sources.tables import read_text_table
 
@@ -89,6 +91,19 @@ def jobs_of(spark, call):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_few_jobs_at_call(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_tax", "l_returnflag")
+    _, n = jobs_of(spark, lambda: column_statistics(lines))
+    assert n <= 6
+    typed = lines.selectExpr("cast(l_quantity as string) as q", "l_returnflag as f", "cast(l_tax as string) as t")
+    plan = CleaningPlan(
+        {"q": ColumnDecision("float"), "f": ColumnDecision("categorical"), "t": ColumnDecision("float")}, True,
+        {"q": "fill_median", "t": "fill_zero", "f": "fill_unknown"},
+    )
+    _, n = jobs_of(spark, lambda: clean_table(typed, plan))
+    assert n <= 8
+
+
 def test_a_report_runs_nothing_until_a_part_is_asked_for(spark, sf_dir):
     docs = fx.stacked_documents(spark, sf_dir)
     report, n = jobs_of(spark, lambda: analysis_report(docs, ["n_chars"], "source", order_by=["doc_id"]))
