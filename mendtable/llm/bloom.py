@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mixed
+from .common import mixed, prepared
 
 MAX_BITS = 1 << 30
 SLICE_BITS = 1 << 20
@@ -133,6 +133,7 @@ def may_repeat(hashes: np.ndarray, data: bytes) -> np.ndarray:
 
 def repeated_among(df: DataFrame, column: str, rows: int) -> Broadcast:
     """The filter of the hashes that occur more than once in a column of ``df``."""
+    prepared(df.sparkSession)
     bits = filter_bits(rows)
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
-from .common import batch_bytes, slim
+from .common import batch_bytes, prepared, slim
 from .segments import SegmentTable
 
 # fixed values: the pattern of byte-level pre-tokenization
@@ -51,7 +51,7 @@ def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
 
 def broadcast_vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast:
     """The vocabulary file's text; its size is that of one tokenizer and no matter of the data."""
-    return spark.sparkContext.broadcast(Path(path or vocabulary_file()).read_text())
+    return prepared(spark).sparkContext.broadcast(Path(path or vocabulary_file()).read_text())
 
 
 def byte_letters() -> dict[str, int]:

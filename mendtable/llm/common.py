@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +17,28 @@ from mendtable.functions.columns import ref
 from mendtable.sources.workspace import scratch_path
 
 
+BATCH_SETTING, LARGEST_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+_shipped: set[str] = set()
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """Make a session fit for the operators' Python tasks.
+
+    Batches of 8 MB in place of 64 bound what a task holds, unless the user has set a size. The package
+    is handed to the executors once, as ``--py-files`` would, so that they need not have it installed.
+    """
+    if spark.conf.get(BATCH_SETTING) == LARGEST_BATCH:
+        spark.conf.set(BATCH_SETTING, "8m")
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="mendtable-package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

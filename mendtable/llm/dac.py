@@ -34,7 +34,7 @@ from mendtable.functions.columns import local_table
 from mendtable.sources.workspace import scratch_path
 
 from .bpe import broadcast_vocabulary, text_groups
-from .common import slim
+from .common import prepared, slim
 from .segments import SegmentTable
 
 MAGIC = b"DAC1"
@@ -280,7 +280,7 @@ def write_tokens(docs: DataFrame, path: str, text: str = "text", id_column: str
 
 def token_files(docs_or_spark, path: str) -> DataFrame:
     """The shards of token files, with ``offset``: the ids of all parts before."""
-    spark = getattr(docs_or_spark, "sparkSession", docs_or_spark)
+    spark = prepared(getattr(docs_or_spark, "sparkSession", docs_or_spark))
     shards = spark.read.schema(SHARDS).parquet(path)
     # one number for each part, of which there are as many as the write had tasks
     totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from mendtable.functions.columns import ref, unused_name
 
 from .bpe import text_groups
+from .common import prepared
 from .ngrams import distinct_words, ngrams
 from .toxicity import fold_of
 
@@ -136,6 +137,7 @@ def with_language(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", lang: str = "lang", held: int = 1, folds: int = 3,
 ) -> DataFrame:
     """The documents with all their columns, and held_out, lang_pred and score."""
+    prepared(docs.sparkSession)
     fold = fold_of(id_column, folds)
     training = docs.filter(ref(lang).isNotNull() & ref(text).isNotNull() & (fold != held))
     langs, shares = learn(training.select(ref(lang).cast("string").alias("lang"), ref(text).alias("text")))

@@ -17,7 +17,7 @@ from .common import ranges
 from .hashing import span_hashes
 
 #: After so many segments a worker starts a new table (about 40 bytes each).
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 
 #: Encodes segments, none empty: all ids one after the other, and how many each segment has.
 Encoder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -38,7 +38,7 @@ class SegmentTable:
         self.checks = np.zeros(0, np.uint64)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
-        self.ids = np.zeros(1 << 20, np.int32)
+        self.ids = np.zeros(1 << 18, np.int32)
         self.used = 0
 
     def encode(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 
 from mendtable.functions.columns import ref, unused_name
 
-from .common import mixed, slim, stored, text_key, texts_of
+from .common import mixed, prepared, slim, stored, text_key, texts_of
 from .components import connected
 
 SEED = 42
 PIVOTS = 32
 BUCKET = 2048
-_SHINGLES = 1 << 17  # hashes whose bits are counted together
+_SHINGLES = 1 << 15  # hashes whose bits are counted together
 
 _PAIRS = list(combinations(range(4), 2))
 
@@ -206,6 +206,7 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id, and doc_key, which
     tells rows of one id apart."""
+    prepared(docs.sparkSession)
     keyed = slim(docs, text, id_column).withColumn("doc_key", text_key(F.col("text")))
     prints = stored(with_fingerprints(keyed, words), "prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "distinct")

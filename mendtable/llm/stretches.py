@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import bloom
 from .bpe import text_groups
-from .common import mixed, same, slim, stored, text_key
+from .common import mixed, prepared, same, slim, stored, text_key
 from .hashing import powers, prefix_sums, span_hashes
 
 SPLIT = 1024
@@ -285,6 +285,7 @@ def _solved(pieces: DataFrame, solve: Solver, cut: Callable[[bytes, int], bytes]
 
 def with_runs(docs: DataFrame, kind: Bytes | Words, solve: Solver, cut: Callable[[bytes, int], bytes], text: str, id_column: str) -> DataFrame:
     """Every document with its runs of repeated windows: doc_id, text, runs."""
+    prepared(docs.sparkSession)
     keyed = slim(docs, text, id_column).withColumn("doc_key", text_key(F.col("text")))
     runs = repeated_windows(keyed, kind, solve, cut)
     return keyed.join(runs, same(keyed, runs, "doc_id", "doc_key"), "left").select(keyed["doc_id"], "text", "runs")

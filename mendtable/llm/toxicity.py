@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from mendtable.functions.columns import ref
 
 from .bpe import text_groups
-from .common import batch_bytes, ranges, slim
+from .common import batch_bytes, prepared, ranges, slim
 from .ngrams import distinct_words, ngrams
 
 LENGTHS = (3, 4, 5, 6)
@@ -114,6 +114,7 @@ def toxicity(
     held: int = 2, folds: int = 4, most: int = 3000,
 ) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
+    prepared(docs.sparkSession)
     rows = slim(docs, text, id_column)
     sample = _training_rows(rows, labels, label, held, folds, most).select("doc_id", "text", "label", "weight")
 
