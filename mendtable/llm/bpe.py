@@ -22,7 +22,6 @@ import hashlib
 import heapq
 import json
 import re
-from collections.abc import Iterator
 from itertools import chain
 from pathlib import Path
 
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
-from .common import batch_bytes, prepared, slim
+from .common import prepared, slim, text_groups
 from .segments import SegmentTable
 
 # fixed values: the pattern of byte-level pre-tokenization
@@ -310,16 +309,6 @@ def codec_of(vocabulary: Broadcast) -> Codec:
     return _codecs[key]
 
 
-def text_groups(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Rows of a batch (id, text) in groups of about ``most`` bytes: ids, bytes, text borders."""
-    raw, ends = batch_bytes(batch.column(1))
-    n, at = batch.num_rows, 0
-    while at < n:
-        stop = min(n, max(at + 1, int(np.searchsorted(ends, ends[at] + most))))
-        yield batch.column(0)[at:stop], raw[ends[at] : ends[stop]], ends[at : stop + 1] - ends[at]
-        at = stop
-
-
 def _id_lists(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))
 

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from mendtable.functions.columns import local_table
 from mendtable.sources.workspace import scratch_path
 
-from .bpe import broadcast_vocabulary, text_groups
-from .common import prepared, slim
+from .bpe import broadcast_vocabulary
+from .common import prepared, slim, text_groups
 from .segments import SegmentTable
 
 MAGIC = b"DAC1"

@@ -22,14 +22,12 @@ listed as an empty one. Rows that share id and text get the same result; empty t
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mendtable.functions.columns import broadcast_if_small, ref, unused_name
 
-from .common import same, slim, stored, text_key
+from .common import let, same, slim, stored, text_key
 
 # letters of both cases, as words are lower-cased after the split
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
@@ -38,11 +36,6 @@ GRAM = 5
 _PLACE_BITS = 26
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Use a value several times in an expression but compute it once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words_of(text: Column) -> Column:
     def lowered(w: Column) -> Column:
         ascii_only = F.octet_length(w) == F.char_length(w)

@@ -26,10 +26,8 @@ from pyspark.sql import functions as F
 
 from mendtable.functions.columns import ref, unused_name
 
-from .bpe import text_groups
-from .common import prepared
+from .common import fold_of, prepared, text_groups
 from .ngrams import distinct_words, ngrams
-from .toxicity import fold_of
 
 LENGTHS = (1, 2, 3, 4)
 BUCKETS = 1 << 16

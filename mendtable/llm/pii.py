@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 
 from mendtable.functions.columns import local_table
 
-from .common import same, slim, stored, text_key
-from .decontaminate import let
+from .common import let, same, slim, stored, text_key
 
 KINDS = ("email", "ip", "card", "phone")
 CERTAIN = 0.9

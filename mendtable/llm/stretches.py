@@ -33,8 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .bpe import text_groups
-from .common import mixed, prepared, same, slim, stored, text_key
+from .common import mixed, prepared, same, slim, stored, text_groups, text_key
 from .hashing import powers, prefix_sums, span_hashes
 
 SPLIT = 1024

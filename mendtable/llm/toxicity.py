@@ -23,13 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mendtable.functions.columns import ref
 
-from .bpe import text_groups
-from .common import batch_bytes, prepared, ranges, slim
+from .common import batch_bytes, fold_of, prepared, ranges, slim, text_groups
 from .ngrams import distinct_words, ngrams
 
 LENGTHS = (3, 4, 5, 6)
@@ -37,10 +36,6 @@ BUCKETS = 1 << 18
 THRESHOLD = 0.3
 
 
-def fold_of(id_column: str, folds: int) -> Column:
-    return F.coalesce(F.crc32(ref(id_column).cast("bigint").cast("string")) % folds, F.lit(-1))
-
-
 def features(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, bucket and count of every feature."""
     folded, starts, sizes, text, word, _ = distinct_words(raw, ends)
