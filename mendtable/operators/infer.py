@@ -32,6 +32,23 @@ APPROVAL_CONFIDENCE, DISAGREEMENT_CONFIDENCE = 0.8, 0.5
 SAMPLES = 5
 
 
+# The reason a profile gives for each type, as format strings.
+REASONS = {
+    "empty": "All %d values are empty or missing. Defaulting to text.",
+    "identifier": "Column name suggests ID, high uniqueness: %s.",
+    "boolean": "Contains only boolean-like values: %s.",
+    "integer": "%s are valid integers.",
+    "float": "%s are valid numbers with decimals.",
+    "datetime": "%s of sample values parse as dates.",
+    "categorical": "Low cardinality: %d unique values (%s).",
+    "text": "High cardinality text: %d unique values.",
+}
+
+
+def _reason(name: str, *values: str) -> str:
+    return f"format_string('{REASONS[name]}', {', '.join(values)})"
+
+
 def _percent_sql(ratio: str) -> str:
     return f"format_string('%.1f%%', {ratio} * 100)"
 
@@ -115,45 +132,44 @@ def infer_types(
             "non_empty = 0",
             "'text'",
             "1D",
-            "format_string('All %d values are empty or missing. Defaulting to text.', total)",
+            _reason("empty", "total"),
         ),
         (
             f"unique_ratio > {IDENTIFIER_RATIO}D AND lower(column_name) RLIKE '{IDENTIFIER_NAME}'",
             "'identifier'",
             f"{IDENTIFIER_CONFIDENCE}D",
-            f"concat('Column name suggests ID, high uniqueness: ', {_percent_sql('unique_ratio')}, '.')",
+            _reason("identifier", _percent_sql("unique_ratio")),
         ),
         (
             "is_boolean",
             "'boolean'",
             f"{BOOLEAN_CONFIDENCE}D",
-            "concat('Contains only boolean-like values: ', array_join(words, ', '), '.')",
+            _reason("boolean", "array_join(words, ', ')"),
         ),
         (
             f"numeric_ratio > {NUMERIC_RATIO}D",
             f"CASE WHEN {whole} THEN 'integer' ELSE 'float' END",
             "numeric_ratio",
-            f"concat({_percent_sql('numeric_ratio')}, CASE WHEN {whole} THEN ' are valid integers.'"
-            " ELSE ' are valid numbers with decimals.' END)",
+            f"CASE WHEN {whole} THEN {_reason('integer', _percent_sql('numeric_ratio'))}"
+            f" ELSE {_reason('float', _percent_sql('numeric_ratio'))} END",
         ),
         (
             f"date_ratio > {DATE_RATIO}D",
             "'datetime'",
             "date_ratio",
-            f"concat({_percent_sql('date_ratio')}, ' of sample values parse as dates.')",
+            _reason("datetime", _percent_sql("date_ratio")),
         ),
         (
             f"unique_ratio < {CATEGORY_RATIO}D AND unique_count <= {CATEGORY_LIMIT}",
             "'categorical'",
             f"{CATEGORY_CONFIDENCE}D",
-            "concat(format_string('Low cardinality: %d unique values (', unique_count),"
-            f" {_percent_sql('unique_ratio')}, ').')",
+            _reason("categorical", "unique_count", _percent_sql("unique_ratio")),
         ),
         (
             "true",
             "'text'",
             f"{TEXT_CONFIDENCE}D",
-            "format_string('High cardinality text: %d unique values.', unique_count)",
+            _reason("text", "unique_count"),
         ),
     ]
 

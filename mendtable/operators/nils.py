@@ -176,33 +176,43 @@ def _is_whole(t: T.DataType) -> bool:
     return isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
+# What the log says of each repair.
+MESSAGES = {
+    "none": "No nil values in '{c}'",
+    "drop_rows": "Dropped {n} rows with nil values in '{c}'",
+    "leave_empty": "Left {n} nil values in '{c}' unchanged",
+    "no_median": "ERROR handling nil values in '{c}': no median of text",
+    "fill_median": "Filled {n} nil values in '{c}' with median{shown}{note}",
+    "fill_zero": "Filled {n} nil values in '{c}' with 0",
+    "fill_unknown": "Filled {n} nil values in '{c}' with '{unknown}'{note}",
+    "fill_most_common": "Filled {n} nil values in '{c}' with most common value{shown}",
+    "unknown_action": "Unknown action '{action}' for nil value handling",
+}
+
+
 def _plan_step(c: str, t: T.DataType, action: str, n: int, value: object, fractional: bool) -> NilStep:
-    """What an action does to a column of this type, as in the message it logs."""
+    """What an action does to a column of this type, and the message it logs."""
+
+    def step(message: str, out: T.DataType | None = None, note: str = "", quote: str = "") -> NilStep:
+        shown = "" if value is None else f" ({quote}{value}{quote})"
+        said = MESSAGES[message].format(c=c, n=n, action=action, unknown=UNKNOWN, shown=shown, note=note)
+        return NilStep(c, action, n, out or t, out is not None, said)
+
     text = T.StringType()
     if n == 0:
-        return NilStep(c, action, 0, t, False, f"No nil values in '{c}'")
-    if action == "drop_rows":
-        return NilStep(c, action, n, t, False, f"Dropped {n} rows with nil values in '{c}'")
-    if action == "leave_empty":
-        return NilStep(c, action, n, t, False, f"Left {n} nil values in '{c}' unchanged")
+        return step("none")
     if action == "fill_median":
         if _as_number(F.lit(0), t) is None:
-            return NilStep(c, action, n, t, False, f"ERROR handling nil values in '{c}': no median of text")
-        out = T.DoubleType() if fractional and _is_whole(t) else t
-        note = ", column promoted to float" if out != t else ""
-        shown = "" if value is None else f" ({value})"
-        return NilStep(c, action, n, out, True, f"Filled {n} nil values in '{c}' with median{shown}{note}")
+            return step("no_median")
+        promoted = fractional and _is_whole(t)
+        return step(action, T.DoubleType() if promoted else t, ", column promoted to float" * promoted)
     if action == "fill_zero":
-        stays = isinstance(t, (T.NumericType, T.StringType, T.BooleanType))
-        return NilStep(c, action, n, t if stays else text, True, f"Filled {n} nil values in '{c}' with 0")
+        return step(action, t if isinstance(t, (T.NumericType, T.StringType, T.BooleanType)) else text)
     if action == "fill_unknown":
-        note = "" if isinstance(t, T.StringType) else ", column turned into text"
-        return NilStep(c, action, n, text, True, f"Filled {n} nil values in '{c}' with '{UNKNOWN}'{note}")
+        return step(action, text, "" if isinstance(t, T.StringType) else ", column turned into text")
     if action == "fill_most_common":
-        out = text if value == UNKNOWN else t
-        shown = "" if value is None else f" ('{value}')"
-        return NilStep(c, action, n, out, True, f"Filled {n} nil values in '{c}' with most common value{shown}")
-    return NilStep(c, action, n, t, False, f"Unknown action '{action}' for nil value handling")
+        return step(action, text if value == UNKNOWN else t, quote="'")
+    return step(action if action in MESSAGES else "unknown_action")
 
 
 def _constant(action: str, t: T.DataType) -> object:

@@ -11,7 +11,6 @@ from ..functions.parsing import iso_format, strip_sql
 
 FENCE = "```"
 LANGUAGE = "json"
-ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def fenced_json(text: str) -> Column:
@@ -35,15 +34,22 @@ def extract_fenced_json(
     return df.withColumn(out, found if schema is None else F.from_json(found, schema))
 
 
+def _plain(c: Column, t: T.DataType) -> Column:
+    """A value as JSON shows it, nested ones included: moments in ISO form, NaN as null."""
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(c), c)
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return iso_format(c)
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda x: _plain(x, t.elementType))
+    if isinstance(t, T.MapType):
+        return F.transform_values(c, lambda _, x: _plain(x, t.valueType))
+    if isinstance(t, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_plain(c[f.name], f.dataType).alias(f.name) for f in t.fields]))
+    return c
+
+
 def rows_as_json(df: DataFrame, out: str = "row_json") -> DataFrame:
     """Each row as one JSON text; timestamps in ISO form, missing values as null."""
-    columns = []
-    for f in df.schema.fields:
-        c = ref(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.when(~F.isnan(c), c)
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = iso_format(c)
-        columns.append(c.alias(f.name))
-    options = {"ignoreNullFields": "false", "timestampFormat": ISO, "timestampNTZFormat": ISO}
-    return df.select(F.to_json(F.struct(*columns), options).alias(out))
+    columns = [_plain(ref(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
+    return df.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias(out))

@@ -205,3 +205,17 @@ def test_approximate_forms_are_close(spark):
     (q,) = statistics.quartiles_iqr(df, ["v"], approx=True).collect()
     assert (q.q1, q.q3) == (pytest.approx(5000, abs=60), pytest.approx(15_000, abs=60))
     assert statistics.quartiles_iqr(df, ["v"], ["g"], approx=True).count() == 2
+
+
+def test_moments_within_nested_values_keep_their_fraction(spark):
+    from mendtable.sources.json_text import rows_as_json
+
+    at = "timestamp'2024-01-02 03:04:05.000600'"
+    df = spark.range(1).selectExpr(
+        f"{at} as t", f"array({at}, null) as a", f"named_struct('x', {at}, 'y', double('NaN')) as s",
+        f"map('k', {at}) as m", "cast(null as struct<x:timestamp>) as n",
+    )
+    moment = "2024-01-02T03:04:05.000600"
+    assert rows_as_json(df).first()[0] == (
+        f'{{"t":"{moment}","a":["{moment}",null],"s":{{"x":"{moment}","y":null}},"m":{{"k":"{moment}"}},"n":null}}'
+    )
