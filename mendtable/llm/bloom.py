@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mixed, prepared
+from .common import mixed, prepared, task
 
 MAX_BITS = 1 << 30
 SLICE_BITS = 1 << 20
@@ -114,7 +114,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_filter(found: DataFrame, bits: int) -> Broadcast:
     """Merge the parts (see ``PARTS``) of all tasks and broadcast the filter of repeated hashes."""
-    merged = found.repartition("slice").mapInArrow(_merge, "slice int, again binary")
+    merged = found.repartition("slice").mapInArrow(task(_merge), "slice int, again binary")
     bitmap = np.zeros(bits // 8, np.uint8)
     step = SLICE_BITS // 8
     for row in merged.toLocalIterator():
@@ -139,7 +139,7 @@ def repeated_among(df: DataFrame, column: str, rows: int) -> Broadcast:
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from parts((b.column(0).to_numpy().view(np.uint64) for b in batches), bits)
 
-    return repeated_filter(df.select(column).mapInArrow(first_pass, PARTS), bits)
+    return repeated_filter(df.select(column).mapInArrow(task(first_pass), PARTS), bits)
 
 
 def passes(column: Column, found: Broadcast) -> Column:

@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
-from .common import prepared, slim, text_groups
+from .common import prepared, slim, task, text_groups
 from .segments import SegmentTable
 
 # fixed values: the pattern of byte-level pre-tokenization
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_NEVER = np.int64(1) << 40
-_NEVER_RANK = 1 << 40
+_NEVER = np.int64(1) << 30
+_NEVER_RANK = 1 << 30
 
 
 def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
@@ -119,7 +119,7 @@ class Codec:
             last = pieces[-1]
             inner = np.where(last >= 0, side[last], -1)
             if (inner < 0).all():
-                return np.stack(pieces, 1), np.stack(gone, 1)
+                return np.stack(pieces, 1).astype(np.int32), np.stack(gone, 1).astype(np.int32)
             pieces.append(inner)
             gone.append(np.where(inner >= 0, made[last], -1))
 
@@ -134,7 +134,7 @@ class Codec:
                 if not len(live):
                     break
                 x, y = a[live], b[live]
-                key = self.right_pieces[x, i] * self.size + self.left_pieces[y, j]
+                key = self.right_pieces[x, i].astype(np.int64) * self.size + self.left_pieces[y, j]
                 at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
                 rank = self.pair_ranks[at]
                 hit = self.pair_keys[at] == key
@@ -324,7 +324,7 @@ def encode(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
                 found = _id_lists(*codec.encode_bytes(raw, ends))
                 yield pa.RecordBatch.from_arrays([keys, found], names=["doc_id", "ids"])
 
-    return slim(docs, text, id_column).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return slim(docs, text, id_column).mapInArrow(task(run), "doc_id bigint, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
@@ -339,7 +339,7 @@ def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
             texts = [None if i is None else codec.decoded_text(i) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], schema=kinds)
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return tokens.select("doc_id", "ids").mapInArrow(task(run), "doc_id bigint, text string")
 
 
 def round_trip(
@@ -366,7 +366,7 @@ def round_trip(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     out = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return slim(docs, text, id_column).mapInArrow(run, out)
+    return slim(docs, text, id_column).mapInArrow(task(run), out)
 
 
 def _digest(data: bytes) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -105,7 +106,7 @@ def texts_of(column: pa.Array) -> Iterator[bytes]:
         yield data[s:e]
 
 
-def text_groups(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def text_groups(batch: pa.RecordBatch, most: int = 1 << 18) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Rows of a batch (id, text) in groups of about ``most`` bytes: ids, bytes, text borders."""
     raw, ends = batch_bytes(batch.column(1))
     n, at = batch.num_rows, 0
@@ -115,6 +116,19 @@ def text_groups(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterator[tuple[pa
         at = stop
 
 
+def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task over batches that hands memory back at its end: idle workers would keep it from others."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return tidy
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (multiply, shift, multiply)."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)

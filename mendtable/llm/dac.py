@@ -34,12 +34,12 @@ from mendtable.functions.columns import local_table
 from mendtable.sources.workspace import scratch_path
 
 from .bpe import broadcast_vocabulary
-from .common import prepared, slim, text_groups
+from .common import prepared, slim, task, text_groups
 from .segments import SegmentTable
 
 MAGIC = b"DAC1"
 #: A shard closes at the document that reaches this many ids.
-SHARD_IDS = 1 << 20
+SHARD_IDS = 1 << 19
 #: Bytes of text in a part, on average.
 PART_BYTES = 32 << 20
 END_ID = 0
@@ -275,7 +275,7 @@ def write_tokens(docs: DataFrame, path: str, text: str = "text", id_column: str
     dealt = rows.withColumn("part", part).repartitionById(parts, F.col("part"))
     encoded = broadcast_vocabulary(docs.sparkSession, vocabulary)
     ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ordered.select("doc_id", "text", "part").mapInArrow(_shards(encoded), SHARDS).write.parquet(path)
+    ordered.select("doc_id", "text", "part").mapInArrow(task(_shards(encoded)), SHARDS).write.parquet(path)
 
 
 def token_files(docs_or_spark, path: str) -> DataFrame:
@@ -312,7 +312,7 @@ def read_documents(spark, path: str) -> DataFrame:
                 )
 
     shards = token_files(spark, path).select("first", "offset", "n_tokens", "doc_ids", "lengths", "payload")
-    return shards.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return shards.mapInArrow(task(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def tokens_between(spark, path: str, start: int, stop: int) -> DataFrame:
@@ -328,7 +328,7 @@ def tokens_between(spark, path: str, start: int, stop: int) -> DataFrame:
 
     at = F.col("first") + F.col("offset")
     shards = token_files(spark, path).filter((at < stop) & (at + F.col("n_tokens") > start))
-    return shards.select("first", "offset", "n_tokens", "payload").mapInArrow(run, "number bigint, id bigint")
+    return shards.select("first", "offset", "n_tokens", "payload").mapInArrow(task(run), "number bigint, id bigint")
 
 
 def written_and_read(docs: DataFrame, text: str = "text", id_column: str = "doc_id", vocabulary: str | None = None) -> DataFrame:

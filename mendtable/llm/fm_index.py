@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import texts_of
+from .common import task, texts_of
 from .stretches import Words, covered, with_runs
 from .suffix_array import common_prefixes, suffix_array
 
@@ -132,10 +132,7 @@ def repeated_by_index(window: int):
 def remove_repeated_words(docs: DataFrame, text: str = "text", id_column: str = "doc_id", window: int = 35, gram: int = 8) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and kept (the text)."""
 
-    def cut(piece: bytes, i: int) -> bytes:
-        return b" ".join(piece.split(b" ")[i : i + window])
-
-    found = with_runs(docs, Words(window, gram), repeated_by_index(window), cut, text, id_column)
+    found = with_runs(docs, Words(window, gram), repeated_by_index(window), text, id_column)
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,4 +151,4 @@ def remove_repeated_words(docs: DataFrame, text: str = "text", id_column: str =
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
-    return found.mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+    return found.mapInArrow(task(run), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from mendtable.functions.columns import ref, unused_name
 
-from .common import fold_of, prepared, text_groups
+from .common import fold_of, prepared, task, text_groups
 from .ngrams import distinct_words, ngrams
 
 LENGTHS = (1, 2, 3, 4)
@@ -58,7 +58,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(training: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages of rows (lang, text), and for each the logarithms of the buckets' shares."""
-    counted = training.mapInArrow(_count, _COUNTS).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = training.mapInArrow(task(_count), _COUNTS).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # one row for each language, as long as the table of buckets
     rows = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")).toArrow()
     order = np.argsort(np.array(rows.column("lang").to_pylist(), object)) if len(rows) else []

@@ -16,8 +16,8 @@ import numpy as np
 from .common import ranges
 from .hashing import span_hashes
 
-#: After so many segments a worker starts a new table (about 40 bytes each).
-REMEMBERED = 1_000_000
+#: A table of more segments (about 45 bytes each) forgets those not met since it last did.
+REMEMBERED = 700_000
 
 #: Encodes segments, none empty: all ids one after the other, and how many each segment has.
 Encoder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -38,9 +38,21 @@ class SegmentTable:
         self.checks = np.zeros(0, np.uint64)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
+        self.met = np.zeros(0, bool)
         self.ids = np.zeros(1 << 18, np.int32)
         self.used = 0
 
+    def _forget(self) -> None:
+        kept = np.flatnonzero(self.met)
+        if 2 * len(kept) > REMEMBERED:
+            self._clear()
+            return
+        ids = self.ids[ranges(self.starts[kept], self.sizes[kept])]
+        self.keys, self.checks, self.sizes = self.keys[kept], self.checks[kept], self.sizes[kept]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.met = np.zeros(len(kept), bool)
+        self.ids, self.used = np.concatenate([ids, np.zeros(1 << 18, np.int32)]), len(ids)
+
     def encode(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Encode the texts raw[ends[i]:ends[i + 1]]: all ids, and the text borders among them."""
         if len(raw) == 0:
@@ -62,13 +74,14 @@ class SegmentTable:
 
     def _look_up(self, seen, checks, raw, starts, stops) -> np.ndarray:
         if len(self.keys) > REMEMBERED:
-            self._clear()
+            self._forget()
         at = np.searchsorted(self.keys, seen)
         there = np.zeros(len(seen), bool)
         inside = at < len(self.keys)
         there[inside] = self.keys[at[inside]] == seen[inside]
         if (self.checks[at[there]] != checks[there]).any():
             raise ValueError("two segments share a 64-bit hash")
+        self.met[at[there]] = True
         new = np.flatnonzero(~there)
         if len(new):
             data = raw.tobytes()
@@ -83,5 +96,6 @@ class SegmentTable:
             self.checks = np.insert(self.checks, at[new], checks[new])
             self.starts = np.insert(self.starts, at[new], begins)
             self.sizes = np.insert(self.sizes, at[new], sizes)
+            self.met = np.insert(self.met, at[new], False)
             at = np.searchsorted(self.keys, seen)
         return at

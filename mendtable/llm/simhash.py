@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from mendtable.functions.columns import ref, unused_name
 
-from .common import mixed, prepared, slim, stored, text_key, texts_of
+from .common import mixed, prepared, slim, stored, task, text_key, texts_of
 from .components import connected
 
 SEED = 42
@@ -99,7 +99,7 @@ def with_fingerprints(docs: DataFrame, words: int) -> DataFrame:
             found = np.fromiter(fingerprints(texts_of(batch.column(2)), words), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=["doc_id", "doc_key", "fp"])
 
-    return docs.select("doc_id", "doc_key", "text").mapInArrow(run, "doc_id bigint, doc_key bigint, fp bigint")
+    return docs.select("doc_id", "doc_key", "text").mapInArrow(task(run), "doc_id bigint, doc_key bigint, fp bigint")
 
 
 # ------------------------------------------------------------------ links
@@ -196,7 +196,7 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     listed = prints.select("fp", F.explode(_keys(max_bits)).alias("key"))
     heavy = stored(listed.groupBy("key").count().filter(F.col("count") > BUCKET).select("key"), "heavy")
     light = listed.join(heavy, "key", "left_anti")
-    found = light.repartition("key").sortWithinPartitions("key").select("key", "fp").mapInArrow(_links(max_bits), "u bigint, v bigint")
+    found = light.repartition("key").sortWithinPartitions("key").select("key", "fp").mapInArrow(task(_links(max_bits)), "u bigint, v bigint")
     crowded = listed.join(heavy, "key").withColumn("between", F.explode(_free_neighbours()))
     least = stored(crowded.groupBy("key", "between").agg(F.min("fp").alias("v")), "between")
     crowded_links = crowded.join(least, ["key", "between"]).filter("fp <> v").select(F.col("fp").alias("u"), "v")

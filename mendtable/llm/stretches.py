@@ -8,17 +8,20 @@ text it covers is a *stretch*.
 
 1. One pass over the texts finds the anchors that may occur more than once, by two-pass Bloom
    filtering. A window whose anchor is unique is unique.
-2. A second pass writes the other stretches, each with a digest. Equal stretches are counted, not
-   compared: a text that fills a third of the table is one stretch of many copies. The windows of a
-   stretch that occurs twice all occur twice.
-3. An anchor with different stretches needs a look inside: one copy of each goes to the shard of its
-   anchor, where ``solve`` (an index over the shard) tells which windows occur more than once. An
+2. A second pass writes where the other stretches are, each with a digest. Equal stretches are
+   counted, not compared: a text that fills a third of the table is one stretch of many copies. The
+   windows of a stretch that occurs twice all occur twice.
+3. An anchor with different stretches needs a look inside: one copy of each is cut out of its text
+   and goes to the shard of its anchor, where ``solve`` (an index over the shard) tells which windows
+   occur more than once. An
    anchor with more than ``SPLIT`` different stretches is dealt over several shards. These hand out
    what they found single, and one of each kind found several times, and a merge sorts the digests
    and looks up by binary search which are known to more than one shard.
 4. Verdicts return to the documents as runs of window starts.
 
-Shards hold about ``SHARD_BYTES``, whatever the size of the corpus.
+Shards hold about ``SHARD_BYTES``, whatever the size of the corpus. Where the corpus outgrows the
+filter of step 1 more stretches are counted in step 2, as a few numbers each; text is still cut out
+only for anchors that differ.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import mixed, prepared, same, slim, stored, text_groups, text_key
+from .common import mixed, prepared, same, slim, stored, task, text_groups, text_key, texts_of
 from .hashing import powers, prefix_sums, span_hashes
 
 SPLIT = 1024
@@ -95,6 +98,12 @@ class Bytes:
             data = part.tobytes()
             yield group, offset, part.astype(np.uint64) + np.uint64(1), borders, lambda p, n: data[p : p + n - 1 + self.window]
 
+    def units(self, data: bytes) -> bytes:
+        return data
+
+    def cut(self, units: bytes, start: int, size: int) -> bytes:
+        return units[start : start + size]
+
 
 @dataclass(frozen=True)
 class Words:
@@ -116,6 +125,12 @@ class Words:
         for group, offset, lo, hi, inner in _chunks(borders, self.window):
             yield group, offset, units[lo:hi], inner, lambda p, n: joined[starts[lo + p] : stops[lo + p + n + self.window - 2]]
 
+    def units(self, data: bytes) -> list[bytes]:
+        return data.split()
+
+    def cut(self, units: list[bytes], start: int, size: int) -> bytes:
+        return b" ".join(units[start : start + size])
+
 
 def _chunks(ends: np.ndarray, window: int) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
     """Texts together, or overlapping parts of a long one: first text, offset in it, range, borders."""
@@ -137,22 +152,18 @@ def _chunks(ends: np.ndarray, window: int) -> Iterator[tuple[int, int, int, int,
 Solver = Callable[[list[bytes], list[int]], tuple[np.ndarray, np.ndarray]]
 
 
-def repeated_windows(docs: DataFrame, kind: Bytes | Words, solve: Solver, cut: Callable[[bytes, int], bytes]) -> DataFrame:
+def repeated_windows(docs: DataFrame, kind: Bytes | Words, solve: Solver) -> DataFrame:
     """Window starts that recur, for documents (doc_id, doc_key, text) that have any: doc_id, doc_key,
-    runs (array of start and count). ``cut`` gives the content of a stretch's window."""
+    runs (array of start and count)."""
     rows = stored(_stretches(docs, kind), "stretches")
-    kinds = rows.groupBy("key").agg(F.count("*").alias("copies"), F.first("h").alias("h"), F.first("n").alias("n"))
-    kinds = stored(kinds, "kinds")
+    # the first copy met stands for all; its columns come from one row
+    sample = [F.first(c).alias(c) for c in ("h", "n", "doc_id", "doc_key", "p0")]
+    kinds = stored(rows.groupBy("key").agg(F.count("*").alias("copies"), *sample), "kinds")
     mixed_anchors = stored(
         kinds.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "anchors"
     )
-    pieces = stored(
-        rows.join(mixed_anchors, "h").groupBy("key").agg(
-            F.first("h").alias("h"), F.first("n").alias("n"), F.first("kinds").alias("kinds"), F.first("piece").alias("piece")
-        ),
-        "pieces",
-    )
-    solved = _solved(pieces, solve, cut)
+    pieces = stored(_pieces(docs, kinds.join(mixed_anchors, "h"), kind), "pieces")
+    solved = _solved(pieces, solve, kind)
     whole = kinds.filter("copies > 1").select("key", F.lit(0).alias("start"), "n")
     verdicts = stored(whole.unionByName(solved), "verdicts")
     found = rows.select("doc_id", "doc_key", "p0", "key").join(verdicts, "key")
@@ -176,8 +187,8 @@ def _stretches(docs: DataFrame, kind: Bytes | Words) -> DataFrame:
 
         yield from bloom.parts(hashes(), bits)
 
-    found = bloom.repeated_filter(docs.select("doc_id", "text").mapInArrow(first_pass, bloom.PARTS), bits)
-    names = ["doc_id", "doc_key", "p0", "n", "h", "key", "piece"]
+    found = bloom.repeated_filter(docs.select("doc_id", "text").mapInArrow(task(first_pass), bloom.PARTS), bits)
+    names = ["doc_id", "doc_key", "p0", "n", "h", "key"]
 
     def second_pass(batches):
         for batch in batches:
@@ -193,16 +204,37 @@ def _stretches(docs: DataFrame, kind: Bytes | Words) -> DataFrame:
                         continue
                     inner = np.searchsorted(borders, p, "right") - 1
                     owner = pa.array(group + inner, pa.int64())
-                    pieces = [piece_of(a, b) for a, b in zip(p.tolist(), n.tolist())]
+                    digests = [hashlib.md5(piece_of(a, b)).digest() for a, b in zip(p.tolist(), n.tolist())]
                     columns = [
                         ids.take(owner), keys.take(owner), pa.array(p - borders[inner] + offset, pa.int64()),
                         pa.array(n, pa.int32()), pa.array(h.view(np.int64), pa.int64()),
-                        pa.array([hashlib.md5(x).digest() for x in pieces], pa.binary()), pa.array(pieces, pa.binary()),
+                        pa.array(digests, pa.binary()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "doc_id bigint, doc_key bigint, p0 bigint, n int, h bigint, key binary, piece binary"
-    return docs.select("doc_id", "text", "doc_key").mapInArrow(second_pass, schema)
+    schema = "doc_id bigint, doc_key bigint, p0 bigint, n int, h bigint, key binary"
+    return docs.select("doc_id", "text", "doc_key").mapInArrow(task(second_pass), schema)
+
+
+def _pieces(docs: DataFrame, wanted: DataFrame, kind: Bytes | Words) -> DataFrame:
+    """The text of the wanted stretches (key, h, n, kinds, doc_id, doc_key, p0): key, h, n, kinds, piece."""
+    places = F.collect_list(F.struct("p0", "n", "kinds", "h", "key")).alias("places")
+    by_doc = stored(wanted.groupBy("doc_id", "doc_key").agg(places), "wanted")
+    found = docs.join(by_doc, same(docs, by_doc, "doc_id", "doc_key")).select("text", "places")
+    names = ["key", "h", "n", "kinds", "piece"]
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for data, wanted_here in zip(texts_of(batch.column(0)), batch.column(1).to_pylist()):
+                units = kind.units(data)
+                rows += [(w["key"], w["h"], w["n"], w["kinds"], kind.cut(units, w["p0"], w["n"] - 1 + kind.window)) for w in wanted_here]
+            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+    pieces = found.mapInArrow(task(run), "key binary, h bigint, n int, kinds bigint, piece binary")
+    # rows that repeat a document give its pieces again
+    return pieces.dropDuplicates(["key"])
 
 
 #: An open window on its way to the merge: its digest, and the stretch and place to tell. A window
@@ -210,7 +242,7 @@ def _stretches(docs: DataFrame, kind: Bytes | Words) -> DataFrame:
 _OPEN = np.dtype([("a", ">u8"), ("b", ">u8"), ("key", "V16"), ("place", "<i4")])
 
 
-def _solved(pieces: DataFrame, solve: Solver, cut: Callable[[bytes, int], bytes]) -> DataFrame:
+def _solved(pieces: DataFrame, solve: Solver, kind: Bytes | Words) -> DataFrame:
     """Runs of repeated windows of each piece: key, start, n."""
     split = F.col("kinds") > SPLIT
     size = pieces.agg(
@@ -248,7 +280,9 @@ def _solved(pieces: DataFrame, solve: Solver, cut: Callable[[bytes, int], bytes]
         records = np.zeros(len(asks), _OPEN)
         if len(asks):
             of, place = owner[asks], asks - starts[owner[asks]]
-            digests = b"".join(hashlib.md5(cut(texts[o], p)).digest() for o, p in zip(of.tolist(), place.tolist()))
+            units = {o: kind.units(texts[o]) for o in set(of.tolist())}
+            windows = (kind.cut(units[o], p, kind.window) for o, p in zip(of.tolist(), place.tolist()))
+            digests = b"".join(hashlib.md5(w).digest() for w in windows)
             pair = np.frombuffer(digests, ">u8").reshape(-1, 2)
             records["a"], records["b"] = pair[:, 0], pair[:, 1]
             records["key"] = np.array(keys, "V16")[of]
@@ -271,9 +305,9 @@ def _solved(pieces: DataFrame, solve: Solver, cut: Callable[[bytes, int], bytes]
         records = np.frombuffer(b"".join(t.column("open").to_pylist()), _OPEN)
         ranked = records[np.argsort(records, order=("a", "b"))]
         new = (ranked["a"][1:] != ranked["a"][:-1]) | (ranked["b"][1:] != ranked["b"][:-1])
-        kind = np.concatenate([[0], np.cumsum(new)])
+        label = np.concatenate([[0], np.cumsum(new)])
         # every shard lists a digest once at most, as single or as several
-        many = np.searchsorted(kind, kind, "right") - np.searchsorted(kind, kind, "left") > 1
+        many = np.searchsorted(label, label, "right") - np.searchsorted(label, label, "left") > 1
         hit = ranked[many & (ranked["place"] >= 0)]
         columns = [pa.array([k.tobytes() for k in hit["key"]], pa.binary()), pa.array(hit["place"].astype(np.int32)), pa.array(np.ones(len(hit), np.int32))]
         return pa.table(columns, names=["key", "start", "n"])
@@ -282,11 +316,11 @@ def _solved(pieces: DataFrame, solve: Solver, cut: Callable[[bytes, int], bytes]
     return inside.unionByName(merged)
 
 
-def with_runs(docs: DataFrame, kind: Bytes | Words, solve: Solver, cut: Callable[[bytes, int], bytes], text: str, id_column: str) -> DataFrame:
+def with_runs(docs: DataFrame, kind: Bytes | Words, solve: Solver, text: str, id_column: str) -> DataFrame:
     """Every document with its runs of repeated windows: doc_id, text, runs."""
     prepared(docs.sparkSession)
     keyed = slim(docs, text, id_column).withColumn("doc_key", text_key(F.col("text")))
-    runs = repeated_windows(keyed, kind, solve, cut)
+    runs = repeated_windows(keyed, kind, solve)
     return keyed.join(runs, same(keyed, runs, "doc_id", "doc_key"), "left").select(keyed["doc_id"], "text", "runs")
 
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import texts_of
+from .common import task, texts_of
 from .stretches import Bytes, covered, with_runs
 
 #: Text positions each lane of the prefix computation walks through.
@@ -114,7 +114,7 @@ def repeated_by_suffixes(window: int):
 
 def remove_repeated_bytes(docs: DataFrame, text: str = "text", id_column: str = "doc_id", window: int = 200, gram: int = 64) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes)."""
-    found = with_runs(docs, Bytes(window, gram), repeated_by_suffixes(window), lambda p, i: p[i : i + window], text, id_column)
+    found = with_runs(docs, Bytes(window, gram), repeated_by_suffixes(window), text, id_column)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,4 +131,4 @@ def remove_repeated_bytes(docs: DataFrame, text: str = "text", id_column: str =
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
-    return found.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    return found.mapInArrow(task(run), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

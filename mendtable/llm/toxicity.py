@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 
 from mendtable.functions.columns import ref
 
-from .common import batch_bytes, fold_of, prepared, ranges, slim, text_groups
+from .common import batch_bytes, fold_of, prepared, ranges, slim, task, text_groups
 from .ngrams import distinct_words, ngrams
 
 LENGTHS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
 THRESHOLD = 0.3
+#: Bytes of text whose features are found together in training.
+GROUP = 1 << 18
 
 
 def features(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,17 +50,34 @@ def features(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return cell // BUCKETS, cell % BUCKETS, times
 
 
+def _sample_features(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of many texts, a group at a time and in small numbers."""
+    parts: tuple[list, list, list] = ([], [], [])
+    at = 0
+    while at < len(ends) - 1:
+        stop = min(len(ends) - 1, max(at + 1, int(np.searchsorted(ends, ends[at] + GROUP))))
+        text, bucket, times = features(raw[ends[at] : ends[stop]], ends[at : stop + 1] - ends[at])
+        for part, values, kind in zip(parts, (text + at, bucket, times), (np.int32, np.int32, np.float32)):
+            part.append(values.astype(kind))
+        at = stop
+    out = []
+    for part in parts:
+        out.append(np.concatenate(part))
+        part.clear()
+    return out[0], out[1], out[2]
+
+
 def train(raw: np.ndarray, ends: np.ndarray, label: np.ndarray, weight: np.ndarray, rounds: int = 12) -> tuple[np.ndarray, float]:
     """Weight of each bucket, the ratio included, and the intercept."""
     n = len(label)
     share = float((label * weight).sum() / weight.sum()) if n else 0.5
     if not n or share in (0.0, 1.0):
         return np.zeros(BUCKETS), float(np.log((share + 1e-9) / (1 - share + 1e-9)))
-    text, bucket, times = features(raw, ends)
+    text, bucket, times = _sample_features(raw, ends)
     toxic = label[text] == 1
     seen = [np.bincount(bucket[m], minlength=BUCKETS) + 1.0 for m in (toxic, ~toxic)]
     ratio = np.log(seen[0] / (label.sum() + 2)) - np.log(seen[1] / ((label == 0).sum() + 2))
-    value = times * ratio[bucket]
+    value = times * ratio.astype(np.float32)[bucket]
     begins = np.searchsorted(text, np.arange(n + 1))
     w, grown, b, b_grown = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8), float(np.log(share / (1 - share))), 1e-8
     shuffled = np.random.default_rng(0)
@@ -135,4 +154,4 @@ def toxicity(
                 yield pa.RecordBatch.from_arrays([ids, held_out, pa.array(found), predicted], names=["doc_id", "held_out", "score", "predicted"])
 
     tested = rows.select("doc_id", "text", (fold_of("doc_id", folds) == held).alias("held_out"))
-    return tested.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    return tested.mapInArrow(task(run), "doc_id bigint, held_out boolean, score double, predicted int")
