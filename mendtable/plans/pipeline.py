@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,6 +87,12 @@ def _decide_sources(
     return {s: plan_casts(df, own[s], whole[s]) for s in own}
 
 
+def _casts_without_rows(df: DataFrame, plan: CleaningPlan) -> list[CastStep]:
+    """The casts of a table that has no row to speak against them."""
+    targets = plan.targets(df)
+    return plan_casts(df, targets, {c for c, t in targets.items() if t == "integer"})
+
+
 def _cast_sources(df: DataFrame, steps: dict[object, list[CastStep]], by: str) -> _Casts:
     """Cast a stacked table, every source in its own way.
 
@@ -101,8 +108,6 @@ def _cast_sources(df: DataFrame, steps: dict[object, list[CastStep]], by: str) -
         for s in steps:
             of_column.setdefault(s, None)
     mixed = {c for c, found in outcome.items() if c in df.columns and len(set(found.values())) > 1}
-    if not steps:
-        return _Casts(df, [], {})
     if not mixed:
         shared = next(iter(steps.values()))
         return _Casts(run_casts(df, shared), shared, steps)
@@ -163,7 +168,8 @@ def clean_table(
     unknown = [c for c in text_columns(df) if c not in plan.columns and c not in carried and c != by]
     data = drop_columns(df, carried)
     if by and not frozen:
-        done = _cast_sources(data, decided or _decide_sources(df, plan, order_by, by), by)
+        decided = decided or _decide_sources(df, plan, order_by, by)
+        done = _cast_sources(data, decided or {None: _casts_without_rows(data, plan)}, by)
     else:
         integral = set(plan.integral or ())
         if not frozen:
@@ -192,7 +198,7 @@ def clean_table(
         if by:
             copies = {s: n - _counts(rows, by).get(s, 0) for s, n in _counts(typed, by).items()}
         else:
-            copies = {None: seen.get["n"] - kept.get["n"]}
+            copies = {None: _observed(seen, typed) - _observed(kept, rows)}
     elif not snapshots:
         rows, path = materialize(rows, f"{label}-typed")
         scratch.append(path)
@@ -228,6 +234,15 @@ def clean_table(
     return cleaned
 
 
+def _observed(observation: Observation, df: DataFrame) -> int:
+    """The observed number of rows; counted where the optimizer found a table empty and dropped the
+    observation with it."""
+    try:
+        return observation.get["n"]
+    except (KeyError, Py4JError):
+        return df.count()
+
+
 def _counts(df: DataFrame, by: str) -> dict[object, int]:
     """Rows of every source."""
     return {r["__source"]: r["n"] for r in df.groupBy(ref(by).alias("__source")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -282,8 +297,7 @@ def clean_many(
         casts = _decide_sources(union_sources(group, source), plan, order_by, source)
         alike: dict[tuple, dict[object, list[CastStep]]] = {}
         for label in group:
-            # a table without rows has no decision of its own
-            steps = casts.get(label, next(iter(casts.values()), []))
+            steps = casts[label] if label in casts else _casts_without_rows(group[label], plan)
             alike.setdefault(tuple(s.target for s in steps), {})[label] = steps
         for decided in alike.values():
             stacked = union_sources({label: group[label] for label in decided}, source)

@@ -219,3 +219,18 @@ def test_moments_within_nested_values_keep_their_fraction(spark):
     assert rows_as_json(df).first()[0] == (
         f'{{"t":"{moment}","a":["{moment}",null],"s":{{"x":"{moment}","y":null}},"m":{{"k":"{moment}"}},"n":null}}'
     )
+
+
+def test_empty_tables_are_cleaned(spark):
+    empty = spark.createDataFrame([], "v string, w string")
+    actions = {"v": "fill_median", "w": "fill_most_common"}
+    plan = CleaningPlan({"v": ColumnDecision("integer"), "w": ColumnDecision("text")}, True, actions)
+    done = clean_table(empty, plan)
+    assert done.table.collect() == [] and (1, "No duplicate rows found") in done.log.entries
+    one = spark.createDataFrame([("1", "x")], "v string, w string")
+    for files, want in (({"a": empty, "b": one}, [(1, "x", "b")]), ({"a": empty, "b": empty}, [])):
+        together, _, log = clean_many(files, plan)
+        assert [tuple(r) for r in together.select("v", "w", "source_file").collect()] == want
+        assert {n for n, _ in log.entries} == {1, 2} and dict(together.dtypes)["v"] == "bigint"
+    together, _, _ = clean_many({"a": one.filter("v = '9'"), "b": empty}, CleaningPlan({}, True))
+    assert together.collect() == []
