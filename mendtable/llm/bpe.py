@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
-from .common import prepared, slim, task, text_groups
+from .common import kept, prepared, slim, task, text_groups
 from .segments import SegmentTable
 
 # fixed values: the pattern of byte-level pre-tokenization
@@ -297,16 +297,9 @@ class Codec:
         return self.decode(ids).decode("utf-8", "replace")
 
 
-_codecs: dict[int, Codec] = {}
-
-
 def codec_of(vocabulary: Broadcast) -> Codec:
     """The worker's codec for a broadcast vocabulary, built once."""
-    key = hash(vocabulary.value)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(vocabulary.value)
-    return _codecs[key]
+    return kept(f"bpe {hash(vocabulary.value)}", lambda: Codec(vocabulary.value))
 
 
 def _id_lists(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
@@ -324,7 +317,7 @@ def encode(docs: DataFrame, text: str = "text", id_column: str = "doc_id", path:
                 found = _id_lists(*codec.encode_bytes(raw, ends))
                 yield pa.RecordBatch.from_arrays([keys, found], names=["doc_id", "ids"])
 
-    return slim(docs, text, id_column).mapInArrow(task(run), "doc_id bigint, ids array<int>")
+    return slim(docs, text, id_column).mapInArrow(task(run, keeps=True), "doc_id bigint, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
@@ -339,7 +332,7 @@ def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
             texts = [None if i is None else codec.decoded_text(i) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], schema=kinds)
 
-    return tokens.select("doc_id", "ids").mapInArrow(task(run), "doc_id bigint, text string")
+    return tokens.select("doc_id", "ids").mapInArrow(task(run, keeps=True), "doc_id bigint, text string")
 
 
 def round_trip(
@@ -366,7 +359,7 @@ def round_trip(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     out = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return slim(docs, text, id_column).mapInArrow(task(run), out)
+    return slim(docs, text, id_column).mapInArrow(task(run, keeps=True), out)
 
 
 def _digest(data: bytes) -> str:

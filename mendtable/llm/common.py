@@ -25,11 +25,11 @@ _shipped: set[str] = set()
 def prepared(spark: SparkSession) -> SparkSession:
     """Make a session fit for the operators' Python tasks.
 
-    Batches of 8 MB in place of 64 bound what a task holds, unless the user has set a size. The package
+    Batches of 4 MB in place of 64 bound what a task holds, unless the user has set a size. The package
     is handed to the executors once, as ``--py-files`` would, so that they need not have it installed.
     """
     if spark.conf.get(BATCH_SETTING) == LARGEST_BATCH:
-        spark.conf.set(BATCH_SETTING, "8m")
+        spark.conf.set(BATCH_SETTING, "4m")
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
@@ -116,19 +116,50 @@ def text_groups(batch: pa.RecordBatch, most: int = 1 << 18) -> Iterator[tuple[pa
         at = stop
 
 
-def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """A task over batches that hands memory back at its end: idle workers would keep it from others."""
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What a worker keeps from task to task, made once. It keeps one such thing only: workers go from
+    operator to operator, and what the last one needed takes memory from the next."""
+    if name not in _kept:
+        forget()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def forget() -> None:
+    _kept.clear()
+
+
+def hand_back() -> None:
+    """Give memory that is free back to the machine; idle workers would keep it from others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: bool = False):
+    """A task over batches that leaves no memory behind, but for what it ``keeps`` for the next."""
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        hand_back()
 
     return tidy
 
 
+def list_parts(column: pa.Array) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """Where each row's part starts in the members of an array of structs; a null row has none."""
+    sizes = column.value_lengths().fill_null(0).to_numpy()
+    members = column.flatten()
+    fields = {members.type.field(i).name: members.field(i) for i in range(members.type.num_fields)}
+    return np.concatenate([[0], np.cumsum(sizes)]), fields
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (multiply, shift, multiply)."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)

@@ -34,7 +34,7 @@ from mendtable.functions.columns import local_table
 from mendtable.sources.workspace import scratch_path
 
 from .bpe import broadcast_vocabulary
-from .common import prepared, slim, task, text_groups
+from .common import kept, prepared, slim, task, text_groups
 from .segments import SegmentTable
 
 MAGIC = b"DAC1"
@@ -186,45 +186,42 @@ def _rank(bits: np.ndarray, directory: np.ndarray, at: np.ndarray) -> np.ndarray
 
 # ------------------------------------------------------------------ encoding with the tokenizers library
 
-_tables: dict[int, SegmentTable] = {}
-
-
 def library_table(vocabulary: Broadcast) -> SegmentTable:
     """The worker's table of segments encoded by the tokenizers library."""
-    key = hash(vocabulary.value)
-    if key not in _tables:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(vocabulary.value)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        # letters of byte-level vocabularies stand for one byte each; special tokens are plain text
-        special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
-        size_of = np.zeros(tokenizer.get_vocab_size() + len(special) + 1, np.int64)
-        for token, i in tokenizer.get_vocab().items():
-            size_of[i] = len(special[i].encode()) if i in special else len(token)
-
-        def encode(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            # segments that start with a space stay apart when written one after the other
-            joined, members = [], []
-            for i, s in enumerate(segments):
-                if s[:1] == b" " and joined and len(members[-1]) < 64:
-                    joined[-1].append(s)
-                    members[-1].append(i)
-                else:
-                    joined.append([s])
-                    members.append([i])
-            found = tokenizer.encode_batch_fast([b"".join(j).decode() for j in joined], add_special_tokens=False)
-            lists = [np.array(e.ids, np.int32) for e in found]
-            ids = np.concatenate(lists)
-            stops = np.cumsum(np.fromiter(map(len, segments), np.int64, len(segments)))
-            at = np.searchsorted(np.cumsum(size_of[ids]), stops)
-            return ids, np.diff(np.concatenate([[-1], at]))
-
-        _tables.clear()
-        _tables[key] = SegmentTable(encode)
-    return _tables[key]
+    return kept(f"library {hash(vocabulary.value)}", lambda: _library_table(vocabulary.value))
+
+
+def _library_table(vocabulary: str) -> SegmentTable:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(vocabulary)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    # letters of byte-level vocabularies stand for one byte each; special tokens are plain text
+    special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
+    size_of = np.zeros(tokenizer.get_vocab_size() + len(special) + 1, np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        size_of[i] = len(special[i].encode()) if i in special else len(token)
+
+    def encode(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # segments that start with a space stay apart when written one after the other
+        joined, members = [], []
+        for i, s in enumerate(segments):
+            if s[:1] == b" " and joined and len(members[-1]) < 64:
+                joined[-1].append(s)
+                members[-1].append(i)
+            else:
+                joined.append([s])
+                members.append([i])
+        found = tokenizer.encode_batch_fast([b"".join(j).decode() for j in joined], add_special_tokens=False)
+        lists = [np.array(e.ids, np.int32) for e in found]
+        ids = np.concatenate(lists)
+        stops = np.cumsum(np.fromiter(map(len, segments), np.int64, len(segments)))
+        at = np.searchsorted(np.cumsum(size_of[ids]), stops)
+        return ids, np.diff(np.concatenate([[-1], at]))
+
+    return SegmentTable(encode)
 
 
 # ------------------------------------------------------------------ files
@@ -275,7 +272,7 @@ def write_tokens(docs: DataFrame, path: str, text: str = "text", id_column: str
     dealt = rows.withColumn("part", part).repartitionById(parts, F.col("part"))
     encoded = broadcast_vocabulary(docs.sparkSession, vocabulary)
     ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ordered.select("doc_id", "text", "part").mapInArrow(task(_shards(encoded)), SHARDS).write.parquet(path)
+    ordered.select("doc_id", "text", "part").mapInArrow(task(_shards(encoded), keeps=True), SHARDS).write.parquet(path)
 
 
 def token_files(docs_or_spark, path: str) -> DataFrame:

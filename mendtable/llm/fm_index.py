@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import task, texts_of
+from .common import list_parts, task, texts_of
 from .stretches import Words, covered, with_runs
 from .suffix_array import common_prefixes, suffix_array
 
@@ -138,11 +138,13 @@ def remove_repeated_words(docs: DataFrame, text: str = "text", id_column: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for data, runs in zip(texts_of(batch.column(1)), batch.column(2).to_pylist()):
+            ends, runs = list_parts(batch.column(2))
+            start, count = runs["start"].to_numpy(), runs["n"].to_numpy()
+            for data, a, b in zip(texts_of(batch.column(1)), ends[:-1].tolist(), ends[1:].tolist()):
                 words = data.split()
                 kept, removed = words, 0
-                if runs:
-                    gone = covered(runs, window, len(words))
+                if a < b:
+                    gone = covered(start[a:b], count[a:b], window, len(words))
                     removed = int(gone.sum())
                     kept = [w for w, g in zip(words, gone.tolist()) if not g]
                 whole = b" ".join(kept)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from mendtable.functions.columns import ref, unused_name
 
-from .common import fold_of, prepared, task, text_groups
+from .common import fold_of, forget, hand_back, prepared, task, text_groups
 from .ngrams import distinct_words, ngrams
 
 LENGTHS = (1, 2, 3, 4)
@@ -145,6 +145,7 @@ def with_language(
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def tell(texts: pa.Array) -> pa.Array:
+        forget()
         langs, shares = model.value
         kinds, found = [], [np.zeros(0)]
         batch = pa.RecordBatch.from_arrays([pa.nulls(len(texts)), texts], names=["none", "text"])
@@ -152,6 +153,7 @@ def with_language(
             some, score = predict(raw, ends, langs, shares)
             kinds += some
             found.append(score)
+        hand_back()
         return pa.StructArray.from_arrays([pa.array(kinds, pa.string()), pa.array(np.concatenate(found))], ["lang", "score"])
 
     letters = F.coalesce(ref(text).rlike("\\p{L}"), F.lit(False))

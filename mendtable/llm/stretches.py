@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import mixed, prepared, same, slim, stored, task, text_groups, text_key, texts_of
+from .common import list_parts, mixed, prepared, same, slim, stored, task, text_groups, text_key, texts_of
 from .hashing import powers, prefix_sums, span_hashes
 
 SPLIT = 1024
@@ -44,6 +44,9 @@ SHARD_BYTES = 1_500_000
 #: Units looked at together; longer texts are cut, with an overlap of one window.
 CHUNK = 1 << 19
 
+#: Stretches cut out of texts before they are handed on.
+PIECES = 4096
+
 _PLACE_BITS = np.uint64(26)
 _PLACES = np.uint64((1 << 26) - 1)
 
@@ -225,12 +228,17 @@ def _pieces(docs: DataFrame, wanted: DataFrame, kind: Bytes | Words) -> DataFram
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for data, wanted_here in zip(texts_of(batch.column(0)), batch.column(1).to_pylist()):
+            ends, of = list_parts(batch.column(1))
+            start, n = of["p0"].to_numpy(), of["n"].to_numpy()
+            done, waiting = 0, []
+            for data, a, b in zip(texts_of(batch.column(0)), ends[:-1].tolist(), ends[1:].tolist()):
                 units = kind.units(data)
-                rows += [(w["key"], w["h"], w["n"], w["kinds"], kind.cut(units, w["p0"], w["n"] - 1 + kind.window)) for w in wanted_here]
-            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+                for at in range(a, b):
+                    waiting.append(kind.cut(units, int(start[at]), int(n[at]) - 1 + kind.window))
+                    if len(waiting) == PIECES or at + 1 == ends[-1]:
+                        known = [of[c][done : at + 1] for c in names[:-1]]
+                        yield pa.RecordBatch.from_arrays([*known, pa.array(waiting, pa.binary())], names=names)
+                        done, waiting = at + 1, []
 
     pieces = found.mapInArrow(task(run), "key binary, h bigint, n int, kinds bigint, piece binary")
     # rows that repeat a document give its pieces again
@@ -324,12 +332,9 @@ def with_runs(docs: DataFrame, kind: Bytes | Words, solve: Solver, text: str, id
     return keyed.join(runs, same(keyed, runs, "doc_id", "doc_key"), "left").select(keyed["doc_id"], "text", "runs")
 
 
-def covered(runs: list[dict] | None, window: int, n: int) -> np.ndarray:
-    """Flags of the units covered by the windows of the runs."""
+def covered(start: np.ndarray, count: np.ndarray, window: int, n: int) -> np.ndarray:
+    """Flags of the units that the windows of runs cover."""
     step = np.zeros(n + 1, np.int32)
-    if runs:
-        start = np.array([r["start"] for r in runs])
-        count = np.array([r["n"] for r in runs])
-        np.add.at(step, start, 1)
-        np.add.at(step, start + count + window - 1, -1)
+    np.add.at(step, start, 1)
+    np.add.at(step, start + count + window - 1, -1)
     return np.cumsum(step[:n]) > 0

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import task, texts_of
+from .common import list_parts, task, texts_of
 from .stretches import Bytes, covered, with_runs
 
 #: Text positions each lane of the prefix computation walks through.
@@ -120,10 +120,12 @@ def remove_repeated_bytes(docs: DataFrame, text: str = "text", id_column: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for data, runs in zip(texts_of(batch.column(1)), batch.column(2).to_pylist()):
+            ends, runs = list_parts(batch.column(2))
+            start, count = runs["start"].to_numpy(), runs["n"].to_numpy()
+            for data, a, b in zip(texts_of(batch.column(1)), ends[:-1].tolist(), ends[1:].tolist()):
                 kept, removed, spans = data, 0, 0
-                if runs:
-                    gone = covered(runs, window, len(data))
+                if a < b:
+                    gone = covered(start[a:b], count[a:b], window, len(data))
                     kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                     removed, spans = int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
                 rows.append((len(data), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
