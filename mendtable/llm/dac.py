@@ -43,6 +43,10 @@ SHARD_IDS = 1 << 19
 #: Bytes of text in a part, on average.
 PART_BYTES = 32 << 20
 END_ID = 0
+#: Segments a worker remembers, and bytes of text it looks up together: the library is slow on short
+#: texts, so it pays to ask it rarely.
+REMEMBERED = 2_000_000
+GROUP = 1 << 20
 
 SHARDS = "part int, seq int, first bigint, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
@@ -221,7 +225,7 @@ def _library_table(vocabulary: str) -> SegmentTable:
         at = np.searchsorted(np.cumsum(size_of[ids]), stops)
         return ids, np.diff(np.concatenate([[-1], at]))
 
-    return SegmentTable(encode)
+    return SegmentTable(encode, REMEMBERED)
 
 
 # ------------------------------------------------------------------ files
@@ -243,7 +247,7 @@ def _shards(vocabulary: Broadcast):
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=["part", "seq", "first", "n_tokens", "doc_ids", "lengths", "payload"])
 
         for batch in batches:
-            for keys, raw, ends in text_groups(batch):
+            for keys, raw, ends in text_groups(batch, GROUP):
                 if part is None:
                     part = batch.column(2)[0].as_py()
                 ids, cuts = table.encode(raw, ends)

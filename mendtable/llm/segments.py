@@ -29,8 +29,9 @@ _NO_BORDER[: 0x21] = True
 _NO_BORDER[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 class SegmentTable:
-    def __init__(self, encode: Encoder):
+    def __init__(self, encode: Encoder, remembered: int = REMEMBERED):
         self.encode_new = encode
+        self.remembered = remembered
         self._clear()
 
     def _clear(self) -> None:
@@ -44,7 +45,7 @@ class SegmentTable:
 
     def _forget(self) -> None:
         kept = np.flatnonzero(self.met)
-        if 2 * len(kept) > REMEMBERED:
+        if 2 * len(kept) > self.remembered:
             self._clear()
             return
         ids = self.ids[ranges(self.starts[kept], self.sizes[kept])]
@@ -73,7 +74,7 @@ class SegmentTable:
         return ids, total[np.searchsorted(starts, ends)]
 
     def _look_up(self, seen, checks, raw, starts, stops) -> np.ndarray:
-        if len(self.keys) > REMEMBERED:
+        if len(self.keys) > self.remembered:
             self._forget()
         at = np.searchsorted(self.keys, seen)
         there = np.zeros(len(seen), bool)
