@@ -13,10 +13,9 @@ text it covers is a *stretch*.
    windows of a stretch that occurs twice all occur twice.
 3. An anchor with different stretches needs a look inside: one copy of each is cut out of its text
    and goes to the shard of its anchor, where ``solve`` (an index over the shard) tells which windows
-   occur more than once. An
-   anchor with more than ``SPLIT`` different stretches is dealt over several shards. These hand out
-   what they found single, and one of each kind found several times, and a merge sorts the digests
-   and looks up by binary search which are known to more than one shard.
+   occur more than once. An anchor with more than ``SPLIT`` different stretches is dealt over several
+   shards. These hand out what they found single, and one of each kind found several times, and a
+   merge sorts the digests and looks up by binary search which are known to more than one shard.
 4. Verdicts return to the documents as runs of window starts.
 
 Shards hold about ``SHARD_BYTES``, whatever the size of the corpus. Where the corpus outgrows the
@@ -175,7 +174,7 @@ def repeated_windows(docs: DataFrame, kind: Bytes | Words, solve: Solver) -> Dat
 
 
 def _stretches(docs: DataFrame, kind: Bytes | Words) -> DataFrame:
-    """The stretches whose anchor may occur elsewhere: doc_id, doc_key, p0, n, h, key, piece."""
+    """The stretches whose anchor may occur elsewhere: doc_id, doc_key, p0, n, h, key."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # a window holds one new anchor in half as many places as it has grams
     step = max(1, (kind.window - kind.gram + 2) // 2) * (6 if isinstance(kind, Words) else 1)
