@@ -89,7 +89,7 @@ class Codec:
         # the library's own engine, as engines differ in which letters they know
         self._words = Split(Regex(WORDS), "isolated").pre_tokenize_str
         self._specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.table = SegmentTable(self._encode_segments)
+        self.table = SegmentTable(self._encode_segments, special=[t.encode() for t in self.special])
 
     # ------------------------------------------------------------------ tables
 

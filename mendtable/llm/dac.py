@@ -225,7 +225,7 @@ def _library_table(vocabulary: str) -> SegmentTable:
         at = np.searchsorted(np.cumsum(size_of[ids]), stops)
         return ids, np.diff(np.concatenate([[-1], at]))
 
-    return SegmentTable(encode, REMEMBERED)
+    return SegmentTable(encode, REMEMBERED, [t.encode() for t in special.values()])
 
 
 # ------------------------------------------------------------------ files
@@ -313,7 +313,7 @@ def read_documents(spark, path: str) -> DataFrame:
                 )
 
     shards = token_files(spark, path).select("first", "offset", "n_tokens", "doc_ids", "lengths", "payload")
-    return shards.mapInArrow(task(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return shards.mapInArrow(task(run, keeps=True), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def tokens_between(spark, path: str, start: int, stop: int) -> DataFrame:

@@ -1,7 +1,9 @@
 """Text cut into segments that byte-level tokenizers treat alone, each encoded once per worker.
 
-A text may be cut before any space that a character other than white space follows: the pattern that
-makes words puts a border there whatever stands before. Segments are found, hashed and looked up
+A text may be cut before any space that a character other than white space follows, between a letter
+or digit and a punctuation mark, and around a single line break between a mark or letter and a letter:
+the pattern that makes words puts a border there whatever else stands around. Borders within special
+tokens are left alone. Segments are found, hashed and looked up
 for a whole batch at once; only segments not met before go to the encoder. The table of known
 segments compares 128 bits: a 64-bit polynomial hash of the bytes, and another of them with their
 length.
@@ -9,7 +11,7 @@ length.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 
@@ -28,9 +30,22 @@ _NO_BORDER = np.zeros(256, bool)
 _NO_BORDER[: 0x21] = True
 _NO_BORDER[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
+# ASCII letters; letters and digits; punctuation; all of these
+_LETTERS = np.array([chr(b).isalpha() and b < 0x80 for b in range(256)])
+_SIGNS = np.array([chr(b).isalnum() and b < 0x80 for b in range(256)])
+_PLAIN = np.array([0x20 < b < 0x7F for b in range(256)])
+_MARKS = _PLAIN & ~_SIGNS
+
+
 class SegmentTable:
-    def __init__(self, encode: Encoder, remembered: int = REMEMBERED):
+    def __init__(self, encode: Encoder, remembered: int = REMEMBERED, special: Iterable[bytes] = ()):
         self.encode_new = encode
+        self.marks, self.breaks = _MARKS.copy(), True
+        for token in special:
+            self.breaks &= b"\n" not in token
+            for before, mark in zip(token, token[1:]):
+                if _SIGNS[before]:
+                    self.marks[mark] = False
         self.remembered = remembered
         self._clear()
 
@@ -60,6 +75,10 @@ class SegmentTable:
             return np.zeros(0, np.int32), np.zeros(len(ends), np.int64)
         border = np.zeros(len(raw), bool)
         border[:-1] = (raw[:-1] == 0x20) & ~_NO_BORDER[raw[1:]]
+        border[1:] |= _SIGNS[raw[:-1]] & self.marks[raw[1:]]
+        if self.breaks and len(raw) > 2:
+            line = np.flatnonzero((raw[1:-1] == 0x0A) & _PLAIN[raw[:-2]] & _LETTERS[raw[2:]]) + 1
+            border[line] = border[line + 1] = True
         border[ends[:-1][ends[:-1] < ends[1:]]] = True
         starts = np.flatnonzero(border)
         stops = np.append(starts[1:], len(raw))
