@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dac, decontaminate, exact_dedup, fm_index, language, pii, simhash, suffix_array, toxicity
+from . import bpe, conversations, dac, decontaminate, exact_dedup, fm_index, language, pii, simhash, suffix_array, toxicity, transducer
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,3 +179,13 @@ def op4_language_id(spark, d):
 @query("op1_personal_data")
 def op1_personal_data(spark, d):
     return pii.personal_data(table(spark, d, "documents"))
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark, d):
+    return conversations.damage_and_repair(table(spark, d, "conversations"))
+
+
+@query("op13_byte_bpe_transducer")
+def op13_byte_bpe_transducer(spark, d):
+    return transducer.round_trip(table(spark, d, "documents"))
