@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 from .common import mixed, ranges
-from .hashing import PIECE, powers, prefix_sums, span_hashes
+from .hashing import PIECE, distinct_spans, powers, prefix_sums
 
 # what stands for a byte within words: itself, lower-cased; 0 for bytes that part words
 _FOLDED = np.zeros(256, np.uint8)
@@ -36,8 +36,7 @@ def distinct_words(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
     starts and its size; and for each text and distinct word in it: the text, the word's number and
     how often it occurs."""
     folded, starts, sizes, text = words_in(raw, ends)
-    key = span_hashes(folded, starts, starts + sizes)
-    _, first, number = np.unique(key, return_index=True, return_inverse=True)
+    _, first, number = distinct_spans(folded, starts, starts + sizes)
     n = max(1, len(first))
     pair, times = np.unique(text * np.int64(n) + number, return_counts=True)
     kept = sizes[first]

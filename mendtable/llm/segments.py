@@ -5,8 +5,8 @@ or digit and a punctuation mark, and around a single line break between a mark o
 the pattern that makes words puts a border there whatever else stands around. Borders within special
 tokens are left alone. Segments are found, hashed and looked up
 for a whole batch at once; only segments not met before go to the encoder. The table of known
-segments compares 128 bits: a 64-bit polynomial hash of the bytes, and another of them with their
-length.
+segments keeps their bytes, and what is found by hash is compared with them: a segment that shares
+another one's hash is encoded each time it is met.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 from .common import ranges
-from .hashing import span_hashes
+from .hashing import distinct_spans, equal_spans
 
-#: A table of more segments (about 45 bytes each) forgets those not met since it last did.
+#: A table of more segments (about 50 bytes each) forgets those not met since it last did; so does one of
+#: more than ``ROOM`` times as many ids or bytes.
 REMEMBERED = 700_000
+ROOM = 16
 
 #: Encodes segments, none empty: all ids one after the other, and how many each segment has.
 Encoder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -51,23 +53,23 @@ class SegmentTable:
 
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.checks = np.zeros(0, np.uint64)
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
+        # for each key: where its ids start and how many they are, the same for its bytes, if met again
+        self.starts, self.sizes, self.places, self.lengths = (np.zeros(0, np.int64) for _ in range(4))
         self.met = np.zeros(0, bool)
-        self.ids = np.zeros(1 << 18, np.int32)
-        self.used = 0
+        self.ids, self.used = np.zeros(1 << 18, np.int32), 0
+        self.text, self.written = np.zeros(1 << 18, np.uint8), 0
 
     def _forget(self) -> None:
         kept = np.flatnonzero(self.met)
-        if 2 * len(kept) > self.remembered:
+        ids, text = self.ids[ranges(self.starts[kept], self.sizes[kept])], self.text[ranges(self.places[kept], self.lengths[kept])]
+        if 2 * max(len(kept), len(ids) // ROOM, len(text) // ROOM) > self.remembered:
             self._clear()
             return
-        ids = self.ids[ranges(self.starts[kept], self.sizes[kept])]
-        self.keys, self.checks, self.sizes = self.keys[kept], self.checks[kept], self.sizes[kept]
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.keys, self.sizes, self.lengths = self.keys[kept], self.sizes[kept], self.lengths[kept]
+        self.starts, self.places = np.cumsum(self.sizes) - self.sizes, np.cumsum(self.lengths) - self.lengths
         self.met = np.zeros(len(kept), bool)
         self.ids, self.used = np.concatenate([ids, np.zeros(1 << 18, np.int32)]), len(ids)
+        self.text, self.written = np.concatenate([text, np.zeros(1 << 18, np.uint8)]), len(text)
 
     def encode(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Encode the texts raw[ends[i]:ends[i + 1]]: all ids, and the text borders among them."""
@@ -82,40 +84,48 @@ class SegmentTable:
         border[ends[:-1][ends[:-1] < ends[1:]]] = True
         starts = np.flatnonzero(border)
         stops = np.append(starts[1:], len(raw))
-        keys, checks = (span_hashes(raw, starts, stops, which) for which in (0, 1))
-        seen, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        if (checks[first][back] != checks).any():
-            raise ValueError("two segments share a 64-bit hash")
-        at = self._look_up(seen, checks[first], raw, starts[first], stops[first])[back]
-        sizes = self.sizes[at]
-        ids = self.ids[ranges(self.starts[at], sizes)]
+        seen, first, number = distinct_spans(raw, starts, stops)
+        begins, sizes = (of_distinct[number] for of_distinct in self._look_up(seen, raw, starts[first], stops[first]))
+        ids = self.ids[ranges(begins, sizes)]
         total = np.concatenate([[0], np.cumsum(sizes)])
         return ids, total[np.searchsorted(starts, ends)]
 
-    def _look_up(self, seen, checks, raw, starts, stops) -> np.ndarray:
-        if len(self.keys) > self.remembered:
+    def _look_up(self, seen, raw, starts, stops) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of different segments start, and how many they are; the first have the hashes ``seen``."""
+        if max(len(self.keys), self.used // ROOM, self.written // ROOM) > self.remembered:
             self._forget()
+        begins, sizes = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        lengths = stops - starts
         at = np.searchsorted(self.keys, seen)
-        there = np.zeros(len(seen), bool)
+        hashed = np.zeros(len(seen), bool)
         inside = at < len(self.keys)
-        there[inside] = self.keys[at[inside]] == seen[inside]
-        if (self.checks[at[there]] != checks[there]).any():
-            raise ValueError("two segments share a 64-bit hash")
-        self.met[at[there]] = True
-        new = np.flatnonzero(~there)
-        if len(new):
+        hashed[inside] = self.keys[at[inside]] == seen[inside]
+        known = np.flatnonzero(hashed)
+        known = known[self.lengths[at[known]] == lengths[known]]
+        known = known[equal_spans(raw, starts[known], self.text, self.places[at[known]], lengths[known])]
+        self.met[at[known]] = True
+        begins[known], sizes[known] = self.starts[at[known]], self.sizes[at[known]]
+        unknown = np.ones(len(starts), bool)
+        unknown[known] = False
+        todo = np.flatnonzero(unknown)
+        if len(todo):
             data = raw.tobytes()
-            segments = [data[s:e] for s, e in zip(starts[new].tolist(), stops[new].tolist())]
-            ids, sizes = self.encode_new(segments)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            begins = self.used + np.cumsum(sizes) - sizes
-            self.used += len(ids)
-            self.keys = np.insert(self.keys, at[new], seen[new])
-            self.checks = np.insert(self.checks, at[new], checks[new])
-            self.starts = np.insert(self.starts, at[new], begins)
-            self.sizes = np.insert(self.sizes, at[new], sizes)
+            ids, sizes[todo] = self.encode_new([data[s:e] for s, e in zip(starts[todo].tolist(), stops[todo].tolist())])
+            begins[todo] = self._append("ids", "used", ids) + np.cumsum(sizes[todo]) - sizes[todo]
+            new = np.flatnonzero(~hashed)
+            places = self._append("text", "written", raw[ranges(starts[new], lengths[new])]) + np.cumsum(lengths[new]) - lengths[new]
+            for name, values in (("keys", seen), ("starts", begins), ("sizes", sizes), ("lengths", lengths)):
+                setattr(self, name, np.insert(getattr(self, name), at[new], values[new]))
+            self.places = np.insert(self.places, at[new], places)
             self.met = np.insert(self.met, at[new], False)
-            at = np.searchsorted(self.keys, seen)
-        return at
+        return begins, sizes
+
+    def _append(self, name: str, count: str, values: np.ndarray) -> int:
+        """Write values behind those of a growing array; where they start."""
+        start, room = getattr(self, count), getattr(self, name)
+        if start + len(values) > len(room):
+            room = np.concatenate([room, np.zeros(max(len(room), len(values)), room.dtype)])
+            setattr(self, name, room)
+        room[start : start + len(values)] = values
+        setattr(self, count, start + len(values))
+        return start

@@ -3,14 +3,16 @@
 import json
 import os
 import re
+import time
 
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
-from mendtable.llm import bpe, dac, decontaminate, exact_dedup, fm_index, pii, simhash, stretches, suffix_array  # noqa: E402
+from mendtable.llm import bpe, dac, decontaminate, exact_dedup, fm_index, hashing, pii, simhash, stretches, suffix_array  # noqa: E402
 
 
 def same_rows(df, columns, want):
@@ -210,6 +212,47 @@ def test_bpe_of_random_strings(tokenizer):
     assert [codec.decoded_text(i) for i in want] == [tokenizer.decode(i, skip_special_tokens=False) for i in want]
 
 
+def alike(size):
+    """Two texts of equal length whose polynomial hashes modulo 2**64 agree under every odd base from 1,024 letters on."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(size))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [512, 1024, 2048])
+@pytest.mark.parametrize("tasks", [1, 2])
+def test_texts_of_equal_hash(spark, tokenizer, size, tasks):
+    one, two = alike(size)
+    assert size < 1024 or len(set(hashing.span_hashes(np.frombuffer((one + two).encode(), np.uint8), np.array([0, size]), np.array([size, 2 * size])))) == 1
+    for texts in ([one, two], [two, one], [f"{one} x {two}", two, f"{two} {one}", one]):
+        rows = [(i, t) for i, t in enumerate(texts)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(tasks, "doc_id")
+        want = [(i, tokenizer.encode(t, add_special_tokens=False).ids) for i, t in rows]
+        assert {r.doc_id: r.ids for r in bpe.encode(docs).collect()} == dict(want)
+        same_rows(dac.written_and_read(docs), ["doc_id", "start", "n_tokens", "ids_crc32"], brute.token_ids(rows, lambda t: dict(zip(texts, (w for _, w in want)))[t]))
+
+
+def test_spans_of_equal_hash_are_told_apart():
+    one, two = (t.encode() for t in alike(1024))
+    parts = [one, b"x", two, one, two, b"x", b"yy", b"a" * 70_000, b"a" * 70_001]
+    stops = np.cumsum([len(p) for p in parts])
+    starts = stops - [len(p) for p in parts]
+    raw = np.frombuffer(b"".join(parts), np.uint8)
+    seen, first, number = hashing.distinct_spans(raw, starts, stops)
+    assert [parts[i] for i in first[number]] == parts and len(first) == len(set(parts)) == len(seen) + 1
+    flags = hashing.equal_spans(raw, starts[[0, 0, 2, 1]], raw, starts[[3, 2, 4, 5]], np.array([1024, 1024, 1024, 1]))
+    assert flags.tolist() == [True, False, True, True]
+
+
+@pytest.mark.parametrize("remembered", [1, 50, 100_000])
+def test_segment_table_forgets(tokenizer, remembered, plain_docs):
+    codec = bpe.Codec(open(bpe.vocabulary_file()).read())
+    codec.table.remembered = remembered
+    one, two = alike(1024)
+    for _ in range(2):
+        for texts in ([t for _, t in plain_docs[:50]], [one], [two, "x"], [one, two], [t for _, t in plain_docs[30:80]]):
+            assert codec.encode(texts) == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_bpe_refuses_other_vocabularies():
     data = json.loads(open(bpe.vocabulary_file("word_bpe_49k.json")).read())
     with pytest.raises(ValueError):
@@ -227,6 +270,23 @@ def test_token_files(docs_of, rows, tokenizer, monkeypatch):
     assert [r for r in found if ids.count(r[0]) == 1] == [r for r in want if ids.count(r[0]) == 1]
 
 
+def test_many_parts(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "string(id) AS text")
+    begun = time.monotonic()
+    dealt = dac.in_parts(docs, 10_000)
+    dealt._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - begun < 10 and "10000" in dealt._jdf.queryExecution().optimizedPlan().toString()
+    few = dac.in_parts(docs.repartition(7), 300).selectExpr("spark_partition_id() AS part", "doc_id")
+    bounds = few.groupBy("part").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).orderBy("part").collect()
+    assert len(bounds) > 250 and all(a.high < b.low for a, b in zip(bounds, bounds[1:]))
+    shards = spark.range(30_000).selectExpr("int(id * 7 % 30000) AS part", "id AS n_tokens")
+    sizes = {r.part: r.n_tokens for r in shards.collect()}
+    total, want = 0, {}
+    for part in sorted(sizes):
+        want[part], total = total, total + sizes[part]
+    assert {r.p: r.offset for r in dac.part_offsets(shards).collect()} == want
+
+
 def test_tokens_between(spark, docs_of, plain_docs, tokenizer, tmp_path):
     dac.write_tokens(docs_of(plain_docs), str(tmp_path / "t"))
     flat = [x for _, t in plain_docs for x in [*tokenizer.encode(t, add_special_tokens=False).ids, 0]]
