@@ -26,15 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mendtable.functions.columns import local_table
+from mendtable.functions.columns import broadcast_if_small
 from mendtable.sources.workspace import scratch_path
 
 from .bpe import broadcast_vocabulary
-from .common import kept, prepared, slim, task, text_groups
+from .common import kept, prepared, slim, stored, task, text_groups
 from .segments import SegmentTable
 
 MAGIC = b"DAC1"
@@ -42,6 +43,8 @@ MAGIC = b"DAC1"
 SHARD_IDS = 1 << 19
 #: Bytes of text in a part, on average.
 PART_BYTES = 32 << 20
+#: Parts whose sizes are summed in one group.
+BLOCK = 1024
 END_ID = 0
 #: Segments a worker remembers, and bytes of text it looks up together: the library is slow on short
 #: texts, so it pays to ask it rarely.
@@ -234,7 +237,7 @@ def _library_table(vocabulary: str) -> SegmentTable:
 def _shards(vocabulary: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = library_table(vocabulary)
-        part, seq, first = None, 0, 0
+        part, seq, first = TaskContext.get().partitionId(), 0, 0
         waiting: list[tuple[list, np.ndarray, np.ndarray]] = []
         held = 0
 
@@ -248,8 +251,6 @@ def _shards(vocabulary: Broadcast):
 
         for batch in batches:
             for keys, raw, ends in text_groups(batch, GROUP):
-                if part is None:
-                    part = batch.column(2)[0].as_py()
                 ids, cuts = table.encode(raw, ends)
                 whole = np.insert(ids, cuts[1:], END_ID)
                 waiting.append((keys.to_pylist(), whole, np.diff(cuts) + 1))
@@ -262,34 +263,39 @@ def _shards(vocabulary: Broadcast):
     return run
 
 
+def in_parts(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows (doc_id, text) by ranges of ids, ascending within each; an id that fills several ranges is dealt by its
+    texts' hash. The plan is as large for many parts as for few."""
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+
 def write_tokens(docs: DataFrame, path: str, text: str = "text", id_column: str = "doc_id", vocabulary: str | None = None) -> None:
     """Encode every text, add the end id, and write the token files in ascending order of the ids."""
     rows = slim(docs, text, id_column)
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     parts = max(1, min((size.b or 0) // PART_BYTES + 1, size.n))
-    steps = [i / parts for i in range(1, parts)]
-    bounds = rows.agg(F.percentile_approx("doc_id", steps, 10_000).alias("b")).first().b if steps else []
-    # an id that fills several parts is dealt over them
-    low = sum((F.coalesce(F.col("doc_id") > b, F.lit(False)).cast("int") for b in bounds), F.lit(0))
-    high = sum((F.coalesce(F.col("doc_id") >= b, F.lit(False)).cast("int") for b in bounds), F.lit(0))
-    part = low + F.pmod(F.xxhash64("text"), (high - low + 1).cast("bigint")).cast("int")
-    dealt = rows.withColumn("part", part).repartitionById(parts, F.col("part"))
     encoded = broadcast_vocabulary(docs.sparkSession, vocabulary)
-    ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ordered.select("doc_id", "text", "part").mapInArrow(task(_shards(encoded), keeps=True), SHARDS).write.parquet(path)
+    in_parts(rows, parts).mapInArrow(task(_shards(encoded), keeps=True), SHARDS).write.parquet(path)
+
+
+def part_offsets(shards: DataFrame) -> DataFrame:
+    """For each part the ids of all parts before it: p, offset. Sums run within blocks of parts, and over the blocks."""
+    totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("block", F.expr(f"part div {BLOCK}"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = totals.groupBy("block").agg(F.sum("n").alias("n")).select(F.col("block").alias("b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    within = Window.partitionBy("block").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.join(blocks, F.col("block") == F.col("b")).select(
+        F.col("part").alias("p"), (F.col("base") + F.coalesce(F.sum("n").over(within), F.lit(0))).alias("offset")
+    )
 
 
 def token_files(docs_or_spark, path: str) -> DataFrame:
     """The shards of token files, with ``offset``: the ids of all parts before."""
     spark = prepared(getattr(docs_or_spark, "sparkSession", docs_or_spark))
     shards = spark.read.schema(SHARDS).parquet(path)
-    # one number for each part, of which there are as many as the write had tasks
-    totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
-    rows, offset = [], 0
-    for t in totals:
-        rows.append((t.part, offset))
-        offset += t.n
-    return shards.join(F.broadcast(local_table(spark, rows, "p int, offset bigint")), F.col("part") == F.col("p")).drop("p")
+    offsets = broadcast_if_small(stored(part_offsets(shards), "offsets"))
+    return shards.join(offsets, F.col("part") == F.col("p")).drop("p")
 
 
 def read_documents(spark, path: str) -> DataFrame:
