@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, conversations, dac, decontaminate, exact_dedup, fm_index, language, pii, simhash, suffix_array, toxicity, transducer
+from . import (
+    bpe,
+    collocations,
+    conversations,
+    dac,
+    decontaminate,
+    exact_dedup,
+    fm_index,
+    language,
+    pii,
+    simhash,
+    suffix_array,
+    toxicity,
+    transducer,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,6 +195,57 @@ def op1_personal_data(spark, d):
     return pii.personal_data(table(spark, d, "documents"))
 
 
+@query(
+    "op11_phrase_collocations",
+    r"""
+    WITH texts AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+      FROM documents
+    ),
+    pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+    listed AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS words FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM listed GROUP BY lang),
+    placed AS (
+      SELECT lang, words, unnest(range(1, len(words) + 1)) AS p FROM listed WHERE len(words) > 0
+    ),
+    counts AS (
+      SELECT lang, size, array_to_string(words[p:p + size - 1], ' ') AS phrase, count(*) AS f
+      FROM placed, (SELECT unnest(range(1, 5)) AS size)
+      WHERE p + size - 1 <= len(words)
+      GROUP BY ALL HAVING count(*) >= 30
+    ),
+    split AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1),
+    cuts AS (
+      SELECT s.lang, s.size, s.phrase, s.a, k, x.f AS l, y.f AS r,
+             (CAST(s.a AS HUGEINT) * 2000000) // (x.f + y.f) AS score
+      FROM (SELECT *, unnest(range(1, size)) AS k FROM split) s
+      JOIN counts x ON x.lang = s.lang AND x.phrase = array_to_string(w[1:k], ' ')
+      JOIN counts y ON y.lang = s.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+    ),
+    scored AS (
+      SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ),
+    inner_phrases AS (
+      SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most
+      FROM split, (SELECT unnest(range(1, 4)) AS i), (SELECT unnest(range(2, 4)) AS m)
+      WHERE m < size AND i + m - 1 <= size
+      GROUP BY ALL
+    ),
+    free AS (
+      SELECT scored.* FROM scored LEFT JOIN inner_phrases USING (lang, phrase)
+      WHERE most IS NULL OR 100 * CAST(most AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+    ),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free
+    )
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11_phrase_collocations(spark, d):
+    return collocations.collocations(table(spark, d, "documents"))
+
+
 @query("op12_conversation_repair")
 def op12_conversation_repair(spark, d):
     return conversations.damage_and_repair(table(spark, d, "conversations"))
