@@ -7,8 +7,12 @@ ones. This gives a transducer whose states are pairs (last token, place in the t
 a byte moves down the trie, and where a token ends there that may follow the last one, it is put out.
 It is determinised while it reads: a state of the result is the set of pairs that are still possible,
 each with the tokens that not all of them agree on; what all agree on is emitted. So a token leaves as
-soon as no continuation of the word can change it. A pair test is one exact run of BPE over the bytes
-of the two tokens and is made when a state first needs it.
+soon as no continuation of the word can change it.
+
+Whether a token may follow another is tested when a state first needs it. Within a token the piece that
+touches the border is a byte first and the whole token last, and each change has the rank of a merge; BPE
+merges across the border exactly if two pieces that are there at the same time have a rank together. That
+needs ranks that grow from the parts of a token to the token; without them BPE is run over the two.
 
 The ranks are those of a tiktoken file: the neighbours whose bytes together have the lowest rank merge
 first, the leftmost of equals, and a word that is a token itself is that token. Words are the matches
@@ -40,9 +44,9 @@ from .common import kept, prepared, slim, task
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: States of the determinised transducer; more, and it starts anew.
-STATES = 60_000
+STATES = 100_000
 #: Words a worker remembers, and the longest of them; more, and it forgets those not met since.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 #: Ids that are decoded together.
 PIECE = 1 << 14
@@ -80,9 +84,11 @@ def character_classes() -> dict[str, list[tuple[int, int]]]:
     return out
 
 
-def word_pattern(pattern: str, classes: dict[str, list[tuple[int, int]]]) -> re.Pattern:
-    """The pattern with its classes written out as ranges, within brackets or as a class of their own."""
-    listed = {name: "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) for name, ranges in classes.items()}
+def word_pattern(pattern: str, classes: dict[str, list[tuple[int, int]]], top: int = 0x10FFFF) -> re.Pattern:
+    """The pattern with its classes written out as ranges up to a code point, within brackets or as a class of their own."""
+    listed = {
+        name: "".join(f"\\U{a:08x}-\\U{min(b, top):08x}" for a, b in ranges if a <= top) for name, ranges in classes.items()
+    }
     out, inside = [], False
     for piece in re.split(r"(\\p\{\w\}|\\[sS]|\[|\])", pattern):
         if piece in listed:
@@ -95,6 +101,19 @@ def word_pattern(pattern: str, classes: dict[str, list[tuple[int, int]]]) -> re.
     return re.compile("".join(out))
 
 
+class Words:
+    """The words of a text. Classes without the characters that a text has not are much faster to test."""
+
+    def __init__(self, pattern: str, classes: dict[str, list[tuple[int, int]]]):
+        self.ascii, self.basic, self.all = (word_pattern(pattern, classes, top).findall for top in (0x7F, 0xFFFF, 0x10FFFF))
+        self.beyond = re.compile("[\U00010000-\U0010ffff]").search
+
+    def __call__(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.ascii(text)
+        return self.all(text) if self.beyond(text) else self.basic(text)
+
+
 # ------------------------------------------------------------------ encoder
 
 
@@ -105,7 +124,8 @@ class Transducer:
         self.ranks = ranks
         self.most_states = states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
+        self._prepare_pieces()
         # the trie: edges by node << 8 | byte; the token that ends at a node; whether a node has edges
         self.edges: dict[int, int] = {}
         self.token_at = [_NONE]
@@ -144,25 +164,80 @@ class Transducer:
 
     def merged(self, word: bytes) -> tuple[int, ...]:
         """BPE of a few bytes, merge by merge."""
+        return tuple(self.ranks[p] for p in self._merge(word, 1))
+
+    def _merge(self, word: bytes, least: int) -> list[bytes]:
+        """The parts that are left when no two neighbours merge, or when there are but ``least``."""
         parts = [word[i : i + 1] for i in range(len(word))]
-        while len(parts) > 1:
+        while len(parts) > least:
             found = [self.ranks.get(a + b, _GREAT) for a, b in zip(parts, parts[1:])]
             best = min(found)
             if best == _GREAT:
                 break
             i = found.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return tuple(self.ranks[p] for p in parts)
+        return parts
+
+    def _prepare_pieces(self) -> None:
+        """For each token that BPE forms, its pieces at either end: (bytes, rank from which it is there, rank at
+        which it is gone), the byte first."""
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        self.formed: set[int] = set()
+        self.growing = True
+        for token, rank in sorted(self.ranks.items(), key=lambda item: len(item[0])):
+            if len(token) == 1:
+                self.formed.add(rank)
+                continue
+            last = self._last_merge(token)
+            if last is None:
+                continue
+            self.formed.add(rank)
+            parts[token] = last
+            self.growing &= all(len(p) == 1 or (self.ranks[p] < rank and p in parts) for p in last)
+        self.left: dict[int, list[tuple[bytes, int, int]]] = {}
+        self.right: dict[int, list[tuple[bytes, int, int]]] = {}
+        for token, rank in self.ranks.items() if self.growing else ():
+            if rank not in self.formed:
+                continue
+            for side, ends in ((0, self.left), (1, self.right)):
+                found, piece, gone = [], token, _GREAT
+                while True:
+                    there = -1 if len(piece) == 1 else self.ranks[piece]
+                    found.append((piece, there, gone))
+                    if len(piece) == 1:
+                        break
+                    piece, gone = parts[piece][side], there
+                ends[rank] = found[::-1]
+
+    def _last_merge(self, token: bytes) -> tuple[bytes, bytes] | None:
+        """The two parts BPE of a token's bytes merges last, if it ends with the token."""
+        parts = self._merge(token, 2)
+        return (parts[0], parts[1]) if len(parts) == 2 and len(self._merge(token, 1)) == 1 else None
+
+    def _crossed(self, last: int, token: int) -> bool:
+        """Whether BPE merges across the border of two tokens."""
+        get = self.ranks.get
+        for x, x_there, x_gone in self.right[last]:
+            for y, y_there, y_gone in self.left[token]:
+                rank = get(x + y)
+                if rank is not None:
+                    time = max(rank, x_there, y_there)
+                    # of equal ranks the merge further left goes first
+                    if time < x_gone and time <= y_gone:
+                        return True
+        return False
 
     def may_follow(self, last: int, token: int) -> bool:
         """Whether BPE leaves two tokens as they are; of the first token, whether BPE forms it."""
-        known = self.fits.get((last, token))
+        if last == _NONE or token not in self.formed:
+            return token in self.formed
+        known = self.fits.get(last << 32 | token)
         if known is None:
-            if last == _NONE:
-                known = self.merged(self.bytes_of[token]) == (token,)
+            if self.growing:
+                known = not self._crossed(last, token)
             else:
                 known = self.merged(self.bytes_of[last] + self.bytes_of[token]) == (last, token)
-            self.fits[last, token] = known
+            self.fits[last << 32 | token] = known
         return known
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
@@ -182,13 +257,18 @@ class Transducer:
         if whole is None:
             raise ValueError(f"byte {byte} is no token of the table")
         after.append(whole)
-        # no two of them are alike in last token and place, so that they may be put in order
-        shared = len(min((held for _, _, held in after), key=len))
         first = after[0][2]
-        for _, _, held in after[1:]:
-            shared = next((i for i in range(shared) if held[i] != first[i]), shared)
+        shared = len(first)
+        for _, _, held in after:
+            if not shared:
+                break
+            if len(held) < shared:
+                shared = len(held)
+            while held[:shared] != first[:shared]:
+                shared -= 1
         emitted = first[:shared]
-        members = tuple(sorted((last, node, held[shared:]) for last, node, held in after))
+        # in order of the places where they start, so that equal sets are equal rows
+        members = tuple([(last, node, held[shared:]) for last, node, held in after]) if shared else tuple(after)
         to = self.number.get(members)
         if to is None:
             to = self.number[members] = len(self.members)
@@ -221,8 +301,8 @@ class Transducer:
 class WordTable:
     """Words met before, each with its ids; the transducer reads the others."""
 
-    def __init__(self, transducer: Transducer, pattern: re.Pattern, remembered: int = REMEMBERED):
-        self.transducer, self.words = transducer, pattern.findall
+    def __init__(self, transducer: Transducer, words: Words, remembered: int = REMEMBERED):
+        self.transducer, self.words = transducer, words
         self.remembered = remembered
         self.ids: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
@@ -302,7 +382,7 @@ class Model:
         if missing:
             raise ValueError(f"no byte-level vocabulary, bytes without a token: {missing[:5]}")
         transducer = Transducer(ranks)
-        self.table = WordTable(transducer, word_pattern(pattern, classes))
+        self.table = WordTable(transducer, Words(pattern, classes))
         self.bytes_of = transducer.bytes_of
         self.decimal = {rank: str(rank) for rank in self.bytes_of}
 

@@ -57,6 +57,35 @@ def test_forgetting_within_a_word(library):
         assert len(small.members) <= 23
 
 
+def test_pair_tests_are_those_of_bpe(model):
+    walker, dice = model.table.transducer, random.Random(2)
+    assert walker.growing
+    tokens = [t for t in walker.bytes_of if t in walker.formed]
+    common = [t for t in tokens if walker.bytes_of[t].isalpha() and len(walker.bytes_of[t]) < 5]
+    seen = set()
+    for _ in range(20_000):
+        one, two = dice.choice(common), dice.choice(common if dice.random() < 0.8 else tokens)
+        whole = walker.merged(walker.bytes_of[one] + walker.bytes_of[two])
+        assert walker.may_follow(one, two) == (whole == (one, two))
+        seen.add(whole == (one, two))
+    assert seen == {True, False}
+    for token in dice.sample(sorted(walker.bytes_of), 3000):
+        assert walker.may_follow(-1, token) == (walker.merged(walker.bytes_of[token]) == (token,))
+
+
+def test_ranks_that_do_not_grow():
+    import tiktoken
+
+    ranks = {bytes([b]): b + 10 for b in range(256)} | {b"ab": 9, b"abc": 3, b"bc": 5, b"abcd": 1, b"cd": 2, b"aa": 4, b"aaa": 7}
+    ranks |= {token: rank for rank, token in zip((0, 6, 8), (b"dabc", b"da", b"bcd"))}
+    walker, dice = transducer.Transducer(ranks), random.Random(8)
+    library = tiktoken.Encoding("odd", pat_str=".+", mergeable_ranks=ranks, special_tokens={})
+    assert not walker.growing
+    for _ in range(3000):
+        word = "".join(dice.choice("abcd") for _ in range(dice.randint(1, 14)))
+        assert walker.encode(word.encode()) == library.encode_ordinary(word)
+
+
 def test_tokens_leave_as_soon_as_they_are_settled(model):
     walker = model.table.transducer
     for word in (b"internationalisation", b"antidisestablishmentarianism"):
@@ -70,7 +99,7 @@ def test_tokens_leave_as_soon_as_they_are_settled(model):
 
 
 def test_word_table_forgets(model, library, plain_docs):
-    table = transducer.WordTable(model.table.transducer, model.table.words.__self__, remembered=40)
+    table = transducer.WordTable(model.table.transducer, model.table.words, remembered=40)
     for _, text in plain_docs[:40]:
         assert table.encode(text) == library.encode_ordinary(text)
         assert len(table.ids) <= 20 and len(table.older) <= 20
