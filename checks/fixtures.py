@@ -293,6 +293,20 @@ DATE_FORMS = [
     ("date_format(d, 'yyyy MMM d')", "strftime(d, '%Y %b %-d')", ""),
     ("date_format(d, \"d'th' MMMM yyyy\")", "strftime(d, '%-dth %B %Y')", ""),
     ("concat(date_format(d, 'yyyy-MM-dd'), repeat(' ', 60))", "concat(strftime(d, '%Y-%m-%d'), repeat(' ', 60))", ""),
+    ("concat(repeat(' ', 3), date_format(d, \"EEEE,'\t'MMMM d\"), repeat(' ', 80), year(d))", "concat('   ', strftime(d, '%A,\t%B %-d'), repeat(' ', 80), year(d))", ""),
+    ("date_format(d, \"'12:30' yyyy-MM-dd\")", "strftime(d, '12:30 %Y-%m-%d')", "12:30:00"),
+    ("date_format(d, \"'10:30' MMM d, yyyy\")", "strftime(d, '10:30 %b %-d, %Y')", "10:30:00"),
+    ("date_format(d, \"'10:30PM' M/d/yyyy\")", "strftime(d, '10:30PM %-m/%-d/%Y')", "22:30:00"),
+    ("date_format(d, \"EEE MMM  d '10:30:00' yyyy\")", "strftime(d, '%a %b  %-d 10:30:00 %Y')", "10:30:00"),
+    ("date_format(d, \"yyyy-M-d '1:2'\")", "strftime(d, '%Y-%-m-%-d 1:2')", "01:02:00"),
+    ("date_format(d, \"yyyyMMdd '1030'\")", "strftime(d, '%Y%m%d 1030')", "10:30:00"),
+    ("date_format(d, \"yyyy-MM-dd '10h30'\")", "strftime(d, '%Y-%m-%d 10h30')", "10:30:00"),
+    ("date_format(d, 'MMM-dd-yyyy')", "strftime(d, '%b-%d-%Y')", ""),
+    ("date_format(d, \"d'th of' MMMM yyyy\")", "strftime(d, '%-dth of %B %Y')", ""),
+    ("date_format(d, \"yyyy-MM-dd '10:30:00 EST'\")", "strftime(d, '%Y-%m-%d 10:30:00 EST')", "10:30:00"),
+    ("date_format(d, \"yyyy-MM-dd'-10:30'\")", "strftime(d, '%Y-%m-%d-10:30')", "10:30:00"),
+    # a decimal comma, whose fraction is lost: the month is what follows
+    ("date_format(d, \"yyyy,'17',MM\")", "strftime(d, '%Y,17,%m')", "month"),
     ("concat(year(d), 'Q', quarter(d))", "concat(year(d), 'Q', quarter(d))", "quarter"),
     ("'2024-02-30'", "'2024-02-30'", None),
     ("'13/13/2024'", "'13/13/2024'", None),
@@ -308,6 +322,8 @@ def _by_form(parts: list[str]) -> str:
 def _moment(clock: str | None) -> str:
     if clock is None:
         return "CAST(NULL AS TIMESTAMP)"
+    if clock == "month":
+        return "CAST(date_trunc('month', d) AS TIMESTAMP)"
     if clock == "quarter":
         return "CAST(date_trunc('quarter', d) AS TIMESTAMP)"
     return f"CAST(strftime(d, '%Y-%m-%d {clock or '00:00:00'}') AS TIMESTAMP)"

@@ -997,6 +997,15 @@ def _(spark, d):
     return charts.chart_data("bar", _chart_stats(spark, d), metric="l_extendedprice")
 
 
+@query(
+    "chart_default",
+    "SELECT source_file, 'l_linenumber' AS metric, 'L Linenumber' AS label, CAST(l_linenumber AS DOUBLE) AS value"
+    f" FROM ({_STATS_SQL})",
+)
+def _(spark, d):
+    return charts.default_chart(_chart_stats(spark, d))
+
+
 @query(
     "chart_grouped_bar",
     "SELECT source_file, category AS series, CAST(count AS DOUBLE) AS value FROM ("

@@ -43,6 +43,7 @@ from .sources.tables import (
     read_snapshot_as_text,
     read_sources,
     read_text_table,
+    rejected_rows,
     write_cleaned_snapshot,
     write_typed_snapshot,
 )
@@ -54,7 +55,7 @@ __all__ = [
     "duplicate_count", "duplicate_rows", "entity_stats", "extract_fenced_json", "fit_nils", "fit_plan",
     "freeze", "head_n", "head_per_source", "infer_types", "iqr_outlier_rows", "label_sources", "load_plan",
     "nil_report", "outlier_count", "project_required", "quartiles_iqr", "read_snapshot_as_text",
-    "read_sources", "read_text_table", "reconcile_types", "repair_nils", "resolve_target_type",
+    "read_sources", "read_text_table", "reconcile_types", "rejected_rows", "repair_nils", "resolve_target_type",
     "rows_as_json", "run_summary", "save_plan", "source_summary", "table_profile", "union_sources",
     "value_counts", "write_cleaned_snapshot", "write_typed_snapshot",
 ]

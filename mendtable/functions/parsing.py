@@ -32,76 +32,51 @@ WHOLE = r"^[ \t\n\x0b\f\r]*[+-]?\d+(\.0*)?[ \t\n\x0b\f\r]*$"
 PLUS_INFINITY = ["inf", "+inf", "infinity", "+infinity"]
 MINUS_INFINITY = ["-inf", "-infinity"]
 
-# Accepted date shapes, each rewritten to one layout before it is parsed. Where two
-# small numbers lead, the first is the month unless it exceeds 12.
-# Years are those a 64-bit count of nanoseconds holds in full.
-_YEAR = r"(?:167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
-_CLOCK = r"( \d{1,2}:\d{2}(?::\d{2})?)?"
-_HALF_DAY = r"( \d{1,2}:\d{2}(?::\d{2})? [AaPp][Mm])"
-_MONTH = (
-    r"((?i:jan(?=(?:uary)?\b)|feb(?=(?:ruary)?\b)|mar(?=(?:ch)?\b)|apr(?=(?:il)?\b)|may(?=\b)"
-    r"|jun(?=e?\b)|jul(?=y?\b)|aug(?=(?:ust)?\b)|sep(?=(?:t|tember)?\b)|oct(?=(?:ober)?\b)"
-    r"|nov(?=(?:ember)?\b)|dec(?=(?:ember)?\b)))[a-z]*"
+# Names in dates, words that may stand in them, and the years accepted, those that a 64-bit
+# count of nanoseconds holds in full.
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+SHORT_WEEKDAYS = ["tues", "wednes", "thur", "thurs", "satur"]
+FILLERS = ["at", "on", "and", "ad", "of", "m", "t"]
+ORDINALS = ["st", "nd", "rd", "th"]
+FIRST_YEAR, LAST_YEAR = 1678, 2261
+#: Two-digit years up to this one are in this century, as C libraries have it.
+LAST_NEW_YEAR = 68
+
+_MONTH_WORDS = [m[:3] for m in MONTHS] + ["sept"] + MONTHS
+_WORDS = [*_MONTH_WORDS, *[d[:3] for d in WEEKDAYS], *SHORT_WEEKDAYS, *WEEKDAYS, *FILLERS]
+_YEAR = r"(?:167[89]|16[89][0-9]|1[7-9][0-9]{2}|2[01][0-9]{2}|22[0-5][0-9]|226[01])"
+
+# The two most common shapes, which need no tokens: year first with an ISO clock, and numbers of which
+# the last is a year, the first of them the month unless it exceeds 12.
+_ISO = rf"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}}(?:[T ][0-9]{{2}}:[0-9]{{2}}(?::[0-9]{{2}}(?:\.[0-9]{{1,6}})?(?:Z|[+-][0-9]{{2}}:[0-9]{{2}})?)?)?$"
+_US_DAY = rf"^(0?[1-9]|1[0-2])([-/.])([0-9]{{1,2}})\2({_YEAR})$"
+_DAY_FIRST = rf"^(1[3-9]|2[0-9]|3[01])([-/.])([0-9]{{1,2}})\2({_YEAR})$"
+
+# A clock: numbers with colons, or with h, m and s, or an hour of half a day; then a zone. Names of zones
+# other than universal time say nothing, and turn the sign of a number behind them.
+_HALF = r"(?i:(a|p)(?:\.?m\.?)?(?![a-z]))"
+_NO_DATE_WORD = "(?!(?i:" + "|".join(sorted({w[:3] for w in _WORDS if len(w) > 2})) + ")(?![A-Z]{2}))"
+_ZONE = rf"(?: ?((?:{_NO_DATE_WORD}[A-Z]{{3,5}}|[Zz])(?![A-Za-z])))?(?: ?([+-][0-9]{{1,2}}(?::?[0-9]{{2}})?)(?![0-9:]))?"
+_COLONS = rf"(?<![0-9:.])([0-9]{{1,2}}):([0-9]{{1,2}})(?::([0-9]{{1,2}})(?:\.([0-9]{{1,9}})|,[0-9]+)?)?(?![0-9:])(?: ?{_HALF})?{_ZONE}"
+_LETTERS = (
+    r"(?<![0-9:.])([0-9]{1,2}) ?(?i:h(?:r|ours?)?)(?:([0-9]{1,2})(?i: ?m(?:in(?:utes?)?)?)?| ([0-9]{1,2}) ?(?i:m(?:in(?:utes?)?)?))?"
+    r"(?: ?([0-9]{1,2})(?: (?=[A-Za-z]+ ))?(?i:s(?:ec(?:onds?)?)?))?(?![A-Za-z0-9])"
 )
-ISO_SHAPES = [
-    (r"(" + _YEAR + r"-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?)", "$1"),
-    (r"(0?[1-9]|1[0-2])([-/.])(\d{1,2})\2(" + _YEAR + r")" + _CLOCK, "$4-$1-$3$5"),
-    (r"(\d{1,2})([-/.])(\d{1,2})\2(" + _YEAR + r")" + _CLOCK, "$4-$3-$1$5"),
-    (r"(" + _YEAR + r")[/.](\d{1,2})[/.](\d{1,2})" + _CLOCK, "$1-$2-$3$4"),
-    (r"(" + _YEAR + r")(\d{2})(\d{2})", "$1-$2-$3"),
-    (r"(\d{1,2})[-/](" + _YEAR + r")", "$2-$1"),
-    (r"(" + _YEAR + r"(?:-\d{1,2})?)", "$1"),
+_HOUR = rf"(?<![0-9:.])([0-9]{{1,2}}) ?(?i:(a|p)\.?m\.?(?![a-z])){_ZONE}"
+_CLOCK = f"{_COLONS}|{_LETTERS}|{_HOUR}"
+_CLOCK_PARTS = "|$1$8$12|$2$9$10|$3$11|$4|$5$13|$6$14|$7$15|"
+_HOURS_BEHIND_DATE = [
+    (r"^([0-9]{8})[T ]?([0-9]{2})([0-9]{2})([0-9]{2})$", "$1 $2:$3:$4"),
+    (r"^([0-9]{8})[T ]?([0-9]{2})([0-9]{2})$", "$1 $2:$3"),
+    (r"^([0-9]{8}|[0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[T ]([0-9]{1,2})$", "$1 $2:00"),
 ]
-NAMED_SHAPES = [
-    (_MONTH + r" (\d{1,2}),? (" + _YEAR + r")", "$2 $1 $3"),
-    (r"(\d{1,2})[ -]" + _MONTH + r"[ -](" + _YEAR + r")", "$1 $2 $3"),
-    (_MONTH + r"[ -](" + _YEAR + r")", "1 $1 $2"),
-]
-NAMED_FORMAT = "d MMM yyyy"
-HALF_DAY_SHAPES = [
-    (r"(0?[1-9]|1[0-2])/(\d{1,2})/(" + _YEAR + r")" + _HALF_DAY, "$3-$1-$2$4"),
-    (r"(\d{1,2})/(\d{1,2})/(" + _YEAR + r")" + _HALF_DAY, "$3-$2-$1$4"),
-]
-HALF_DAY_FORMAT = "yyyy-M-d h:mm[:ss] a"
-
-# Further shapes, for dates apart from their clock: two-digit years (up to 68 in this century, as C
-# libraries have it), quarters, ordinal days, the year first. Rewritten to year-month-day, or to a
-# layout with the month's name.
-_OLD, _NEW = r"(69|[7-9]\d)", r"([0-5]\d|6[0-8])"
-_ORDINAL = r"(?:st|nd|rd|th)?"
-DATE_SHAPES = [
-    (r"(" + _YEAR + r")-(\d{1,2})-(\d{1,2})", "$1-$2-$3"),
-    (r"(" + _YEAR + r")[/.](\d{1,2})[/.](\d{1,2})", "$1-$2-$3"),
-    (r"(" + _YEAR + r")(\d{2})(\d{2})", "$1-$2-$3"),
-    (r"(0?[1-9]|1[0-2])([-/.])(\d{1,2})\2(" + _YEAR + r")", "$4-$1-$3"),
-    (r"(\d{1,2})([-/.])(\d{1,2})\2(" + _YEAR + r")", "$4-$3-$1"),
-    *[
-        (shape.replace("@", year), layout.replace("@", century))
-        for year, century in ((_NEW, "20"), (_OLD, "19"))
-        for shape, layout in (
-            (r"(0?[1-9]|1[0-2])([-/.])(\d{1,2})\2@", "@$4-$1-$3"),
-            (r"(1[3-9]|2\d|3[01])([-/.])(\d{1,2})\2@", "@$4-$3-$1"),
-        )
-    ],
-    (r"(3[2-9]|[45]\d|6[0-8])([-/.])(\d{1,2})\2(\d{1,2})", "20$1-$3-$4"),
-    (_OLD + r"([-/.])(\d{1,2})\2(\d{1,2})", "19$1-$3-$4"),
-    *[(r"(" + _YEAR + r")-?[Qq]" + str(q), f"$1-{3 * q - 2}-1") for q in (1, 2, 3, 4)],
-]
-DAY_NAMED_SHAPES = [
-    (_MONTH + r"\.?[ -](\d{1,2})" + _ORDINAL + r",? (" + _YEAR + r")", "$2 $1 $3"),
-    (r"(\d{1,2})" + _ORDINAL + r"[ -/]" + _MONTH + r"[.,]?[ -/](" + _YEAR + r")", "$1 $2 $3"),
-    (r"(" + _YEAR + r")[ -]" + _MONTH + r"[ -](\d{1,2})" + _ORDINAL, "$3 $2 $1"),
-    (r"(\d{1,2})[ -/]" + _MONTH + r"[ -/]" + _NEW, "$1 $2 20$3"),
-    (r"(\d{1,2})[ -/]" + _MONTH + r"[ -/]" + _OLD, "$1 $2 19$3"),
-]
-_WEEKDAY = r"^(?i:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?i:day)?[,.]? "
-# The clock at the end of a text: hour, minute, second, fraction, half of the day, zone.
-_CLOCK_END = (
-    r"(?=T\d| \d{1,2}:| \d{1,2} ?[AaPp][Mm])[T ](\d{1,2})(?::(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?)?"
-    r"(?: ?([AaPp][Mm]))?(?: ?(Z|z|UTC|GMT|[+-]\d{2}(?::?\d{2})?))?$"
+# What may be left beside the clock: numbers of a day, month, year or all three, words of dates, marks.
+_DATE_TOKENS = (
+    r"^(?:[ ,./;\x27-]++|(?<![0-9])(?:[0-9]{8}|[0-9]{4}|[0-9]{1,2})(?![0-9])(?:(?:" + "|".join(ORDINALS) + r")(?![a-z]))?"
+    r"|(?<![a-z])(?:" + "|".join(sorted(_WORDS, key=len, reverse=True)) + r")(?![a-z]))*+$"
 )
-# No text in these shapes is longer, white space around it aside.
-LONGEST_DATE = 80
+_QUARTER = rf"^(?:({_YEAR})-?[Qq]([1-4])|([1-4])[Qq]-?({_YEAR}))$"
 
 
 def _list(words: list[str]) -> str:
@@ -124,64 +99,98 @@ def number_sql(v: str) -> str:
     )
 
 
-def _rewrite_sql(v: str, shapes: list[tuple[str, str]]) -> str:
-    space = f"{SPACE}*"
-    cases = " ".join(
-        f"WHEN {v} RLIKE r'^{space}{shape}{space}$'"
-        f" THEN regexp_replace({v}, r'^{space}{shape}{space}$', '{layout}')"
-        for shape, layout in shapes
-    )
-    return f"CASE {cases} END"
+def _let(name: str, value: str, body: str) -> str:
+    """SQL text of a body that uses a value several times; the value is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _clock_sql(x: str) -> str:
-    """SQL text of the clock at the end of ``x``, as the end of a timestamp literal; null if it is
-    none that exists."""
-    hour, minute, second, fraction, half, zone = (f"regexp_extract({x}, r'{_CLOCK_END}', {i})" for i in range(1, 7))
+def _clock_sql(y: str) -> str:
+    """SQL text of seconds since midnight UTC, as a decimal, from the parts of a clock; null if there is none
+    such on any day."""
+    hour, minute, second, fraction, half, name, offset = (f"{y}[{i}]" for i in range(1, 8))
     number = f"cast({hour} AS INT)"
     hours = (
-        f"CASE WHEN {half} = '' THEN {number} WHEN {number} BETWEEN 1 AND 12"
-        f" THEN {number} % 12 + IF(lower({half}) = 'pm', 12, 0) END"
+        f"CASE WHEN {half} = '' THEN IF({number} < 24, {number}, NULL)"
+        f" WHEN {number} <= 12 THEN {number} % 12 + IF(lower({half}) = 'p', 12, 0) END"
     )
-    zones = (
-        f"CASE WHEN {zone} IN ('', '+', '-') THEN '' WHEN {zone} IN ('Z', 'z', 'UTC', 'GMT') THEN 'Z'"
-        f" WHEN length({zone}) = 3 THEN concat({zone}, ':00')"
-        f" WHEN length({zone}) = 5 THEN concat(left({zone}, 3), ':', right({zone}, 2)) ELSE {zone} END"
+    sixty = [f"IF({v} = '', 0, IF(cast({v} AS INT) < 60, cast({v} AS INT), NULL))" for v in (minute, second)]
+    part = f"cast(concat('0.', left(concat({fraction}, '0'), 6)) AS DECIMAL(8, 6))"
+    digits = f"replace(substring({offset}, 2), ':', '')"
+    away = (
+        f"CASE WHEN length({digits}) <= 2 THEN cast({digits} AS INT) * 3600"
+        f" ELSE cast(left({digits}, length({digits}) - 2) AS INT) * 3600 + cast(right({digits}, 2) AS INT) * 60 END"
     )
+    east = f"IF((left({offset}, 1) = '+') = ({name} = ''), 1, -1)"
+    shift = f"IF({offset} = '', 0, {east} * ({away}))"
+    return f"(({hours}) * 3600 + {sixty[0]} * 60 + {sixty[1]} + {part} - {shift})"
+
+
+def _roles_sql(p: str) -> str:
+    """SQL text of the day that numbers and a month name stand for, from structs (v, n): the value, and the number
+    of digits, 0 for a month name. Greater numbers are years; of small ones the month comes before the day."""
+
+    def day(y: int, m: int | None, d: int | None) -> str:
+        at = [f"{p}[{y}].v", f"{p}[{y}].n", "1" if m is None else f"{p}[{m}].v", "1" if d is None else f"{p}[{d}].v"]
+        year = f"CASE WHEN {at[1]} = 4 THEN {at[0]} WHEN {at[0]} <= {LAST_NEW_YEAR} THEN 2000 + {at[0]} ELSE 1900 + {at[0]} END"
+        return f"named_struct('y', {year}, 'm', {at[2]}, 'd', {at[3]})"
+
+    def years(*places: int) -> list[str]:
+        return [f"{p}[{i}].n = 4 OR ({p}[{i}].n > 0 AND {p}[{i}].v > 31)" for i in places]
+
+    first, second = years(0, 1)
     return (
-        f"CASE WHEN NOT {x} RLIKE r'{_CLOCK_END}' THEN '' ELSE"
-        f" concat(' ', lpad({hours}, 2, '0'), ':', coalesce(nullif({minute}, ''), '00'), ':',"
-        f" coalesce(nullif({second}, ''), '00'), IF({fraction} = '', '', concat('.', left({fraction}, 6))), {zones}) END"
+        f"CASE size({p})"
+        f" WHEN 1 THEN CASE WHEN {p}[0].n = 4 THEN {day(0, None, None)} END"
+        f" WHEN 2 THEN CASE WHEN {p}[0].n = 4 THEN {day(0, 1, None)} WHEN {p}[1].n = 4 THEN {day(1, 0, None)} END"
+        f" WHEN 3 THEN CASE"
+        f" WHEN {p}[0].n = 0 THEN IF({second}, {day(1, 0, 2)}, {day(2, 0, 1)})"
+        f" WHEN {p}[1].n = 0 THEN IF({first}, {day(0, 1, 2)}, {day(2, 1, 0)})"
+        f" WHEN {p}[2].n = 0 THEN IF({second}, {day(1, 2, 0)}, {day(0, 2, 1)})"
+        f" WHEN {first} THEN {day(0, 1, 2)}"
+        f" WHEN {p}[0].v > 12 THEN {day(2, 1, 0)} ELSE {day(2, 0, 1)} END END"
     )
 
 
-def _further_datetime_sql(v: str) -> str:
-    """SQL text for dates in the further shapes; each part is computed once, by a lambda."""
-    compact = r"^(\d{8})T?(\d{2})(\d{2})(\d{2})$"
-    plain = f"regexp_replace(regexp_replace({strip_sql(v)}, r'{SPACE}+', ' '), r'{_WEEKDAY}', '')"
-    text = f"regexp_replace({plain}, r'{compact}', '$1 $2:$3:$4')"
-    day = f"regexp_replace(x, r'{_CLOCK_END}', '')"
-    named = f"date_format(try_to_timestamp({_rewrite_sql('p.d', DAY_NAMED_SHAPES)}, '{NAMED_FORMAT}'), 'yyyy-MM-dd')"
-    date = f"CASE WHEN p.d RLIKE '[A-PR-Za-pr-z]' THEN {named} ELSE {_rewrite_sql('p.d', DATE_SHAPES)} END"
-    parts = f"transform(array({text}), x -> named_struct('d', {day}, 'c', {_clock_sql('x')}))"
-    return f"transform({parts}, p -> try_cast(concat({date}, p.c) AS TIMESTAMP))[0]"
+def _tokens_sql(x: str) -> str:
+    """SQL text for dates in any order of words, numbers and a clock, from text whose blanks are single spaces."""
+    moved = x
+    for shape, layout in _HOURS_BEHIND_DATE:
+        moved = f"regexp_replace({moved}, r'{shape}', '{layout}')"
+    cut = f"split(regexp_replace(IF({x} RLIKE '^[0-9]{{4}}', {moved}, {x}), r'{_CLOCK}', '{_CLOCK_PARTS}'), '[|]')"
+    months = "array(" + ", ".join(f"'{m[:3]}'" for m in MONTHS) + ")"
+    # a number that a comma follows without a space is taken for a decimal; its fraction says nothing
+    rest = "regexp_replace(lower(IF(size(y) = 9, concat(y[0], ' ', y[8]), y[0])), r'([0-9]{2,}),[0-9]+', '$1')"
+    whole = "regexp_replace(w, r'(?<![0-9])([0-9]{4})([0-9]{2})([0-9]{2})(?![0-9])', '$1 $2 $3')"
+    part = (
+        "CASE WHEN t RLIKE '^[0-9]' THEN named_struct('v', cast(t AS INT), 'n', length(t))"
+        f" WHEN t IN {_list(_MONTH_WORDS)} THEN named_struct('v', cast(array_position({months}, left(t, 3)) AS INT), 'n', 0) END"
+    )
+    parts = f"filter(transform(regexp_extract_all({whole}, '[0-9]+|[a-z]+', 0), t -> {part}), t -> t IS NOT NULL)"
+    one_name = "size(filter(p, t -> t.n = 0)) <= 1"
+    valid = f"d.y BETWEEN {FIRST_YEAR} AND {LAST_YEAR} AND d.m <= 12 AND d.d <= 31"
+    date = "try_cast(concat(d.y, '-', lpad(d.m, 2, '0'), '-', lpad(d.d, 2, '0')) AS TIMESTAMP)"
+    seconds = f"IF(size(y) = 9, {_clock_sql('y')}, 0)"
+    moment = f"CASE WHEN {valid} THEN {date} + make_dt_interval(0, 0, 0, {seconds}) END"
+    judged = _let("p", parts, f"CASE WHEN {one_name} THEN " + _let("d", _roles_sql("p"), moment) + " END")
+    likely = f"(size(y) = 1 OR size(y) = 9) AND w RLIKE r'{_DATE_TOKENS}' AND NOT w RLIKE '[0-9]{{4}}[a-z]'"
+    return _let("y", cut, _let("w", rest, f"CASE WHEN {likely} THEN {judged} END"))
 
 
 def datetime_sql(v: str) -> str:
     """SQL text of ``to_datetime``."""
-    common = (
-        f"CASE WHEN {v} RLIKE '[0-9]{{4}}' THEN"
-        f" CASE WHEN NOT {v} RLIKE '[A-SU-Ya-y]'"
-        f" THEN try_cast({_rewrite_sql(v, ISO_SHAPES)} AS TIMESTAMP)"
-        f" WHEN {v} RLIKE '/.*[Mm]'"
-        f" THEN try_to_timestamp({_rewrite_sql(v, HALF_DAY_SHAPES)}, '{HALF_DAY_FORMAT}')"
-        f" ELSE try_to_timestamp({_rewrite_sql(v, NAMED_SHAPES)}, '{NAMED_FORMAT}') END END"
+    plain = f"regexp_replace({strip_sql(v)}, r'{SPACE}+', ' ')"
+    quarter = "concat({0}, '-', {1} * 3 - 2, '-1')"
+    year, number = (f"concat(regexp_extract(x, r'{_QUARTER}', {i}), regexp_extract(x, r'{_QUARTER}', {j}))" for i, j in ((1, 4), (2, 3)))
+    # every date has a number, and nothing but letters, digits and a few marks
+    likely = "x RLIKE r'^[A-Za-z0-9 ,./:;\\x27+-]*$' AND x RLIKE '[0-9].*[0-9]'"
+    further = (
+        f"CASE WHEN NOT ({likely}) THEN NULL"
+        f" WHEN x RLIKE r'{_US_DAY}' THEN try_cast(regexp_replace(x, r'{_US_DAY}', '$4-$1-$3') AS TIMESTAMP)"
+        f" WHEN x RLIKE r'{_DAY_FIRST}' THEN try_cast(regexp_replace(x, r'{_DAY_FIRST}', '$4-$3-$1') AS TIMESTAMP)"
+        f" WHEN x RLIKE r'{_QUARTER}' THEN try_cast({quarter.format(year, f'cast({number} AS INT)')} AS TIMESTAMP)"
+        f" ELSE {_tokens_sql('x')} END"
     )
-    # every further shape holds a day or quarter next to a year, in letters of dates only
-    likely = f"{v} RLIKE r'^{SPACE}*[A-Za-z0-9][A-Za-z0-9 ,.:/+{_SPACES}-]*$' AND {v} RLIKE '[0-9].*[0-9]'"
-    further = f"CASE WHEN {likely} THEN {_further_datetime_sql(v)} END"
-    short = f"(octet_length({v}) <= {LONGEST_DATE} OR octet_length({strip_sql(v)}) <= {LONGEST_DATE})"
-    return f"CASE WHEN {short} THEN coalesce({common}, {further}) END"
+    return f"CASE WHEN {v} RLIKE r'{_ISO}' THEN try_cast({v} AS TIMESTAMP) WHEN {v} IS NOT NULL THEN {_let('x', plain, further)} END"
 
 
 def strip(v: str) -> Column:

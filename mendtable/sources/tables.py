@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
-from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.columns import broadcast_if_small, local_table, quoted, ref, unused_name
 from ..functions.parsing import path_parent, path_stem
 from ..operators.selection import SOURCE, stack_by_name
+from . import csv_rows
 from .workspace import materialize
 
 # File suffixes of each readable format.
@@ -38,7 +37,8 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 
 def blanks_for_nulls(df: DataFrame) -> DataFrame:
-    return df.na.fill("", [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.select(*[F.coalesce(ref(c), F.lit("")).alias(c) if c in text else ref(c) for c in df.columns])
 
 
 def read_text_table(
@@ -48,17 +48,39 @@ def read_text_table(
     multi_line: bool | None = None,
     with_path: str | None = None,
     stage: bool = False,
+    encoding: str | None = None,
+    report: bool = False,
 ) -> DataFrame:
     """Read files, every column as text, blanks as ``''``.
 
-    Each file is read by its own header and the files are stacked by column name; a column that a
-    file lacks is null in its rows. The format follows the suffix unless given. A CSV file whose
-    fields hold line breaks must be read by one task, since only a parser can tell where its rows
-    end; ``multi_line`` says whether there are any, and by default a scan of the lines for an odd
-    number of quotes finds out, so that all other files are split. ``with_path`` names a column for the file path. ``stage`` writes the parsed rows to the shared
-    folder once, in columns: profiling reads each column by itself, and would else parse the files
-    again for every one of them.
+    Each file is read by its own header, names as they stand (a repeated one gets a number), and the
+    files are stacked by column name; a column that a file lacks is null in its rows. The format
+    follows the suffix unless given. Fields may hold line breaks, and such files too are cut and read
+    by many tasks (see ``csv_rows``); one look at all lines finds out which they are, unless
+    ``multi_line`` says it.
+
+    Rows with more values than the header, bytes that are no UTF-8 (or not in ``encoding``) and an open
+    quote at the end of a file are refused, with file and line; with ``report`` they are left out,
+    and ``rejected_rows`` has them. ``with_path`` names a column for the file path. ``stage`` writes
+    the parsed rows to the shared folder once, in columns: profiling reads each column by itself, and
+    would else parse the files again for every one of them.
     """
+    df, _, _ = _read_text(spark, paths, fmt, multi_line, with_path, encoding, report)
+    return materialize(df, "text")[0] if stage else df
+
+
+def rejected_rows(
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool | None = None, encoding: str | None = None
+) -> DataFrame:
+    """What ``read_text_table`` leaves out of CSV files: file_path, line (from 1), reason, record."""
+    return _read_text(spark, paths, "csv", multi_line, None, encoding, True)[1]
+
+
+def _read_text(
+    spark: SparkSession, paths: str | Sequence[str], fmt: str | None, multi_line: bool | None, with_path: str | None,
+    encoding: str | None, report: bool,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The table, the rejected rows, and the files both come from."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("no files to read")
@@ -69,21 +91,40 @@ def read_text_table(
              for p in paths}
     if len(kinds) != 1 or not kinds <= {"csv", "parquet"}:
         raise ValueError(f"Unsupported file format: {sorted({_suffix(p) for p in paths})}")
+    none = spark.createDataFrame([], csv_rows.REJECTED)
     if kinds == {"parquet"}:
-        return read_snapshot_as_text(spark, paths, with_path)
-    if multi_line is None:
-        multi_line = _has_quoted_breaks(spark, paths)
+        df = read_snapshot_as_text(spark, paths, with_path)
+        return df, none, [csv_rows.path_of(spark, f) for f in df.inputFiles()]
+    found = csv_rows.layouts(spark, paths, encoding, multi_line)
+    groups: dict[tuple, list[csv_rows.Layout]] = {}
+    for layout in found:
+        groups.setdefault((layout.plain, layout.columns), []).append(layout)
+    parts, rejected = [], none
+    for (plain, columns), group in groups.items():
+        if plain:
+            parts.append(_plain_csv(spark, [csv_rows.path_of(spark, g.file) for g in group], columns, with_path, encoding))
+            continue
+        good, bad, _ = csv_rows.read_layout(spark, group, encoding, with_path)
+        if not report:
+            some = bad.orderBy("file_path", "line").limit(3).collect()
+            if some:
+                told = "; ".join(f"{r.file_path} line {r.line}: {r.reason}" for r in some)
+                raise ValueError(f"rows that cannot be read: {told}")
+        parts.append(good)
+        rejected = rejected.unionByName(bad)
+    return stack_by_name(parts), rejected, [csv_rows.path_of(spark, layout.file) for layout in found]
+
+
+def _plain_csv(
+    spark: SparkSession, files: Sequence[str], columns: Sequence[str], with_path: str | None, encoding: str | None
+) -> DataFrame:
+    """Files of one header whose lines are their rows."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     options = {
-        "header": True, "multiLine": multi_line, "escape": '"',
+        "header": True, "escape": '"', "encoding": encoding or "UTF-8",
         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
     }
-    headers = _each(paths, lambda p: tuple(spark.read.options(**options).csv(p).columns))
-    parts = [
-        blanks_for_nulls(_with_path(spark.read.options(**options).csv(same), with_path))
-        for same in _alike(paths, headers)
-    ]
-    df = stack_by_name(parts)
-    return materialize(df, "text")[0] if stage else df
+    return blanks_for_nulls(_with_path(spark.read.schema(schema).options(**options).csv(list(files)), with_path))
 
 
 def _each(paths: Sequence[str], look: Callable[[str], object]) -> list:
@@ -99,16 +140,10 @@ def _alike(paths: Sequence[str], kinds: Sequence) -> list[list[str]]:
     return list(groups.values())
 
 
-def _has_quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> bool:
-    """Whether some line has an odd number of quotes, as it must where a field goes on to the next."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    return not spark.read.text(list(paths)).filter(quotes % 2 == 1).isEmpty()
-
-
 def _with_path(df: DataFrame, with_path: str | None) -> DataFrame:
     if not with_path:
         return df
-    return df.select(*[ref(c) for c in df.columns], F.col("_metadata.file_path").alias(with_path))
+    return df.select(*[ref(c) for c in df.columns], csv_rows.real_path(F.col("_metadata.file_path")).alias(with_path))
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -135,18 +170,6 @@ def read_snapshot_as_text(
     )
 
 
-def labels_of(paths: Sequence[str]) -> dict[str, str]:
-    """The label of every file: its stem, or the name of its folder where files share the stem."""
-    files = {p: PurePosixPath(p) for p in paths}
-    times = Counter(f.stem for f in files.values())
-    return {p: f.stem if times[f.stem] == 1 else f.parent.name for p, f in files.items()}
-
-
-def unique_label(path: str, paths: Sequence[str] | None = None) -> str:
-    """The label of one file among others."""
-    return labels_of(paths or [path])[path]
-
-
 def label_sources(
     df: DataFrame, path_column: str, source: str = SOURCE, files: Sequence[str] | None = None
 ) -> DataFrame:
@@ -181,10 +204,12 @@ def read_sources(
     fmt: str | None = None,
     multi_line: bool | None = None,
     stage: bool = False,
+    encoding: str | None = None,
+    report: bool = False,
 ) -> DataFrame:
-    """All files as one text table with ``file_path`` and the ``source_file`` label."""
-    rows = read_text_table(spark, paths, fmt, multi_line, with_path="file_path")
-    files = rows.inputFiles()
+    """All files as one text table with ``file_path`` and the ``source_file`` label; options as for
+    ``read_text_table``."""
+    rows, _, files = _read_text(spark, paths, fmt, multi_line, "file_path", encoding, report)
     if stage:
         rows, _ = materialize(rows, "text")
     return label_sources(rows, "file_path", files=files)

@@ -41,14 +41,3 @@ def text(spark):
         return spark.createDataFrame(rows, "n int, " + ", ".join(f"`{c}` string" for c in names))
 
     return make
-
-
-def physical_plan(df):
-    """The text ``explain`` prints."""
-    import contextlib
-    import io
-
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()

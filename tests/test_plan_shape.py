@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import physical_plan
+from physical import physical_plan
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
