@@ -10,7 +10,9 @@ a time; its counts go out as (language, phrase, count) and are summed by Spark,
 A phrase can only be frequent if both phrases it is made of are. The frequent phrases of a level are a
 table, of which the tasks of the next level get a Bloom filter (128 MB at most, see ``bloom``): what it
 lets through by mistake is counted and falls out later, so a fuller filter costs time and changes nothing.
-Words and phrases are compared by their bytes; filters alone rest on hashes.
+Words and phrases are compared by their bytes; filters alone rest on hashes. The texts are read for words,
+pairs and triples; that pass also hands out the runs of words in which all pairs may be frequent, and only
+those are read for longer phrases.
 
 Texts have A-Z lower-cased and are split into pieces at ``. , ; : ! ?`` and line breaks (U+000A to U+000D),
 pieces into words at spaces and tabs; a phrase lies within one piece. Everything is counted by language;
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from mendtable.functions.columns import ref
 
 from .bloom import may_repeat, repeated_among
-from .common import prepared, ranges, stored, task, text_groups
+from .common import prepared, ranges, stored, task, texts_of
 from .hashing import distinct_spans
 
 LONGEST = 4
@@ -48,16 +50,16 @@ GROUP = 4 << 20
 SIDE = 512
 DENSE = SIDE * SIDE // 16
 
-_COUNTS = "lang string, phrase string, n bigint"
+_ROWS = "lang string, phrase string, n bigint, run boolean"
 _SEED = 42
 
-# what stands for a byte: itself, lower-cased; which bytes are of words or lie between them, and which end pieces
+# what stands for a byte: itself, lower-cased; which bytes end pieces, and which are of words
 _FOLDED = np.arange(256).astype(np.uint8)
 _FOLDED[ord("A") : ord("Z") + 1] += 32
-_INSIDE = np.ones(256, bool)
-_INSIDE[[0x20, 0x09]] = False
 _ENDS = np.zeros(256, bool)
 _ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
+_INSIDE = ~_ENDS
+_INSIDE[[0x20, 0x09]] = False
 
 
 # ------------------------------------------------------------------ counting within a group
@@ -132,31 +134,21 @@ class Level:
 
 
 class Group:
-    """The words of a group of texts, alike only within a language."""
-
-    def __init__(self, langs: list[str], raw: np.ndarray, ends: np.ndarray):
-        n = len(ends) - 1
-        # a break after each text, so that words and pieces end there
-        owner = np.repeat(np.arange(n), np.diff(ends))
-        folded = np.zeros(len(raw) + n + 1, np.uint8)
-        inside, breaks = np.zeros(len(folded), bool), np.ones(len(folded), bool)
-        place = np.arange(len(raw)) + owner + 1
-        folded[place], breaks[place] = _FOLDED[raw], _ENDS[raw]
-        inside[place] = _INSIDE[raw] & ~_ENDS[raw]
+    """The words of texts of one language."""
+
+    def __init__(self, lang: str, texts: list[bytes]):
+        # a break around each text, so that words and pieces end there
+        raw = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
+        inside = _INSIDE[raw]
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         starts, stops = edge[::2], edge[1::2]
-        self.letters = folded
-        piece = np.cumsum(breaks)[starts] if len(starts) else np.zeros(0, np.int64)
+        piece = np.cumsum(_ENDS[raw], dtype=np.int32)[starts]
+        self.lang, self.letters = lang, _FOLDED[raw]
         self.follows = np.append(piece[1:] == piece[:-1], False)
-        text = np.searchsorted(ends + np.arange(n + 1), starts - 1, "right") - 1
-        self.langs = sorted(set(langs))
-        code = {lang: i for i, lang in enumerate(self.langs)}
-        lang = np.array([code[x] for x in langs], np.int64)[text] if len(starts) else np.zeros(0, np.int64)
         _, first, number = distinct_spans(self.letters, starts, stops)
-        pair, at, ids, times = np.unique(lang * max(len(first), 1) + number, return_index=True, return_inverse=True, return_counts=True)
-        self.lang, self.starts, self.sizes = lang[at], starts[at], stops[at] - starts[at]
-        self.totals = np.bincount(lang, minlength=len(self.langs))
-        self.level = Level(np.arange(len(pair))[:, None], times, np.arange(len(starts)), ids)
+        self.starts, self.sizes, self.total = starts[first], (stops - starts)[first], len(starts)
+        times = np.bincount(number, minlength=len(first))
+        self.level = Level(np.arange(len(first))[:, None], times, np.arange(len(starts)), number)
 
     def phrases(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of phrases, words joined by spaces, in one buffer, and their borders."""
@@ -173,43 +165,76 @@ class Group:
     def passing(self, level: Level, found: bytes) -> np.ndarray:
         """Which phrases of a level may be frequent."""
         raw, ends = self.phrases(level.words)
-        data, seeds = raw.tobytes(), [xxhash.xxh64_intdigest(x.encode(), _SEED) for x in self.langs]
-        lang = self.lang[level.words[:, 0]].tolist()
+        data, seed = raw.tobytes(), xxhash.xxh64_intdigest(self.lang.encode(), _SEED)
         borders = ends.tolist()
-        hashes = [xxhash.xxh64_intdigest(data[a:b], seeds[x]) for a, b, x in zip(borders, borders[1:], lang)]
+        hashes = [xxhash.xxh64_intdigest(data[a:b], seed) for a, b in zip(borders, borders[1:])]
         return may_repeat(np.array(hashes, np.uint64), found)
 
+    def rows(self, phrases: pa.Array, n: np.ndarray, run: bool = False) -> pa.RecordBatch:
+        size = len(phrases)
+        columns = [pa.repeat(self.lang, size), phrases, pa.array(n, pa.int64()), pa.repeat(run, size)]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n", "run"])
+
     def counts(self, level: Level) -> pa.RecordBatch:
         raw, ends = self.phrases(level.words)
-        phrase = pa.LargeStringArray.from_buffers(len(level.words), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(raw))
-        lang = pa.array(self.langs, pa.string()).take(pa.array(self.lang[level.words[:, 0]]))
-        return pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), pa.array(level.times, pa.int64())], names=["lang", "phrase", "n"])
-
-    def word_totals(self) -> pa.RecordBatch:
-        """All words of each language, under a phrase that is null."""
-        columns = [pa.array(self.langs, pa.string()), pa.nulls(len(self.langs), pa.string()), pa.array(self.totals, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
+        found = pa.LargeStringArray.from_buffers(len(level.words), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(raw))
+        return self.rows(found.cast(pa.string()), level.times)
+
+    def runs(self, level: Level) -> pa.RecordBatch:
+        """The longest rows of words whose phrases of this level all stand, if phrases two words longer fit in."""
+        cut = np.flatnonzero(np.diff(level.at, prepend=-2, append=-2) != 1)
+        first, last = cut[:-1], cut[1:] - 1
+        long = last - first >= 2
+        first, last = first[long], last[long]
+        heads = level.words[level.ids]
+        found = []
+        for a, b in zip(first.tolist(), last.tolist()):
+            words = [*heads[a : b + 1, 0].tolist(), *heads[b, 1:].tolist()]
+            found.append(b" ".join([self.letters[self.starts[w] : self.starts[w] + self.sizes[w]].tobytes() for w in words]))
+        return self.rows(pa.array(found, pa.binary()).cast(pa.string()), np.ones(len(found), np.int64), True)
+
+    def word_total(self) -> pa.RecordBatch:
+        """All words, under a phrase that is null."""
+        return self.rows(pa.nulls(1, pa.string()), np.array([self.total]))
+
+
+def _groups(batch: pa.RecordBatch) -> Iterator[Group]:
+    """Texts of a batch (lang, text), by language and some megabytes at a time."""
+    held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+    for lang, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+        held.setdefault(lang, []).append(text)
+        sizes[lang] = sizes.get(lang, 0) + len(text)
+        if sizes[lang] >= GROUP:
+            yield Group(lang, held.pop(lang))
+            sizes[lang] = 0
+    for lang, texts in held.items():
+        yield Group(lang, texts)
 
 
 # ------------------------------------------------------------------ tables
 
 
-def _counted(texts: DataFrame, frequent: list[Broadcast]) -> DataFrame:
-    """How often each phrase occurs that has one word more than there are filters, by language."""
+def _found(texts: DataFrame, filters: list[Broadcast | None], runs: bool = False) -> DataFrame:
+    """How often each phrase occurs that has one word more than there are filters: lang, phrase, n, run; a phrase has
+    a row for each group of texts. With ``runs`` also the runs that longer phrases are in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for langs, raw, ends in text_groups(batch, GROUP):
-                group = Group(langs.to_pylist(), raw, ends)
+            for group in _groups(batch):
                 level = group.level
-                for k, found in enumerate(frequent):
-                    level = level.ranked(group.passing(level, found.value)).longer(group.follows if k == 0 else None)
+                for k, found in enumerate(filters):
+                    wanted = np.ones(len(level.times), bool) if found is None else group.passing(level, found.value)
+                    level = level.ranked(wanted)
+                    if runs and k + 1 == len(filters):
+                        yield group.runs(level)
+                    level = level.longer(group.follows if k == 0 else None)
                 if len(level.words):
                     yield group.counts(level)
-                if not frequent:
-                    yield group.word_totals()
+                if not filters:
+                    yield group.word_total()
 
-    return texts.mapInArrow(task(run), _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(task(run), _ROWS)
 
 
 def frequent_phrases(
@@ -219,15 +244,24 @@ def frequent_phrases(
     language a row of size 0 and null phrase with the number of all its words."""
     prepared(docs.sparkSession)
     texts = docs.select(F.coalesce(ref(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(ref(text), F.lit("")).alias("text"))
-    filters: list[Broadcast] = []
+    filters: list[Broadcast | None] = []
     levels: list[DataFrame] = []
     for size in range(1, longest + 1):
-        counted = _counted(texts, filters).filter((F.col("n") >= least) | F.col("phrase").isNull())
+        found = _found(texts, filters, runs=2 < size < longest)
+        if 2 < size < longest:
+            found = stored(found, f"found{size}")
+            texts = found.filter("run").select("lang", F.col("phrase").alias("text"))
+        summed = found.filter("NOT run").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+        counted = summed.filter((F.col("n") >= least) | F.col("phrase").isNull())
         sized = F.when(F.col("phrase").isNull(), 0).otherwise(size).alias("size")
         levels.append(stored(counted.select("lang", "phrase", "n", sized), f"phrases{size}"))
+        if size == longest:
+            break
         hashes = levels[-1].filter("phrase IS NOT NULL").select(F.xxhash64("lang", "phrase").alias("hash"))
         # each twice: the filter is one of hashes that repeat
-        filters.append(repeated_among(hashes.union(hashes), "hash", 2 * hashes.count()))
+        frequent = repeated_among(hashes.union(hashes), "hash", 2 * hashes.count())
+        # runs hold frequent phrases of the levels before only
+        filters = [*filters, frequent] if size < 3 else [None] * (size - 1) + [frequent]
     return reduce(DataFrame.unionByName, levels)
 
 

@@ -67,7 +67,7 @@ def test_odd_texts(spark, rows):
     compare(collocations.collocations(table_of(spark, rows)), plain(rows))
 
 
-@pytest.mark.parametrize("least, longest, covered, top", [(3, 4, 80, 2000), (5, 3, 50, 7), (2, 2, 100, 40)])
+@pytest.mark.parametrize("least, longest, covered, top", [(3, 4, 80, 2000), (5, 3, 50, 7), (2, 2, 100, 40), (4, 6, 70, 100), (3, 1, 80, 5)])
 def test_test_table(spark, plain_docs, least, longest, covered, top):
     rows = [(t, ("en", "de", None)[i % 3]) for i, t in plain_docs[:60]]
     found = collocations.collocations(table_of(spark, rows), least=least, longest=longest, covered=covered, top=top)
@@ -87,21 +87,23 @@ def test_tiles(side, dense, monkeypatch):
         assert (rows[number] == left).all() and (columns[number] == right).all()
 
 
-def test_many_groups_and_a_full_filter(spark, plain_docs):
-    rows = [(t, "en") for _, t in plain_docs[:40]]
-    raw = [(t or "").encode() for t, _ in rows]
-    ends = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    group = collocations.Group(["en"] * len(rows), np.frombuffer(b"".join(raw), np.uint8), ends)
+def test_a_group_with_a_full_filter(plain_docs):
+    texts = [t or "" for _, t in plain_docs[:40]]
+    group = collocations.Group("en", [t.encode() for t in texts])
     # a filter that lets everything through changes no count
     level = group.level
     for k in range(3):
         passed = group.passing(level, b"\xff" * 1024)
         assert passed.all()
-        level = level.ranked(passed).longer(group.follows if k == 0 else None)
+        level = level.ranked(passed)
+        if k == 1:
+            runs = group.runs(level).column("phrase").to_pylist()
+        level = level.longer(group.follows if k == 0 else None)
     counted = {tuple(r) for r in zip(group.counts(level).column("phrase").to_pylist(), level.times.tolist())}
-    want = Counter()
-    for t, _ in rows:
+    want, pieces = Counter(), []
+    for t in texts:
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), t)):
             words = re.findall(r"[^\x20\x09]+", piece)
             want.update(" ".join(words[i : i + 4]) for i in range(len(words) - 3))
-    assert counted == set(want.items())
+            pieces += [" ".join(words)] * (len(words) > 3)
+    assert counted == set(want.items()) and runs == pieces
