@@ -17,7 +17,7 @@ text if no language was learned. Equal proportions go to the smaller name. Ids m
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,10 @@ BUCKETS = 1 << 16
 UNKNOWN = "und"
 ROUNDS = 12
 
+RESULTS = ("held_out", "lang_pred", "score")
+#: A document is rejected if no language has this share of its words.
+LEAST_SHARE = 0.5
+
 _COUNTS = "lang string, bucket int, n bigint"
 
 
@@ -96,7 +100,8 @@ def mixtures(logs: np.ndarray, doc: np.ndarray, times: np.ndarray) -> np.ndarray
     active = np.ones((size, n), bool)
     tried_docs = np.arange(n)
     for _ in range(size - 1):
-        smallest = np.where(active[:, tried_docs], share[:, tried_docs], 2.0).argmin(0)
+        # of equal ones the later name goes
+        smallest = size - 1 - np.where(active[:, tried_docs], share[:, tried_docs], 2.0)[::-1].argmin(0)
         mask = active[:, tried_docs]
         mask[smallest, np.arange(len(tried_docs))] = False
         tried = np.where(mask, np.maximum(share[:, tried_docs], 1e-6), 0)
@@ -134,13 +139,14 @@ def predict(raw: np.ndarray, ends: np.ndarray, langs: list[str], shares: np.ndar
 def with_language(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", lang: str = "lang", held: int = 1, folds: int = 3,
 ) -> DataFrame:
-    """The documents with all their columns, and held_out, lang_pred and score."""
+    """The documents with all their columns, and held_out, lang_pred and score, which take the place of
+    columns of these names."""
     prepared(docs.sparkSession)
     fold = fold_of(id_column, folds)
     training = docs.filter(ref(lang).isNotNull() & ref(text).isNotNull() & (fold != held))
     langs, shares = learn(training.select(ref(lang).cast("string").alias("lang"), ref(text).alias("text")))
     model = docs.sparkSession.sparkContext.broadcast((langs, shares))
-    names = docs.columns
+    names = [c for c in docs.columns if c not in RESULTS]
     told = unused_name(docs, "told")
 
     @F.arrow_udf("struct<lang:string,score:double>")
@@ -173,9 +179,32 @@ def languages(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
-def drop_unknown(docs: DataFrame) -> DataFrame:
-    """The documents whose language can be told, with their own columns; only those without a letter
-    are rejected."""
-    named = docs.select("doc_id", "text", "lang", F.struct("*").alias("row"))
-    kept = with_language(named).filter(F.col("lang_pred") != UNKNOWN)
-    return kept.select("row.*")
+def in_languages(
+    docs: DataFrame, wanted: Sequence[str] | None = None, least: float = LEAST_SHARE, text: str = "text",
+    id_column: str = "doc_id", lang: str = "lang",
+) -> tuple[DataFrame, DataFrame]:
+    """The documents mostly in one of the wanted languages (by default any that was learned), with their own columns,
+    and what the others were taken for: lang_pred, score band (tenths) and rejected, their number.
+
+    A document is rejected if it is ``und`` (no letter), if its language is not wanted, or if the language
+    has less than ``least`` of its words. If no language was learned nothing can be told: then only texts
+    without a letter are rejected, whatever is wanted. Rows that repeat are judged alike; null ids and
+    languages are kept as they are.
+    """
+    row = unused_name(docs, "row_")
+    named = docs.select(ref(id_column).alias("doc_id"), ref(text).alias("text"), ref(lang).alias("lang"), F.struct("*").alias(row))
+    told = with_language(named)
+    nothing_learned = named.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", 3) != 1)).isEmpty()
+    if nothing_learned:
+        fits = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
+    else:
+        fits = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
+        if wanted is not None:
+            fits = fits & F.col("lang_pred").isin(list(wanted))
+    rejected = told.filter(~fits).groupBy("lang_pred", F.floor(F.col("score") * 10).alias("tenths")).agg(F.count("*").alias("rejected"))
+    return told.filter(fits).select(f"{row}.*"), rejected
+
+
+def drop_unknown(docs: DataFrame, wanted: Sequence[str] | None = None, least: float = LEAST_SHARE) -> DataFrame:
+    """The documents that ``in_languages`` keeps."""
+    return in_languages(docs, wanted, least)[0]

@@ -152,3 +152,75 @@ def exact_copies(rows):
             left -= kept
             out.append((i, keep, len(ids), kept, digest))
     return out
+
+
+# ------------------------------------------------------------------ languages
+
+_FULL = (1 << 64) - 1
+
+
+def _bucket(gram, buckets=1 << 16):
+    """The bucket of an n-gram of bytes: its polynomial hash, spread, cut to the number of buckets."""
+    x = (sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(gram)) + len(gram)) & _FULL
+    x = ((x ^ (x >> 31)) * 0x9E3779B97F4A7C15) & _FULL
+    x = ((x ^ (x >> 29)) * 0xD6E8FEB86659FD93) & _FULL
+    return (x ^ (x >> 32)) % buckets
+
+
+def _grams(word, known):
+    if word not in known:
+        framed = b"\0" + word + b"\0"
+        known[word] = [_bucket(framed[i : i + n]) for n in (1, 2, 3, 4) for i in range(len(framed) - n + 1)]
+    return known[word]
+
+
+def _folded_words(text):
+    data = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    return re.findall(rb"[a-z\x80-\xff]+", data)
+
+
+def _proportions(likely, times, share, rounds):
+    for _ in range(rounds):
+        joint = likely * share
+        joint *= (times / joint.sum(1))[:, None]
+        share = joint.sum(0) / times.sum()
+    return share, float((times * np.log((likely * share).sum(1))).sum())
+
+
+def languages(rows, held=1, folds=3):
+    """For rows (id, text, lang): id, held out, predicted language and its proportion, one document after the other."""
+    counts, known = {}, {}
+
+    def out_of_sample(i):
+        return i is not None and zlib.crc32(str(i).encode()) % folds == held
+
+    for i, text, lang in rows:
+        if lang is not None and text is not None and not out_of_sample(i):
+            of_lang = counts.setdefault(lang, np.full(1 << 16, 0.5))
+            for word in _folded_words(text):
+                for b in _grams(word, known):
+                    of_lang[b] += 1
+    names = sorted(counts)
+    shares = [np.log(counts[n] / counts[n].sum()) for n in names]
+    found = []
+    for i, text, _ in rows:
+        words = Counter(_folded_words(text))
+        if not names or not words or not any(c.isalpha() for c in text):
+            found.append((i, out_of_sample(i), "und", 0.0))
+            continue
+        times = np.array(list(words.values()), float)
+        logs = np.array([[sum(s[b] for b in _grams(w, known)) / 4 for s in shares] for w in words])
+        likely = np.exp(np.maximum(logs - logs.max(1, keepdims=True), -200))
+        share, reached = _proportions(likely, times, np.full(len(names), 1 / len(names)), 12)
+        active = set(range(len(names)))
+        while len(active) > 1:
+            least = min(active, key=lambda k: (share[k], -k))
+            tried = np.array([max(share[k], 1e-6) if k in active - {least} else 0.0 for k in range(len(names))])
+            tried, gained = _proportions(likely, times, tried / tried.sum(), 6)
+            if gained + 0.5 * np.log(times.sum() + 1) < reached:
+                break
+            share, reached = tried, gained
+            active.remove(least)
+        best = int(np.argmax(share))
+        found.append((i, out_of_sample(i), names[best], min(float(share[best]), 1.0)))
+    return found

@@ -2,6 +2,7 @@
 
 import zlib
 
+import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ import __spark_entry__ as contract
 from mendtable.llm import language, toxicity
 
 SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
 
 
 def remainder(i, n):
@@ -50,6 +52,55 @@ def test_language_without_training_rows(docs_of, odd_texts):
     assert language.languages(docs.limit(0)).count() == 0
 
 
+def test_language_agrees_with_second_version(spark, docs_of, odd_texts):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    rows = rows[:120] + [(None, None, "en"), (7000, "", None), (7001, "12 34", "en"), (7002, rows[0][1], None), (None, rows[1][1], "fr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for given in (docs, docs.withColumn("lang", F.lit("one")), docs.withColumn("lang", F.lit(None).cast("string"))):
+        read = [tuple(r) for r in given.collect()]
+        want = brute.languages(read)
+        got = language.languages(given).collect()
+        key = lambda r: (repr(r[0]), r[2], round(r[3], 6))
+        assert len(got) == len(want)
+        for g, w in zip(sorted(map(tuple, got), key=key), sorted(want, key=key)):
+            assert g[:3] == w[:3] and abs(g[3] - w[3]) < 1e-6
+
+
+def test_ties_go_to_the_smaller_name(spark):
+    ids = [i for i in range(40) if remainder(i, 3) != 1][:6]
+    rows = [(i, "same words here", lang) for i, lang in zip(ids, ("b", "a", "c") * 2)]
+    found = language.languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert {r.lang_pred for r in found} == {"a"}
+
+
+def test_columns_of_the_same_names_are_replaced(docs_of, odd_texts):
+    docs = docs_of(odd_texts).withColumns({"held_out": F.lit(3), "lang_pred": F.lit("x"), "score": F.lit("y")})
+    found = language.with_language(docs)
+    assert sorted(found.columns) == sorted(docs.columns)
+    assert {r.lang_pred for r in found.select("lang_pred").collect()} <= {"en", "und"}
+
+
+def test_documents_in_wanted_languages(spark, documents):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) > 200").withColumn("row_", F.lit(1))
+    total = docs.count()
+    kept, rejected = language.in_languages(docs, ["fr", "de"])
+    assert kept.columns == docs.columns
+    langs = [r.lang for r in kept.select("lang").collect()]
+    assert np.mean([x in ("fr", "de") for x in langs]) > 0.99
+    assert sum(r.rejected for r in rejected.collect()) == total - len(langs)
+    assert language.drop_unknown(docs).count() > 0.99 * total
+    assert language.drop_unknown(docs, least=1.1).count() == 0
+
+
+def test_nothing_is_rejected_where_nothing_was_learned(spark, docs_of, odd_texts):
+    rows = odd_texts + [(40, "1234 !!")]
+    docs = docs_of(rows).withColumn("lang", F.lit(None).cast("string"))
+    kept = language.drop_unknown(docs, ["en"])
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(any(c.isalpha() for c in t or "") for _, t in rows)
+    assert language.drop_unknown(docs.limit(0)).count() == 0
+
+
 def test_mixture_finds_the_languages_of_a_mixed_text():
     # two languages that share no words, a third that fits nothing well
     logs = np.log(np.array([[0.9, 0.05, 0.05]] * 60 + [[0.05, 0.9, 0.05]] * 40))
