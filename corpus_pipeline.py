@@ -1,7 +1,10 @@
 """A corpus made ready for training: five stages, each one of the operators of ``mendtable.llm``.
 
 Each stage takes (spark, docs, sf_dir) and returns a table that is written and read back as the next
-stage's docs. All but the last return the columns of docs; the last returns the token ids.
+stage's docs. All but the last return the columns of docs, whatever else they are; the last returns the
+token ids. Null texts count as empty: they have no letter, so that the first stage rejects them. Where only
+one of several rows stays, it is the one of least id, a null id coming last, and rows equal in every column
+are one. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -13,7 +16,8 @@ from mendtable.llm.common import stored, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told stay; those without a letter go."""
+    """Documents of which one language has half the words or more stay; those without a letter, and mixtures
+    and junk that no language fits, go. ``language.in_languages`` also takes a set of wanted languages."""
     return language.drop_unknown(docs)
 
 
