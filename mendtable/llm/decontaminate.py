@@ -1,19 +1,25 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only.
 
 Words are runs of digits, letters and non-ASCII characters, with A-Z lower-cased. A window is 13
-consecutive words of an item; an item of fewer is one window. Every text gives, for each run of ``w``
-neighbouring ``k``-grams, the one of least hash (the leftmost of equals). As k + w - 1 words are no
-longer than a window, an occurrence of a window in a document is a run of the same words on both
-sides and gives the same gram on both, so joining these fingerprints finds it for certain. Each hit
-is then extended: at the offset it tells, document and item are compared word by word, and runs of
-equal words as long as a window are the hits. Hash collisions cost a comparison and change nothing.
+consecutive words of an item; an item of fewer is one window. Equal windows of all items are one *class*,
+whatever number of items share it. Every text gives, for each run of ``w`` neighbouring ``k``-grams, the one
+of least hash (the leftmost of equals). As k + w - 1 words are no longer than a window, a class has one
+such gram, and an occurrence of it in a document gives the same gram there, so joining these fingerprints
+finds it for certain. Each hit is then extended: at the place it tells, the document's words are
+compared with those of the class, and those that are equal are hit. Hash collisions cost a
+comparison and change nothing.
+
+So a document is compared once with each class it may hold, and items come in afterwards: classes
+of the same items share a list of them, and documents that hold the same lists share their union. A
+preamble that many items and many documents have costs rows in proportion to both, not their product.
 
 Items of 13 words or more use grams of 5; shorter items have a scheme of their own, laid out for the
 shortest of them, which is used only where such items exist.
 
-The fingerprints of the items are broadcast if there are at most 20,000 (three numbers each, checked
-before); otherwise the join is a shuffle, in which adaptive execution may split hot fingerprints.
-Item texts are joined to hits by key, and only documents with hits are read a second time.
+The fingerprints of the classes are broadcast if there are at most 20,000 (three numbers each, checked
+before); otherwise the join is a shuffle, in which adaptive execution may split hot fingerprints. A
+fingerprint keeps its place in 26 bits: a text of more than 67 million words, beyond what Spark holds in a
+value, is not foreseen. Only documents with hits are read a second time.
 
 Null and empty texts have no words and hit nothing; items without words never occur; a null item id is
 listed as an empty one. Rows that share id and text get the same result; empty tables work.
@@ -73,9 +79,9 @@ def _listed(df: DataFrame, found: str) -> DataFrame:
     ).drop("number")
 
 
-def _schemes(items: DataFrame, window: int) -> list[tuple[int, int, Column]]:
-    """Gram, width and the items they serve."""
-    shortest = items.filter(F.col("size") < window).agg(F.min("size")).first()[0]
+def _schemes(classes: DataFrame, window: int) -> list[tuple[int, int, Column]]:
+    """Gram, width and the classes they serve."""
+    shortest = classes.filter(F.col("size") < window).agg(F.min("size")).first()[0]
     out = [(GRAM, window - GRAM + 1, F.col("size") >= window)]
     if shortest is not None:
         gram = min(GRAM, shortest)
@@ -83,23 +89,36 @@ def _schemes(items: DataFrame, window: int) -> list[tuple[int, int, Column]]:
     return out
 
 
-def overlaps(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", id_column: str = "doc_id",
-    item_text: str = "text", item_id: str = "item_id", window: int = 13,
-) -> DataFrame:
-    """One row per document: doc_id, doc_key (tells rows of one id apart), n_words, n_hit, n_items,
-    items (sorted ids of the items with windows that occur)."""
-    keyed = slim(docs, text, id_column).withColumn("doc_key", text_key(F.col("text")))
+def _digest(words: Column) -> Column:
+    return F.sha2(F.array_join(words, " "), 256)
+
+
+def _classes(benchmark: DataFrame, item_text: str, item_id: str, window: int) -> tuple[DataFrame, DataFrame]:
+    """The different windows of all items: class (a digest), words and the list of items they are in, as a digest;
+    and the lists: list, item."""
     items = benchmark.select(
         F.coalesce(ref(item_id).cast("string"), F.lit("")).alias("item"),
         words_of(F.coalesce(ref(item_text), F.lit(""))).alias("item_words"),
-    )
-    items = items.filter(F.size("item_words") > 0).dropDuplicates()
-    items = stored(
-        items.select("item", "item_words", F.size("item_words").alias("size"), F.xxhash64("item", "item_words").alias("item_key")),
-        "items",
-    )
-    schemes = _schemes(items, window)
+    ).filter(F.size("item_words") > 0)
+    size = F.least(F.size("item_words"), F.lit(window))
+    starts = F.sequence(F.lit(1), F.size("item_words") - size + 1)
+    windows = items.select("item", F.explode(F.transform(starts, lambda i: F.slice("item_words", i, size))).alias("words"))
+    held = windows.select("item", _digest(F.col("words")).alias("class"), "words")
+    listed = stored(
+        held.groupBy("class").agg(F.first("words").alias("words"), F.array_sort(F.collect_set("item")).alias("items")), "classes"
+    ).withColumn("list", F.sha2(F.to_json(F.struct("items")), 256))
+    lists = listed.dropDuplicates(["list"]).select("list", F.explode("items").alias("item"))
+    return stored(listed.select("class", "words", F.size("words").alias("size"), "list"), "windows"), stored(lists, "lists")
+
+
+def _found(
+    docs: DataFrame, benchmark: DataFrame, text: str, id_column: str, item_text: str, item_id: str, window: int
+) -> tuple[DataFrame, DataFrame]:
+    """One row per document: doc_id, doc_key, n_words, n_hit and the set of item lists it holds, as a digest (null if
+    none); and the items of each set: set, item."""
+    keyed = slim(docs, text, id_column).withColumn("doc_key", text_key(F.col("text")))
+    classes, lists = _classes(benchmark, item_text, item_id, window)
+    schemes = _schemes(classes, window)
 
     def hashes(words: Column) -> Column:
         return F.transform(words, lambda w: F.xxhash64(w))
@@ -112,60 +131,53 @@ def overlaps(
 
     hits = None
     for i, (gram, width, served) in enumerate(schemes):
-        of_items = items.filter(served).select(
-            "item_key", let(hashes(F.col("item_words")), lambda h: fingerprints(h, gram, width)).alias("found")
-        )
-        of_items = _listed(of_items, "found").select(F.col("gram").alias("g"), "item_key", F.col("place").alias("item_place"))
-        of_docs = _listed(marked.select("doc_id", "doc_key", f"found{i}"), f"found{i}")
-        met = of_docs.join(broadcast_if_small(of_items), F.col("gram") == F.col("g"))
-        met = met.select("doc_id", "doc_key", "item_key", (F.col("place") - F.col("item_place")).alias("shift"))
+        # a window has one fingerprint; a shorter item may have several, the first of which finds it
+        one = F.slice(let(hashes(F.col("words")), lambda h: fingerprints(h, gram, width)), 1, 1)
+        of_classes = _listed(classes.filter(served).select("size", one.alias("found")), "found")
+        of_classes = of_classes.select(F.col("gram").alias("g"), "size", F.col("place").alias("class_place")).distinct()
+        of_docs = _listed(marked.select("doc_id", "doc_key", "n_words", f"found{i}"), f"found{i}")
+        met = of_docs.join(broadcast_if_small(stored(of_classes, "grams")), F.col("gram") == F.col("g"))
+        start = F.col("place") - F.col("class_place")
+        met = met.filter((start >= 0) & (start + F.col("size") <= F.col("n_words"))).select("doc_id", "doc_key", start.alias("start"), "size")
         hits = met if hits is None else hits.unionByName(met)
-    hits = stored(hits.distinct(), "hits")
-
-    hit_docs = keyed.join(hits.select("doc_id", "doc_key").distinct().select(F.col("doc_id").alias("i"), F.col("doc_key").alias("k")), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("doc_key") == F.col("k")), "left_semi")
-    hit_docs = stored(hit_docs.dropDuplicates(["doc_id", "doc_key"]).select("doc_id", "doc_key", words_of(F.col("text")).alias("words")), "hit_documents")
-    compared = hits.join(items, "item_key")
-    compared = compared.join(hit_docs, same(compared, hit_docs, "doc_id", "doc_key")).select(
-        compared["doc_id"], compared["doc_key"], "item", "shift", "item_words", "words"
-    )
-    runs = compared.select("doc_id", "doc_key", "item", F.explode(_extended(window)).alias("run"))
-    per_doc = runs.groupBy("doc_id", "doc_key").agg(
-        F.array_sort(F.collect_set("run")).alias("runs"), F.array_sort(F.collect_set("item")).alias("items")
-    )
-    per_doc = stored(per_doc.select("doc_id", "doc_key", _covered(F.col("runs")).alias("n_hit"), "items"), "overlaps")
+    hits = stored(hits.groupBy("doc_id", "doc_key").agg(F.collect_set(F.struct("start", "size")).alias("hits")), "hits")
+
+    words = keyed.select(F.col("doc_id").alias("i"), F.col("doc_key").alias("k"), "text")
+    met = words.join(hits, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("doc_key") == F.col("k")))
+    met = met.dropDuplicates(["doc_id", "doc_key"]).select("doc_id", "doc_key", "hits", words_of(F.col("text")).alias("doc_words"))
+    around = F.transform("hits", lambda h: F.struct(
+        h["start"].alias("start"), h["size"].alias("size"),
+        _digest(F.slice("doc_words", (h["start"] + 1).cast("int"), h["size"])).alias("class"),
+    ))
+    tried = met.select("doc_id", "doc_key", F.explode(around).alias("h")).select("doc_id", "doc_key", "h.start", "h.size", "h.class")
+    proven = tried.join(classes.select(F.col("class").alias("c"), "list"), F.col("class") == F.col("c"))
+    per_doc = proven.groupBy("doc_id", "doc_key").agg(F.array_sort(F.collect_list(F.struct("start", "size", "list"))).alias("hits"))
+    runs = F.transform("hits", lambda h: F.struct(h["start"].alias("start"), (h["start"] + h["size"]).cast("bigint").alias("stop")))
+    held = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["list"])))
+    per_doc = stored(per_doc.select("doc_id", "doc_key", _covered(runs).alias("n_hit"), held.alias("lists")), "overlaps")
+    per_doc = per_doc.withColumn("set", F.sha2(F.array_join("lists", ","), 256))
+    sets = per_doc.select("set", "lists").dropDuplicates(["set"]).select("set", F.explode("lists").alias("list"))
+    items = sets.join(lists, "list").select("set", "item").distinct()
     told = marked.select("doc_id", "doc_key", F.col("n_words").cast("bigint").alias("n_words"))
-    joined = told.join(per_doc, same(told, per_doc, "doc_id", "doc_key"), "left")
-    none = F.array().cast("array<string>")
+    joined = told.join(per_doc.drop("lists"), same(told, per_doc, "doc_id", "doc_key"), "left")
     return joined.select(
-        told["doc_id"], told["doc_key"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"), F.coalesce("items", none).alias("items"),
-    )
+        told["doc_id"], told["doc_key"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), "set"
+    ), items
 
 
-def _extended(window: int) -> Column:
-    """Runs of equal words, as long as a window, between words and item_words at an offset of shift."""
-    n = F.size("item_words")
-    odd = F.filter(
-        F.sequence(F.lit(0), n - 1),
-        lambda j: ~F.coalesce(_at(F.col("words"), j + F.col("shift")) == F.get(F.col("item_words"), j), F.lit(False)),
+def overlaps(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", id_column: str = "doc_id",
+    item_text: str = "text", item_id: str = "item_id", window: int = 13,
+) -> DataFrame:
+    """One row per document: doc_id, doc_key (tells rows of one id apart), n_words, n_hit, n_items,
+    items (sorted ids of the items with windows that occur)."""
+    found, items = _found(docs, benchmark, text, id_column, item_text, item_id, window)
+    of_set = items.groupBy(F.col("set").alias("s")).agg(F.array_sort(F.collect_list("item")).alias("items"))
+    joined = found.join(of_set, F.col("set") == F.col("s"), "left")
+    return joined.select(
+        "doc_id", "doc_key", "n_words", "n_hit", F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
-    ends = F.concat(F.array(F.lit(-1)), odd, F.array(n))
-
-    def between(e: Column) -> Column:
-        runs = F.transform(
-            F.sequence(F.lit(1), F.size(e) - 1),
-            lambda t: F.struct(
-                (F.get(e, t - 1) + 1 + F.col("shift")).cast("bigint").alias("start"),
-                (F.get(e, t) + F.col("shift")).cast("bigint").alias("stop"),
-            ),
-        )
-        return F.filter(runs, lambda r: r["stop"] - r["start"] >= F.least(F.lit(window), n))
-
-    return let(ends, between)
-
-
-def _at(words: Column, i: Column) -> Column:
-    return F.when((i >= 0) & (i < F.size(words)), F.get(words, i.cast("int")))
 
 
 def _covered(runs: Column) -> Column:
@@ -190,15 +202,20 @@ def contaminated() -> Column:
 
 def overlap_digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    return overlaps(docs, benchmark).select(
-        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        contaminated().alias("contaminated"),
+    found, items = _found(docs, benchmark, "text", "doc_id", "text", "item_id", 13)
+    of_set = items.groupBy(F.col("set").alias("s")).agg(
+        F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("digest")
+    )
+    joined = found.join(of_set, F.col("set") == F.col("s"), "left")
+    return joined.select(
+        "doc_id", "n_words", "n_hit", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("items_sha256"), contaminated().alias("contaminated"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    found = overlaps(docs, benchmark, text, id_column).filter(contaminated())
+    found = _found(docs, benchmark, text, id_column, "text", "item_id", 13)[0].filter(contaminated())
     lost = stored(found.select(F.col("doc_id").alias("lost"), F.col("doc_key").alias("lost_key")).distinct(), "contaminated")
     key = unused_name(docs, "key_")
     keyed = docs.withColumn(key, text_key(F.coalesce(ref(text), F.lit(""))))

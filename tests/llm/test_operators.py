@@ -156,6 +156,28 @@ def test_decontamination(docs_of, rows, items):
     same_rows(found, columns, brute.overlaps(rows, items[0]))
 
 
+def test_shared_preambles_make_no_pairs(spark, monkeypatch):
+    preamble = " ".join(f"pre{i}" for i in range(30))
+    rows = [(i, f"own{i} {preamble} more{i} words{i % 7}") for i in range(200)]
+    given = [(i, f"{preamble} item{i % 150} says{i}") for i in range(200)]
+    written = {}
+    keep = decontaminate.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(decontaminate, "stored", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = decontaminate.overlap_digests(docs, spark.createDataFrame(given, "item_id bigint, text string"))
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    same_rows(found, columns, brute.overlaps(rows, given))
+    assert max(written.values()) <= 3 * (len(rows) + len(given))
+    whole = decontaminate.overlaps(docs, spark.createDataFrame(given, "item_id bigint, text string")).collect()
+    assert all(r.items == sorted(map(str, range(200))) and r.n_items == 200 for r in whole)
+
+
 def test_decontamination_without_items(docs_of, odd_texts, items):
     docs = docs_of(odd_texts)
     kept = decontaminate.drop_contaminated(docs, items[1].limit(0))
