@@ -14,6 +14,7 @@ from mendtable.operators.frequencies import first_values
 from mendtable.plans import pipeline, report
 from mendtable.plans.plan import CleaningPlan, ColumnDecision, fit_plan, load_plan, save_plan
 from mendtable.sources import json_text, logs, tables
+from mendtable.sources.snapshots import read_snapshot
 from mendtable.sources.workspace import scratch_path
 
 from . import fixtures as fx
@@ -94,7 +95,11 @@ _MESSY_TYPES = {
 @query("write_typed_snapshot", sql.CLEAN_MESSY_SQL)
 def _(spark, d):
     typed = casts.apply_casts(fx.messy_orders(spark, d).drop("o_orderkey"), _MESSY_TYPES)
-    return spark.read.parquet(tables.write_typed_snapshot(typed, scratch_path(spark, "snapshots"), "orders"))
+    folder = scratch_path(spark, "snapshots")
+    # the second version takes the place of the first
+    tables.write_typed_snapshot(typed.filter("status IS NULL"), folder, "orders")
+    tables.write_typed_snapshot(typed, folder, "orders")
+    return read_snapshot(spark, tables.snapshot_path(folder, "orders", "transformed"))
 
 
 @query(
@@ -104,7 +109,8 @@ def _(spark, d):
 def _(spark, d):
     stacked = fx.stacked_documents(spark, d)
     folder = scratch_path(spark, "snapshots")
-    back = spark.read.parquet(tables.write_cleaned_snapshot(stacked, folder, "docs", ["source_file"]))
+    tables.write_cleaned_snapshot(stacked, folder, "docs", ["source_file"])
+    back = read_snapshot(spark, tables.snapshot_path(folder, "docs", "cleaned"))
     return back.select(stacked.columns)
 
 

@@ -38,6 +38,7 @@ from .plans.plan import CleaningPlan, ColumnDecision, fit_plan, load_plan, save_
 from .plans.report import analysis_report, run_summary
 from .session import configure
 from .sources.json_text import extract_fenced_json, rows_as_json
+from .sources.snapshots import read_snapshot, write_snapshot
 from .sources.tables import (
     label_sources,
     read_snapshot_as_text,
@@ -54,8 +55,8 @@ __all__ = [
     "crosstab_counts", "crosstab_long", "describe_by_source", "drop_columns", "drop_duplicates",
     "duplicate_count", "duplicate_rows", "entity_stats", "extract_fenced_json", "fit_nils", "fit_plan",
     "freeze", "head_n", "head_per_source", "infer_types", "iqr_outlier_rows", "label_sources", "load_plan",
-    "nil_report", "outlier_count", "project_required", "quartiles_iqr", "read_snapshot_as_text",
+    "nil_report", "outlier_count", "project_required", "quartiles_iqr", "read_snapshot", "read_snapshot_as_text",
     "read_sources", "read_text_table", "reconcile_types", "rejected_rows", "repair_nils", "resolve_target_type",
     "rows_as_json", "run_summary", "save_plan", "source_summary", "table_profile", "union_sources",
-    "value_counts", "write_cleaned_snapshot", "write_typed_snapshot",
+    "value_counts", "write_cleaned_snapshot", "write_snapshot", "write_typed_snapshot",
 ]

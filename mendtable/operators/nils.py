@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -52,8 +52,10 @@ def _literal(value: object, t: T.DataType) -> Column:
     return F.lit(plain).cast(t)
 
 
-def nil(df: DataFrame, name: str) -> Column:
-    return is_nil(quoted(name), df.schema[name].dataType)
+def nil(df: DataFrame, name: str, absent: Mapping[str, Column] | None = None) -> Column:
+    """Whether a value is missing; not in rows of tables that do not have the column at all."""
+    missing = is_nil(quoted(name), df.schema[name].dataType)
+    return missing & ~absent[name] if absent and name in absent else missing
 
 
 def allowed_actions(data_type: T.DataType) -> list[str]:
@@ -105,13 +107,16 @@ class NilStep:
 
 @dataclass
 class NilFit:
-    """Everything a repair needs; ``values`` holds fill values, ``table`` those per group."""
+    """Everything a repair needs; ``values`` holds fill values, ``table`` those per group, ``absent`` the rows that
+    do not have a column, ``group_rows`` the size of each group where steps are told by group."""
 
     steps: list[NilStep]
     values: dict[str, object] = field(default_factory=dict)
     by: tuple[str, ...] = ()
     table: DataFrame | None = None
     group_steps: dict[object, list[NilStep]] = field(default_factory=dict)
+    absent: Mapping[str, Column] = field(default_factory=dict)
+    group_rows: dict[object, int] = field(default_factory=dict)
 
 
 def _as_number(c: Column, t: T.DataType) -> Column | None:
@@ -243,10 +248,13 @@ def stored_fit(df: DataFrame, actions: dict[str, str], fills: dict[str, str]) ->
 
 
 def fit_nils(
-    df: DataFrame, actions: dict[str, str], by: Sequence[str] = (), always: bool = False, group_steps: bool = False
+    df: DataFrame, actions: dict[str, str], by: Sequence[str] = (), always: bool = False, group_steps: bool = False,
+    absent: Mapping[str, Column] | None = None,
 ) -> NilFit:
     """Fit all fill values at once.
 
+    ``absent`` tells, for columns that some of the stacked tables lack, in which rows that is so.
+
     ``always`` fits values for columns without nils too. ``group_steps`` tells the steps of every
     group apart, one row per group on the driver; for groups that are as few as input files.
 
@@ -263,9 +271,9 @@ def fit_nils(
     for c in names:
         alive_at[c] = alive
         if actions[c] == "drop_rows":
-            alive = alive & ~nil(df, c)
+            alive = alive & ~nil(df, c, absent)
     present = {c: F.when(alive_at[c] & ~nil(df, c), ref(c)) for c in names}
-    counted = {c: F.when(alive_at[c] & nil(df, c), F.lit(1)) for c in names}
+    counted = {c: F.when(alive_at[c] & nil(df, c, absent), F.lit(1)) for c in names}
     medians = {
         c: _as_number(present[c], types[c])
         for c in names
@@ -273,7 +281,7 @@ def fit_nils(
     }
     modes = {c: present[c] for c in names if actions[c] == "fill_most_common"}
     if by:
-        return _fit_groups(df, actions, names, types, counted, medians, modes, by, group_steps)
+        return replace(_fit_groups(df, actions, names, types, counted, medians, modes, by, group_steps), absent=absent or {})
 
     q, counts = table_quantiles(
         df, medians, [0.5], extra={c: (counted[c], "count({})") for c in names}
@@ -333,19 +341,26 @@ def _fit_groups(df, actions, names, types, counted, medians, modes, by, group_st
     keys = [ref(b) for b in by]
     # a group with nils and without values has no most common value
     by_group = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__rows"),
         *[F.count(counted[c]).alias(f"n{j}") for j, c in enumerate(names)],
         *[F.count(modes[c]).alias(f"v{j}") for j, c in enumerate(names) if c in modes],
     )
-    totals = by_group.agg(
-        *[F.sum(f"n{j}").alias(f"n{j}") for j in range(len(names))],
-        *[
-            F.bool_or((F.col(f"n{j}") > 0) & (F.col(f"v{j}") == 0)).alias(f"u{j}")
-            for j, c in enumerate(names)
-            if c in modes
-        ],
-    ).first()
-    counts = {c: totals[f"n{j}"] or 0 for j, c in enumerate(names)}
-    unknown = {c for j, c in enumerate(names) if c in modes and totals[f"u{j}"]}
+    # one row per group is on the driver anyway where every group's steps are asked for
+    rows = by_group.collect() if group_steps else []
+    if group_steps:
+        counts = {c: sum(r[f"n{j}"] for r in rows) for j, c in enumerate(names)}
+        unknown = {c for j, c in enumerate(names) if c in modes and any(r[f"n{j}"] and not r[f"v{j}"] for r in rows)}
+    else:
+        totals = by_group.agg(
+            *[F.sum(f"n{j}").alias(f"n{j}") for j in range(len(names))],
+            *[
+                F.bool_or((F.col(f"n{j}") > 0) & (F.col(f"v{j}") == 0)).alias(f"u{j}")
+                for j, c in enumerate(names)
+                if c in modes
+            ],
+        ).first()
+        counts = {c: totals[f"n{j}"] or 0 for j, c in enumerate(names)}
+        unknown = {c for j, c in enumerate(names) if c in modes and totals[f"u{j}"]}
     tables = []
     medians = {c: v for c, v in medians.items() if counts[c]}
     modes = {c: v for c, v in modes.items() if counts[c]}
@@ -370,11 +385,15 @@ def _fit_groups(df, actions, names, types, counted, medians, modes, by, group_st
                 *[_from_mode_pair(ref(f"__pair_{c}"), types[c]).alias(f"__fill_{c}") for c in modes],
             )
         )
-    table, fractional = None, {}
+    table, fractional, found = None, {}, {}
     if tables:
         table = tables[0] if len(tables) == 1 else group_join(tables[0], tables[1], by, "full")
         table = broadcast_if_small(table)
-        if medians:
+        if group_steps:
+            fills = table.collect()
+            found = {r[by[0]]: r for r in fills}
+            fractional = {c: any(_fraction(r[f"__fill_{c}"]) for r in fills) for c in medians}
+        elif medians:
             flags = table.agg(
                 *[
                     F.coalesce(F.bool_or(ref(f"__fill_{c}") != F.rint(ref(f"__fill_{c}"))), F.lit(False))
@@ -390,16 +409,14 @@ def _fit_groups(df, actions, names, types, counted, medians, modes, by, group_st
         if step.fills and actions[c] in ("fill_unknown", "fill_zero"):
             values[c] = _constant(actions[c], types[c])
         steps.append(step)
-    told = {}
-    if group_steps:
-        found = {}
-        if table is not None:
-            found = {r[by[0]]: r for r in table.collect()}
-        for r in by_group.collect():
-            told[r[by[0]]] = [
-                _group_step(s, types[s.column], r[f"n{j}"], found.get(r[by[0]])) for j, s in enumerate(steps)
-            ]
-    return NilFit(steps, values, by, table, told)
+    told = {
+        r[by[0]]: [_group_step(s, types[s.column], r[f"n{j}"], found.get(r[by[0]])) for j, s in enumerate(steps)] for r in rows
+    }
+    return NilFit(steps, values, by, table, told, group_rows={r[by[0]]: r["__rows"] for r in rows})
+
+
+def _fraction(x: float | None) -> bool:
+    return x is not None and x != int(x)
 
 
 def _group_step(s: NilStep, t: T.DataType, n: int, row) -> NilStep:
@@ -418,7 +435,7 @@ def repair_nils(df: DataFrame, fit: NilFit) -> DataFrame:
     keep = F.lit(True)
     for s in fit.steps:
         if s.action == "drop_rows" and s.nil_count and s.column in df.columns:
-            keep = keep & ~nil(df, s.column)
+            keep = keep & ~nil(df, s.column, fit.absent)
     if any(s.action == "drop_rows" and s.nil_count for s in fit.steps):
         out = out.filter(keep)
     if fit.table is not None:
@@ -451,7 +468,7 @@ def repair_nils(df: DataFrame, fit: NilFit) -> DataFrame:
             continue
         kept = ref(c).cast(s.out_type)
         meta = df.schema[c].metadata
-        filled = F.when(nil(df, c), F.coalesce(fill, kept)).otherwise(kept)
+        filled = F.when(nil(df, c, fit.absent), F.coalesce(fill, kept)).otherwise(kept)
         columns.append(filled.alias(c, metadata=meta) if meta else filled.alias(c))
     return out.select(*columns)
 

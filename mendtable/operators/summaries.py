@@ -96,12 +96,15 @@ def crosstab_counts(
     group: str,
     source: str = SOURCE,
     top: int = TOP_CATEGORIES,
-    levels: Sequence | None = None,
+    levels: Sequence | DataFrame | None = None,
 ) -> DataFrame:
     """Sources by category values, counts, absent pairs 0; null categories are ignored.
 
-    The column list is explicit: ``levels``, or the at most ``top`` categories found first.
+    The column list is explicit: ``levels`` (a table of them is read, as each becomes a column), or the
+    at most ``top`` categories found first.
     """
+    if isinstance(levels, DataFrame):
+        levels = sorted(r[0] for r in levels.collect())
     levels = list(levels) if levels is not None else category_levels(df, group, top)
     present = ~is_missing(quoted(group), df.schema[group].dataType)
     pairs = df.filter(present).groupBy(ref(source), ref(group)).agg(F.count(F.lit(1)).alias("__n"))
@@ -116,9 +119,18 @@ def crosstab_long(
     group: str,
     source: str = SOURCE,
     top: int = TOP_CATEGORIES,
-    levels: Sequence | None = None,
+    levels: Sequence | DataFrame | None = None,
 ) -> DataFrame:
-    """The cross tabulation as ``source``, ``category``, ``count`` rows, absent pairs included."""
+    """The cross tabulation as ``source``, ``category``, ``count`` rows, absent pairs included.
+
+    ``levels`` as a table may be of any size: it is joined, pairs that do not occur have no row, and a level
+    that no source has comes with a null source and count 0.
+    """
+    if isinstance(levels, DataFrame):
+        known = levels.select(F.col(levels.columns[0]).alias("category")).distinct()
+        pairs = df.groupBy(ref(source), ref(group).cast("string").alias("__of")).agg(F.count(F.lit(1)).alias("__n"))
+        joined = known.join(pairs, F.col("category") == F.col("__of"), "left")
+        return joined.select(ref(source), "category", F.coalesce("__n", F.lit(0)).cast("long").alias("count"))
     wide = crosstab_counts(df, group, source, top, levels)
     names = [c for c in wide.columns if c != source]
     return unpivot_as(wide, {c: ref(c) for c in names}, [source], "count").withColumnRenamed(

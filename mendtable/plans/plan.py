@@ -13,6 +13,7 @@ from ..functions.columns import ref, unpivot_as
 from ..operators.infer import APPROVAL_CONFIDENCE, infer_types, reconcile_types
 from ..operators.nils import ALL_ACTIONS, NUMERIC_ACTIONS, OTHER_ACTIONS
 from ..sources.tables import path_exists
+from ..sources.workspace import materialize
 
 COLUMN_DECISION = T.StructType(
     [
@@ -31,12 +32,14 @@ PLAN_SCHEMA = T.StructType(
         T.StructField("fitted_integral_columns", T.ArrayType(T.StringType())),
         T.StructField("fitted_fill_values", T.MapType(T.StringType(), T.StringType())),
         T.StructField("fitted_category_levels", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
+        T.StructField("has_level_table", T.BooleanType()),
     ]
 )
 SKIP = "skip"
 NUMERIC_TARGETS = ("integer", "float", "currency")
-# A plan lists the levels of a categorical column that has at most this many.
-MOST_LEVELS = 1000
+# A plan lists the levels of a categorical column that has at most this many; those of others are a table
+# beside it.
+LISTED_LEVELS = 1000
 
 
 @dataclass(frozen=True)
@@ -73,6 +76,13 @@ class CleaningPlan:
     fills: dict[str, str] | None = None
     levels: dict[str, list[str]] = field(default_factory=dict)
     preloaded: bool = False
+    level_table: DataFrame | None = field(default=None, compare=False)
+
+    def levels_of(self, column: str) -> list[str] | DataFrame | None:
+        """The stored levels of a column: listed, or a table of one column, or None if there are none."""
+        if column in self.levels or column not in self.columns or self.level_table is None:
+            return self.levels.get(column)
+        return self.level_table.filter(F.col("column_name") == column).select("value")
 
     def check(self, new: bool = False) -> None:
         """Raise when a nil action does not suit the type the plan gives its column.
@@ -101,7 +111,7 @@ class CleaningPlan:
         decisions = {c: (d.type, d.approved, d.correction) for c, d in self.columns.items()}
         row = (
             decisions, self.drop_duplicates, self.nil_actions, self.columns_to_drop,
-            self.integral, self.fills, self.levels,
+            self.integral, self.fills, self.levels, self.level_table is not None,
         )
         return spark.createDataFrame([row], PLAN_SCHEMA)
 
@@ -123,7 +133,9 @@ class CleaningPlan:
         )
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write the plan as one JSON document."""
+        """Write the plan as one JSON document, and long lists of levels as a table next to it."""
+        if self.level_table is not None:
+            self.level_table.write.mode("overwrite").parquet(_level_path(path))
         self.to_df(spark).coalesce(1).write.mode("overwrite").option(
             "ignoreNullFields", "false"
         ).json(path)
@@ -134,7 +146,16 @@ class CleaningPlan:
         if not path_exists(spark, path):
             return None
         row = spark.read.schema(PLAN_SCHEMA).option("multiLine", True).json(path).first()
-        return None if row is None else CleaningPlan.from_row(row, preloaded=True)
+        if row is None:
+            return None
+        plan = CleaningPlan.from_row(row, preloaded=True)
+        if row["has_level_table"]:
+            plan.level_table = spark.read.schema(LEVELS).parquet(_level_path(path))
+        return plan
+
+
+def _level_path(path: str) -> str:
+    return path.rstrip("/") + "_levels"
 
 
 def save_plan(plan: CleaningPlan, spark: SparkSession, path: str) -> None:
@@ -214,17 +235,23 @@ def fit_plan(
         sorted(integral),
     )
     plan.check(new=True)
-    plan.levels = category_values(df, [c for c, d in decisions.items() if d.target == "categorical"])
+    plan.levels, plan.level_table = category_values(df, [c for c, d in decisions.items() if d.target == "categorical"])
     return plan
 
 
-def category_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """The non-empty values of categorical text columns that have at most ``MOST_LEVELS``, in order."""
+LEVELS = "column_name string, value string"
+
+
+def category_values(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, list[str]], DataFrame | None]:
+    """The non-empty values of categorical text columns: in order for columns that have at most ``LISTED_LEVELS``,
+    and a table of those of the others."""
     if not columns:
-        return {}
+        return {}, None
     values = unpivot_as(df, {c: ref(c).cast("string") for c in columns}).filter("value <> ''").distinct()
-    few = values.groupBy("column_name").count().filter(F.col("count") <= MOST_LEVELS).select("column_name")
-    # one row per column on the side, and at most MOST_LEVELS values for each
-    listed = values.join(F.broadcast(few), "column_name").groupBy("column_name").agg(F.array_sort(F.collect_set("value")).alias("v"))
-    return {r["column_name"]: list(r["v"]) for r in listed.collect()}
-
+    written, _ = materialize(values.select("column_name", "value"), "levels")
+    # one row per column
+    many = [r["column_name"] for r in written.groupBy("column_name").count().filter(F.col("count") > LISTED_LEVELS).collect()]
+    few = written.filter(~F.col("column_name").isin(many)) if many else written
+    listed = few.groupBy("column_name").agg(F.array_sort(F.collect_set("value")).alias("v"))
+    table = written.filter(F.col("column_name").isin(many)) if many else None
+    return {r["column_name"]: list(r["v"]) for r in listed.collect()}, table

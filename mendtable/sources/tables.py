@@ -13,6 +13,7 @@ from ..functions.columns import broadcast_if_small, local_table, quoted, ref, un
 from ..functions.parsing import path_parent, path_stem
 from ..operators.selection import SOURCE, stack_by_name
 from . import csv_rows
+from .snapshots import current_path, write_snapshot
 from .workspace import materialize
 
 # File suffixes of each readable format.
@@ -161,8 +162,8 @@ def read_snapshot_as_text(
     spark: SparkSession, paths: str | Sequence[str], with_path: str | None = None
 ) -> DataFrame:
     """Read saved tables and turn every column into text; tables of different columns are stacked by
-    name, and a column that a table lacks is null in its rows."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    name, and a column that a table lacks is null in its rows. Of a snapshot the current version is read."""
+    paths = [current_path(spark, p) for p in ([paths] if isinstance(paths, str) else paths)]
     reader = spark.read.option("mergeSchema", True)
     schemas = _each(paths, lambda p: reader.parquet(p).schema.json())
     return stack_by_name(
@@ -223,24 +224,16 @@ def snapshot_path(folder: str, label: str, kind: str) -> str:
 
 
 def write_typed_snapshot(df: DataFrame, folder: str, label: str) -> str:
-    """Save the table after casting; returns the path."""
-    path = snapshot_path(folder, label, "transformed")
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """Save the table after casting as the next version of its snapshot; returns that version's path."""
+    return write_snapshot(df, snapshot_path(folder, label, "transformed"))
 
 
 def write_cleaned_snapshot(
     df: DataFrame, folder: str, label: str, partition_by: Sequence[str] = ()
 ) -> str:
-    """Save the cleaned table, partitioned by source where it has several; returns the path.
+    """Save the cleaned table, partitioned by source where it has several; returns its version's path.
 
     Rows are rebalanced by source before the write: few files per source, and a hot source is
     split over as many tasks as its size asks for.
     """
-    path = snapshot_path(folder, label, "cleaned")
-    if not partition_by:
-        df.write.mode("overwrite").parquet(path)
-        return path
-    spread = df.hint("rebalance", *[ref(p) for p in partition_by])
-    spread.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return path
+    return write_snapshot(df, snapshot_path(folder, label, "cleaned"), partition_by)

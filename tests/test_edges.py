@@ -9,9 +9,10 @@ from mendtable.functions.columns import group_join, small_table
 from mendtable.operators import nils, quantiles, statistics
 from mendtable.operators.duplicates import duplicate_rows
 from mendtable.operators.selection import union_sources
+from mendtable.operators.summaries import crosstab_counts, crosstab_long
 from mendtable.plans.pipeline import apply_plan, clean_many, clean_table, freeze
 from mendtable.plans.plan import CleaningPlan, ColumnDecision, fit_plan, load_plan, save_plan
-from mendtable.sources import tables
+from mendtable.sources import csv_rows, tables
 from mendtable.sources.workspace import materialize
 
 NAN = float("nan")
@@ -107,8 +108,8 @@ def test_csv_files_are_stacked_by_name(spark, tmp_path):
 def test_files_without_quoted_breaks_are_split(spark, tmp_path):
     (tmp_path / "plain.csv").write_text('a,b\n1,"say ""hi"""\n2,x\n')
     (tmp_path / "broken.csv").write_text('a,b\n1,"two\nlines"\n')
-    assert not tables._has_quoted_breaks(spark, [str(tmp_path / "plain.csv")])
-    assert tables._has_quoted_breaks(spark, [str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")])
+    found = csv_rows.layouts(spark, [str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")])
+    assert [(f.file.rsplit("/", 1)[1], f.plain) for f in found] == [("broken.csv", False), ("plain.csv", True)]
     assert tables.read_text_table(spark, str(tmp_path / "broken.csv")).collect()[0].b == "two\nlines"
 
 
@@ -154,6 +155,23 @@ def test_plans_with_unfit_actions_are_refused(spark, text):
     fit_plan(df.drop("n"), nil_actions={"t": "fill_unknown", "v": "fill_zero"}, corrections={"t": "text", "v": "integer"})
 
 
+def test_many_levels_are_a_table_beside_the_plan(spark, tmp_path):
+    df = spark.range(6000).selectExpr("concat('level', id % 1200) AS c", "string(id % 3) AS d", "if(id % 2 = 0, 'x', 'y') AS source_file")
+    plan = fit_plan(df, corrections={"c": "categorical", "d": "categorical", "source_file": "text"})
+    assert plan.levels == {"d": ["0", "1", "2"]} and plan.levels_of("nothing") is None
+    save_plan(plan, spark, str(tmp_path / "p"))
+    loaded = load_plan(spark, str(tmp_path / "p"))
+    assert loaded.levels_of("d") == ["0", "1", "2"] and loaded.levels_of("c").count() == 1200
+    later = df.filter("c IN ('level7', 'level8') OR c = 'unheard of'")
+    long = crosstab_long(later, "c", levels=loaded.levels_of("c")).collect()
+    assert len({r.category for r in long}) == 1200
+    assert {(r.source_file, r.category): r["count"] for r in long if r["count"]} == {
+        ("x", "level8"): 5, ("y", "level7"): 5,
+    }
+    wide = crosstab_counts(later, "c", levels=loaded.levels_of("c"))
+    assert len(wide.columns) == 1201 and sum(r["level7"] + r["level9"] for r in wide.collect()) == 5
+
+
 def test_levels_are_kept_in_the_plan(spark, tmp_path):
     df = spark.createDataFrame([(c,) for c in "bbca" * 50] + [("",)], "c string")
     plan = fit_plan(df)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from mendtable.operators import charts
 from mendtable.operators.selection import (
-    all_column_names, project_required, required_columns, union_sources,
+    all_column_names, project_required, required_columns, stack_by_name, union_sources,
 )
 from mendtable.operators.summaries import crosstab_counts, crosstab_long
 from mendtable.plans.pipeline import apply_plan, clean_many, clean_table, freeze
@@ -17,6 +17,7 @@ from mendtable.plans.plan import CleaningPlan, ColumnDecision, fit_plan, load_pl
 from mendtable.plans.report import analysis_report, default_task, run_summary
 from mendtable.sources import tables
 from mendtable.sources.logs import ProcessingLog, append_log, log_head
+from mendtable.sources.snapshots import read_snapshot
 from mendtable.sources.workspace import scratch_path, shared_folder
 
 
@@ -141,8 +142,8 @@ def test_snapshots(spark, tmp_path, sf_dir):
     messy = fx.messy_orders(spark, sf_dir)
     plan = fit_plan(messy, ["o_orderkey"], corrections={"price": "currency"}, nil_actions={"amount": "fill_median"})
     done = clean_table(messy, plan, ["o_orderkey"], snapshots=str(tmp_path), label="orders")
-    assert spark.read.parquet(str(tmp_path / "orders_transformed")).count() == messy.count()
-    kept = spark.read.parquet(str(tmp_path / "orders_cleaned"))
+    assert read_snapshot(spark, str(tmp_path / "orders_transformed")).count() == messy.count()
+    kept = read_snapshot(spark, str(tmp_path / "orders_cleaned"))
     assert sorted(kept.collect(), key=repr) == sorted(done.table.collect(), key=repr)
     text = tables.read_text_table(spark, str(tmp_path / "orders_cleaned"), fmt="parquet")
     assert {t for _, t in text.dtypes} == {"string"} and text.filter("amount is null").count() == 0
@@ -291,3 +292,55 @@ def test_shared_folder_follows_the_session():
     assert scratch_path(FakeSession("/shared", None, "yarn"), "x").startswith("/shared/x-")
     with pytest.raises(ValueError):
         scratch_path(FakeSession(None, None, "yarn"), "x")
+
+
+def _layout_tables(spark, alike=False):
+    """Four tables of one kind: all columns; fewer; fewer still; in another order."""
+
+    def made(k, columns):
+        rows = spark.range(50).selectExpr(
+            f"string(id + {k}) AS a", "if(id % 7 = 0, '', string(id * 2)) AS b",
+            "if(id % 5 = 0, 'nan', concat('x', id % 3)) AS c", f"if(id % 9 = 0, '', string(id / {4 if k < 3 else 1})) AS d",
+        )
+        return rows.unionAll(rows.filter(f"int(a) < {2 * k}")).select(*columns)
+
+    layouts = [["a", "b", "c", "d"], ["a", "b", "c"], ["a", "b"], ["d", "a"]]
+    return {f"t{k}": made(k, layouts[0] if alike else columns) for k, columns in enumerate(layouts)}
+
+
+def _jobs(spark, call):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("layouts", "")
+    before = len(tracker.getJobIdsForGroup("layouts"))
+    out = call()
+    n = len(tracker.getJobIdsForGroup("layouts")) - before
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, n
+
+
+LAYOUT_PLAN = CleaningPlan(
+    {"a": ColumnDecision("integer"), "b": ColumnDecision("integer"), "c": ColumnDecision("categorical"), "d": ColumnDecision("float")},
+    True, {"b": "fill_median", "c": "fill_most_common", "d": "drop_rows"}, ["a"],
+)
+
+
+@pytest.mark.parametrize("planned", ["abcd", "ad"])
+def test_many_layouts_come_out_as_if_alone(spark, planned):
+    plan = CleaningPlan(
+        {c: d for c, d in LAYOUT_PLAN.columns.items() if c in planned}, True,
+        {c: x for c, x in LAYOUT_PLAN.nil_actions.items() if c in planned}, ["a"],
+    )
+    tables_ = _layout_tables(spark)
+    together, _, log = clean_many(tables_, plan)
+    alone = [clean_many({label: t}, plan) for label, t in tables_.items()]
+    want = stack_by_name([a[0] for a in alone]).select(*together.columns)
+    assert together.dtypes == want.dtypes
+    assert sorted(map(str, together.collect())) == sorted(map(str, want.collect()))
+    said = [(i, e[1]) for i, a in enumerate(alone, 1) for e in a[2].entries]
+    assert [(e[0], e[1]) for e in log.entries] == said
+
+
+def test_many_layouts_take_no_more_jobs_than_one(spark):
+    _, several = _jobs(spark, lambda: clean_many(_layout_tables(spark), LAYOUT_PLAN))
+    _, one = _jobs(spark, lambda: clean_many(_layout_tables(spark, alike=True), LAYOUT_PLAN))
+    assert several <= one <= 24
