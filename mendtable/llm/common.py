@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendtable.functions.columns import ref
-from mendtable.sources.workspace import scratch_path
+from mendtable.sources.workspace import discard, scratch_path
 
 
 BATCH_SETTING, LARGEST_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
@@ -52,9 +52,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The tables ``stored`` has written and nobody has removed.
+_written: list[str] = []
+
+
+def written() -> int:
+    """How many tables there are to remove; marks a place for ``remove_written``."""
+    return len(_written)
+
+
+def remove_written(spark: SparkSession, since: int = 0, last: bool = False) -> None:
+    """Delete the tables that ``stored`` has written since a mark, all but the last unless it shall go too. To be
+    called when nothing reads them any more: the last one is written, or results are saved elsewhere."""
+    stop = len(_written) - (not last)
+    for path in _written[since:stop]:
+        discard(spark, path)
+    del _written[since:stop]
+
+
 def slim(df: DataFrame, text: str, id_column: str) -> DataFrame:
     """Only the id, as ``doc_id``, and the text, as ``text``; a null text becomes empty."""
     return df.select(

@@ -1,5 +1,6 @@
 """The pipeline against a brute-force version of its stages, and the registered queries."""
 
+import os
 import re
 
 import brute
@@ -7,6 +8,7 @@ import duckdb
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from mendtable.llm import common
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,7 +29,13 @@ def test_pipeline_agrees_with_brute_force(spark, plain_docs):
     rows = [r for r, near in zip(rows, brute.near_copies(rows)) if near[0] == near[2]]
     clean = {r[0] for r in brute.overlaps(rows, items) if not r[5]}
     rows = [r for r in rows if r[0] in clean]
-    found = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
+    mark = common.written()
+    run = corpus_pipeline.run(spark, SF)
+    assert common.written() == mark + 1 and len(run.inputFiles()) > 0
+    found = {r.doc_id: r for r in run.collect()}
+    path = common._written[-1]
+    common.remove_written(spark, mark, last=True)
+    assert common.written() == mark and not os.path.exists(path)
     assert set(found) == clean and len(clean) < len(plain_docs)
     for i, t in rows:
         assert found[i].decoded_sha256 == brute.sha(t) and found[i].n_tokens == len(found[i].ids)
