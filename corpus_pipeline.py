@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from mendtable.llm import bpe, decontaminate, exact_dedup, language, simhash
-from mendtable.llm.common import stored, table
+from mendtable.llm.common import remove_written, stored, table, written
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of ``sf_dir``. Once a stage is written, what led to it is deleted."""
+    docs, mark = table(spark, sf_dir, "documents"), written()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        remove_written(spark, mark)
     return STAGES[-1][1](spark, docs, sf_dir)
