@@ -252,3 +252,24 @@ def test_empty_tables_are_cleaned(spark):
         assert {n for n, _ in log.entries} == {1, 2} and dict(together.dtypes)["v"] == "bigint"
     together, _, _ = clean_many({"a": one.filter("v = '9'"), "b": empty}, CleaningPlan({}, True))
     assert together.collect() == []
+
+
+@pytest.mark.parametrize("by", [(), ("l_returnflag",)])
+def test_approximate_statistics(spark, sf_dir, by):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "l_returnflag", "l_linestatus", "if(l_linenumber = 1, null, l_quantity) AS q", "l_partkey", "if(l_orderkey % 50 = 0, l_tax + 9, l_tax) AS tax",
+        "CAST(null AS double) AS nothing",
+    )
+    exact = {(*[r[b] for b in by], r.column_name): r for r in statistics.column_statistics(lines, by).collect()}
+    found = statistics.column_statistics(lines, by, approx=True)
+    got = {(*[r[b] for b in by], r.column_name): r for r in found.collect()}
+    assert set(got) == set(exact) and found.columns == statistics.column_statistics(lines, by).columns
+    for key, r in got.items():
+        e = exact[key]
+        for same in ("column_index", "dtype", "non_null_count", "null_count", "min", "max"):
+            assert r[same] == e[same]
+        assert abs(r.unique_count - e.unique_count) <= 0.05 * e.unique_count
+        assert (r.has_outliers, r.outlier_count is None) == (e.has_outliers, e.outlier_count is None)
+        for near in ("mean", "std", "median"):
+            assert (r[near] is None) == (e[near] is None) and (r[near] is None or r[near] == pytest.approx(e[near], rel=0.05, abs=1e-9))
+    assert statistics.column_statistics(lines.select("l_linestatus"), approx=True).collect()[0].unique_count == 2
