@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mendtable.functions import parsing
 from mendtable.functions.columns import ref
-from mendtable.operators import casts, charts, duplicates, infer, nils, selection, statistics, summaries
+from mendtable.operators import casts, charts, duplicates, infer, nils, profiles, selection, statistics, summaries
 from mendtable.operators.frequencies import first_values
 from mendtable.plans import pipeline, report
 from mendtable.plans.plan import CleaningPlan, ColumnDecision, fit_plan, load_plan, save_plan
@@ -745,6 +745,16 @@ def _(spark, d):
     return rounded(out, ["median", "mean", "std"])
 
 
+@query("merged_profile", _statistics_sql("lineitem", _LINE_TYPES, _LINE_NUMERIC))
+def _(spark, d):
+    lines, path = table(spark, d, "lineitem"), scratch_path(spark, "profiles")
+    for k in range(3):
+        profiles.save_profile(lines.filter(F.col("l_orderkey") % 3 == k), path, f"part-{k}")
+    # a file that comes again takes the place of its earlier state
+    profiles.save_profile(lines.filter(F.col("l_orderkey") % 3 == 1), path, "part-1")
+    return rounded(profiles.merged_statistics(spark, path).drop("column_index"), ["median", "mean", "std"])
+
+
 @query("count_rows", "SELECT count(*) AS row_count, CAST(11 AS BIGINT) AS column_count FROM lineitem")
 def _(spark, d):
     return statistics.shape(table(spark, d, "lineitem"))

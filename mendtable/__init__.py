@@ -10,6 +10,7 @@ from .operators.charts import chart_data
 from .operators.duplicates import drop_duplicates, duplicate_count, duplicate_rows
 from .operators.infer import infer_types, reconcile_types, resolve_target_type
 from .operators.nils import fit_nils, nil_report, repair_nils
+from .operators.profiles import merged_statistics, save_profile
 from .operators.selection import (
     drop_columns,
     head_n,
@@ -55,8 +56,8 @@ __all__ = [
     "crosstab_counts", "crosstab_long", "describe_by_source", "drop_columns", "drop_duplicates",
     "duplicate_count", "duplicate_rows", "entity_stats", "extract_fenced_json", "fit_nils", "fit_plan",
     "freeze", "head_n", "head_per_source", "infer_types", "iqr_outlier_rows", "label_sources", "load_plan",
-    "nil_report", "outlier_count", "project_required", "quartiles_iqr", "read_snapshot", "read_snapshot_as_text",
+    "merged_statistics", "nil_report", "outlier_count", "project_required", "quartiles_iqr", "read_snapshot", "read_snapshot_as_text",
     "read_sources", "read_text_table", "reconcile_types", "rejected_rows", "repair_nils", "resolve_target_type",
-    "rows_as_json", "run_summary", "save_plan", "source_summary", "table_profile", "union_sources",
+    "rows_as_json", "run_summary", "save_plan", "save_profile", "source_summary", "table_profile", "union_sources",
     "value_counts", "write_cleaned_snapshot", "write_snapshot", "write_typed_snapshot",
 ]

@@ -102,13 +102,11 @@ def _sketch_size(value: str) -> str:
     return f"kll_sketch_get_n_double({_sketch(value)})"
 
 
-def sketch_quantiles(value: str, ranks: Sequence[float]) -> str:
-    """Approximate quantiles of a group; null when the group has no value."""
+def sketch_quantiles(value: str, ranks: Sequence[float], merged: bool = False) -> str:
+    """Approximate quantiles of a group, or of a sketch that is ``merged`` already; null when it has no value."""
     wanted = ", ".join(_number(float(r)) for r in ranks)
-    return (
-        f"CASE WHEN {_sketch_size(value)} > 0"
-        f" THEN kll_sketch_get_quantile_double({_sketch(value)}, array({wanted})) END"
-    )
+    sketch = value if merged else _sketch(value)
+    return f"CASE WHEN kll_sketch_get_n_double({sketch}) > 0 THEN kll_sketch_get_quantile_double({sketch}, array({wanted})) END"
 
 
 def _together(parts: dict[str, str]) -> Column:
@@ -407,16 +405,11 @@ def grouped_quantiles(
     return reduce(DataFrame.unionByName, rest)
 
 
-def _sorted_quantiles(rows: DataFrame, job: _Job, probs: Sequence[float]) -> DataFrame:
-    """Quantiles of any number of groups of any size: distinct values with their counts are sorted
-    across tasks, and a group's ranks run on from one task's share of it to the next."""
-    values = {c: F.col(f"__v{j}") for j, c in enumerate(job.names)}
-    group = [*job.by, "column_name"]
+def quantiles_of_counts(counted: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles of values ``at`` that occur ``cnt`` times: ``group``, ``q``. Values are sorted across
+    tasks, and a group's ranks run on from one task's share of it to the next."""
     keys = [ref(g) for g in group]
-    counted = (
-        unpivot_as(rows, values, job.by, "at").filter("at IS NOT NULL").groupBy(*keys, "at").agg(F.expr("count(1) AS cnt"))
-    )
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares, _ = materialize(
         counted.repartitionByRange(tasks, *keys, "at").withColumn("__task", F.spark_partition_id()), "sorted-values"
     )
@@ -427,7 +420,7 @@ def _sorted_quantiles(rows: DataFrame, job: _Job, probs: Sequence[float]) -> Dat
         {"__before": F.coalesce(F.sum("__share").over(before), F.lit(0)), "__n": F.sum("__share").over(of_group)}
     ).drop("__share")
     w = Window.partitionBy(*keys, "__task").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    run = group_join(shares, placed, job.by, on=["column_name", "__task"]).withColumn(
+    run = group_join(shares, placed, group, on=["__task"]).withColumn(
         "__end", F.col("__before") + F.sum("cnt").over(w)
     )
     picks = {}
@@ -444,7 +437,18 @@ def _sorted_quantiles(rows: DataFrame, job: _Job, probs: Sequence[float]) -> Dat
             f"CASE WHEN {a} = {b} OR {t} = 0 THEN {a}"
             f" WHEN {t} >= 0.5D THEN {b} - ({b} - {a}) * (1 - {t}) ELSE {a} + ({b} - {a}) * {t} END"
         )
-    listed = found.select(*keys, F.expr(f"array({', '.join(quantiles)})").alias("q"))
+    return found.select(*keys, F.expr(f"array({', '.join(quantiles)})").alias("q"))
+
+
+def _sorted_quantiles(rows: DataFrame, job: _Job, probs: Sequence[float]) -> DataFrame:
+    """Quantiles of any number of groups of any size."""
+    values = {c: F.col(f"__v{j}") for j, c in enumerate(job.names)}
+    group = [*job.by, "column_name"]
+    keys = [ref(g) for g in group]
+    counted = (
+        unpivot_as(rows, values, job.by, "at").filter("at IS NOT NULL").groupBy(*keys, "at").agg(F.expr("count(1) AS cnt"))
+    )
+    listed = quantiles_of_counts(counted, group, probs)
     # a group without values in a column has a row without quantiles
     every = unpivot_as(
         rows.groupBy(*job.keys).agg(F.count(F.lit(1)).alias("__rows")), {c: F.lit(None).cast("int") for c in job.names}, job.by

@@ -261,7 +261,7 @@ def column_statistics(
         out = group_join(out, facts.select(*keys, "column_name", *_SHOWN), by, "left", ["column_name"])
     else:
         out = out.withColumns({s: F.lit(None).cast("double") for s in _SHOWN})
-    return _told(out, keys)
+    return statistics_table(out, keys)
 
 
 def _shown(df: DataFrame, facts: DataFrame, names: list[str], numeric: list[str], by: Sequence[str]) -> DataFrame:
@@ -273,10 +273,11 @@ def _shown(df: DataFrame, facts: DataFrame, names: list[str], numeric: list[str]
     )
     counts = F.when(F.col("is_numeric"), F.coalesce("__outliers", F.lit(0))).otherwise(0)
     # one row per column
-    return _told(facts.join(F.broadcast(listing), "column_name").withColumn("__outliers", counts), [ref(b) for b in by])
+    return statistics_table(facts.join(F.broadcast(listing), "column_name").withColumn("__outliers", counts), [ref(b) for b in by])
 
 
-def _told(out: DataFrame, keys: list[Column]) -> DataFrame:
+def statistics_table(out: DataFrame, keys: Sequence[Column] = ()) -> DataFrame:
+    """The columns of ``column_statistics`` from facts and ``__outliers``; without values there is no outlier count."""
     empty = F.col("is_numeric") & (F.col("non_null_count") == 0)
     outliers = F.when(~empty, F.col("__outliers"))
     return out.select(
