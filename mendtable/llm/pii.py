@@ -8,7 +8,7 @@ a candidate, on which labelers vote yes, no or not at all:
 * regex: does the match pass the base check;
 * shape: does it have the usual number of digits or parts;
 * gazetteer: does it start or end with a known part (card issuers, top-level domains, area codes);
-* context: does a word for the kind stand close before it;
+* context: does a word for the kind stand close before it, or a word for other numbers right before it;
 * surroundings: does it stand free, rather than inside a longer number or after a word for versions.
 
 Votes are counted by pattern, a few hundred numbers at most, and expectation-maximisation estimates
@@ -75,7 +75,7 @@ CUES = {
 }
 DOMAINS = "com|org|net|edu|gov|info|io|de|fr|es|uk|eu|us|it|nl|ch|at"
 ISSUERS = "^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
-VERSIONS = "(?i)(?:version|release|section|chapter|isbn|§)\\s*$"
+VERSIONS = "(?i)(?:version|release|section|chapter|isbn|serial|invoice|order|§)[\\s:#.]*$"
 
 
 # ------------------------------------------------------------------ candidates
@@ -186,7 +186,7 @@ def votes() -> dict[str, Column]:
             card=says(_digits(body).rlike(ISSUERS)),
             phone=says(_digits(body).rlike("^1?[2-9]")),
         ),
-        "context": F.when(cue, 1).otherwise(-1),
+        "context": F.when(F.col("before").rlike(VERSIONS), 0).when(cue, 1).otherwise(-1),
         "surroundings": says(~inside),
     }
 
