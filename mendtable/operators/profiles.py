@@ -15,14 +15,16 @@ equal values could not be told.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import local_table, numeric_columns, quoted, ref
 from ..functions.parsing import is_missing
 from .frequencies import comparable, value_frequencies
-from .quantiles import SKETCH_SIZE, quantiles_of_counts, sketch_quantiles
+from .quantiles import SKETCH_SIZE, quantiles_of_shares, sketch_quantiles, sorted_shares
 from .statistics import FENCE, QUARTILES, statistics_table
 
 _STATE = {
@@ -33,31 +35,74 @@ _STATE = {
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 _FLOATING = ("float", "double")
 _EDGES = ["q1", "median", "q3"]
-
-
-def _facts(df: DataFrame, exact: bool) -> DataFrame:
-    """One row per column of a file, from one aggregate."""
-    numeric, parts, wide = numeric_columns(df), [], []
+# Size of the sketches of values: distinct counts are off by about 1 %.
+_LG_VALUES = 14
+
+
+def _value_text(data_type: T.DataType) -> Column | None:
+    """A counted value as the text that ``comparable`` gives for it, where its count tells that."""
+    num, txt = F.col("num"), F.col("txt")
+    whole = F.coalesce(txt.try_cast("bigint"), num.cast("bigint"))
+    if isinstance(data_type, (T.StringType, T.DecimalType)):
+        return txt
+    if data_type.simpleString() in _WHOLE:
+        return whole.cast("string")
+    if isinstance(data_type, (T.FloatType, T.DoubleType, T.BooleanType)):
+        return num.cast(data_type).cast("string")
+    if isinstance(data_type, T.DateType):
+        return F.date_from_unix_date(num.cast("int")).cast("string")
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.timestamp_add("MICROSECOND", whole, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("string")
+    return None
+
+
+def _facts(df: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """One row per column of a file.
+
+    Moments and sketches are two aggregates: plain sums run in generated code only while no sketch is among them. Where
+    values are counted, each is added to the sketch of its column once, instead of once per row.
+    """
+    numeric = numeric_columns(df)
+    told, sketched, wide, texts, again = [], [], [], [], {}
     for j, f in enumerate(df.schema.fields):
         value = F.when(~is_missing(quoted(f.name), f.dataType), ref(f.name))
-        wide.append(comparable(value, f.dataType).cast("string").alias(f"__t{j}"))
-        wide.append((value.cast("double") if f.name in numeric else F.lit(None).cast("double")).alias(f"__p{j}"))
-        told = {
-            "column_index": F.lit(j), "column_name": F.lit(f.name), "dtype": F.lit(f.dataType.simpleString()), "exact": F.lit(exact),
-            "rows": F.count(F.lit(1)), "present": F.count(f"__t{j}"), "mean": F.avg(f"__p{j}"),
+        number = (value.cast("double") if f.name in numeric else F.lit(None).cast("double")).alias(f"__p{j}")
+        wide += [F.when(value.isNotNull(), 1).alias(f"__v{j}"), number]
+        facts = {
+            "column_index": F.lit(j), "column_name": F.lit(f.name), "dtype": F.lit(f.dataType.simpleString()),
+            "exact": F.lit(counts is not None), "rows": F.count(F.lit(1)), "present": F.count(f"__v{j}"), "mean": F.avg(f"__p{j}"),
             "spread": F.var_pop(f"__p{j}") * F.count(f"__p{j}"), "low": F.min(f"__p{j}"), "high": F.max(f"__p{j}"),
-            "value_sketch": F.hll_sketch_agg(f"__t{j}", F.lit(14)),
-            "rank_sketch": F.expr(f"kll_sketch_agg_double(__p{j}, {SKETCH_SIZE})") if f.name in numeric else F.lit(None).cast("binary"),
         }
-        parts.append(F.struct(*[v.alias(n) for n, v in told.items()]))
-    return df.select(*wide).agg(F.array(*parts).alias("facts")).select(F.inline("facts"))
+        told.append(F.struct(*[v.alias(n) for n, v in facts.items()]))
+        text = None if counts is None else _value_text(f.dataType)
+        if text is not None:
+            again[f.name] = text
+        texts += [comparable(value, f.dataType).cast("string").alias(f"__t{j}"), number]
+        values = F.hll_sketch_agg(f"__t{j}", F.lit(_LG_VALUES)) if text is None else F.lit(None).cast("binary")
+        ranks = F.expr(f"kll_sketch_agg_double(__p{j}, {SKETCH_SIZE})") if f.name in numeric else F.lit(None).cast("binary")
+        sketched.append(F.struct(F.lit(j).alias("column_index"), values.alias("value_sketch"), ranks.alias("rank_sketch")))
+    moments = df.select(*wide).agg(F.array(*told).alias("facts")).select(F.inline("facts"))
+    sketches = df.select(*texts).agg(F.array(*sketched).alias("facts")).select(F.inline("facts"))
+    # one row per column on every side
+    out = moments.join(F.broadcast(sketches), "column_index")
+    if not again:
+        return out
+    # asked for here as well, the counts come from the same shuffle as those that are saved
+    asked = counts.filter(F.col("cnt") > 0)
+    text = reduce(lambda rest, c: F.when(F.col("column_name") == c, again[c]).otherwise(rest), again, F.lit(None).cast("string"))
+    counted = asked.select("column_name", text.alias("__text")).groupBy("column_name").agg(
+        F.hll_sketch_agg("__text", F.lit(_LG_VALUES)).alias("__counted")
+    )
+    out = out.join(F.broadcast(counted), "column_name", "left")
+    return out.withColumn("value_sketch", F.coalesce("value_sketch", "__counted")).drop("__counted")
 
 
 def save_profile(df: DataFrame, path: str, file: str, exact: bool = True) -> None:
     """Save the state of one file under its name, in place of an earlier one; without ``exact`` sketches only."""
-    state = _facts(df, exact)
+    counts = value_frequencies(df) if exact else None
+    state = _facts(df, counts)
     if exact:
-        state = state.unionByName(value_frequencies(df), allowMissingColumns=True)
+        state = state.unionByName(counts, allowMissingColumns=True)
     named = state.withColumn("file", F.lit(file))
     missing = {n: F.lit(None).cast(t) for n, t in _STATE.items() if n not in named.columns}
     writer = named.withColumns(missing).select(*_STATE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -130,10 +175,14 @@ def merged_statistics(spark: SparkSession, path: str, files: Sequence[str] | Non
 
 
 def _exact(states: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    """Distinct values, quartiles and outliers of each column from the counts of values."""
-    counts = states.filter("cnt IS NOT NULL").groupBy("column_name", "num", "txt").agg(F.sum("cnt").alias("cnt"))
+    """Distinct values, quartiles and outliers of each column from the counts of values, which are added up once and
+    kept in order of the values."""
+    value = ["column_name", "num", "txt"]
+    tasks = int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = states.filter("cnt IS NOT NULL").select(*value, "cnt").repartitionByRange(tasks, *value)
+    counts = sorted_shares(ordered.groupBy(*value).agg(F.sum("cnt").alias("cnt")))
     numbers = counts.filter(F.col("num").isNotNull() & F.col("column_name").isin(list(numeric)))
-    q = quantiles_of_counts(numbers.select("column_name", F.col("num").alias("at"), "cnt"), ["column_name"], QUARTILES)
+    q = quantiles_of_shares(numbers.withColumnRenamed("num", "at").drop("txt"), ["column_name"], QUARTILES)
     fences = q.select(F.col("column_name").alias("c"), "q", *[F.get("q", F.lit(i)).alias(e) for i, e in enumerate(_EDGES)])
     reach = (F.col("q3") - F.col("q1")) * FENCE
     # one row per column

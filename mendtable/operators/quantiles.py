@@ -405,29 +405,37 @@ def grouped_quantiles(
     return reduce(DataFrame.unionByName, rest)
 
 
+def sorted_shares(ranged: DataFrame) -> DataFrame:
+    """A table that is partitioned by range, written once; ``__task`` tells each row's share."""
+    return materialize(ranged.withColumn("__task", F.spark_partition_id()), "sorted-values")[0]
+
+
 def quantiles_of_counts(counted: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Quantiles of values ``at`` that occur ``cnt`` times: ``group``, ``q``. Values are sorted across
-    tasks, and a group's ranks run on from one task's share of it to the next."""
-    keys = [ref(g) for g in group]
+    """Quantiles of values ``at`` that occur ``cnt`` times: ``group``, ``q``. Values are sorted across tasks."""
     tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares, _ = materialize(
-        counted.repartitionByRange(tasks, *keys, "at").withColumn("__task", F.spark_partition_id()), "sorted-values"
-    )
+    return quantiles_of_shares(sorted_shares(counted.repartitionByRange(tasks, *[ref(g) for g in group], "at")), group, probs)
+
+
+def quantiles_of_shares(shares: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles of counted values from shares that follow each other in order of group and value: a group's ranks run
+    on from one share to the next, and only shares that hold a wanted rank are sorted."""
+    keys = [ref(g) for g in group]
+    picks, here = {}, []
+    for i, p in enumerate(probs):
+        k = f"floor({_number(float(p))} * (__n - 1))"
+        for name, rank in (("a", k), ("b", f"least({k} + 1, __n - 1)")):
+            picks[f"{name}{i}"] = f"max(CASE WHEN __end - cnt <= {rank} AND {rank} < __end THEN at END)"
+            here.append(f"__before <= {rank} AND {rank} < __before + __share")
     sums = shares.groupBy(*keys, "__task").agg(F.sum("cnt").alias("__share"))
     of_group = Window.partitionBy(*keys)
     before = of_group.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     placed = sums.withColumns(
         {"__before": F.coalesce(F.sum("__share").over(before), F.lit(0)), "__n": F.sum("__share").over(of_group)}
-    ).drop("__share")
+    ).filter(" OR ".join(here)).drop("__share")
     w = Window.partitionBy(*keys, "__task").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    run = group_join(shares, placed, group, on=["__task"]).withColumn(
+    run = group_join(shares, broadcast_if_small(placed), group, on=["__task"]).withColumn(
         "__end", F.col("__before") + F.sum("cnt").over(w)
     )
-    picks = {}
-    for i, p in enumerate(probs):
-        k = f"floor({_number(float(p))} * (__n - 1))"
-        for name, rank in (("a", k), ("b", f"least({k} + 1, __n - 1)")):
-            picks[f"{name}{i}"] = f"max(CASE WHEN __end - cnt <= {rank} AND {rank} < __end THEN at END)"
     found = run.groupBy(*keys).agg(F.max("__n").alias("__n"), _together(picks))
     quantiles = []
     for i, p in enumerate(probs):

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mendtable.operators.profiles import merged_statistics, save_profile
-from mendtable.operators.quantiles import quantiles_of_counts
+from mendtable.operators.frequencies import value_frequencies
+from mendtable.operators.profiles import _facts, merged_statistics, save_profile
+from mendtable.operators.quantiles import quantiles_of_counts, quantiles_of_shares
 from mendtable.operators.statistics import column_statistics
 
 NAN = float("nan")
@@ -84,3 +85,45 @@ def test_quantiles_of_counts_by_group(spark):
     rows = [("a", 1.0, 3), ("a", 5.0, 1), ("b", 2.0, 1), ("b", 4.0, 1)]
     found = quantiles_of_counts(spark.createDataFrame(rows, "g string, at double, cnt long"), ["g"], [0.0, 0.5, 1.0])
     assert {r.g: r.q for r in found.collect()} == {"a": [1.0, 1.0, 5.0], "b": [2.0, 3.0, 4.0]}
+
+
+def test_counted_values_enter_sketches_as_scanned_ones(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = spark.range(3000).selectExpr(
+        "id", "cast(id % 50 AS int) AS i", "IF(id % 7 = 0, double('NaN'), id / 8) AS x", "cast(id / 10 AS float) AS y",
+        "cast(id AS decimal(12,2)) AS d", "id % 2 = 0 AS b", "date_add(date'1960-01-01', cast(id AS int)) AS t",
+        "timestamp_ntz'1969-12-31 23:59:59.5' + make_dt_interval(0, 0, 0, id / 3) AS n", "timestamp_seconds(id * 999) AS z",
+        "IF(id % 3 = 0, repeat(cast(id AS string), 40), cast(id AS string)) AS s", "cast(cast(id AS string) AS binary) AS r",
+        "(1L << 53) + id AS large", "array(id % 9) AS a", "cast(NULL AS string) AS none",
+    )
+    save_profile(df, path, "counted")
+    save_profile(df, path, "scanned", exact=False)
+    states = spark.read.parquet(path).filter("rows IS NOT NULL").groupBy("column_name")
+    told = states.agg(
+        F.min(F.hll_sketch_estimate("value_sketch")).alias("one"),
+        F.hll_sketch_estimate(F.hll_union_agg("value_sketch")).alias("both"), F.count("value_sketch").alias("n"),
+    ).collect()
+    assert len(told) == len(df.columns)
+    for r in told:
+        # sketches of other texts would add up
+        assert r.n == 2 and r.both == pytest.approx(r.one, rel=0.02), r.column_name
+
+
+def test_rows_enter_no_sketch_of_values(spark):
+    df = spark.createDataFrame(FIRST, TYPES)
+    plan = _facts(df, value_frequencies(df))._jdf.queryExecution().sparkPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "ObjectHashAggregate" in line]
+    # sums stay apart from sketches, which would keep them out of generated code
+    assert aggregates and not any("avg(" in line for line in aggregates)
+    assert all("kll_sketch" not in line for line in aggregates if "hll_sketch" in line)
+
+
+def test_quantiles_of_shares_that_follow_each_other(spark):
+    rows = [("a", float(v), 1 + v % 3, v // 4) for v in range(20)] + [("b", 7.0, 5, 4), ("b", 9.0, 1, 5)]
+    shares = spark.createDataFrame(rows, "g string, at double, cnt long, __task int")
+    counted = shares.drop("__task")
+    probs = [0.0, 0.25, 0.5, 0.77, 1.0]
+    found = {r.g: r.q for r in quantiles_of_shares(shares, ["g"], probs).collect()}
+    every = counted.selectExpr("g", "at", "explode(sequence(1, cnt))")
+    want = every.groupBy("g").agg(F.percentile("at", F.array(*map(F.lit, probs))).alias("q")).collect()
+    assert set(found) == {"a", "b"} and all(found[r.g] == pytest.approx(r.q) for r in want)
